@@ -56,6 +56,11 @@ def _text(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def _sequence(line: Column) -> Column:
+    """Affiliation number: by supplier, so that a number has few affiliations even in a very long order."""
+    return (line["l_suppkey"] % 30000).cast("int")
+
+
 def _author(line: Column) -> Column:
     number = line["l_linenumber"]
     return F.struct(
@@ -63,7 +68,7 @@ def _author(line: Column) -> Column:
         number.cast("int").alias("author_position"),
         F.concat(F.lit("G"), _text(number)).alias("given_name"), line["s_name"].alias("family_name"),
         F.when(number == 1, F.lit("Al")).otherwise(F.lit("Alexander")).alias("pn_given_name"),
-        line["s_name"].alias("pn_family_name"), F.array(number.cast("int")).alias("affiliation_sequences"))
+        line["s_name"].alias("pn_family_name"), F.array(_sequence(line)).alias("affiliation_sequences"))
 
 
 def _affiliation(line: Column) -> Column:
@@ -71,7 +76,7 @@ def _affiliation(line: Column) -> Column:
     ids = F.array(line["s_nationkey"].cast("bigint"), line["l_suppkey"])
     long_name = F.array(line["n_name"], F.rpad(F.lit("x"), 800, "x"))
     return F.struct(
-        number.cast("int").alias("affiliation_sequence"),
+        _sequence(line).alias("affiliation_sequence"),
         F.when(number == 7, F.array().cast("array<bigint>")).otherwise(ids).alias("affiliation_ids"),
         F.array(line["n_name"]).alias("affiliation_normalized"),
         F.struct(

@@ -16,6 +16,7 @@ from runstar.sources import discover
 from runstar.sources.feed import (CORRUPT, METADATA_FILE, PUBLICATION_FILES, expected_years, metadata_aliases,
                                   read_feed, read_metadata)
 from runstar.sources.warehouse import Warehouse
+from runstar.sources.workspace import control_table
 
 RUNS = ["agency", "version"]
 # Fixed value: how the key of a publication file goes on after agency and version.
@@ -73,7 +74,7 @@ def _summary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> tuple[Data
     last: dict[str, int] = {}
     for r in rows:
         last[r["name"]] = max(r["last_id"], last.get(r["name"], 0))
-    local = spark.createDataFrame([(r["run_id"], r["name"], r["n"]) for r in rows], "run_id bigint, name string, n bigint")
+    local = control_table(spark, [(r["run_id"], r["name"], r["n"]) for r in rows], "run_id bigint, name string, n bigint")
     per_run = local.groupBy("run_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "n"))).alias("row_counts"))
     return per_run, last
 
@@ -87,7 +88,7 @@ def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFr
     """
     base = base.rstrip("/")
     listing = discover.list_objects(spark, base)
-    load_id = warehouse.new_load_id()
+    load_id = warehouse.start_load()
     admitted = admit_runs(warehouse, work, if_exists).join(presence(listing), RUNS, "left")
     reason = (F.when(F.col("reason").isNotNull(), F.col("reason"))
                .when(~F.coalesce("has_feed", F.lit(False)), F.lit("no publication data found"))
@@ -99,7 +100,7 @@ def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFr
         failures = _load_admitted(spark, base, warehouse, load_id, good, schema, references)
         outcome |= failures
     rows = [(a, v, "failed" if why else "loaded", why) for (a, v), why in sorted(outcome.items())]
-    result = spark.createDataFrame(rows, "agency string, version string, status string, reason string")
+    result = control_table(spark, rows, "agency string, version string, status string, reason string")
     if rows:
         warehouse.record(load_id, result)
     return result
@@ -108,7 +109,7 @@ def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFr
 def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id: int, runs: list[tuple[str, str]],
                    schema: str, references: bool) -> dict[tuple[str, str], str]:
     folders = [f"{base}/{a}/{v}" for a, v in runs]
-    wanted = spark.createDataFrame(runs, "agency string, version string")
+    wanted = control_table(spark, runs, "agency string, version string")
     many = len(runs) > 1
     # A gzip file is one task. The raw records are written once, spread and typed; everything else reads those.
     raw = read_feed(spark, [f"{f}/{PUBLICATION_FILES}" for f in folders], schema, keep_corrupt=True)
@@ -121,8 +122,7 @@ def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id
     if not valid:
         return failures
 
-    keys = warehouse.register(spark.createDataFrame(valid, "agency string, version string"))
-    keys = spark.createDataFrame(keys.collect(), keys.schema)  # one row per run
+    keys = warehouse.register(control_table(spark, valid, "agency string, version string"))
     feed = feed.join(F.broadcast(keys), RUNS)
     kinds = stage_runs(warehouse, load_id, feed, metadata_aliases(metadata).join(F.broadcast(keys), RUNS), many)
     load = StarLoad(spark, kinds, lambda name, df: warehouse.write_table(load_id, name, df, many), warehouse.last_ids())
@@ -149,7 +149,7 @@ def ingest(spark: SparkSession, base: str, warehouse: Warehouse, overwrite: bool
     listing = discover.list_objects(spark, base)
     fresh = discover.new_objects(listing, warehouse.ledger(), overwrite)
     work = discover.work_list(discover.changed_runs(fresh), warehouse.reload_requests())
-    work = spark.createDataFrame(work.collect(), work.schema)  # one row per run
+    work = control_table(spark, work.collect(), work.schema)  # one row per run
     result = load_runs(spark, base, warehouse, work, if_exists, schema, references)
     loaded = result.where(F.col("status") == "loaded")
     seen = fresh.select("key", *discover.run_of_key(F.col("key"))).join(F.broadcast(loaded), RUNS, "left_semi")

@@ -17,7 +17,6 @@ from runstar.operators.joins import Lookup, bridge, lookup
 from runstar.operators.keys import canonical_pick, dense_id, dimension
 from runstar.schemas import MODEL_NAMES, TABLES
 
-NULL_TEXT = F.lit(None).cast("string")
 RUN = {"run_id": "run_id"}
 
 

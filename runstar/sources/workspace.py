@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Sequence
+from datetime import UTC, datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,6 +25,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def control_table(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A few rows known to the driver (runs, tables, events) as a local relation, without Python workers."""
+    typed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = typed.names
+    values = [dict(zip(names, map(_aware, r), strict=True)) for r in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(values, schema=to_arrow_schema(typed)), typed)
+
+
+def _aware(value: object) -> object:
+    """Collected timestamps are local time without a zone; Arrow wants the zone."""
+    return value.astimezone(UTC) if isinstance(value, datetime) else value
+
+
 class Workspace:
     """Written tables of one job. Reading them back cuts the lineage and survives lost executors."""
 
