@@ -392,7 +392,7 @@ def _load_orders(w: Warehouse, orders: DataFrame, if_exists: str = "replace") ->
     decided = control_table(spark, admitted.collect(), admitted.schema)  # one row per run
     runs = w.register(decided.where("reason is null"))
     load_id = w.start_load()
-    rows = w.write_table(load_id, "publication", _order_publications(orders, runs, w.last_ids().get("publication", 0)), True)
+    rows = w.write_table(load_id, "publication", _order_publications(orders, runs, w.last_ids().get("publication", 0)), 3)
     counts = rows.groupBy("run_id").agg(F.create_map(F.lit("publication"), F.count(F.lit(1))).alias("row_counts"))
     w.publish(load_id, runs, counts, {"publication": rows.agg(F.max("id")).first()[0] or 0})
     return decided
@@ -569,7 +569,7 @@ def staging_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = _warehouse(spark)
     rows = staging.ufcs(j.feed, ("run_id", "agency", "version", "eid"))
     load_id = w.start_load()
-    w.write_staging(load_id, "ufcs", rows, many_runs=True)
+    w.write_staging(load_id, "ufcs", rows, n_runs=3)
     counts = j.runs.select("run_id", F.lit(None).cast("map<string,bigint>").alias("row_counts"))
     w.publish(load_id, j.runs, counts, {})
     return w.staging("ufcs", rows.schema).select("version", "eid", "concept_id", "a_freq")

@@ -58,10 +58,10 @@ def validated_runs(feed: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def stage_runs(warehouse: Warehouse, load_id: int, feed: DataFrame, aliases: DataFrame,
-               many_runs: bool) -> dict[str, DataFrame]:
+               n_runs: int) -> dict[str, DataFrame]:
     """The nine kinds of a load, written by run."""
     kinds = staging.all_kinds(feed, aliases, keys=("run_id", *RUNS, "eid"))
-    return {name: warehouse.write_staging(load_id, name, rows, many_runs) for name, rows in kinds.items()}
+    return {name: warehouse.write_staging(load_id, name, rows, n_runs) for name, rows in kinds.items()}
 
 
 def _summary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> tuple[DataFrame, dict[str, int]]:
@@ -110,10 +110,10 @@ def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id
                    schema: str, references: bool) -> dict[tuple[str, str], str]:
     folders = [f"{base}/{a}/{v}" for a, v in runs]
     wanted = control_table(spark, runs, "agency string, version string")
-    many = len(runs) > 1
-    # A gzip file is one task. The raw records are written once, spread and typed; everything else reads those.
+    # A gzip file is one task. The records are written once as scanned, typed and splittable; everything else reads
+    # those, so a large file costs one long task and no shuffle.
     raw = read_feed(spark, [f"{f}/{PUBLICATION_FILES}" for f in folders], schema, keep_corrupt=True)
-    feed = warehouse.write_raw(load_id, raw.hint("rebalance"))
+    feed = warehouse.write_raw(load_id, raw)
     metadata = warehouse.write_metadata(load_id, read_metadata(spark, [f"{f}/{METADATA_FILE}" for f in folders],
                                                                keep_corrupt=True))
     verdicts = wanted.join(validated_runs(feed, metadata), RUNS, "left")
@@ -124,8 +124,8 @@ def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id
 
     keys = warehouse.register(control_table(spark, valid, "agency string, version string"))
     feed = feed.join(F.broadcast(keys), RUNS)
-    kinds = stage_runs(warehouse, load_id, feed, metadata_aliases(metadata).join(F.broadcast(keys), RUNS), many)
-    load = StarLoad(spark, kinds, lambda name, df: warehouse.write_table(load_id, name, df, many), warehouse.last_ids())
+    kinds = stage_runs(warehouse, load_id, feed, metadata_aliases(metadata).join(F.broadcast(keys), RUNS), len(valid))
+    load = StarLoad(spark, kinds, lambda name, df: warehouse.write_table(load_id, name, df, len(valid)), warehouse.last_ids())
     tables = {name: load.table(name) for name in BUILDERS}
     report = audit_constraints({**tables, "model": load.table("model")}, TABLES, references)
     broken = {r["run_id"]: r for r in report.where((F.col("violations") > 0) & F.col("run_id").isNotNull())

@@ -7,6 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 
+# A load of more runs than this is shuffled once more before it is written, to keep files few and large.
+RUNS_PER_TASK = 8
+
+
 def without_arrays(df: DataFrame) -> DataFrame:
     """The encoded columns only."""
     return df.select(*[f"`{n}`" for n, t in df.dtypes if not t.startswith(("array", "struct", "map"))])
@@ -23,12 +27,12 @@ def preview(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def write_by_run(df: DataFrame, path: str, partitions: Sequence[str], many_runs: bool) -> None:
-    """Append a partitioned table.
+def write_by_run(df: DataFrame, path: str, partitions: Sequence[str], n_runs: int) -> None:
+    """Append a table partitioned by run.
 
-    With many runs the rows are first brought together by partition, in pieces that Spark sizes (it also splits the
-    piece of a run that holds most rows); a single run keeps its tasks and needs no shuffle.
+    Every task writes one file per run it holds. That is fine for a few runs; with more, the rows are first brought
+    together by run, in pieces that Spark sizes (it also splits the run that holds most rows).
     """
-    if many_runs:
+    if n_runs > RUNS_PER_TASK:
         df = df.hint("rebalance", *partitions)
     df.write.mode("append").partitionBy(*partitions).parquet(path)
