@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runstar.operators.validate import audit_constraints, run_verdict
 from runstar.plans import staging
-from runstar.plans.star import BUILDERS, StarLoad
+from runstar.plans.star import JOBS_AT_A_TIME, StarLoad
 from runstar.schemas import FEED_SCHEMA, TABLES
 from runstar.sources import discover
 from runstar.sources.feed import (CORRUPT, METADATA_FILE, PUBLICATION_FILES, expected_years, metadata_aliases,
@@ -19,6 +22,7 @@ from runstar.sources.warehouse import Warehouse
 from runstar.sources.workspace import control_table
 
 RUNS = ["agency", "version"]
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
 # Fixed value: how the key of a publication file goes on after agency and version.
 PUBLICATION_KEY = "^[^/]+/[^/]+/json/publications/[^/]*[.]json[.]gz$"
 METADATA_KEY = f"^[^/]+/[^/]+/{METADATA_FILE}(/|$)"
@@ -61,7 +65,9 @@ def stage_runs(warehouse: Warehouse, load_id: int, feed: DataFrame, aliases: Dat
                n_runs: int) -> dict[str, DataFrame]:
     """The nine kinds of a load, written by run."""
     kinds = staging.all_kinds(feed, aliases, keys=("run_id", *RUNS, "eid"))
-    return {name: warehouse.write_staging(load_id, name, rows, n_runs) for name, rows in kinds.items()}
+    with ThreadPoolExecutor(JOBS_AT_A_TIME) as pool:
+        written = pool.map(lambda name: warehouse.write_staging(load_id, name, kinds[name], n_runs), kinds)
+        return dict(zip(kinds, written, strict=True))
 
 
 def _summary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> tuple[DataFrame, dict[str, int]]:
@@ -88,7 +94,6 @@ def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFr
     """
     base = base.rstrip("/")
     listing = discover.list_objects(spark, base)
-    load_id = warehouse.start_load()
     admitted = admit_runs(warehouse, work, if_exists).join(presence(listing), RUNS, "left")
     reason = (F.when(F.col("reason").isNotNull(), F.col("reason"))
                .when(~F.coalesce("has_feed", F.lit(False)), F.lit("no publication data found"))
@@ -96,16 +101,34 @@ def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFr
     outcome = {(r["agency"], r["version"]): r["reason"]
                for r in admitted.select(*RUNS, reason.alias("reason")).collect()}  # one row per run
     good = [run for run, why in outcome.items() if why is None]
-    if good:
-        failures = _load_admitted(spark, base, warehouse, load_id, good, schema, references)
-        outcome |= failures
+    outcome |= _load_isolated(spark, base, warehouse, good, schema, references)
     rows = [(a, v, "failed" if why else "loaded", why) for (a, v), why in sorted(outcome.items())]
     result = control_table(spark, rows, "agency string, version string, status string, reason string")
     if rows:
-        warehouse.record(load_id, result)
+        warehouse.record(result)
     return result
 
 
+def _load_isolated(spark: SparkSession, base: str, warehouse: Warehouse, runs: list[tuple[str, str]], schema: str,
+                   references: bool) -> dict[tuple[str, str], str]:
+    """Load all runs together; if a job breaks, load each half on its own, down to the run that breaks it."""
+    if not runs:
+        return {}
+    try:
+        return _load_admitted(spark, base, warehouse, warehouse.start_load(), runs, schema, references)
+    except SPARK_ERRORS as e:
+        if len(runs) == 1:
+            return {runs[0]: f"load failed: {_first_line(e)}"}
+    half = len(runs) // 2
+    return {**_load_isolated(spark, base, warehouse, runs[:half], schema, references),
+            **_load_isolated(spark, base, warehouse, runs[half:], schema, references)}
+
+
+def _first_line(error: Exception) -> str:
+    lines = [line for line in str(error).splitlines() if "[" in line] or [str(error)]
+    return lines[0].strip()[:500]
+
+
 def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id: int, runs: list[tuple[str, str]],
                    schema: str, references: bool) -> dict[tuple[str, str], str]:
     folders = [f"{base}/{a}/{v}" for a, v in runs]
@@ -126,8 +149,8 @@ def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id
     feed = feed.join(F.broadcast(keys), RUNS)
     kinds = stage_runs(warehouse, load_id, feed, metadata_aliases(metadata).join(F.broadcast(keys), RUNS), len(valid))
     load = StarLoad(spark, kinds, lambda name, df: warehouse.write_table(load_id, name, df, len(valid)), warehouse.last_ids())
-    tables = {name: load.table(name) for name in BUILDERS}
-    report = audit_constraints({**tables, "model": load.table("model")}, TABLES, references)
+    tables = load.all()
+    report = audit_constraints(tables, TABLES, references)
     broken = {r["run_id"]: r for r in report.where((F.col("violations") > 0) & F.col("run_id").isNotNull())
                                             .groupBy("run_id").agg(F.min(F.concat_ws(" ", "table_name", "rule")).alias("rule"))
                                             .collect()}  # at most one row per run

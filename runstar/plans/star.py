@@ -8,6 +8,7 @@ which gives Spark their true size when it picks a join, and keeps the lineage sh
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -218,6 +219,18 @@ BUILDERS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], tuple[str,
 }
 
 
+# Tables that do not need each other; a level needs the levels before it.
+LEVELS = (
+    ("publisher", "author", "dataset_alias", "topic", "asjc"),
+    ("journal",),
+    ("publication", "issn"),
+    ("dyad", "publication_author", "publication_affiliation", "publication_asjc", "publication_ufc",
+     "publication_topic"),
+    ("dyad_model", "author_affiliation"))
+# Jobs at a time: small tables need not wait for large ones.
+JOBS_AT_A_TIME = 4
+
+
 class StarLoad:
     """Builds final tables on demand, parents first. ``write`` stores a table and returns it as read back."""
 
@@ -240,7 +253,10 @@ class StarLoad:
         return self._tables[name]
 
     def all(self) -> dict[str, DataFrame]:
-        return {"model": self._tables["model"], **{name: self.table(name) for name in BUILDERS}}
+        with ThreadPoolExecutor(JOBS_AT_A_TIME) as pool:
+            for level in LEVELS:
+                list(pool.map(self.table, level))
+        return {name: self.table(name) for name in TABLES}
 
 
 def load_losses(kinds: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) -> DataFrame:
