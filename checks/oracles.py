@@ -354,7 +354,7 @@ SELECT DISTINCT split_part(key, '/', 1) AS agency, split_part(key, '/', 2) AS ve
 SELECT DISTINCT 'testdata' AS agency, o_orderstatus AS version, true AS has_feed, true AS has_metadata FROM orders""",
     "scan_feed": f"""WITH {_LINE}
 SELECT 'testdata' AS agency, rec.version, rec.eid, rec.doi, rec.year AS publication_year,
-       rec.fwci AS field_weighted_citation_impact, CAST(count(line.eid) AS INTEGER) AS n_lines
+       rec.fwci AS field_weighted_citation_impact, count(line.eid) AS n_lines
   FROM rec LEFT JOIN line ON line.version = rec.version AND line.eid = rec.eid
  GROUP BY rec.version, rec.eid, rec.doi, rec.year, rec.fwci""",
     "scan_metadata": f"{_VERDICT_RUNS} SELECT 'testdata' AS agency, version, publication_year, expected FROM stated",

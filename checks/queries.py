@@ -15,7 +15,7 @@ from runstar.operators.keys import dense_id
 from runstar.plans import ingest as ingest_plan
 from runstar.plans import staging
 from runstar.plans.star import BUILDERS, StarLoad, load_losses
-from runstar.schemas import TABLES, Column as SpecColumn, Table
+from runstar.schemas import FEED_SCHEMA, TABLES, Column as SpecColumn, Table
 from runstar.sources import discover, feed as feed_source, sinks
 from runstar.sources.warehouse import Warehouse
 from runstar.sources.workspace import Workspace, control_table
@@ -507,12 +507,15 @@ def _written_feed(spark: SparkSession, sf_dir: str, versions: tuple[str, ...] =
     for r in j.runs.collect():  # one row per run
         if r["version"] not in written:
             here = F.col("version") == r["version"]
-            feed_source.write_run(j.feed.where(here), aliases.where(here), years.where(here), base, AGENCY, r["version"])
+            feed_source.write_run(j.feed.where(here), aliases.where(here), years.where(here), base, AGENCY, r["version"], PARTS_SCHEMA)
             written.add(r["version"])
     return base
 
 
 _LAYOUTS: dict[str, set[str]] = {}
+# An over-long order is written as several records, so a record is known by its eid and its part.
+PARTS_SCHEMA = FEED_SCHEMA + ", part int"
+PARTS = ingest_plan.LoadOptions(schema=PARTS_SCHEMA, record_key=("eid", "part"))
 
 
 @query
@@ -520,9 +523,9 @@ def scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzip JSON lines of all runs read back, agency and version from the path."""
     base = _written_feed(spark, sf_dir)
     feed = feed_source.read_feed(spark, f"{base}/*/*/{feed_source.PUBLICATION_FILES}")
-    lines = F.coalesce(F.size("authors"), F.lit(0))
-    return feed.select("agency", "version", "eid", "doi", "publication_year", "field_weighted_citation_impact",
-                       F.greatest(lines, F.lit(0)).alias("n_lines"))
+    lines = F.greatest(F.coalesce(F.size("authors"), F.lit(0)), F.lit(0))
+    record = ["agency", "version", "eid", "doi", "publication_year", "field_weighted_citation_impact"]
+    return feed.groupBy(*record).agg(F.sum(lines).alias("n_lines"))
 
 
 @query
@@ -548,7 +551,7 @@ def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way from gzip files to visible tables, three runs in one load: rows per run and table."""
     base = _written_feed(spark, sf_dir)
     w = _warehouse(spark)
-    ingest_plan.ingest(spark, base, w)
+    ingest_plan.ingest(spark, base, w, options=PARTS)
     return _warehouse_counts(w)
 
 
@@ -558,7 +561,7 @@ def ingest_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _written_feed(spark, sf_dir)
     space = Workspace(spark)
     w = Warehouse(spark, space.path("warehouse"))
-    ingest_stream(spark, base, w, space.path("checkpoint")).awaitTermination()
+    ingest_stream(spark, base, w, space.path("checkpoint"), PARTS).awaitTermination()
     return _warehouse_counts(w)
 
 

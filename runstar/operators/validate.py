@@ -54,15 +54,15 @@ def check_unique(df: DataFrame, keys: Sequence[str], runs: Sequence[str] = ()) -
 
 
 def run_verdict(feed: DataFrame, expected: DataFrame, runs: Sequence[str] = ("agency", "version"),
-                year: str = "publication_year", id_col: str = "eid") -> DataFrame:
+                year: str = "publication_year", id_col: str = "eid", record_key: Sequence[str] | None = None) -> DataFrame:
     """One row per run with ``counts_ok``, ``unique_ok`` and ``valid``.
 
     ``expected`` holds the runs, the year and the number of documents as ``expected``. Runs that appear on one
-    side only get a verdict as well.
+    side only get a verdict as well. ``record_key`` (by default the id) is what must be unique.
     """
     differences = reconcile_counts(expected, observed_counts(feed, year, id_col, runs), [*runs, year])
     counts = all_equal(differences, runs)
-    unique = check_unique(feed, [id_col], runs).select(*runs, "unique_ok")
+    unique = check_unique(feed, record_key or [id_col], runs).select(*runs, "unique_ok")
     verdict = counts.join(unique, list(runs), "full_outer")
     # No difference rows means nothing to object to; no keys means an empty feed.
     verdict = verdict.withColumn("counts_ok", F.coalesce("counts_ok", F.lit(True)))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -22,7 +23,25 @@ from runstar.sources.warehouse import Warehouse
 from runstar.sources.workspace import control_table
 
 RUNS = ["agency", "version"]
+
+
+@dataclass(frozen=True)
+class LoadOptions:
+    """How runs are loaded.
+
+    ``if_exists``: ``replace`` a published run, or ``fail`` it unless its reload was requested. ``schema`` of a feed
+    record, ``record_key`` that must be unique in a run. ``references`` adds the reference checks to the audit; the
+    builders keep references by construction.
+    """
+
+    if_exists: str = "replace"
+    schema: str = FEED_SCHEMA
+    record_key: tuple[str, ...] = ("eid",)
+    references: bool = False
+
+
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
+DEFAULTS = LoadOptions()
 # Fixed value: how the key of a publication file goes on after agency and version.
 PUBLICATION_KEY = "^[^/]+/[^/]+/json/publications/[^/]*[.]json[.]gz$"
 METADATA_KEY = f"^[^/]+/[^/]+/{METADATA_FILE}(/|$)"
@@ -48,11 +67,11 @@ def presence(listing: DataFrame) -> DataFrame:
                                    F.bool_or(F.col("key").rlike(METADATA_KEY)).alias("has_metadata"))
 
 
-def validated_runs(feed: DataFrame, metadata: DataFrame) -> DataFrame:
+def validated_runs(feed: DataFrame, metadata: DataFrame, record_key: Sequence[str] = ("eid",)) -> DataFrame:
     """Verdict per run with a ``reason`` for the invalid ones; unreadable lines and documents count as invalid."""
     bad_lines = feed.groupBy(*RUNS).agg(F.count(CORRUPT).alias("bad_lines"))
     bad_documents = metadata.groupBy(*RUNS).agg(F.count(CORRUPT).alias("bad_documents"))
-    verdict = run_verdict(feed, expected_years(metadata), RUNS)
+    verdict = run_verdict(feed, expected_years(metadata), RUNS, record_key=record_key)
     joined = verdict.join(bad_lines, RUNS, "full_outer").join(bad_documents, RUNS, "full_outer")
     reason = (F.when(F.col("bad_documents") > 0, F.lit("malformed metadata"))
                .when(F.col("bad_lines") > 0, F.lit("malformed feed line"))
@@ -86,22 +105,21 @@ def _summary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> tuple[Data
 
 
 def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFrame,
-              if_exists: str = "replace", schema: str = FEED_SCHEMA, references: bool = False) -> DataFrame:
+              options: LoadOptions = DEFAULTS) -> DataFrame:
     """Validate, stage, build and publish the runs in ``work`` ``(agency, version, force)``.
 
     A run that fails is recorded with its reason and the others go on. Returns the outcome of every run.
-    ``references`` adds the reference checks to the audit; the builders keep references by construction.
     """
     base = base.rstrip("/")
     listing = discover.list_objects(spark, base)
-    admitted = admit_runs(warehouse, work, if_exists).join(presence(listing), RUNS, "left")
+    admitted = admit_runs(warehouse, work, options.if_exists).join(presence(listing), RUNS, "left")
     reason = (F.when(F.col("reason").isNotNull(), F.col("reason"))
                .when(~F.coalesce("has_feed", F.lit(False)), F.lit("no publication data found"))
                .when(~F.coalesce("has_metadata", F.lit(False)), F.lit("no export metadata found")))
     outcome = {(r["agency"], r["version"]): r["reason"]
                for r in admitted.select(*RUNS, reason.alias("reason")).collect()}  # one row per run
     good = [run for run, why in outcome.items() if why is None]
-    outcome |= _load_isolated(spark, base, warehouse, good, schema, references)
+    outcome |= _load_isolated(spark, base, warehouse, good, options)
     rows = [(a, v, "failed" if why else "loaded", why) for (a, v), why in sorted(outcome.items())]
     result = control_table(spark, rows, "agency string, version string, status string, reason string")
     if rows:
@@ -109,19 +127,19 @@ def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFr
     return result
 
 
-def _load_isolated(spark: SparkSession, base: str, warehouse: Warehouse, runs: list[tuple[str, str]], schema: str,
-                   references: bool) -> dict[tuple[str, str], str]:
+def _load_isolated(spark: SparkSession, base: str, warehouse: Warehouse, runs: list[tuple[str, str]],
+                   options: LoadOptions) -> dict[tuple[str, str], str]:
     """Load all runs together; if a job breaks, load each half on its own, down to the run that breaks it."""
     if not runs:
         return {}
     try:
-        return _load_admitted(spark, base, warehouse, warehouse.start_load(), runs, schema, references)
+        return _load_admitted(spark, base, warehouse, warehouse.start_load(), runs, options)
     except SPARK_ERRORS as e:
         if len(runs) == 1:
             return {runs[0]: f"load failed: {_first_line(e)}"}
     half = len(runs) // 2
-    return {**_load_isolated(spark, base, warehouse, runs[:half], schema, references),
-            **_load_isolated(spark, base, warehouse, runs[half:], schema, references)}
+    return {**_load_isolated(spark, base, warehouse, runs[:half], options),
+            **_load_isolated(spark, base, warehouse, runs[half:], options)}
 
 
 def _first_line(error: Exception) -> str:
@@ -130,16 +148,16 @@ def _first_line(error: Exception) -> str:
 
 
 def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id: int, runs: list[tuple[str, str]],
-                   schema: str, references: bool) -> dict[tuple[str, str], str]:
+                   options: LoadOptions) -> dict[tuple[str, str], str]:
     folders = [f"{base}/{a}/{v}" for a, v in runs]
     wanted = control_table(spark, runs, "agency string, version string")
     # A gzip file is one task. The records are written once as scanned, typed and splittable; everything else reads
     # those, so a large file costs one long task and no shuffle.
-    raw = read_feed(spark, [f"{f}/{PUBLICATION_FILES}" for f in folders], schema, keep_corrupt=True)
+    raw = read_feed(spark, [f"{f}/{PUBLICATION_FILES}" for f in folders], options.schema, keep_corrupt=True)
     feed = warehouse.write_raw(load_id, raw)
     metadata = warehouse.write_metadata(load_id, read_metadata(spark, [f"{f}/{METADATA_FILE}" for f in folders],
                                                                keep_corrupt=True))
-    verdicts = wanted.join(validated_runs(feed, metadata), RUNS, "left")
+    verdicts = wanted.join(validated_runs(feed, metadata, options.record_key), RUNS, "left")
     failures = {(r["agency"], r["version"]): r["reason"] for r in verdicts.collect() if r["reason"]}
     valid = [run for run in runs if run not in failures]
     if not valid:
@@ -150,7 +168,7 @@ def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id
     kinds = stage_runs(warehouse, load_id, feed, metadata_aliases(metadata).join(F.broadcast(keys), RUNS), len(valid))
     load = StarLoad(spark, kinds, lambda name, df: warehouse.write_table(load_id, name, df, len(valid)), warehouse.last_ids())
     tables = load.all()
-    report = audit_constraints(tables, TABLES, references)
+    report = audit_constraints(tables, TABLES, options.references)
     broken = {r["run_id"]: r for r in report.where((F.col("violations") > 0) & F.col("run_id").isNotNull())
                                             .groupBy("run_id").agg(F.min(F.concat_ws(" ", "table_name", "rule")).alias("rule"))
                                             .collect()}  # at most one row per run
@@ -164,7 +182,7 @@ def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id
 
 
 def ingest(spark: SparkSession, base: str, warehouse: Warehouse, overwrite: bool = False,
-           if_exists: str = "replace", schema: str = FEED_SCHEMA, references: bool = False) -> DataFrame:
+           options: LoadOptions = DEFAULTS) -> DataFrame:
     """Load every run with new objects below ``base`` and every run flagged for reload.
 
     Objects are remembered once their run is loaded, so a failed run is tried again next time.
@@ -173,7 +191,7 @@ def ingest(spark: SparkSession, base: str, warehouse: Warehouse, overwrite: bool
     fresh = discover.new_objects(listing, warehouse.ledger(), overwrite)
     work = discover.work_list(discover.changed_runs(fresh), warehouse.reload_requests())
     work = control_table(spark, work.collect(), work.schema)  # one row per run
-    result = load_runs(spark, base, warehouse, work, if_exists, schema, references)
+    result = load_runs(spark, base, warehouse, work, options)
     loaded = result.where(F.col("status") == "loaded")
     seen = fresh.select("key", *discover.run_of_key(F.col("key"))).join(F.broadcast(loaded), RUNS, "left_semi")
     warehouse.remember(discover.new_objects(seen, warehouse.ledger()))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runstar.plans import staging
-from runstar.plans.ingest import SPARK_ERRORS, ingest
+from runstar.plans.ingest import SPARK_ERRORS, LoadOptions, ingest
 from runstar.plans.star import BUILDERS
 from runstar.sources import discover, sinks
 from runstar.sources import feed as source
@@ -103,7 +103,7 @@ def test_ingest_isolates_failing_runs(spark, base, warehouse):
     (base / "badmeta" / "v1" / "stat" / "export_metadata.json").write_text("{ not json")
     (base / "nofeed" / "v1" / "stat").mkdir(parents=True)
     write_metadata(base / "nofeed" / "v1", {})
-    got = outcome(ingest(spark, str(base), warehouse, references=True))
+    got = outcome(ingest(spark, str(base), warehouse, options=LoadOptions(references=True)))
     assert got == {
         ("good one", "v1"): ("loaded", None),
         ("years", "v1"): ("failed", "input validation failed: documents per year"),
@@ -156,10 +156,10 @@ def test_load_replace_delete(spark, base, warehouse, tmp_path):
     assert warehouse.table("publication_author").where("run_id = 2").count() == 0
     assert warehouse.table("publication").where("run_id = 2").count() == 2
     # Fail mode refuses what exists, unless it is forced.
-    assert outcome(ingest(spark, str(base), warehouse, overwrite=True, if_exists="fail")) == {
+    assert outcome(ingest(spark, str(base), warehouse, overwrite=True, options=LoadOptions(if_exists="fail"))) == {
         ("a", "v1"): ("failed", "run exists"), ("b", "v1"): ("failed", "run exists")}
     with pytest.raises(ValueError):
-        ingest(spark, str(base), warehouse, if_exists="append")
+        ingest(spark, str(base), warehouse, options=LoadOptions(if_exists="append"))
     # Delete one run, in every table; deleting it again does nothing.
     assert warehouse.delete_run("b", "v1") and not warehouse.delete_run("b", "v1")
     assert {t.where("run_id = 2").count() for n, t in warehouse.tables().items() if "run_id" in t.columns} == {0}
