@@ -26,13 +26,23 @@ class Lookup:
 
 
 def lookup(rows: DataFrame, spec: Lookup) -> DataFrame:
-    """Join one parent. A left join spreads rows with a null key, which match nothing, over many tasks."""
+    """Join one parent.
+
+    The first join key is a hash of the text and number keys: a sort-merge join then sorts by one number instead of
+    long texts with a common beginning. A left join spreads rows with a null key, which match nothing, over many tasks.
+    """
     keys = {**spec.on, **spec.null_safe}
     wanted = dict.fromkeys([*keys.values(), *spec.take])
     parent = spec.parent.select(*[F.col(c).alias(f"_p_{c}") for c in wanted])
-    pairs: list[Column] = [F.col(c) == F.col(f"_p_{p}") for c, p in spec.on.items()]
-    pairs += [F.col(c).eqNullSafe(F.col(f"_p_{p}")) for c, p in spec.null_safe.items()]
     columns = rows.columns
+    hashed = _hashable(rows, spec.parent, keys)
+    pairs: list[Column] = []
+    if hashed:
+        rows = rows.withColumn("_key", F.xxhash64(*hashed))
+        parent = parent.withColumn("_p_key", F.xxhash64(*[f"_p_{keys[c]}" for c in hashed]))
+        pairs.append(F.col("_key") == F.col("_p_key"))
+    pairs += [F.col(c) == F.col(f"_p_{p}") for c, p in spec.on.items()]
+    pairs += [F.col(c).eqNullSafe(F.col(f"_p_{p}")) for c, p in spec.null_safe.items()]
     if spec.how == "left" and spec.on:
         unmatched = _any_null(spec.on)
         spread = F.when(unmatched, F.pmod(F.xxhash64(*columns), F.lit(NULL_SPREAD)) + 1).otherwise(0)
@@ -46,6 +56,13 @@ def lookup(rows: DataFrame, spec: Lookup) -> DataFrame:
     return rows.join(parent, condition, spec.how).select(*columns, *taken)
 
 
+def _hashable(rows: DataFrame, parent: DataFrame, keys: Mapping[str, str]) -> list[str]:
+    """Child keys whose hash equals that of an equal parent key: same plain type on both sides, one of them text."""
+    child_types, parent_types = dict(rows.dtypes), dict(parent.dtypes)
+    plain = [c for c, p in keys.items() if child_types[c] == parent_types[p] and child_types[c] in ("string", "bigint")]
+    return plain if any(child_types[c] == "string" for c in plain) else []
+
+
 def _any_null(columns: Iterable[str]) -> Column:
     checks = [F.col(c).isNull() for c in columns]
     result = checks[0]

@@ -21,7 +21,7 @@ def dense_id(rows: DataFrame, id_col: str = "id", start: int = 0, copies: str |
     the row comes out that many times, each with its own id, and the column is dropped.
     """
     cols = [c for c in rows.columns if c != copies]
-    buckets = 8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 32 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weight = F.col(copies) if copies else F.lit(1).cast("bigint")
     keyed = (rows.select(*cols, weight.alias("_n"), F.xxhash64(*cols).alias("_hash"))
                  .withColumn("_bucket", F.pmod("_hash", F.lit(buckets))))
