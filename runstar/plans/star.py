@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from runstar.functions import text_length
 from runstar.operators.joins import Lookup, bridge, lookup
-from runstar.operators.keys import canonical_pick, dense_id, dimension
+from runstar.operators.keys import canonical_pick, collate, dense_id, dimension
 from runstar.schemas import MODEL_NAMES, TABLES
 
 RUN = {"run_id": "run_id"}
@@ -232,20 +232,24 @@ JOBS_AT_A_TIME = 4
 
 
 class StarLoad:
-    """Builds final tables on demand, parents first. ``write`` stores a table and returns it as read back."""
+    """Builds final tables on demand, parents first. ``write`` stores a table and returns it as read back.
+
+    ``collation`` (``UTF8_LCASE`` ignores case) governs DISTINCT and joins; by default texts are equal byte by byte.
+    """
 
     def __init__(self, spark: SparkSession, kinds: Mapping[str, DataFrame],
                  write: Callable[[str, DataFrame], DataFrame], last_ids: Mapping[str, int] | None = None,
-                 model: DataFrame | None = None):
-        self._kinds, self._write, self._last_ids = kinds, write, last_ids or {}
-        self._tables: dict[str, DataFrame] = {"model": model if model is not None else model_seed(spark)}
+                 collation: str | None = None):
+        self._kinds, self._write, self._last_ids, self._collation = kinds, write, last_ids or {}, collation
+        self._tables: dict[str, DataFrame] = {"model": model_seed(spark)}
         # One time for the whole load, and a plain value, so that a task that runs again writes the same.
         self._stamp = spark.sql("select current_timestamp() as t").first()["t"]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             build, kinds, parents = BUILDERS[name]
-            inputs = [self._kinds[k] for k in kinds] + [self.table(p) for p in parents]
+            inputs = [collate(df, self._collation) for df in
+                      [*[self._kinds[k] for k in kinds], *[self.table(p) for p in parents]]]
             rows = build(*inputs, start=self._last_ids.get(name, 0))
             if TABLES[name].stamped:
                 rows = rows.withColumn("last_updated_date", F.lit(self._stamp))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,12 +32,12 @@ def outcome(df):
     return {(r["agency"], r["version"]): (r["status"], r["reason"]) for r in df.collect()}
 
 
-def contents(w, *names):
-    """Rows without ids and times, per table."""
+def contents(w, run_id):
+    """Rows of a run without ids and times, per table."""
     found = {}
-    for name in names or BUILDERS:
-        df = w.table(name)
-        cols = [c for c in df.columns if c not in ("id", "run_id", "last_updated_date") and not c.endswith("_id")]
+    for name in BUILDERS:
+        df = w.table(name).where(F.col("run_id") == run_id)
+        cols = [c for c in df.columns if c not in ("id", "last_updated_date") and not c.endswith("_id")]
         found[name] = sorted(map(str, df.select(*cols).collect()))
     return found
 
@@ -120,66 +122,75 @@ def test_ingest_isolates_failing_runs(spark, base, warehouse):
 
 
 def test_unreadable_file_fails_its_run_only(spark, base, warehouse):
-    for name in ("a", "b", "c"):
+    for name in ("a", "b"):
         write_run(base, name, "v1", RECORDS)
     broken = base / "b" / "v1" / "json" / "publications" / "publication_0.json.gz"
     broken.write_bytes(broken.read_bytes()[:60])
     got = outcome(ingest(spark, str(base), warehouse))
-    assert got[("a", "v1")] == got[("c", "v1")] == ("loaded", None)
+    assert got[("a", "v1")] == ("loaded", None)
     assert got[("b", "v1")][0] == "failed" and "FAILED_READ_FILE" in got[("b", "v1")][1]
-    assert warehouse.table("publication").count() == 8
+    assert warehouse.table("publication").count() == 4
 
 
-def test_load_replace_delete(spark, base, warehouse, tmp_path):
+def test_load_replace_delete(spark, base, warehouse):
     write_run(base, "a", "v1", RECORDS)
-    write_run(base, "b", "v1", RECORDS[:2])
     ingest(spark, str(base), warehouse)
-    before = contents(warehouse)
-    last = warehouse.last_ids()
+    before, last = contents(warehouse, 1), warehouse.last_ids()
     assert warehouse.run_id("a", "v1") == 1 and warehouse.run_id("no", "v1") is None
 
-    # Nothing new: nothing to do.
+    # Nothing new: nothing to do. A request and a new run: both, the first with the same content and new ids.
     assert outcome(ingest(spark, str(base), warehouse)) == {}
-    # Reload on request: same content, new ids, request gone.
     warehouse.request_reload("a", "v1")
-    assert outcome(ingest(spark, str(base), warehouse)) == {("a", "v1"): ("loaded", None)}
-    assert contents(warehouse) == before
+    write_run(base, "b", "v1", RECORDS[:2])
+    assert outcome(ingest(spark, str(base), warehouse)) == {(n, "v1"): ("loaded", None) for n in "ab"}
+    assert contents(warehouse, 1) == before
     assert warehouse.table("publication").where("run_id = 1").agg(F.min("id")).first()[0] > last["publication"]
     assert warehouse.reload_requests().count() == 0
     # A new file without topics: old topic rows are gone although nothing replaces them.
-    bare = [{**r, "topic": None, "authors": []} for r in RECORDS[:2]]
-    write_run(base, "b", "v1", bare)
-    (base / "b" / "v1" / "json" / "publications" / "publication_0.json.gz").rename(
-        base / "b" / "v1" / "json" / "publications" / "publication_9.json.gz")
+    write_run(base, "b", "v1", [{**r, "topic": None, "authors": []} for r in RECORDS[:2]])
+    folder = base / "b" / "v1" / "json" / "publications"
+    (folder / "publication_0.json.gz").rename(folder / "publication_9.json.gz")
     assert outcome(ingest(spark, str(base), warehouse)) == {("b", "v1"): ("loaded", None)}
-    assert warehouse.table("topic").where("run_id = 2").count() == 0
-    assert warehouse.table("publication_author").where("run_id = 2").count() == 0
-    assert warehouse.table("publication").where("run_id = 2").count() == 2
-    # Fail mode refuses what exists, unless it is forced.
+    assert {n: warehouse.table(n).where("run_id = 2").count() for n in ("topic", "publication_author", "publication")} == {
+        "topic": 0, "publication_author": 0, "publication": 2}
+    # Fail mode refuses what exists.
     assert outcome(ingest(spark, str(base), warehouse, overwrite=True, options=LoadOptions(if_exists="fail"))) == {
         ("a", "v1"): ("failed", "run exists"), ("b", "v1"): ("failed", "run exists")}
     with pytest.raises(ValueError):
         ingest(spark, str(base), warehouse, options=LoadOptions(if_exists="append"))
-    # Delete one run, in every table; deleting it again does nothing.
+    # Delete, in every table; deleting again does nothing. Delete, then load: as loaded once, under a new run id.
     assert warehouse.delete_run("b", "v1") and not warehouse.delete_run("b", "v1")
-    assert {t.where("run_id = 2").count() for n, t in warehouse.tables().items() if "run_id" in t.columns} == {0}
-    # Delete, then load: as loaded once, under a new run id.
+    assert {t.where("run_id = 2").count() for t in warehouse.tables().values() if "run_id" in t.columns} == {0}
+    assert not list(Path(warehouse.root).glob("tables/*/load_id=*/run_id=2"))
     warehouse.delete_run("a", "v1")
     warehouse.request_reload("a", "v1")
     ingest(spark, str(base), warehouse)
-    assert warehouse.run_id("a", "v1") == 3
-    fresh = Warehouse(spark, str(tmp_path / "fresh"))
-    write_run(tmp_path / "feed2", "a", "v1", RECORDS, files=3)
-    ingest(spark, str(tmp_path / "feed2"), fresh)
-    assert contents(fresh) == contents(warehouse)
+    assert warehouse.run_id("a", "v1") == 3 and contents(warehouse, 3) == before
     # Another object on the same folder sees what is published.
     assert Warehouse(spark, warehouse.root).table("publication").count() == 4
     sql = warehouse.query("select count(*) n, max(r.agency) a from publication p join agency_run r on r.id = p.run_id")
     assert tuple(sql.first()) == (4, "a")
-    # Empty all tables but some.
-    warehouse.empty_tables(keep=["publisher", "model"])
-    left = {n: t.count() for n, t in warehouse.tables().items()}
-    assert left.pop("publisher") == 1 and left.pop("model") == 4 and set(left.values()) == {0}
+    # Empty, then drop, all tables but some.
+    for clear in (warehouse.empty_tables, warehouse.drop_tables):
+        clear(keep=["publisher", "model"])
+        left = {n: t.count() for n, t in warehouse.tables().items()}
+        assert left.pop("publisher") == 1 and left.pop("model") == 4 and set(left.values()) == {0}
+    assert {p.name for p in Path(warehouse.root, "tables").iterdir()} == {"publisher"}
+
+
+def test_redacted_run(spark, base, tmp_path):
+    long = record("x", identified_datasets=[{**record()["identified_datasets"][0], "snippets": ["0123456789abc"]}])
+    write_run(base, "a", "v1", [long, record("y", publication_year=2021)], years={1999: 5})
+    source.redact_run(spark, str(base), str(tmp_path / "sample"), "a", "v1")
+    feed, meta = source.read_run(spark, str(tmp_path / "sample"), "a", "v1")
+    snippets = {r["eid"]: r["identified_datasets"][0]["snippets"] for r in feed.collect()}
+    assert snippets == {"x": ["0123456789"], "y": ["uses Data "]}
+    assert {(r["publication_year"], r["expected"]) for r in source.expected_years(meta).collect()} == {(2020, 1), (2021, 1)}
+    assert source.metadata_aliases(meta).count() == 2
+
+
+def test_feed_without_metadata_has_no_aliases(spark):
+    assert staging.datasets(source.no_aliases(spark)).columns == ["run_id", "alias", "alias_id", "parent_alias_id", "alias_type"]
 
 
 def test_create_tables_on_nothing(warehouse):

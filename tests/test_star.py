@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from runstar.operators.analytics import geo_append, geo_backlog, geo_match, ordered_agg, validated_dyads
+from runstar.operators.analytics import geo_append, geo_backlog, geo_match, ordered_agg, stale_verdicts, validated_dyads
 from runstar.operators.validate import audit_constraints
 from runstar.plans import staging
 from runstar.plans.star import BUILDERS, StarLoad, load_losses
@@ -219,6 +219,17 @@ def test_splitting_and_reordering_input_changes_nothing(spark):
             sorted(map(str, second.table(name).drop("last_updated_date").collect())), name
 
 
+def test_collation_of_the_whole_star(spark):
+    records = [record("a"), record("b", journal_publishername="SPRINGER", journal_title="JOURNAL")]
+    assert star(spark, *records).table("journal").count() == 2
+    kinds = staging.all_kinds(frame(spark, *records), aliases(spark))
+    load = StarLoad(spark, kinds, Workspace(spark).keep, collation="UTF8_LCASE")
+    assert load.table("publisher").count() == load.table("journal").count() == 1
+    assert rows(load.table("publication"), "external_id") == [("a",), ("b",)]
+    assert load.table("dyad_model").count() == 4 and load.table("author_affiliation").count() == 2
+    assert dict(load.table("publisher").dtypes)["name"] == "string"
+
+
 def verdict_tables(spark):
     run = control_table(spark, [(1, "ag", "v")], "id bigint, agency string, version string")
     alias = control_table(spark, [(10, 1, 1, 1, "Data"), (11, 1, 2, 1, "D."), (12, 1, 3, 3, "Other")],
@@ -232,6 +243,13 @@ def verdict_tables(spark):
     return run, alias, dyad, verdicts
 
 
+def test_stale_verdicts(spark):
+    _, _, dyad, verdicts = verdict_tables(spark)
+    reloaded = dyad.withColumn("id", F.col("id") + 2)
+    assert rows(stale_verdicts(verdicts, reloaded), "run_id", "n_verdicts") == [(1, 3)]
+    assert stale_verdicts(verdicts, dyad).count() == 0
+
+
 def test_validated_dyads(spark):
     got = rows(validated_dyads(*verdict_tables(spark)), "agency", "dataset", "publication_id", "num_identified",
                "num_rejected", "num_uncertain", "num_tbd", "num_distinct_alias", "num_distinct_mention")
