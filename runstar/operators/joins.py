@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NULL_SPREAD = 1024
 
@@ -41,8 +42,9 @@ def lookup(rows: DataFrame, spec: Lookup) -> DataFrame:
         rows = rows.withColumn("_key", F.xxhash64(*hashed))
         parent = parent.withColumn("_p_key", F.xxhash64(*[f"_p_{keys[c]}" for c in hashed]))
         pairs.append(F.col("_key") == F.col("_p_key"))
-    pairs += [F.col(c) == F.col(f"_p_{p}") for c, p in spec.on.items()]
-    pairs += [F.col(c).eqNullSafe(F.col(f"_p_{p}")) for c, p in spec.null_safe.items()]
+    child = {c: _collated_like(rows, c, spec.parent, p) for c, p in keys.items()}
+    pairs += [child[c] == F.col(f"_p_{p}") for c, p in spec.on.items()]
+    pairs += [child[c].eqNullSafe(F.col(f"_p_{p}")) for c, p in spec.null_safe.items()]
     if spec.how == "left" and spec.on:
         unmatched = _any_null(spec.on)
         spread = F.when(unmatched, F.pmod(F.xxhash64(*columns), F.lit(NULL_SPREAD)) + 1).otherwise(0)
@@ -56,6 +58,13 @@ def lookup(rows: DataFrame, spec: Lookup) -> DataFrame:
     return rows.join(parent, condition, spec.how).select(*columns, *taken)
 
 
+def _collated_like(rows: DataFrame, column: str, parent: DataFrame, parent_column: str) -> Column:
+    """A child key, with the collation of its parent key if both are texts."""
+    own, wanted = rows.schema[column].dataType, parent.schema[parent_column].dataType
+    both_text = isinstance(own, T.StringType) and isinstance(wanted, T.StringType)
+    return F.col(column).cast(wanted) if both_text and own != wanted else F.col(column)
+
+
 def _hashable(rows: DataFrame, parent: DataFrame, keys: Mapping[str, str]) -> list[str]:
     """Child keys whose hash equals that of an equal parent key: same plain type on both sides, one of them text."""
     child_types, parent_types = dict(rows.dtypes), dict(parent.dtypes)
