@@ -142,7 +142,7 @@ TABLES: dict[str, Table] = {
 
 # Tables that other people fill; here they are inputs of the verdict view and the geo match.
 INPUT_TABLES: dict[str, Table] = {
-    "reviewer": Table((_key("susd_user_id"), _text("roles"))),
+    "reviewer": Table((_key("user_id"), _text("roles"))),
     "snippet_validation": Table(
         (_key("reviewer_id"), _key("dyad_id"), Column("is_dataset_reference", "smallint"),
          Column("agency_dataset_identified", "smallint"), _text("notes")),

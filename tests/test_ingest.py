@@ -5,9 +5,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from runstar.operators.analytics import validated_dyads
 from runstar.plans import staging
 from runstar.plans.ingest import SPARK_ERRORS, LoadOptions, ingest
 from runstar.plans.star import BUILDERS
+from runstar.schemas import INPUT_TABLES
 from runstar.sources import discover, sinks
 from runstar.sources import feed as source
 from runstar.sources.warehouse import Warehouse
@@ -138,6 +140,18 @@ def test_load_replace_delete(spark, base, warehouse):
     before, last = contents(warehouse, 1), warehouse.last_ids()
     assert warehouse.run_id("a", "v1") == 1 and warehouse.run_id("no", "v1") is None
 
+    # Verdicts of the run are seen until it is loaded again; geocoder answers belong to no run.
+    dyads = warehouse.table("dyad").select("run_id", F.col("id").alias("dyad_id"), F.lit(1).alias("reviewer_id").cast("bigint"),
+                                           F.lit(1).cast("smallint").alias("agency_dataset_identified"))
+    warehouse.add_input("snippet_validation", dyads)
+    warehouse.add_input("snippet_validation", dyads.withColumn("reviewer_id", F.lit(2).cast("bigint")))
+    warehouse.add_input("affiliation_geo", control_table(spark, [("q", "Kiel")], "q string, city string"))
+    verdicts = warehouse.table("snippet_validation")
+    n = dyads.count()
+    assert sorted(r["id"] for r in verdicts.collect()) == list(range(1, 2 * n + 1))
+    view = validated_dyads(warehouse.table("agency_run"), warehouse.table("dataset_alias"), warehouse.table("dyad"), verdicts)
+    assert view.agg(F.sum("num_identified")).first()[0] == 2 * n
+
     # Nothing new: nothing to do. A request and a new run: both, the first with the same content and new ids.
     assert outcome(ingest(spark, str(base), warehouse)) == {}
     warehouse.request_reload("a", "v1")
@@ -146,6 +160,7 @@ def test_load_replace_delete(spark, base, warehouse):
     assert contents(warehouse, 1) == before
     assert warehouse.table("publication").where("run_id = 1").agg(F.min("id")).first()[0] > last["publication"]
     assert warehouse.reload_requests().count() == 0
+    assert warehouse.table("snippet_validation").count() == 0 and warehouse.table("affiliation_geo").count() == 1
     # A new file without topics: old topic rows are gone although nothing replaces them.
     write_run(base, "b", "v1", [{**r, "topic": None, "authors": []} for r in RECORDS[:2]])
     folder = base / "b" / "v1" / "json" / "publications"
@@ -176,6 +191,8 @@ def test_load_replace_delete(spark, base, warehouse):
         left = {n: t.count() for n, t in warehouse.tables().items()}
         assert left.pop("publisher") == 1 and left.pop("model") == 4 and set(left.values()) == {0}
     assert {p.name for p in Path(warehouse.root, "tables").iterdir()} == {"publisher"}
+    warehouse.add_input("affiliation_geo", control_table(spark, [("q2", "Rom")], "q string, city string"))
+    assert [(r["id"], r["q"]) for r in warehouse.table("affiliation_geo").collect()] == [(2, "q2")]
 
 
 def test_redacted_run(spark, base, tmp_path):
@@ -195,7 +212,8 @@ def test_feed_without_metadata_has_no_aliases(spark):
 
 def test_create_tables_on_nothing(warehouse):
     tables = warehouse.create_tables()
-    assert {n: t.count() for n, t in tables.items() if n != "model"} == dict.fromkeys(["agency_run", *BUILDERS], 0)
+    assert {n: t.count() for n, t in tables.items() if n != "model"} == dict.fromkeys(
+        ["agency_run", *BUILDERS, *INPUT_TABLES], 0)
     assert tables["dyad"].columns == ["id", "run_id", "publication_id", "dataset_alias_id", "alias_id", "mention_candidate",
                                       "snippet", "is_fuzzy", "fuzzy_score", "last_updated_date"]
 
