@@ -23,8 +23,10 @@ def dense_id(rows: DataFrame, id_col: str = "id", start: int = 0, copies: str |
     cols = [c for c in rows.columns if c != copies]
     buckets = 32 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weight = F.col(copies) if copies else F.lit(1).cast("bigint")
+    # Never null, and declared so: a filter against null buckets on one side would keep Spark from computing the rows
+    # below once for both the sizes and the numbering.
     keyed = (rows.select(*cols, weight.alias("_n"), F.xxhash64(*cols).alias("_hash"))
-                 .withColumn("_bucket", F.pmod("_hash", F.lit(buckets))))
+                 .withColumn("_bucket", F.coalesce(F.pmod("_hash", F.lit(buckets)), F.lit(0).cast("bigint"))))
 
     # At most `buckets` rows: the only window without a partition, and a broadcast of known size.
     sizes = keyed.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
