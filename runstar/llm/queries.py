@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.llm import secrets, sharding
+from runstar.llm import fingerprints, secrets, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edit, and how alike they are."""
+    return fingerprints.compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every text; the ledger begins empty, so every blob is scanned once."""
     found = secrets.fresh_ledger(spark).scan(_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -36,5 +41,5 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_secret_scan, op6_shards)}
+    f.__name__: f for f in (op4_winnowing, op5_secret_scan, op6_shards)}
 ORACLES: dict[str, str] = {}
