@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runstar.llm.hashing import blocks, code_points, mix, running, spans
+from runstar.llm.workers import map_arrow
 from runstar.sources.workspace import control_table
 
 GRAM, WINDOW = 25, 40
@@ -154,7 +155,7 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
 
     A null text is empty; an empty table gives no row; repeated rows each get one. Other columns are not looked at.
     """
-    return with_next(docs).mapInArrow(_compare, SCHEMA)
+    return map_arrow(with_next(docs), _compare, SCHEMA)
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -171,4 +172,4 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                     ["key", "marks"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(each, f"key {kind}, marks array<struct<hash:long,place:long>>")
+    return map_arrow(rows, each, f"key {kind}, marks array<struct<hash:long,place:long>>")

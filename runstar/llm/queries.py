@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.llm import fingerprints, secrets, sharding
+from runstar.llm import fingerprints, near_dedup, secrets, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are alike by 0.8 or more."""
+    found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id",
+                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edit, and how alike they are."""
     return fingerprints.compare_with_edits(_table(spark, sf_dir, "documents"))
@@ -41,5 +48,21 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_winnowing, op5_secret_scan, op6_shards)}
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards)}
+ORACLES: dict[str, str] = {
+    "op3_near_duplicates": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_distinct(list_transform(range(1, len(w)),
+                     lambda i: w[i] || ' ' || w[i + 1])) ELSE w END) AS s FROM w),
+        n AS (SELECT w.doc_id, count(s.s) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id
+              GROUP BY 1, 2),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+              WHERE 100 * k >= 80 * (x.n + y.n - k)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        c AS (SELECT doc_id AS a, doc_id AS r FROM n UNION SELECT e.b, c.r FROM c JOIN e ON e.a = c.a AND c.r < e.b),
+        m AS (SELECT a AS doc_id, min(r) AS component_id FROM c GROUP BY 1)
+        SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m USING (doc_id)""",
+}
