@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runstar.llm.hashing import blocks, code_points, mix, running, spans
+from runstar.llm.hashing import blocks, code_points, mix, running, spans, window_minima
 from runstar.llm.workers import map_arrow
 from runstar.sources.workspace import control_table
 
@@ -27,18 +27,6 @@ _RECORD = np.dtype([("hash", ">u4"), ("gap", ">u2")])
 Print = tuple[np.ndarray, np.ndarray]
 
 
-def _marked(hashes: np.ndarray, window: int) -> np.ndarray:
-    """For each window, by its first gram, the rightmost of its smallest hashes."""
-    value, at, width = hashes, np.arange(len(hashes), dtype=np.int32), 1
-    while width < window:
-        shift = min(width, window - width)
-        right = value[shift:] <= value[:-shift]
-        at = np.where(right, at[shift:], at[:-shift])
-        value = np.minimum(value[shift:], value[:-shift])
-        width += shift
-    return at
-
-
 def winnow(texts: pa.Array, gram: int = GRAM, window: int = WINDOW) -> Iterator[Print]:
     """(hashes, places in code points) of each text; a null text counts as empty."""
     for _, data, offsets in blocks(texts):
@@ -47,14 +35,8 @@ def winnow(texts: pa.Array, gram: int = GRAM, window: int = WINDOW) -> Iterator[
         start = np.arange(max(0, len(points) - gram + 1))
         hashes = spans(total, start, start + gram)
         length = np.diff(first)
-        chosen = np.zeros(0, np.int64)
-        if len(hashes) >= window:
-            whole = np.zeros(len(hashes) - window + 2, np.int64)
-            long = length >= window + gram - 1
-            np.add.at(whole, first[:-1][long], 1)
-            np.add.at(whole, first[1:][long] - window - gram + 2, -1)
-            at = _marked(hashes, window)[np.cumsum(whole[:-1]) > 0]
-            chosen = at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
+        _, at = window_minima(hashes, window, first, window + gram - 1)
+        chosen = at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
         cut = np.searchsorted(chosen, first)
         for i, n in enumerate(length):
             if n >= window + gram - 1:

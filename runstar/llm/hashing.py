@@ -119,3 +119,26 @@ def grams(symbols: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         out = out * np.uint64(BASE) + symbols[j:j + n]
     return mix(out)
+
+
+def window_minima(values: np.ndarray, window: int, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of ``window`` values, and for each the place of its smallest value, the rightmost of equal ones.
+
+    Only windows of whole texts count: those whose ``length`` symbols from the window's first on lie in one text, the
+    texts beginning at ``first`` (one more than texts).
+    """
+    if len(values) < window:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    value, at, width = values, np.arange(len(values), dtype=np.int32), 1
+    while width < window:
+        shift = min(width, window - width)
+        right = value[shift:] <= value[:-shift]
+        at = np.where(right, at[shift:], at[:-shift])
+        value = np.minimum(value[shift:], value[:-shift])
+        width += shift
+    whole = np.zeros(len(at) + 1, np.int64)
+    long = np.diff(first) >= length
+    np.add.at(whole, first[:-1][long], 1)
+    np.add.at(whole, first[1:][long] - length + 1, -1)
+    start = np.flatnonzero(np.cumsum(whole[:-1]) > 0)
+    return start, at[start]

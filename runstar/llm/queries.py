@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.llm import fingerprints, near_dedup, secrets, sharding
+from runstar.llm import fingerprints, near_dedup, secrets, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,8 +47,13 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that repeated windows of 35 words cover, and what is left of each document."""
+    return substring_dedup.removal_report(_table(spark, sf_dir, "documents"), 35)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards)}
+    f.__name__: f for f in (op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op10_substring_dedup)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
         WITH RECURSIVE w AS (
@@ -65,4 +70,15 @@ ORACLES: dict[str, str] = {
         c AS (SELECT doc_id AS a, doc_id AS r FROM n UNION SELECT e.b, c.r FROM c JOIN e ON e.a = c.a AND c.r < e.b),
         m AS (SELECT a AS doc_id, min(r) AS component_id FROM c GROUP BY 1)
         SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m USING (doc_id)""",
+    "op10_substring_dedup": """
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        p AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i FROM w WHERE len(w) >= 35),
+        g AS (SELECT p.doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM p JOIN w USING (doc_id)),
+        r AS (SELECT doc_id, i FROM g WHERE g IN (SELECT g FROM g GROUP BY 1 HAVING count(*) > 1)),
+        c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+        l AS (SELECT doc_id, list(j) AS c FROM c GROUP BY 1)
+        SELECT w.doc_id, len(w)::BIGINT AS n_words, len(coalesce(c, []))::BIGINT AS n_removed,
+               sha256(array_to_string(CASE WHEN c IS NULL THEN w ELSE list_transform(list_filter(
+                   range(1, len(w) + 1), lambda i: NOT list_contains(c, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+        FROM w LEFT JOIN l USING (doc_id)""",
 }
