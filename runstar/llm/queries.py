@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.llm import fingerprints, near_dedup, secrets, sharding, substring_dedup
+from runstar.llm import fingerprints, near_dedup, packing, secrets, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,13 +48,19 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 ids."""
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that repeated windows of 35 words cover, and what is left of each document."""
     return substring_dedup.removal_report(_table(spark, sf_dir, "documents"), 35)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op10_substring_dedup)}
+    f.__name__: f for f in (op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing, op10_substring_dedup)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
         WITH RECURSIVE w AS (
