@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.llm import fingerprints, near_dedup, packing, secrets, sharding, substring_dedup
+from runstar.llm import fingerprints, lm, near_dedup, packing, secrets, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all texts under a model of those outside the held-out fold."""
+    return lm.score_held_out(_table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles are alike by 0.8 or more."""
     found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
@@ -60,7 +65,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing, op10_substring_dedup)}
+    f.__name__: f for f in (op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing, op10_substring_dedup)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
         WITH RECURSIVE w AS (
