@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.llm import fingerprints, lm, near_dedup, packing, secrets, sharding, substring_dedup
+from runstar.llm import fingerprints, lm, near_dedup, neighbours, packing, secrets, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,13 +59,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048)
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that repeated windows of 35 words cover, and what is left of each document."""
     return substring_dedup.removal_report(_table(spark, sf_dir, "documents"), 35)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing, op10_substring_dedup)}
+    f.__name__: f for f in (op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing, op9_neighbours, op10_substring_dedup)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
         WITH RECURSIVE w AS (
