@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.llm import fingerprints, lm, near_dedup, neighbours, packing, secrets, sharding, substring_dedup
+from runstar.llm import fingerprints, language, lm, near_dedup, neighbours, packing, secrets, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,18 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, from its text, the language it declares and its source."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.col("lang").alias("declared"), F.col("source").alias("address"))
+    return language.identify(docs, "doc_id")
+
+
+def op8_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every web page, from its text, its markup and its address."""
+    return language.identify(language.page_evidence(_table(spark, sf_dir, "pages")), "page_id")
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors found for every fiftieth one."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -71,7 +83,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing, op9_neighbours, op10_substring_dedup)}
+    f.__name__: f for f in (op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing,
+                                 op8_language_id, op8_page_language, op9_neighbours, op10_substring_dedup)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
         WITH RECURSIVE w AS (
