@@ -33,7 +33,7 @@ HOT = 50_000
 #: Bits of the table of repeated anchors: 16 MB, whatever the corpus.
 TABLE = 1 << 27
 #: Words that one index holds, about.
-SHARD = 1 << 20
+SHARD = 1 << 19
 
 
 def _anchored(texts: pa.Array, window: int):
