@@ -9,12 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runstar.llm import fingerprints, language, lm, near_dedup, neighbours, packing, secrets, sharding, substring_dedup
+from runstar.llm import sentencepiece_lattice as lattice
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by a public piece model, and whether they decode to the text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return lattice.encode(_table(spark, sf_dir, "documents"), model).select(
+        "doc_id", F.size("ids").alias("n_ids"), "ids", "viterbi")
+
+
 def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probabilities of all texts under a model of those outside the held-out fold."""
     return lm.score_held_out(_table(spark, sf_dir, "documents"))
@@ -83,7 +91,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing,
+    f.__name__: f for f in (op1_sentencepiece, op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing,
                                  op8_language_id, op8_page_language, op9_neighbours, op10_substring_dedup)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
