@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from runstar.llm import fingerprints, language, lm, near_dedup, neighbours, packing, secrets, sharding, substring_dedup
 from runstar.llm import sentencepiece_lattice as lattice
 
@@ -90,9 +91,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_report(_table(spark, sf_dir, "documents"), 35)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through the corpus pipeline, packed."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing,
-                                 op8_language_id, op8_page_language, op9_neighbours, op10_substring_dedup)}
+                                 op8_language_id, op8_page_language, op9_neighbours, op10_substring_dedup, pipeline)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
         WITH RECURSIVE w AS (

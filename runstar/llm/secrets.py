@@ -89,27 +89,44 @@ class Ledger:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def scan(self, rows: DataFrame, path: str, text: str, rules: Sequence[Rule] = BASE + MORE) -> DataFrame:
-        """(path, blob, found) for each row of ``rows``; new blobs are scanned and written to the ledger first.
+    def findings(self, rows: DataFrame, path: str, text: str, rules: Sequence[Rule] = BASE + MORE) -> DataFrame:
+        """(blob, found) of all blobs with a finding; blobs of ``rows`` that are new are scanned and written first.
 
-        A null text counts as an empty one; null and repeated paths keep their rows; an empty input gives no row.
         Of the rows that share a blob one is scanned, that of the smallest path (twice if a path is repeated).
         """
         version = _version(rules)
-        held = rows.select(F.col(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
-            "blob", F.unhex(F.sha2("text", 256)))
-        # no text crosses a shuffle unless another version of the ledger or another path may hold its blob
+        held = rows.select(F.col(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                           blob_of(F.col(text)).alias("blob"))
         known = self.entries().where(F.col("rules") == version).select("blob")
         unseen = (held.groupBy("blob").agg(F.min("path").alias("path")).join(known, "blob", "left_anti"))
-        carrier = held.join(unseen.withColumnRenamed("blob", "_blob").withColumnRenamed("path", "_path"),
-                            (F.col("blob") == F.col("_blob")) & F.col("path").eqNullSafe(F.col("_path")), "left_semi")
+        carrier = held.join(unseen.withColumnRenamed("blob", "__blob").withColumnRenamed("path", "__path"),
+                            (F.col("blob") == F.col("__blob")) & F.col("path").eqNullSafe(F.col("__path")), "left_semi")
         (scan_blobs(carrier, rules).dropDuplicates(["blob"]).select("blob", F.lit(version).alias("rules"), "found")
          .write.mode("append").parquet(self.path))
-        findings = self.entries().where(F.col("rules") == version).where(F.size("found") > 0).drop("rules")
-        paths = rows.select(F.col(path).alias("path"), F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).alias(
-            "blob"))
+        return self.entries().where(F.col("rules") == version).where(F.size("found") > 0).select("blob", "found")
+
+    def scan(self, rows: DataFrame, path: str, text: str, rules: Sequence[Rule] = BASE + MORE) -> DataFrame:
+        """(path, blob, found) for each row of ``rows``.
+
+        A null text counts as an empty one; null and repeated paths keep their rows; an empty input gives no row. Other
+        columns are not looked at.
+        """
+        found = self.findings(rows, path, text, rules)
+        paths = rows.select(F.col(path).alias("path"), blob_of(F.col(text)).alias("blob"))
         none = F.array().cast(FINDING)
-        return paths.join(findings, "blob", "left").select("path", "blob", F.coalesce("found", none).alias("found"))
+        return paths.join(found, "blob", "left").select("path", "blob", F.coalesce("found", none).alias("found"))
+
+    def redacted(self, rows: DataFrame, path: str, text: str, rules: Sequence[Rule] = BASE + MORE) -> DataFrame:
+        """``rows`` with every secret in ``text`` replaced; texts without one, null ones too, stay as they are."""
+        found = self.findings(rows, path, text, rules).withColumnRenamed("blob", "__blob").withColumnRenamed("found", "__found")
+        joined = rows.join(found, blob_of(F.col(text)) == F.col("__blob"), "left")
+        clean = F.when(F.col("__found").isNotNull(), redact(F.col(text), F.col("__found"))).otherwise(F.col(text))
+        return joined.withColumn(text, clean).drop("__blob", "__found")
+
+
+def blob_of(text: Column) -> Column:
+    """The address of a text's content; a null text's is that of an empty one."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def fresh_ledger(spark: SparkSession) -> Ledger:

@@ -52,39 +52,39 @@ def communication_matrix(sizes: list[int], shards: int, seed: int) -> np.ndarray
 
 def _permuted(rows: DataFrame, group: str, place: str, slices: int, key: Column) -> DataFrame:
     """Add ``place``: the position from 0 of each row in a pseudo-random order of its group."""
-    rows = rows.withColumn("_hash", key).withColumn("_slice", F.pmod("_hash", F.lit(slices)))
-    sizes = rows.groupBy(group, "_slice").count()
-    before = sizes.select(group, "_slice", (F.sum("count").over(Window.partitionBy(group).orderBy("_slice")) - F.col(
-        "count")).alias("_before"))
-    number = F.row_number().over(Window.partitionBy(group, "_slice").orderBy("_hash", "_part", "_at"))
-    return (rows.withColumn("_number", number).join(before, [group, "_slice"])
-            .withColumn(place, F.col("_before") + F.col("_number") - 1)
-            .drop("_hash", "_slice", "_before", "_number"))
+    rows = rows.withColumn("__hash", key).withColumn("__slice", F.pmod("__hash", F.lit(slices)))
+    sizes = rows.groupBy(group, "__slice").count()
+    before = sizes.select(group, "__slice", (F.sum("count").over(Window.partitionBy(group).orderBy("__slice")) - F.col(
+        "count")).alias("__before"))
+    number = F.row_number().over(Window.partitionBy(group, "__slice").orderBy("__hash", "__part", "__at"))
+    return (rows.withColumn("__number", number).join(before, [group, "__slice"])
+            .withColumn(place, F.col("__before") + F.col("__number") - 1)
+            .drop("__hash", "__slice", "__before", "__number"))
 
 
 def shuffle_into_shards(rows: DataFrame, shards: int = 24, seed: int = 17, work: Workspace | None = None) -> DataFrame:
     """``rows`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (its place there, gapless from 0).
 
     Shard sizes differ by one row at most, whatever the rows hold: nulls, repeated rows and empty texts are rows like any
-    other. An empty input gives an empty result. Columns named ``shard`` or ``slot`` are replaced; names that begin with
-    ``_part`` or ``_at`` are taken. The result is uniform over orders of rows, not of groups: equal rows go their own ways.
+    other. An empty input gives an empty result. Columns named ``shard`` or ``slot`` are replaced; names that begin with ``__`` are
+    taken. The result is uniform over orders of rows, not of groups: equal rows go their own ways.
     """
     spark = rows.sparkSession
     work = work or Workspace(spark)
-    held = work.keep("shard-input", rows.drop("shard", "slot").withColumn("_part", F.spark_partition_id()).withColumn(
-        "_at", F.monotonically_increasing_id()))
-    sizes = held.groupBy("_part").count().orderBy("_part").collect()  # a count for each input partition
+    held = work.keep("shard-input", rows.drop("shard", "slot").withColumn("__part", F.spark_partition_id()).withColumn(
+        "__at", F.monotonically_increasing_id()))
+    sizes = held.groupBy("__part").count().orderBy("__part").collect()  # a count for each input partition
     total = sum(r["count"] for r in sizes)
     matrix = communication_matrix([r["count"] for r in sizes], shards, seed)
     upto = matrix.cumsum(axis=1)
     # the first place of a partition that goes to a shard, and the next shard's
-    ranges = control_table(spark, [(r["_part"], s, int(upto[p, s] - matrix[p, s]), int(upto[p, s]))
+    ranges = control_table(spark, [(r["__part"], s, int(upto[p, s] - matrix[p, s]), int(upto[p, s]))
                                    for p, r in enumerate(sizes) for s in range(shards) if matrix[p, s]],
-                           "_part int, shard int, _low long, _high long")
+                           "__part int, shard int, __low long, __high long")
     largest = max((r["count"] for r in sizes), default=0)
-    local = _permuted(held, "_part", "_local", largest // SLICE + 1, F.xxhash64(F.lit(seed), "_part", "_at"))
-    dealt = local.join(ranges, (local["_part"] == ranges["_part"]) & (F.col("_local") >= F.col("_low"))
-                       & (F.col("_local") < F.col("_high"))).drop(ranges["_part"]).drop("_local", "_low", "_high")
+    local = _permuted(held, "__part", "__local", largest // SLICE + 1, F.xxhash64(F.lit(seed), "__part", "__at"))
+    dealt = local.join(ranges, (local["__part"] == ranges["__part"]) & (F.col("__local") >= F.col("__low"))
+                       & (F.col("__local") < F.col("__high"))).drop(ranges["__part"]).drop("__local", "__low", "__high")
     slices = max(total // shards // SLICE + 1, min(64, total // shards // 64 + 1))
-    out = _permuted(dealt, "shard", "slot", slices, F.xxhash64(F.lit(seed + 1), "_part", "_at"))
-    return out.drop("_part", "_at")
+    out = _permuted(dealt, "shard", "slot", slices, F.xxhash64(F.lit(seed + 1), "__part", "__at"))
+    return out.drop("__part", "__at")

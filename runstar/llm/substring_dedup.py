@@ -184,16 +184,16 @@ def _kept(text: str | None, ranges: list[dict] | None) -> tuple[list[bytes], int
 
 
 def map_kept(docs: DataFrame, ranges: DataFrame, task: Callable, schema: str, columns: list[str]) -> DataFrame:
-    """Give each document's ranges to ``task``, as the column ``_ranges`` beside ``columns``."""
-    found = ranges.select(F.col("key").alias("_key"), F.col("ranges").alias("_ranges"))
-    joined = docs.withColumn("_content", content_key()).join(found, F.col("_content") == F.col("_key"), "left")
-    return map_arrow(joined.select(*columns, "_ranges"), task, schema)
+    """Give each document's ranges to ``task``, as the column ``__ranges`` beside ``columns``."""
+    found = ranges.select(F.col("key").alias("__key"), F.col("ranges").alias("__ranges"))
+    joined = docs.withColumn("__content", content_key()).join(found, F.col("__content") == F.col("__key"), "left")
+    return map_arrow(joined.select(*columns, "__ranges"), task, schema)
 
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-            kept = [_kept(t, r) for t, r in zip(rows["text"].to_pylist(), rows["_ranges"].to_pylist(), strict=True)]
+            kept = [_kept(t, r) for t, r in zip(rows["text"].to_pylist(), rows["__ranges"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [rows["doc_id"], pa.array([len(k) + n for k, n in kept], pa.int64()),
                  pa.array([n for _, n in kept], pa.int64()),
@@ -215,8 +215,8 @@ def removal_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         text = [t if not r else b" ".join(_kept(t, r)[0]).decode()
-                for t, r in zip(batch["text"].to_pylist(), batch["_ranges"].to_pylist(), strict=True)]
-        yield batch.drop_columns(["_ranges"]).set_column(batch.schema.get_field_index("text"), "text",
+                for t, r in zip(batch["text"].to_pylist(), batch["__ranges"].to_pylist(), strict=True)]
+        yield batch.drop_columns(["__ranges"]).set_column(batch.schema.get_field_index("text"), "text",
                                                          pa.array(text, pa.string()))
 
 

@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from runstar.llm import lm
+from tests.llm.conftest import ODD, prose
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+
+class Brute:
+    """The same model from plain counts."""
+
+    def __init__(self, rows):
+        self.rows = [(i, [*WORD.findall((t or "").encode().translate(LOW)), "END"],
+                      zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1) for i, t in rows]
+        train = [x for _, x, held in self.rows if not held]
+        self.c = Counter(w for x in train for w in x)
+        self.base = sum(self.c.values()) + 0.5 * (len(self.c) + 1)
+        sizes, total, least = Counter(n for w, n in self.c.items() if w != "END"), 0, None
+        for n in sorted(sizes, reverse=True):
+            total += sizes[n]
+            if total > lm.WORDS:
+                break
+            least = n
+        self.known = {w for w, n in self.c.items() if w == "END" or (least and n >= least)} | {"END"}
+        pairs = Counter(p for x in train for p in zip(["END", *map(self.symbol, x)], map(self.symbol, x)))  # noqa: B905
+        n = Counter(pairs.values())
+        self.d = lm.discounts([n[r] for r in range(1, lm.DISCOUNTED + 2)])
+        self.rare = max(self.base, 1) - sum(self.c[w] + 0.5 for w in self.known)
+        self.pairs, self.after = pairs, {}
+        for (h, w), k in pairs.items():
+            s = self.after.setdefault(h, [0, 0, 0])
+            s[0], s[1], s[2] = s[0] + k, s[1] + (k - self.kept(k)), s[2] + self.unigram(w)
+
+    def kept(self, k):
+        return self.d[k] * k if k <= lm.DISCOUNTED else k
+
+    def symbol(self, w):
+        return w if w in self.known else 0
+
+    def unigram(self, w):
+        return (self.rare if w == 0 else self.c[w] + 0.5) / max(self.base, 1)
+
+    def p(self, h, w):
+        n, freed, covered = self.after.get(h, (0, 0, 0))
+        if k := self.pairs.get((h, w)):
+            return self.kept(k) / (n + 0.5)
+        return (0.5 + freed) / (n + 0.5) / (1 - covered) * self.unigram(w)
+
+    def score(self, x):
+        out, h = 0.0, "END"
+        for w in x:
+            s = self.symbol(w)
+            out += math.log10(self.p(h, s)) + (math.log10((self.c[w] + 0.5) / self.rare) if s == 0 else 0)
+            h = s
+        return out
+
+
+@pytest.mark.parametrize(("words", "hot"), [(1 << 16, 1 << 20), (12, 5), (0, 0)])
+def test_scores_by_brute_force(table, monkeypatch, words, hot):
+    monkeypatch.setattr(lm, "WORDS", words)
+    monkeypatch.setattr(lm, "HOT", hot)
+    rows = [*ODD, *((100 + i, prose(i % 30, 40 + i)) for i in range(60)), (500, prose(7, 30_000))]
+    brute = Brute(rows)
+    got = sorted(lm.score_held_out(table(rows)).collect(), key=lambda r: (r.doc_id or 0, r.n_tokens))
+    assert len(got) == len(rows)
+    for r, (i, x, held) in zip(got, sorted(brute.rows, key=lambda r: (r[0] or 0, len(r[1]))), strict=True):
+        assert (r.doc_id, r.held_out, r.n_tokens) == (i, held, len(x))
+        assert r.n_known == sum(brute.c[w] > 0 for w in x) and r.train_tokens == sum(brute.c.values())
+        assert r.base_score == pytest.approx(sum(math.log10((brute.c[w] + 0.5) / brute.base) for w in x))
+        assert r.score == pytest.approx(brute.score(x))
+    for h in [*brute.after, "never seen"]:
+        assert sum(brute.p(h, w) for w in {*brute.known, 0}) == pytest.approx(1)
+
+
+def test_held_out_texts_gain(table):
+    rows = [(i, prose(i, 300)) for i in range(80)] + [(100 + i, prose(i, 250)) for i in range(40)]
+    held = lm.score_held_out(table(rows)).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert held["sum(score)"] > held["sum(base_score)"]
+
+
+def test_empty_and_untrained(table, none):
+    assert lm.score_held_out(none).count() == 0
+    only = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    r = lm.score_held_out(table([(only, "two words")])).first()
+    assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
+    assert math.isfinite(r.score)
+
+
+def test_discounts():
+    d = lm.discounts([100, 40, 20, 12, 8, 6])
+    assert all(0 < x <= 1 for x in d) and d[0] == 1
+    top = 6 * 6 / 100
+    assert d[1] == pytest.approx((2 * 40 / 100 - top) / (1 - top))
+    assert list(lm.discounts([0] * 6)) == [1.0] * 6
