@@ -5,9 +5,10 @@ is thrown into a hashed bin with the value (i, hash); a bin keeps its smallest v
 full. As many rounds later each round throws all elements into one given bin, so every coordinate fills. The share of equal
 coordinates estimates the Jaccard similarity with the concentration of independent samples.
 
-Documents with equal sets are one class. Classes whose sketches agree in a whole band share a bucket. In a bucket every
-class is compared on full sets with one hub; what is then in one component needs no further comparison, and for pairs of
-different components the triangle inequality of the Jaccard distance (both distances to the hub are known exactly) and
+Documents with equal sets are one class. Classes whose sketches agree in a whole band share a bucket. Every class is compared on
+full sets with one hub, the heaviest of its buckets; what is then in one component needs no further comparison. In buckets
+that still hold several components, their hub and the hubs of their members are compared with members of other components, and
+for the pairs that are left the triangle inequality of the Jaccard distance (both distances to a hub are known exactly) and
 the set sizes rule out most; all others are compared too. So no bucket is expanded into all pairs, and none is capped.
 
 A pair at similarity s shares no band with probability (1 - s**ROWS)**BANDS: 1.3e-8 at 0.8.
@@ -19,9 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runstar.llm.bits import bit_table, maybe_in
 from runstar.llm.components import components
 from runstar.llm.hashing import blocks, grams, mix, words
 from runstar.llm.workers import map_arrow
@@ -91,18 +94,17 @@ def _sketched(size: int):
     return run
 
 
-def _sets_of(size: int):
+def _sets_of(size: int, wanted: Broadcast):
+    """(class, elements) of the rows whose ``text_key`` may be wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(maybe_in(wanted.value, batch["text_key"].to_numpy())))
             for rows in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                out = [(n, x.view(np.int64)) for n, c, x in zip(rows["node"].to_pylist(), rows["class"].to_pylist(),
-                                                                shingle_sets(rows["text"], size), strict=True)
-                       if class_of(x) == c]
-                cuts = np.concatenate(([0], np.cumsum([len(x) for _, x in out]))).astype(np.int32)
-                values = np.concatenate([x for _, x in out]) if out else np.zeros(0, np.int64)
+                sets = list(shingle_sets(rows["text"], size))
+                cuts = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([n for n, _ in out], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(values))], ["node", "elements"])
+                    [pa.array([class_of(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(
+                        pa.array(cuts), pa.array(np.concatenate(sets).view(np.int64)))], ["class", "elements"])
     return run
 
 
@@ -144,48 +146,102 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, w
     members = work.keep("members", buckets.join(shared, "band"))
     # a class near the middle of a group shares more bands with the others and makes the better hub
     weights = members.groupBy("node").agg(F.sum("held").alias("weight"))
-    members = members.join(weights, "node")
-    hubs = members.groupBy("band").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
-    members = work.keep("hubs", members.select("band", "node").join(hubs, "band"))
-    wanted = members.select("node").distinct().join(sketches.select("node", "doc_id", "class", "n_shingles"), "node")
-    wanted = work.keep("wanted", wanted)
-    pick = wanted.select("node", "class", F.col("doc_id").alias("_id"))
-    texts = docs.select("doc_id", "text").join(pick, F.col("doc_id").eqNullSafe(F.col("_id")))
-    sets = work.keep("sets", map_arrow(texts.select("node", "class", "text"), _sets_of(shingle),
-                                       "node long, elements array<long>").dropDuplicates(["node"]))
-    spokes = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    compared = work.keep("spokes", _compared(spokes, sets))
-    labels = components(_linked(compared, percent), work, "first")
-    rest = _open_pairs(members, wanted, compared, labels, percent)
-    more = work.keep("rest", _compared(work.keep("open", rest), sets))
-    links = _linked(compared, percent).unionByName(_linked(more, percent))
-    labels = components(links, work, "last")
+    weighed = members.select("band", "node").join(weights, "node")
+    hubs = work.keep("hubs", weighed.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub")))
+    # each class begins with one comparison, with the heaviest hub of its buckets
+    refs = members.join(hubs, "band").groupBy("node").agg(F.max("hub").alias("hub"))
+    nodes = work.keep("nodes", refs.select("node", F.col("hub.node").alias("ref")).join(
+        sketches.select("node", "class", "text_key", F.col("n_shingles").alias("n")), "node"))
+    sets = work.keep("sets", _sets(keyed, nodes, shingle))
+    first = work.keep("first", _compared(nodes.where("node != ref").select(F.col("ref").alias("a"), F.col("node").alias("b")),
+                                         sets))
+    labels = components(_linked(first, percent), work, "first-stars")
+    far = first.select(F.col("a").alias("ref"), F.col("b").alias("node"), _distance().alias("far"))
+    placed = members.select("band", "node").join(nodes.select("node", "ref", "n").join(
+        far, ["ref", "node"], "left").na.fill(0.0, ["far"]), "node")  # a hub of its own is at distance 0
+    placed = work.keep("placed", _mixed(placed, labels))
+    second = work.keep("second", _compared(_second_pairs(placed, hubs, first, percent), sets))
+    labels = components(_linked(first.unionByName(second), percent), work, "second-stars")
+    placed = work.keep("placed-again", _mixed(placed.drop("component"), labels))
+    done = first.unionByName(second)
+    third = work.keep("third", _compared(_open_pairs(placed, done, percent), sets))
+    labels = components(_linked(done.unionByName(third), percent), work, "third-stars")
     return _labelled(sketches, classes, labels)
 
 
+def _sets(keyed: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(node, elements) of the classes that share a bucket, from the texts; only their sets are shuffled."""
+    wanted = keyed.sparkSession.sparkContext.broadcast(bit_table(nodes, "text_key"))
+    found = map_arrow(keyed.select("text_key", "text"), _sets_of(shingle, wanted), "class binary, elements array<long>")
+    return found.join(nodes.select("node", "class"), "class").select("node", "elements").dropDuplicates(["node"])
+
+
+def _distance() -> Column:
+    return 1 - F.col("both") / F.col("either")
+
+
+def _mixed(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their component."""
+    placed = placed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    spread = placed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    return placed.join(spread.where("_low != _high").select("band"), "band", "left_semi")
+
+
+def _groups(placed: DataFrame) -> DataFrame:
+    """The members of a bucket with one hub and component, as ranges of their distances to it and of their sizes."""
+    return placed.groupBy("band", "ref", "component").agg(
+        F.min("far").alias("far_low"), F.max("far").alias("far_high"), F.min("n").alias("n_low"), F.max("n").alias("n_high"))
+
+
+def _size_fits(low: str, high: str, n: str, percent: int) -> Column:
+    """Whether a set of ``n`` elements can be alike enough to one of ``low`` to ``high``."""
+    return (F.col(n) * 100 >= F.col(low) * percent) & (F.col(high) * 100 >= F.col(n) * percent)
+
+
+def _second_pairs(placed: DataFrame, hubs: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """In buckets of several components: their hub with members of others, and the hubs of groups with members of others."""
+    inside = placed.join(hubs.select("band", F.col("hub.node").alias("hub")), "band")
+    home = inside.where("node = hub").select("band", F.col("component").alias("_home"))
+    own = inside.join(home, "band").where("component != _home").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    g = _groups(placed).withColumnRenamed("component", "_of").withColumnRenamed("band", "_band")
+    other = placed.select("band", "node", "n", "component").join(
+        g, (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_of")) & (F.col("node") != g["ref"])
+        & _size_fits("n_low", "n_high", "n", percent)).select(F.col("ref").alias("a"), F.col("node").alias("b"))
+    return _fresh(own.unionByName(other).distinct(), done)
+
+
+def _fresh(pairs: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs that aren't compared yet, in either order."""
+    ordered = (F.least("a", "b").alias("_x"), F.greatest("a", "b").alias("_y"))
+    pairs = pairs.select("*", *ordered).dropDuplicates(["_x", "_y"])
+    return pairs.join(done.select(*ordered), ["_x", "_y"], "left_anti").select("a", "b")
+
+
 def text_key() -> Column:
     """64 bits of a row's id and text."""
     return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
 
 
-def _open_pairs(members: DataFrame, wanted: DataFrame, compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that their distances to the hub and their sizes don't rule out."""
-    far = compared.select(F.col("a").alias("hub"), F.col("b").alias("node"),
-                          (1 - F.col("both") / F.col("either")).alias("far"))
-    placed = (members.where("node != hub").join(labels, "node", "left")
-              .withColumn("component", F.coalesce("component", "node")).join(far, ["hub", "node"])
-              .join(wanted.select("node", F.col("n_shingles").alias("n")), "node"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    placed = placed.join(mixed.where("_low != _high").select("band"), "band", "left_semi")
-    x, y = placed.alias("x"), placed.alias("y")
+def _open_pairs(placed: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket in different components that may be links, given their distances to the hub of one and their sizes.
+
+    Whole groups are ruled out first, by the ranges of their members.
+    """
     reach = 1 - percent / 100 + 1e-9
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node"))
-                   & (F.col("x.component") != F.col("y.component"))
-                   & (F.abs(F.col("x.far") - F.col("y.far")) <= reach)
-                   & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent))
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    known = done.select("a", "b", _distance().alias("gap"))
+    known = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "gap"))
+    g = _groups(placed).withColumnRenamed("component", "_of").withColumnRenamed("band", "_band")
+    near = placed.select("band", "node", "n", "component").join(
+        g, (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_of"))
+        & _size_fits("n_low", "n_high", "n", percent)).drop("_band")
+    # a member of another component may be a group's hub itself: at distance 0
+    near = near.join(known.select(F.col("a").alias("ref"), F.col("b").alias("node"), "gap"), ["ref", "node"], "left")
+    near = near.withColumn("gap", F.when(F.col("node") == F.col("ref"), 0.0).otherwise(F.col("gap"))).where(
+        (F.col("gap") >= F.col("far_low") - reach) & (F.col("gap") <= F.col("far_high") + reach))
+    near = near.select("band", "ref", F.col("_of").alias("component"), F.col("node").alias("_node"), F.col("n").alias("_n"), "gap")
+    pairs = placed.join(near, ["band", "ref", "component"]).where(
+        (F.abs(F.col("far") - F.col("gap")) <= reach) & _size_fits("_n", "_n", "n", percent))
+    return _fresh(pairs.select(F.col("node").alias("a"), F.col("_node").alias("b")), done)
 
 
 def _labelled(sketches: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:

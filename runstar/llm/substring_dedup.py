@@ -23,6 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runstar.llm.bits import bit_table, maybe_in
 from runstar.llm.fm_index import Index
 from runstar.llm.hashing import blocks, grams, window_minima, words
 from runstar.llm.workers import map_arrow
@@ -30,8 +31,6 @@ from runstar.sources.workspace import Workspace
 
 WINDOW, ANCHOR = 35, 8
 HOT = 50_000
-#: Bits of the table of repeated anchors: 16 MB, whatever the corpus.
-TABLE = 1 << 27
 #: Words that one index holds, about.
 SHARD = 1 << 19
 
@@ -62,8 +61,7 @@ def _cut_segments(window: int, table: Broadcast, hot: Broadcast):
             owners: dict[tuple[int, bytes], dict[tuple[bytes, int], int]] = {}
             for row, found, start, at, hashes in _anchored(batch["text"], window):
                 anchor = hashes[at]
-                slot = anchor & np.uint64(TABLE - 1)
-                kept = (table.value[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+                kept = maybe_in(table.value, anchor)
                 start, at, anchor = start[kept], at[kept], anchor[kept]
                 if not len(start):
                     continue
@@ -149,11 +147,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, work: Workspace | Non
     texts = docs.select(content_key().alias("key"), "text").where("key is not null")
     counted = map_arrow(texts.select("text"), _count_anchors(window), "anchor long, n long")
     anchors = work.keep("anchors", counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"))
-    slot = F.col("anchor").bitwiseAND(F.lit(TABLE - 1))
-    bits = (anchors.select(F.shiftright(slot, 6).alias("word"), F.expr(f"shiftleft(1L, int((anchor & {TABLE - 1}) & 63))")
-                           .alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))).toArrow()
-    table = np.zeros(TABLE // 64, np.uint64)  # a few MB at any size
-    table[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+    table = bit_table(anchors, "anchor")
     hot = anchors.where(F.col("n") > HOT).select("anchor").toArrow()["anchor"].to_numpy()  # one in HOT at most
     send = spark.sparkContext.broadcast
     segments = map_arrow(texts, _cut_segments(window, send(table), send(hot.astype(np.int64).view(np.uint64))),
