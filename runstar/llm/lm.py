@@ -142,7 +142,7 @@ class Model:
 
     vocabulary: Vocabulary
     discount: np.ndarray
-    history: np.ndarray
+    total: np.ndarray
     back_off: np.ndarray
     hot_keys: np.ndarray
     hot_counts: np.ndarray
@@ -151,12 +151,13 @@ class Model:
         """log10 p(symbol | history): by the bigram's count, or backed off."""
         before, symbol = np.divmod(keys, len(self.vocabulary.keys) + 1)
         kept = self.discount[np.minimum(counts, DISCOUNTED)] ** (counts <= DISCOUNTED) * counts
-        direct = kept / (self.history[before] + 0.5)
-        return np.log10(np.where(counts > 0, direct, self.back_off[before] * self.vocabulary.unigrams()[symbol]))
+        direct = kept / np.maximum(self.total[before], 0.5)
+        back = self.back_off[before] * self.vocabulary.unigrams()[symbol]
+        return np.log10(np.where(counts > 0, direct, back))
 
 
 def _history_sums(vocabulary: Broadcast, discount: np.ndarray):
-    """(history, n, freed, covered): for each batch of bigrams and history, sums over its bigrams."""
+    """(history, n, freed, covered, seen): for each batch of bigrams and history, sums over its bigrams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Vocabulary = vocabulary.value
         unigrams = own.unigrams()
@@ -166,8 +167,8 @@ def _history_sums(vocabulary: Broadcast, discount: np.ndarray):
             freed = np.where(n <= DISCOUNTED, (1 - discount[np.minimum(n, DISCOUNTED)]) * n, 0.0)
             present, back = np.unique(before, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(present), *(pa.array(np.bincount(back, x)) for x in (n, freed, unigrams[symbol]))],
-                ["history", "n", "freed", "covered"])
+                [pa.array(present), *(pa.array(np.bincount(back, x)) for x in (n, freed, unigrams[symbol], np.ones(len(n))))],
+                ["history", "n", "freed", "covered", "seen"])
     return run
 
 
@@ -206,14 +207,17 @@ class KatzModel:
         seen = self.bigrams.agg(*(F.count_if(F.col("n") == r).alias(f"n{r}") for r in range(1, DISCOUNTED + 2))).first()
         discount = discounts(list(seen))
         sums = map_arrow(self.bigrams.select("key", "n"), _history_sums(sent, discount),
-                         "history long, n double, freed double, covered double")
-        sums = sums.groupBy("history").agg(*(F.sum(c).alias(c) for c in ("n", "freed", "covered"))).toArrow()
-        n, freed, covered = (np.zeros(len(keys) + 1) for _ in range(3))
-        for out, c in ((n, "n"), (freed, "freed"), (covered, "covered")):
+                         "history long, n double, freed double, covered double, seen double")
+        names = ("n", "freed", "covered", "seen")
+        sums = sums.groupBy("history").agg(*(F.sum(c).alias(c) for c in names)).toArrow()
+        n, freed, covered, kinds = (np.zeros(len(keys) + 1) for _ in names)
+        for out, c in zip((n, freed, covered, kinds), names, strict=True):
             out[sums["history"].to_numpy()] = sums[c].to_numpy()
-        back_off = (0.5 + freed) / (n + 0.5) / (1 - covered)
+        whole = kinds == len(keys) + 1
+        total = np.where(whole, n - freed, n + 0.5)
+        back_off = np.where(whole, 0.0, (0.5 + freed) / (n + 0.5) / np.where(whole, 1.0, 1 - covered))
         hot = _at_most(self.bigrams, HOT, F.lit(True)).sort_by("key")
-        self.model = Model(vocabulary, discount, n, back_off, hot["key"].to_numpy(), hot["n"].to_numpy())
+        self.model = Model(vocabulary, discount, total, back_off, hot["key"].to_numpy(), hot["n"].to_numpy())
 
     def _table(self, name: str, counts: DataFrame) -> DataFrame:
         """Sums by key, written by bucket."""

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -8,7 +9,7 @@ from collections import Counter
 import pytest
 
 from runstar.llm import lm
-from tests.llm.conftest import ODD, prose
+from tests.llm.conftest import ODD, WORDS, prose
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -36,8 +37,8 @@ class Brute:
         self.rare = max(self.base, 1) - sum(self.c[w] + 0.5 for w in self.known)
         self.pairs, self.after = pairs, {}
         for (h, w), k in pairs.items():
-            s = self.after.setdefault(h, [0, 0, 0])
-            s[0], s[1], s[2] = s[0] + k, s[1] + (k - self.kept(k)), s[2] + self.unigram(w)
+            s = self.after.setdefault(h, [0, 0, 0, 0])
+            s[0], s[1], s[2], s[3] = s[0] + k, s[1] + (k - self.kept(k)), s[2] + self.unigram(w), s[3] + 1
 
     def kept(self, k):
         return self.d[k] * k if k <= lm.DISCOUNTED else k
@@ -49,7 +50,9 @@ class Brute:
         return (self.rare if w == 0 else self.c[w] + 0.5) / max(self.base, 1)
 
     def p(self, h, w):
-        n, freed, covered = self.after.get(h, (0, 0, 0))
+        n, freed, covered, kinds = self.after.get(h, (0, 0, 0, 0))
+        if kinds == len(self.known | {0}):
+            return self.kept(self.pairs[h, w]) / (n - freed)
         if k := self.pairs.get((h, w)):
             return self.kept(k) / (n + 0.5)
         return (0.5 + freed) / (n + 0.5) / (1 - covered) * self.unigram(w)
@@ -80,8 +83,17 @@ def test_scores_by_brute_force(table, monkeypatch, words, hot):
         assert sum(brute.p(h, w) for w in {*brute.known, 0}) == pytest.approx(1)
 
 
+def _chained(seed):
+    """Words that depend on the one before."""
+    rng, at, out = random.Random(seed), 0, []
+    for _ in range(200):
+        at = (at * 7 + rng.choice([1, 1, 1, 2, 5])) % len(WORDS)
+        out.append(WORDS[at])
+    return " ".join(out)
+
+
 def test_held_out_texts_gain(table):
-    rows = [(i, prose(i, 300)) for i in range(80)] + [(100 + i, prose(i, 250)) for i in range(40)]
+    rows = [(i, _chained(i)) for i in range(100)]
     held = lm.score_held_out(table(rows)).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert held["sum(score)"] > held["sum(base_score)"]
 
