@@ -29,6 +29,8 @@ from runstar.sources.workspace import Workspace
 
 #: Hashed trigrams, what a text weighs at most, pseudo-rows of each smoothing, prior of no language.
 GRAMS, WEIGHT, SMOOTH, NONE = 1 << 16, 60, 10.0, 1e-4
+#: Added to each count of a trigram; and the share of any text that may be noise, which bounds what a rare word costs.
+ADDED, NOISE = 0.02, 0.1
 #: A model parameter: the most frequently declared languages that are told apart, each declared by so many rows.
 LANGUAGES, DECLARED = 100, 5
 
@@ -137,7 +139,8 @@ def identify(evidence: DataFrame, key: str, work: Workspace | None = None) -> Da
                       "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # names x GRAMS at most
     counts = np.zeros((len(names), GRAMS))
     counts.ravel()[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    logs = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * GRAMS))
+    shares = (counts + ADDED) / (counts.sum(axis=1, keepdims=True) + ADDED * GRAMS)
+    logs = np.log((1 - NOISE) * shares + NOISE / GRAMS)
     model = spark.sparkContext.broadcast(TextModel(names, logs.astype(np.float32)))
     kind = evidence.schema[key].dataType.simpleString()
     scored = work.keep("scored", map_arrow(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -46,8 +46,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.fresh_ledger(spark).scan(_table(spark, sf_dir, "documents"), "doc_id", "text")
     kinds = [r.kind for r in secrets.BASE]
     base = F.filter("found", lambda x: x["rank"] < len(kinds))
-    count = {k: F.size(F.filter("found", lambda x, i=i: x["rank"] == i)).cast("long") for i, k in enumerate(kinds)}
-    return found.select(F.col("path").alias("doc_id"), *(count[k].alias(f"n_{k}") for k in kinds),
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("path").alias("doc_id"), *map(count, kinds),
                         F.sha2(secrets.listed(base), 256).alias("base_sha256"),
                         secrets.listed(F.col("found")).alias("spans"))
 

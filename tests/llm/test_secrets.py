@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import random
+import re
+from hashlib import sha256
+
+from pyspark.sql import functions as F
+
+from runstar.llm import queries, secrets
+from runstar.sources.workspace import Workspace
+from tests.llm.conftest import ODD, prose
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+TEXTS = ["password=hunter22 é token: 'abcdef'", "PassWord = abc", "secret=token:abcdefgh", "api_key\" : \"AKIA" + "Z" * 16,
+         "𝄞é AKIA" + "Q1" * 10 + " AKIAshort AKIA" + "A" * 15, "f" * 23 + " " + "0af" * 8, "deadbeef" * 5 + "x" + "ab12" * 6,
+         "token=token=abcdef", "secret: api_key: abcdefgh", "passwd='AKIA" + "B" * 18 + "'", "ſecret=abcdefgh", "toKen=abcdefgh",
+         "-----BEGIN RSA PRIVATE KEY----- x", "ghp_" + "a" * 36]
+
+
+def _brute(text):
+    t = text or ""
+    found = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 6]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def _rows():
+    rng = random.Random(4)
+    mixed = ["".join(rng.choice(["password", "token", "=", ":", " ", '"', "'", "AKIA", "ABCDEFGH01234567", "abcdef012345", "x", "é"])
+                     for _ in range(rng.randint(1, 40))) for _ in range(150)]
+    return [*ODD, *enumerate(TEXTS, 100), *enumerate(mixed, 1000), (2000, prose(1, 60_000) + " token=zzzzzzzz"), (2001, TEXTS[0])]
+
+
+def test_query_by_brute_force(spark, table, tmp_path):
+    rows = _rows()
+    table(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op5_secret_scan(spark, str(tmp_path)).collect()
+    want = []
+    for i, t in rows:
+        found = _brute(t)
+        kinds = [k for _, k, _, _ in found]
+        listed = ",".join(f"{k}:{a}:{b}" for a, _, k, b in found)
+        want.append((i, kinds.count(0), kinds.count(1), kinds.count(2), sha256(listed.encode()).hexdigest()))
+    assert sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got), key=str) == sorted(want, key=str)
+    extra = {r.doc_id: r.spans for r in got}
+    assert extra[112] == "pem:0:31" and extra[113].startswith("github:0:40")
+
+
+def test_only_new_blobs_are_scanned(spark, table):
+    ledger = secrets.Ledger(spark, Workspace(spark).path("ledger"))
+    ledger.scan(table([(1, TEXTS[0]), (2, "clean"), (3, TEXTS[0])]), "doc_id", "text").collect()
+    assert ledger.entries().count() == 2
+    again = ledger.scan(table([(4, TEXTS[0]), (5, TEXTS[4])]), "doc_id", "text").collect()
+    assert ledger.entries().count() == 3 and {r.path: len(r.found) for r in again} == {4: 2, 5: 1}
+    newer = [secrets.Rule("assign", "hunter", version=2)]
+    assert [len(r.found) for r in ledger.scan(table([(4, TEXTS[0])]), "doc_id", "text", newer).collect()] == [1]
+    assert ledger.entries().count() == 4
+
+
+def test_redaction_and_empty_table(spark, table, odd, none):
+    assert secrets.fresh_ledger(spark).scan(none, "doc_id", "text").count() == 0
+    got = {r.doc_id: r.text for r in secrets.fresh_ledger(spark).redacted(
+        table([(1, "a password=hunter22, b"), (2, None), (3, "clean é"), (4, "passwd='AKIA" + "B" * 18 + "' é")]), "doc_id", "text").collect()}
+    assert got == {1: "a [secret], b", 2: None, 3: "clean é", 4: "[secret]' é"}
+    odd = odd.where("doc_id <> 11 or doc_id is null")  # a long run of hex digits
+    out = secrets.fresh_ledger(spark).redacted(odd, "doc_id", "text")
+    assert out.columns == odd.columns and sorted(out.collect(), key=str) == sorted(odd.collect(), key=str)
+
+
+def test_no_python_on_rows(spark, odd):
+    found = secrets.scan_blobs(odd.select(F.lit("b").alias("blob"), "text"), secrets.BASE)
+    assert "Python" not in found._jdf.queryExecution().toString() and "Arrow" not in found._jdf.queryExecution().toString()
