@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -23,8 +24,19 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def _tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``task`` that hands freed memory back at its end: a worker that waits for its next task keeps none of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+    return run
+
+
 def map_arrow(rows: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     """``rows.mapInArrow`` with this package at hand."""
     ship(rows.sparkSession)
-    return rows.mapInArrow(task, schema)
+    return rows.mapInArrow(_tidy(task), schema)
