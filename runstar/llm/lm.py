@@ -33,7 +33,7 @@ from runstar.sources.workspace import Workspace
 
 WORDS, HOT, DISCOUNTED = 1 << 16, 1 << 20, 5
 #: Tokens of one slice.
-SLICE = 2_500_000
+SLICE = 800_000
 #: The key of the end; word keys are negative, bigram keys are not.
 END = -1
 

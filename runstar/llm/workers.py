@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+#: Bytes of a batch. It is held by the executor and by the worker at the same time.
+BATCH = "16m"
 
 
 def ship(spark: SparkSession) -> None:
@@ -37,6 +39,7 @@ def _tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
 
 def map_arrow(rows: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``rows.mapInArrow`` with this package at hand."""
+    """``rows.mapInArrow`` with this package at hand, in batches that leave room beside a worker's own arrays."""
     ship(rows.sparkSession)
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     return rows.mapInArrow(_tidy(task), schema)
