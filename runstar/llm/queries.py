@@ -18,10 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of every text by a public piece model, and whether they decode to the text."""
+    """Ids of every text by a public piece model."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     return lattice.encode(_table(spark, sf_dir, "documents"), model).select(
-        "doc_id", F.size("ids").alias("n_ids"), "ids", "viterbi")
+        "doc_id", F.size("ids").alias("n_ids"), "ids")
 
 
 def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
