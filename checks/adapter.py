@@ -6,35 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AGENCY = "testdata"
-MAX_CHILDREN = 10_000
-HOT_KEYS_TO_BROADCAST = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def nest(df: DataFrame, key: str, child: Column, out: str, row_no: str, max_children: int = MAX_CHILDREN) -> DataFrame:
-    """Children of each key as an array: ``(key, part, out)``.
+def nest(df: DataFrame, key: str, child: Column, out: str, *more: Column) -> DataFrame:
+    """Children of each key, and of each value of ``more``, as one array: ``(key, *more, out)``."""
+    return df.groupBy(key, *more).agg(F.collect_list(child).alias(out))
 
-    A key with more than ``max_children`` rows becomes several parts of about that size, cut by ``row_no``, so no
-    array grows without bound. Counting reads the key column only.
-    """
-    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > max_children)
-    n_hot = hot.count()
-    rows = df.select(key, row_no, child.alias("_child")).withColumn("part", F.lit(0))
-    if n_hot:
-        hot = F.broadcast(hot) if n_hot <= HOT_KEYS_TO_BROADCAST else hot
-        parts = F.ceil(F.col("_n") / max_children)
-        part = F.coalesce(F.pmod(F.xxhash64(row_no), parts), F.lit(0))
-        rows = rows.join(hot, F.col(key) == F.col("_key"), "left").withColumn("part", part.cast("int"))
-    return rows.groupBy(key, "part").agg(F.collect_list("_child").alias(out))
+
+def turn_records(spark: SparkSession, sf_dir: str, child: Column, out: str) -> DataFrame:
+    """Conversations as records of consecutive turns, a thousand numbers each: a record is bounded by its rule."""
+    return nest(table(spark, sf_dir, "conversations"), "conv_id", child, out, F.floor(F.col("turn") / 1000).alias("part"))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Row numbers are taken at the scan, where a repeated task sees the same rows in the same order.
-    lineitem = table(spark, sf_dir, "lineitem").withColumn("row_no", F.monotonically_increasing_id())
+    """The lines of each order as one array: a record of the feed is one line of JSON, whatever it holds."""
+    lineitem = table(spark, sf_dir, "lineitem")
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
     rows = (lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -42,7 +32,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
     child = F.struct("l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "p_partkey",
                      "p_name", "p_size", "p_type", "s_name", "s_nationkey", "n_name")
-    return nest(rows, "l_orderkey", child, "lines", "row_no")
+    return nest(rows, "l_orderkey", child, "lines")
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +105,7 @@ def _concept(line: Column) -> Column:
 
 
 def nested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed with ``agency``, ``version`` (the order status) and ``part`` (0 but for over-long orders)."""
+    """The feed with ``agency`` and ``version`` (the order status): a record for every order, with lines or without."""
     lines = _lines(spark, sf_dir)
     rows = _orders(spark, sf_dir).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     key, nation, region = F.col("o_orderkey"), F.col("c_nationkey"), F.col("n_regionkey")
@@ -127,7 +117,6 @@ def nested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return rows.select(
         F.lit(AGENCY).alias("agency"), F.col("o_orderstatus").alias("version"),
-        F.coalesce("part", F.lit(0)).alias("part"),
         F.concat(F.lit("2-s2.0-"), _text(key)).alias("eid"),
         F.when(key % 13 != 0, F.concat(F.lit("10.5555/"), _text(key))).alias("doi"),
         F.concat("o_orderpriority", F.lit(" "), _text(key)).alias("publication_title"),

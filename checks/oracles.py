@@ -182,6 +182,19 @@ _ID_STATS = _ALL + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, count(*) AS n_rows, count(*) AS n_ids, CAST(1 AS BIGINT) AS first_id,"
     f" count(*) AS last_id FROM {source}" for name, source in _TABLE_COUNTS.items())
 
+# Rules of each final table: required columns, lengths, keys and references, counted by hand.
+_STAR_RULES = """
+SELECT t.table_name, CAST(t.n AS BIGINT) AS n_rules, CAST(0 AS BIGINT) AS violations FROM (VALUES
+('model', 4), ('dataset_alias', 4), ('publisher', 3), ('journal', 4), ('issn', 2), ('publication', 5),
+('dyad', 5), ('dyad_model', 4), ('topic', 2), ('publication_topic', 4), ('publication_ufc', 4), ('asjc', 1),
+('publication_asjc', 4), ('author', 3), ('publication_author', 5), ('publication_affiliation', 9),
+('author_affiliation', 2)) t(table_name, n)"""
+
+# The runs of a feed with one good run, one that misstates a year and one with lines of the wrong type.
+_FAULTY = """
+SELECT o_orderstatus AS version, {status} AS status, {reason} AS reason, {documents} AS documents
+  FROM orders GROUP BY o_orderstatus"""
+
 _PLACE = """
 WITH place AS (
   SELECT CAST(c_custkey AS BIGINT) AS id, c_mktsegment,
@@ -257,8 +270,14 @@ UNION ALL SELECT 'lineitem', 'unique:l_orderkey,l_linenumber', count(*) FILTER (
   FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
 UNION ALL SELECT 'lineitem', 'reference:l_orderkey', count(*) FROM lineitem
   WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM o WHERE o_orderkey = l_orderkey)""",
-    "star_audit": """
-SELECT '' AS table_name, '' AS rule, CAST(0 AS BIGINT) AS violations FROM orders WHERE o_orderkey IS NULL""",
+    "star_audit": _STAR_RULES,
+    "star_audit_broken": f"""WITH {_LINE}{_PUB}{_AUTHOR}{_PUB_AUTHOR}{_PUB_AFFILIATION}{_AUTHOR_AFFILIATION}
+SELECT 'publisher' AS table_name, 'unique:run_id,name' AS rule, count(*) AS violations
+  FROM (SELECT DISTINCT version, publisher FROM rec)
+UNION ALL SELECT 'journal', 'not_null:title', count(*) FILTER (WHERE journal = 'MACHINERY') FROM journal
+UNION ALL SELECT 'publication', 'max_length:title', count(*) FILTER (WHERE title LIKE '5-LOW%') FROM pub
+UNION ALL SELECT 'author_affiliation', 'reference:publication_affiliation_id', count(*) FILTER (WHERE sequence % 2 <> 0)
+  FROM author_affiliation""",
     "dim_alias": f"WITH {_ALIAS.lstrip(',')} SELECT version, alias_id, parent_alias_id, alias, alias_type FROM alias",
     "dim_model": f"""WITH {_LINE}{_MENTION}
 SELECT m.name, (SELECT count(score) FROM mention WHERE model = m.name) AS n_scores
@@ -331,14 +350,23 @@ SELECT o_orderstatus AS version, CAST(year(o_orderdate) AS INTEGER) AS year, cou
 SELECT o_orderstatus AS version, CASE WHEN o_orderstatus <> 'P' THEN 'run exists' END AS reason, count(*) AS documents
   FROM orders GROUP BY o_orderstatus""",
     "tables_lifecycle": """
-WITH n AS (SELECT count(*) AS orders, count(DISTINCT o_orderstatus) AS runs FROM orders)
+WITH n AS (SELECT count(*) AS orders, count(DISTINCT o_orderstatus) AS runs, (SELECT count(*) FROM nation) AS nations FROM orders)
 SELECT s.step, t.table_name, CAST(CASE t.table_name
          WHEN 'model' THEN 4
-         WHEN 'agency_run' THEN CASE WHEN s.step = 'loaded' THEN n.runs ELSE 0 END
-         WHEN 'publication' THEN CASE WHEN s.step IN ('loaded', 'kept') THEN n.orders ELSE 0 END
+         WHEN 'agency_run' THEN CASE WHEN s.step IN ('loaded', 'again') THEN n.runs ELSE 0 END
+         WHEN 'publication' THEN CASE WHEN s.step IN ('loaded', 'kept', 'again') THEN n.orders ELSE 0 END
+         WHEN 'affiliation_geocoding' THEN CASE WHEN s.step = 'loaded' THEN n.nations ELSE 0 END
          ELSE 0 END AS BIGINT) AS n_rows
-  FROM n CROSS JOIN (VALUES ('created'), ('loaded'), ('kept'), ('emptied')) s(step)
-  CROSS JOIN (VALUES ('agency_run'), ('model'), ('publication'), ('dyad')) t(table_name)""",
+  FROM n CROSS JOIN (VALUES ('created'), ('loaded'), ('kept'), ('emptied'), ('again'), ('dropped')) s(step)
+  CROSS JOIN (VALUES
+('agency_run'), ('model'), ('dataset_alias'), ('publisher'), ('journal'), ('issn'), ('publication'),
+('dyad'), ('dyad_model'), ('topic'), ('publication_topic'), ('publication_ufc'), ('asjc'),
+('publication_asjc'), ('author'), ('publication_author'), ('publication_affiliation'),
+('author_affiliation'), ('reviewer'), ('snippet_validation'), ('affiliation_geo'),
+('affiliation_geocoding'), ('publication_affiliation_geocoding'), ('publication_affiliation_geo')) t(table_name)""",
+    "discover_prefix": """
+SELECT DISTINCT split_part(split_part(url, '://', 2), '/', 1) AS agency, split_part(split_part(url, '://', 2), '/', 2) AS version
+  FROM pages WHERE regexp_matches(url, '^https?://[^/]+/[^/]+/[0-9]+')""",
     "discover_new": """
 WITH listing AS (SELECT regexp_extract(url, '^https?://([^/]+/[^/]+/[0-9]+)', 1) AS key, url FROM pages),
 part_of AS (SELECT *, split_part(key, '/', 1) AS agency, split_part(key, '/', 2) AS version FROM listing WHERE key <> ''),
@@ -360,9 +388,12 @@ SELECT 'testdata' AS agency, rec.version, rec.eid, rec.doi, rec.year AS publicat
     "scan_metadata": f"{_VERDICT_RUNS} SELECT 'testdata' AS agency, version, publication_year, expected FROM stated",
     "ingest_all": _RUN_COUNTS,
     "ingest_streamed": _RUN_COUNTS,
-    "staging_sink": f"""WITH {_LINE}
-SELECT version, eid, p_partkey AS concept_id, CAST(l_quantity AS INTEGER) AS a_freq FROM line""",
-    "csv_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
+    "ingest_isolated": _FAULTY.format(
+        status="CASE o_orderstatus WHEN 'F' THEN 'loaded' ELSE 'failed' END",
+        reason="CASE o_orderstatus WHEN 'O' THEN 'input validation failed: documents per year' WHEN 'P' THEN 'malformed feed line' END",
+        documents="CASE o_orderstatus WHEN 'F' THEN count(*) END"),
+    "ingest_streamed_retry": _FAULTY.format(status="'loaded'", reason="CAST(NULL AS VARCHAR)", documents="count(*)"),
+    "csv_content": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "preview_projection": "SELECT p_partkey, p_name FROM part",
     "view_query": """
 SELECT o_orderstatus AS version, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS documents,
@@ -403,8 +434,23 @@ SELECT address, city, state, country_code,
 SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles,
        CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) AS BIGINT) AS n_user,
        max(CASE WHEN role = 'user' THEN turn END) AS last_user_turn FROM conversations GROUP BY conv_id""",
+    "ordered_roles_nulls": """
+SELECT conv_id, CASE WHEN conv_id % 3 <> 0 THEN conv_id % 3 END AS third, string_agg(role, ',' ORDER BY turn) AS roles,
+       count(*) FILTER (WHERE role = 'user') AS n_user FROM conversations GROUP BY ALL""",
+    "redacted_run": f"""WITH {_LINE}
+SELECT rec.version, rec.year AS publication_year, count(DISTINCT rec.eid) AS documents,
+       CAST(max(CASE WHEN l.l_linenumber <> 7 THEN 10 END) AS INTEGER) AS longest_snippet, count(DISTINCT rec.eid) AS expected
+  FROM rec LEFT JOIN line l ON l.eid = rec.eid GROUP BY ALL""",
     "mentions_per_year": f"""WITH {_LINE}{_DYAD}
 SELECT d.version, r.year, count(DISTINCT d.mention_candidate) AS n_mentions, count(*) AS n_dyads,
        count(d.dataset) AS n_linked
   FROM dyad d JOIN rec r ON r.version = d.version AND r.eid = d.eid GROUP BY d.version, r.year""",
 }
+
+_KINDS = ("publications", "dyads", "authors", "affiliations", "asjcs", "topics", "topicclusters", "ufcs", "datasets")
+_KIND_COUNTS = "\nUNION ALL\n".join(
+    f"SELECT version, '{k}' AS kind, count(*) AS n_rows FROM ({ORACLES[f'stage_{k}']}) GROUP BY version" for k in _KINDS)
+ORACLES |= {
+    "staging_sink": _KIND_COUNTS, "csv_roundtrip": _KIND_COUNTS, "ingest_content": ORACLES["fact_publication"],
+    "ingest_report": f"SELECT version, 'loaded' AS status, CAST(NULL AS VARCHAR) AS reason, publications_dropped,"
+                     f" publications_repeated, asjc_rows_lost, CAST(0 AS BIGINT) AS stale_verdicts FROM ({ORACLES['star_losses']})"}

@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapter
-from checks.adapter import AGENCY, nest, table
+from checks.adapter import AGENCY, table, turn_records
 from runstar.operators import analytics, keys, nested, validate
 from runstar.operators.keys import dense_id
 from runstar.plans import ingest as ingest_plan
 from runstar.plans import staging
 from runstar.plans.star import BUILDERS, StarLoad, load_losses
-from runstar.schemas import FEED_SCHEMA, TABLES, Column as SpecColumn, Table
+from runstar.schemas import INPUT_TABLES, TABLES, Column as SpecColumn, Table
 from runstar.sources import discover, feed as feed_source, sinks
 from runstar.sources.warehouse import Warehouse
 from runstar.sources.workspace import Workspace, control_table
-from runstar.streaming.watch import changed_objects, ingest_stream
+from runstar.streaming.watch import ingest_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -39,11 +40,6 @@ class Job:
     kinds: dict[str, DataFrame]
     star: StarLoad
 
-    @property
-    def records(self) -> DataFrame:
-        """One row per record: the first part of each."""
-        return self.feed.where("part = 0")
-
 
 _JOBS: dict[tuple[str, str], Job] = {}
 
@@ -55,8 +51,6 @@ def job(spark: SparkSession, sf_dir: str) -> Job:
         runs = space.keep("runs", adapter.run_keys(spark, sf_dir))
         feed = space.keep("feed", adapter.nested_feed(spark, sf_dir).join(F.broadcast(runs), ["agency", "version"]))
         kinds = staging.all_kinds(feed, adapter.alias_list(spark, sf_dir))
-        kinds["publications"] = staging.publications(feed.where("part = 0"))
-        kinds["topics"] = staging.topics(feed.where("part = 0"))
         _JOBS[key] = Job(space, runs, feed, kinds, StarLoad(spark, kinds, lambda n, df: space.keep(f"star_{n}", df)))
     return _JOBS[key]
 
@@ -81,7 +75,7 @@ def _staged(kind: str, rows: Callable[[Job], DataFrame], *columns: str) -> None:
     query(build)
 
 
-_staged("publications", lambda j: j.records, *staging.PUBLICATION_COLUMNS, "journal_issn_isbn", "tested_expressions",
+_staged("publications", lambda j: j.feed, *staging.PUBLICATION_COLUMNS, "journal_issn_isbn", "tested_expressions",
         "journal_citescore_value")
 _staged("dyads", lambda j: j.feed, "alias", "snippet", "alias_id", "fuzzy_score", "is_fuzzy", "model", "score")
 _staged("authors", lambda j: j.feed, "author_id", "author_position", "given_name", "family_name", "pn_given_name",
@@ -91,8 +85,8 @@ _staged("affiliations", lambda j: j.feed, "affiliation_sequence", "affiliation_i
         "affiliation_state", "affiliation_city", "affiliation_postal_code")
 _staged("asjcs", lambda j: j.feed, "asjc", "label")
 _staged("ufcs", lambda j: j.feed, "concept_id", "concept_name", "rank", "a_freq")
-_staged("topics", lambda j: j.records, "topic_id", "keywords", "prominence")
-_staged("topicclusters", lambda j: j.records, "keywords", "cluster_id")
+_staged("topics", lambda j: j.feed, "topic_id", "keywords", "prominence")
+_staged("topicclusters", lambda j: j.feed, "keywords", "cluster_id")
 
 
 @query
@@ -103,8 +97,7 @@ def stage_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def nested_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations nested per id and flattened again."""
-    turns = table(spark, sf_dir, "conversations").withColumn("row_no", F.monotonically_increasing_id())
-    records = nest(turns, "conv_id", F.struct("turn", F.struct("role", "text").alias("message")), "turns", "row_no")
+    records = turn_records(spark, sf_dir, F.struct("turn", F.struct("role", "text").alias("message")), "turns")
     rows = nested.explode_normalize(records, "turns", ("conv_id",))
     return rows.select("conv_id", "turn", F.col("`message.role`").alias("role"), F.col("`message.text`").alias("text"))
 
@@ -173,11 +166,36 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.audit_constraints(tables, ORDER_TABLES, by_run=False)
 
 
+def _checked(tables: dict[str, DataFrame], specs: dict[str, Table]) -> DataFrame:
+    """Every rule that the audit checks, with its violations."""
+    spark = next(iter(tables.values())).sparkSession
+    rules = control_table(spark, [(n, r) for n in tables for r in validate.checked_rules(n, specs[n], tables)],
+                          "table_name string, rule string")
+    found = validate.audit_constraints(tables, specs).groupBy("table_name", "rule").agg(F.sum("violations").alias("violations"))
+    return rules.join(found, ["table_name", "rule"], "left").na.fill(0, ["violations"])
+
+
 @query
 def star_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Broken rules in the built star: none."""
-    tables = job(spark, sf_dir).star.all()
-    return validate.audit_constraints(tables, TABLES).where("violations > 0").select("table_name", "rule", "violations")
+    """Checked rules and violations of every table of the built star: none are broken."""
+    rules = _checked(job(spark, sf_dir).star.all(), TABLES)
+    return rules.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rules"), F.sum("violations").alias("violations"))
+
+
+@query
+def star_audit_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A star with planted faults of all four kinds: null titles, long titles, publishers twice, lost affiliations."""
+    star = job(spark, sf_dir).star
+    journal = star.table("journal")
+    tables = {"publisher": star.table("publisher"), "journal": journal, "publication": star.table("publication"),
+              "publication_author": star.table("publication_author"), "author": star.table("author"),
+              "publication_affiliation": star.table("publication_affiliation"), "author_affiliation": star.table("author_affiliation")}
+    tables["publisher"] = tables["publisher"].unionByName(tables["publisher"].withColumn("id", F.col("id") + 1_000_000))
+    tables["journal"] = journal.withColumn("title", F.when(F.col("title") != "MACHINERY", F.col("title")))
+    low = F.col("title").startswith("5-LOW")
+    tables["publication"] = tables["publication"].withColumn("title", F.when(low, F.repeat("title", 100)).otherwise(F.col("title")))
+    tables["publication_affiliation"] = tables["publication_affiliation"].where("sequence_number % 2 = 0")
+    return _checked(tables, TABLES).where("violations > 0")
 
 
 # -- star ---------------------------------------------------------------------------------------------------------
@@ -392,7 +410,7 @@ def _load_orders(w: Warehouse, orders: DataFrame, if_exists: str = "replace") ->
     decided = control_table(spark, admitted.collect(), admitted.schema)  # one row per run
     runs = w.register(decided.where("reason is null"))
     load_id = w.start_load()
-    rows = w.write_table(load_id, "publication", _order_publications(orders, runs, w.last_ids().get("publication", 0)), 3)
+    rows = w.write_table(load_id, "publication", _order_publications(orders, runs, w.last_ids().get("publication", 0)))
     counts = rows.groupBy("run_id").agg(F.create_map(F.lit("publication"), F.count(F.lit(1))).alias("row_counts"))
     w.publish(load_id, runs, counts, {"publication": rows.agg(F.max("id")).first()[0] or 0})
     return decided
@@ -442,24 +460,29 @@ def run_fail_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tables_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per table: created, loaded, all but the publications emptied."""
+    """Rows of every table: created, loaded, all but the publications emptied, all emptied, loaded again, dropped."""
     orders, w = table(spark, sf_dir, "orders"), _warehouse(spark)
     w.create_tables()
-    created = _table_rows(w, "created")
+    steps = [_table_rows(w, "created")]
     _load_orders(w, orders)
-    loaded = _table_rows(w, "loaded")
+    w.add_input("affiliation_geocoding", table(spark, sf_dir, "nation").select(F.col("n_name").alias("q")))
+    steps.append(_table_rows(w, "loaded"))
     w.empty_tables(keep=["publication", "model"])
-    kept = _table_rows(w, "kept")
+    steps.append(_table_rows(w, "kept"))
     w.empty_tables()
-    return created.unionByName(loaded).unionByName(kept).unionByName(_table_rows(w, "emptied"))
+    steps.append(_table_rows(w, "emptied"))
+    _load_orders(w, orders)
+    steps.append(_table_rows(w, "again"))
+    steps = [control_table(spark, s.collect(), s.schema) for s in steps]  # one row per table: their files go next
+    w.drop_tables()
+    steps.append(_table_rows(w, "dropped"))
+    return reduce(DataFrame.unionByName, steps)
 
 
 def _table_rows(w: Warehouse, step: str) -> DataFrame:
-    rows = None
-    for name in ("agency_run", "model", "publication", "dyad"):
-        count = w.table(name).agg(F.lit(step).alias("step"), F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-        rows = count if rows is None else rows.unionByName(count)
-    return rows
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.lit(step).alias("step"), F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        for name, df in w.tables().items()])
 
 
 # -- discovery, sources, sinks ------------------------------------------------------------------------------------
@@ -481,6 +504,15 @@ def discover_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover.work_list(updated, flagged)
 
 
+@query
+def discover_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs below a prefix whose text comes again in agency names and in folders below the run."""
+    name = F.regexp_extract("url", "^https?://([^/]+/[^/]+)/[0-9]+", 1)
+    path = F.concat(F.lit("s3a://pages.net/net/"), name, F.lit("/net/"), F.col("page_id").cast("string"))
+    listing = table(spark, sf_dir, "pages").where(name != "").select(discover.relative_key(path, "s3a://pages.net/net/").alias("key"))
+    return discover.changed_runs(listing)
+
+
 @query
 def discover_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With overwrite every run is changed, whatever the ledger knows."""
@@ -490,14 +522,14 @@ def discover_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch and stream listing of a written feed: runs with the number of publication files and metadata files."""
-    base = _written_feed(spark, sf_dir)
+    """Listing of a written feed: runs with the number of publication files and metadata files."""
+    base = written_feed(spark, sf_dir)
     keys_seen = discover.list_objects(spark, base)
     found = ingest_plan.presence(keys_seen)
     return found.select("agency", "version", "has_feed", "has_metadata")
 
 
-def _written_feed(spark: SparkSession, sf_dir: str, versions: tuple[str, ...] = ()) -> str:
+def written_feed(spark: SparkSession, sf_dir: str, versions: tuple[str, ...] = ()) -> str:
     """The nested feed in the run layout, gzip JSON lines and metadata, written once per application."""
     j = job(spark, sf_dir)
     base = j.space.path("layout")
@@ -507,21 +539,18 @@ def _written_feed(spark: SparkSession, sf_dir: str, versions: tuple[str, ...] =
     for r in j.runs.collect():  # one row per run
         if r["version"] not in written:
             here = F.col("version") == r["version"]
-            feed_source.write_run(j.feed.where(here), aliases.where(here), years.where(here), base, AGENCY, r["version"], PARTS_SCHEMA)
+            feed_source.write_run(j.feed.where(here), aliases.where(here), years.where(here), base, AGENCY, r["version"])
             written.add(r["version"])
     return base
 
 
 _LAYOUTS: dict[str, set[str]] = {}
-# An over-long order is written as several records, so a record is known by its eid and its part.
-PARTS_SCHEMA = FEED_SCHEMA + ", part int"
-PARTS = ingest_plan.LoadOptions(schema=PARTS_SCHEMA, record_key=("eid", "part"))
 
 
 @query
 def scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzip JSON lines of all runs read back, agency and version from the path."""
-    base = _written_feed(spark, sf_dir)
+    base = written_feed(spark, sf_dir)
     feed = feed_source.read_feed(spark, f"{base}/*/*/{feed_source.PUBLICATION_FILES}")
     lines = F.greatest(F.coalesce(F.size("authors"), F.lit(0)), F.lit(0))
     record = ["agency", "version", "eid", "doi", "publication_year", "field_weighted_citation_impact"]
@@ -531,7 +560,7 @@ def scan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stated years of all runs read back from their metadata documents."""
-    base = _written_feed(spark, sf_dir)
+    base = written_feed(spark, sf_dir)
     metadata = feed_source.read_metadata(spark, f"{base}/*/*/{feed_source.METADATA_FILE}")
     return feed_source.expected_years(metadata)
 
@@ -546,46 +575,175 @@ def _warehouse_counts(w: Warehouse) -> DataFrame:
     return rows.join(F.broadcast(runs), "run_id").select("version", "table_name", "n_rows")
 
 
+@dataclass
+class Loaded:
+    """A warehouse with all runs of one test folder, loaded once per Spark application."""
+
+    warehouse: Warehouse
+    outcome: DataFrame
+
+
+_LOADED: dict[tuple[str, str], Loaded] = {}
+
+
+def loaded(spark: SparkSession, sf_dir: str) -> Loaded:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        w = _warehouse(spark)
+        _LOADED[key] = Loaded(w, ingest_plan.ingest(spark, written_feed(spark, sf_dir), w))
+    return _LOADED[key]
+
+
 @query
 def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way from gzip files to visible tables, three runs in one load: rows per run and table."""
-    base = _written_feed(spark, sf_dir)
-    w = _warehouse(spark)
-    ingest_plan.ingest(spark, base, w, options=PARTS)
-    return _warehouse_counts(w)
+    return _warehouse_counts(loaded(spark, sf_dir).warehouse)
+
+
+@query
+def ingest_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publications of that load with their journals."""
+    w = loaded(spark, sf_dir).warehouse
+    runs = w.runs().select(F.col("id").alias("run_id"), "version")
+    publisher = w.table("publisher").select(F.col("id").alias("publisher_id"), F.col("name").alias("publisher"))
+    journals = w.table("journal").join(publisher, "publisher_id", "left").select(
+        F.col("id").alias("journal_id"), "publisher", F.col("title").alias("journal"), "cite_score")
+    return (w.table("publication").join(runs, "run_id").join(journals, "journal_id").select(
+        "version", F.col("external_id").alias("eid"), "title", "doi", "year", "month", "pub_type", "citation_count",
+        "fw_citation_impact", "tested_expressions", "journal", "publisher", "cite_score"))
+
+
+@query
+def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the load log says of each run: outcome, publications dropped and repeated, codes lost."""
+    log = loaded(spark, sf_dir).warehouse.load_log()
+    return log.select("version", "status", "reason", "publications_dropped", "publications_repeated", "asjc_rows_lost",
+                      "stale_verdicts")
 
 
 @query
 def ingest_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same load driven by a file stream."""
-    base = _written_feed(spark, sf_dir)
+    base = written_feed(spark, sf_dir)
     space = Workspace(spark)
     w = Warehouse(spark, space.path("warehouse"))
-    ingest_stream(spark, base, w, space.path("checkpoint"), PARTS).awaitTermination()
+    ingest_stream(spark, base, w, space.path("checkpoint")).awaitTermination()
     return _warehouse_counts(w)
 
 
+def _faulty_feed(spark: SparkSession, sf_dir: str, base: str, repaired: bool = False) -> None:
+    """Publications of the orders as a feed: run F is good, O states a document too many, P has a line of the wrong type."""
+    orders = table(spark, sf_dir, "orders")
+    records = orders.select(
+        F.col("o_orderstatus").alias("version"), F.concat(F.lit("2-s2.0-"), F.col("o_orderkey").cast("string")).alias("eid"),
+        F.concat("o_orderpriority", F.lit(" "), F.col("o_orderkey").cast("string")).alias("publication_title"),
+        F.year("o_orderdate").alias("publication_year"), F.col("o_orderstatus").alias("journal_title"),
+        F.lit(7).cast("bigint").alias("journal_scopus_source_id"))
+    years = records.groupBy("version", "publication_year").agg(F.count(F.lit(1)).alias("documents"))
+    off = F.when((F.col("version") == "O") & (F.col("publication_year") == 1998) & (not repaired), 1).otherwise(0)
+    years = years.withColumn("documents", F.col("documents") + off)
+    wrong = F.when((F.col("version") == "P") & (F.col("publication_year") == 1995) & (not repaired), F.lit("in 1995"))
+    records = records.withColumn("publication_year", F.coalesce(wrong, F.col("publication_year").cast("string")))
+    typed = F.when(F.col("publication_year").rlike("^[0-9]+$"), F.col("publication_year").cast("int"))
+    text = F.when(F.col("publication_year").rlike("[a-z]"), F.col("publication_year"))
+    no_alias = feed_source.no_aliases(spark)
+    for r in records.select("version").distinct().collect():  # one row per run
+        own = records.where(F.col("version") == r["version"])
+        folder = f"{base}/{AGENCY}/{r['version']}/json/publications"
+        own.where(typed.isNotNull()).withColumn("publication_year", typed).drop("version").write.mode("overwrite").option(
+            "compression", "gzip").json(folder)
+        if r["version"] == "P":
+            own.where(typed.isNull()).withColumn("publication_year", text).drop("version").write.mode("append").option(
+                "compression", "gzip").json(folder)
+        feed_source.write_metadata(no_alias, years.where(F.col("version") == r["version"]), base, AGENCY, r["version"])
+
+
+def _outcomes(w: Warehouse, outcome: DataFrame) -> DataFrame:
+    runs = w.runs().select(F.col("id").alias("run_id"), "version")
+    counts = w.table("publication").join(runs, "run_id").groupBy("version").agg(F.count(F.lit(1)).alias("documents"))
+    return outcome.join(counts, "version", "left").select("version", "status", "reason", "documents")
+
+
+@query
+def ingest_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good run, one with wrong counts and one with malformed lines, in one load."""
+    base, w = Workspace(spark).path("feed"), _warehouse(spark)
+    _faulty_feed(spark, sf_dir, base)
+    return _outcomes(w, ingest_plan.ingest(spark, base, w))
+
+
+@query
+def ingest_streamed_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by stream; then repaired and started again, without a new run. Outcomes of all loads in the log."""
+    space = Workspace(spark)
+    base, w = space.path("feed"), _warehouse(spark)
+    _faulty_feed(spark, sf_dir, base)
+    ingest_stream(spark, base, w, space.path("checkpoint")).awaitTermination()
+    _faulty_feed(spark, sf_dir, base, repaired=True)
+    w.refresh()
+    w.request_reload(AGENCY, "F")
+    ingest_stream(spark, base, w, space.path("checkpoint")).awaitTermination()
+    w.refresh()
+    last = w.load_log().groupBy("version").agg(F.max_by("status", "at").alias("status"), F.max_by("reason", "at").alias("reason"))
+    return _outcomes(w, last)
+
+
 @query
 def staging_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A staged kind written by run and read back by its visible loads."""
+    """All nine kinds written by run and read back by their visible loads: rows per run, and a hash over their text columns."""
     j = job(spark, sf_dir)
     w = _warehouse(spark)
-    rows = staging.ufcs(j.feed, ("run_id", "agency", "version", "eid"))
+    kinds = staging.all_kinds(j.feed, adapter.alias_list(spark, sf_dir), ("run_id", "agency", "version", "eid"))
     load_id = w.start_load()
-    w.write_staging(load_id, "ufcs", rows, n_runs=3)
+    for name, rows in kinds.items():
+        w.write_staging(load_id, name, rows)
     counts = j.runs.select("run_id", F.lit(None).cast("map<string,bigint>").alias("row_counts"))
     w.publish(load_id, j.runs, counts, {})
-    return w.staging("ufcs", rows.schema).select("version", "eid", "concept_id", "a_freq")
+    return _kind_counts({n: w.staging(n, df.schema) for n, df in kinds.items()})
+
+
+def _kind_counts(kinds: dict[str, DataFrame]) -> DataFrame:
+    counts = None
+    for name, df in kinds.items():
+        part = df.groupBy("version").agg(F.lit(name).alias("kind"), F.count(F.lit(1)).alias("n_rows"))
+        counts = part if counts is None else counts.unionByName(part)
+    return counts
 
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine kinds as CSV and back: rows per run and kind."""
+    j, path = job(spark, sf_dir), Workspace(spark).root
+    kinds = staging.all_kinds(j.feed, adapter.alias_list(spark, sf_dir), ("agency", "version", "eid"))
+    sinks.write_csv(kinds, path)
+    back = {n: spark.read.schema(sinks.without_arrays(df).schema).option("header", True).option("escape", '"').csv(
+        f"{path}/{n}") for n, df in kinds.items()}
+    return _kind_counts(back)
+
+
+@query
+def csv_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values of one flat table through CSV."""
     path = Workspace(spark).root
     sinks.write_csv({"part": table(spark, sf_dir, "part")}, path)
     schema = table(spark, sf_dir, "part").schema
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{path}/part")
 
 
+@query
+def redacted_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run rewritten with cut snippets and read back: documents per year as its metadata states them."""
+    base, target = written_feed(spark, sf_dir), Workspace(spark).path("sample")
+    for r in job(spark, sf_dir).runs.collect():  # one row per run
+        feed_source.redact_run(spark, base, target, AGENCY, r["version"])
+    feed = feed_source.read_feed(spark, f"{target}/*/*/{feed_source.PUBLICATION_FILES}")
+    metadata = feed_source.read_metadata(spark, f"{target}/*/*/{feed_source.METADATA_FILE}")
+    longest = F.max(F.array_max(F.transform(F.flatten(F.col("identified_datasets.snippets")), F.length)))
+    seen = feed.groupBy("version", "publication_year").agg(F.count(F.lit(1)).alias("documents"), longest.alias("longest_snippet"))
+    stated = feed_source.expected_years(metadata).select("version", "publication_year", "expected")
+    return seen.join(stated, ["version", "publication_year"], "full_outer")
+
+
 @query
 def preview_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.preview(table(spark, sf_dir, "part"), ["p_partkey", "p_name"])
@@ -604,9 +762,8 @@ def view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def redact_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as records whose snippets are the turns, cut to ten characters inside the record."""
-    turns = table(spark, sf_dir, "conversations").withColumn("row_no", F.monotonically_increasing_id())
     mention = F.struct("role", "turn", F.array("text").alias("snippets"))
-    records = nest(turns, "conv_id", mention, "identified_datasets", "row_no")
+    records = turn_records(spark, sf_dir, mention, "identified_datasets")
     cut = nested.explode_normalize(nested.redact_snippets(records), "identified_datasets", ("conv_id",))
     return cut.select("conv_id", "turn", "role", F.explode("snippets").alias("snippet"))
 
@@ -614,7 +771,7 @@ def redact_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def redact_year_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per year as the metadata of the rewritten feed states them."""
-    return feed_source.year_counts(job(spark, sf_dir).records, ("version",))
+    return feed_source.year_counts(job(spark, sf_dir).feed, ("version",))
 
 
 # -- reports ------------------------------------------------------------------------------------------------------
@@ -697,6 +854,15 @@ def ordered_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
         out="roles", chunk=F.floor(F.col("turn") / 1000))
 
 
+@query
+def ordered_roles_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over two keys of which one is null for every third conversation."""
+    turns = table(spark, sf_dir, "conversations").withColumn("third", F.when(F.col("conv_id") % 3 != 0, F.col("conv_id") % 3))
+    return analytics.ordered_agg(
+        turns, ["conv_id", "third"], "role", "turn", {"n_user": F.count_if(F.col("role") == "user")},
+        out="roles", chunk=F.floor(F.col("turn") / 2))
+
+
 @query
 def mentions_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct mentions and matched mentions per run and publication year, over the built star."""

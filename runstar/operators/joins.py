@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NULL_SPREAD = 1024
-
 
 @dataclass(frozen=True)
 class Lookup:
@@ -47,7 +45,8 @@ def lookup(rows: DataFrame, spec: Lookup) -> DataFrame:
     pairs += [child[c].eqNullSafe(F.col(f"_p_{p}")) for c, p in spec.null_safe.items()]
     if spec.how == "left" and spec.on:
         unmatched = _any_null(spec.on)
-        spread = F.when(unmatched, F.pmod(F.xxhash64(*columns), F.lit(NULL_SPREAD)) + 1).otherwise(0)
+        tasks = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = F.when(unmatched, F.pmod(F.xxhash64(*columns), F.lit(tasks)) + 1).otherwise(0)
         rows = rows.withColumn("_spread", spread)
         parent = parent.withColumn("_p_spread", F.when(_any_null(f"_p_{p}" for p in spec.on.values()), -1).otherwise(0))
         pairs.append(F.col("_spread") == F.col("_p_spread"))

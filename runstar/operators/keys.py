@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Copies of one row that a single task may write out; larger groups are cut into chunks first.
+# Copies of one row that a single task writes out: every group of copies is cut into ranges of that many ids.
 COPIES_PER_CHUNK = 100_000
 
 
@@ -21,36 +21,35 @@ def dense_id(rows: DataFrame, id_col: str = "id", start: int = 0, copies: str |
     the row comes out that many times, each with its own id, and the column is dropped.
     """
     cols = [c for c in rows.columns if c != copies]
-    buckets = 32 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weight = F.col(copies) if copies else F.lit(1).cast("bigint")
-    # Never null, and declared so: a filter against null buckets on one side would keep Spark from computing the rows
-    # below once for both the sizes and the numbering.
-    keyed = (rows.select(*cols, weight.alias("_n"), F.xxhash64(*cols).alias("_hash"))
-                 .withColumn("_bucket", F.coalesce(F.pmod("_hash", F.lit(buckets)), F.lit(0).cast("bigint"))))
-
-    # At most `buckets` rows: the only window without a partition, and a broadcast of known size.
-    sizes = keyed.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
+    # Rows are dealt by bucket once; the sizes and the numbering both read that exchange, so what is below runs once.
+    # The bucket is never null, and declared so: else Spark filters nulls on one side only and computes the rows twice.
+    bucket = F.coalesce(F.pmod("_hash", F.lit(32 * tasks)), F.lit(0).cast("bigint"))
+    dealt = (rows.select(*cols, weight.alias("_n"), F.xxhash64(*cols).alias("_hash"))
+                 .withColumn("_bucket", bucket).repartition(tasks, "_bucket"))
+
+    # At most 32 rows a task: the only window without a partition, and a broadcast of known size. The sizes read a hash of
+    # all columns, or else Spark would drop the columns for them and deal the rows out a second time.
+    sizes = dealt.groupBy("_bucket").agg(F.sum("_n").alias("_size"), F.bit_xor(F.xxhash64("_hash", *cols)).alias("_all"))
     before = F.sum("_size").over(Window.orderBy("_bucket")) - F.col("_size")
-    offsets = F.broadcast(sizes.select("_bucket", before.alias("_offset")))
+    offsets = sizes.select("_bucket", before.alias("_offset"), "_all").where(F.col("_all").isNotNull())
+    offsets = F.broadcast(offsets.drop("_all"))
 
     order = Window.partitionBy("_bucket").orderBy("_hash", *cols)
     last = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)) if copies else F.row_number().over(order)
-    numbered = keyed.withColumn("_last", last).join(offsets, "_bucket")
-    last_id = F.col("_offset") + F.col("_last") + F.lit(start)
+    numbered = dealt.withColumn("_last", last).join(offsets, "_bucket")
+    last_id = (F.col("_offset") + F.col("_last") + F.lit(start)).cast("bigint")
     if not copies:
-        return numbered.select(last_id.cast("bigint").alias(id_col), *cols)
+        return numbered.select(last_id.alias(id_col), *cols)
 
     first_id = (last_id - F.col("_n") + 1).cast("bigint")
-    ranged = numbered.select(*cols, "_n", first_id.alias("_first"), last_id.cast("bigint").alias("_end"))
-    few = (ranged.where(F.col("_n") <= copies_per_chunk)
-                 .select(F.explode(F.sequence("_first", "_end")).alias(id_col), *cols))
-    chunk_starts = F.sequence("_first", "_end", F.lit(copies_per_chunk).cast("bigint"))
-    many = (ranged.where(F.col("_n") > copies_per_chunk)
-                  .select(F.explode(chunk_starts).alias("_from"), "_end", *cols)
-                  .repartition("_from")
-                  .withColumn("_to", F.least(F.col("_from") + F.lit(copies_per_chunk - 1), F.col("_end")))
-                  .select(F.explode(F.sequence("_from", "_to")).alias(id_col), *cols))
-    return few.unionByName(many)
+    ranges = F.sequence("_first", "_end", F.lit(copies_per_chunk).cast("bigint"))
+    ranged = (numbered.select(*cols, first_id.alias("_first"), last_id.alias("_end"))
+                      .select(*cols, "_end", F.explode(ranges).alias("_from"))
+                      .repartition(tasks, "_from")
+                      .withColumn("_to", F.least(F.col("_from") + F.lit(copies_per_chunk - 1), F.col("_end"))))
+    return ranged.select(F.explode(F.sequence("_from", "_to")).alias(id_col), *cols)
 
 
 def dimension(df: DataFrame, columns: dict[str, Column], with_null: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -72,7 +72,7 @@ def run_verdict(feed: DataFrame, expected: DataFrame, runs: Sequence[str] = ("ag
 
 def require_valid(verdict: DataFrame, runs: Sequence[str] = ("agency", "version"), raise_on_fail: bool = True) -> bool:
     """True if every run is valid; otherwise raise with the names of failing runs, or return False."""
-    failing = verdict.where(~F.col("valid")).select(*runs).limit(20).collect()  # names for the message only
+    failing = verdict.where(~F.col("valid")).select(*runs).collect()  # one row per run
     if failing and raise_on_fail:
         names = ", ".join("_".join(str(v) for v in row) for row in failing)
         raise ValidationError(f"input validation failed for {names}")
@@ -122,7 +122,8 @@ def audit_table(name: str, spec: Table, tables: Mapping[str, DataFrame], referen
     df = tables[name]
     by = ["run_id"] if by_run and spec.run_scoped else []
     lengths = {c.name: c.length for c in spec.columns if c.length}
-    parts = [row_rules(df, [c.name for c in spec.columns if c.required], lengths, by)]
+    required = [c.name for c in spec.columns if c.required]
+    parts = [row_rules(df, required, lengths, by)] if required or lengths else []
     if spec.unique:
         parts.append(unique_rule(df, spec.unique, by))
     if references:
@@ -139,9 +140,19 @@ def audit_table(name: str, spec: Table, tables: Mapping[str, DataFrame], referen
 def audit_constraints(tables: Mapping[str, DataFrame], specs: Mapping[str, Table], references: bool = True,
                       by_run: bool = True) -> DataFrame:
     """Constraint report of all given tables."""
-    reports = [audit_table(n, specs[n], tables, references, by_run) for n in tables if n in specs and _has_rules(specs[n])]
+    reports = [audit_table(n, specs[n], tables, references, by_run) for n in tables
+               if n in specs and _has_rules(specs[n], tables if references else ())]
     return reduce(DataFrame.unionByName, reports)
 
 
-def _has_rules(spec: Table) -> bool:
-    return any(c.required or c.length for c in spec.columns)
+def _has_rules(spec: Table, parents: Iterable[str]) -> bool:
+    return bool(spec.unique) or any(c.required or c.length for c in spec.columns) or any(
+        p in parents for p in spec.parents.values())
+
+
+def checked_rules(name: str, spec: Table, tables: Iterable[str], references: bool = True) -> list[str]:
+    """The rules that the audit of a table checks."""
+    rules = [f"not_null:{c.name}" for c in spec.columns if c.required]
+    rules += [f"max_length:{c.name}" for c in spec.columns if c.length]
+    rules += ["unique:" + ",".join(spec.unique)] if spec.unique else []
+    return rules + [f"reference:{c}" for c, p in spec.parents.items() if references and p in tables]

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from runstar.operators.validate import audit_constraints, run_verdict
 from runstar.plans import staging
-from runstar.plans.star import JOBS_AT_A_TIME, StarLoad
+from runstar.plans.star import JOBS_AT_A_TIME, StarLoad, load_losses
 from runstar.schemas import FEED_SCHEMA, TABLES
 from runstar.sources import discover
 from runstar.sources.feed import (CORRUPT, METADATA_FILE, PUBLICATION_FILES, expected_years, metadata_aliases,
                                   read_feed, read_metadata)
-from runstar.sources.warehouse import Warehouse
+from runstar.sources.warehouse import REPORT, Warehouse
 from runstar.sources.workspace import control_table
 
 RUNS = ["agency", "version"]
@@ -31,13 +31,18 @@ class LoadOptions:
 
     ``if_exists``: ``replace`` a published run, or ``fail`` it unless its reload was requested. ``schema`` of a feed
     record, ``record_key`` that must be unique in a run. ``references`` adds the reference checks to the audit; the
-    builders keep references by construction.
+    builders keep references by construction. ``collation`` governs DISTINCT and joins of the star (``UTF8_LCASE`` ignores case).
     """
 
     if_exists: str = "replace"
     schema: str = FEED_SCHEMA
     record_key: tuple[str, ...] = ("eid",)
     references: bool = False
+    collation: str | None = None
+
+    def __post_init__(self) -> None:
+        if not self.schema:
+            raise ValueError("a load needs a schema: the kinds are typed; read_feed(schema=None) infers one for a look")
 
 
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
@@ -80,12 +85,11 @@ def validated_runs(feed: DataFrame, metadata: DataFrame, record_key: Sequence[st
     return joined.select(*RUNS, reason.alias("reason"))
 
 
-def stage_runs(warehouse: Warehouse, load_id: int, feed: DataFrame, aliases: DataFrame,
-               n_runs: int) -> dict[str, DataFrame]:
+def stage_runs(warehouse: Warehouse, load_id: int, feed: DataFrame, aliases: DataFrame) -> dict[str, DataFrame]:
     """The nine kinds of a load, written by run."""
     kinds = staging.all_kinds(feed, aliases, keys=("run_id", *RUNS, "eid"))
     with ThreadPoolExecutor(JOBS_AT_A_TIME) as pool:
-        written = pool.map(lambda name: warehouse.write_staging(load_id, name, kinds[name], n_runs), kinds)
+        written = pool.map(lambda name: warehouse.write_staging(load_id, name, kinds[name]), kinds)
         return dict(zip(kinds, written, strict=True))
 
 
@@ -105,13 +109,14 @@ def _summary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> tuple[Data
 
 
 def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFrame,
-              options: LoadOptions = DEFAULTS) -> DataFrame:
+              options: LoadOptions = DEFAULTS, listing: DataFrame | None = None) -> DataFrame:
     """Validate, stage, build and publish the runs in ``work`` ``(agency, version, force)``.
 
-    A run that fails is recorded with its reason and the others go on. Returns the outcome of every run.
+    A run that fails is recorded with its reason and the others go on. Returns the outcome of every run. ``listing`` is
+    what ``list_objects`` has found below ``base``, if known.
     """
     base = base.rstrip("/")
-    listing = discover.list_objects(spark, base)
+    listing = discover.list_objects(spark, base) if listing is None else listing
     admitted = admit_runs(warehouse, work, options.if_exists).join(presence(listing), RUNS, "left")
     reason = (F.when(F.col("reason").isNotNull(), F.col("reason"))
                .when(~F.coalesce("has_feed", F.lit(False)), F.lit("no publication data found"))
@@ -119,54 +124,85 @@ def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFr
     outcome = {(r["agency"], r["version"]): r["reason"]
                for r in admitted.select(*RUNS, reason.alias("reason")).collect()}  # one row per run
     good = [run for run, why in outcome.items() if why is None]
-    outcome |= _load_isolated(spark, base, warehouse, good, options)
-    rows = [(a, v, "failed" if why else "loaded", why) for (a, v), why in sorted(outcome.items())]
-    result = control_table(spark, rows, "agency string, version string, status string, reason string")
+    report: dict[tuple[str, str], dict[str, int]] = {}
+    if good:
+        failures, report = _load_admitted(spark, base, warehouse, warehouse.start_load(), good, options)
+        outcome |= failures
+    rows = [(a, v, "failed" if why else "loaded", why, *(report.get((a, v), {}).get(c) for c in REPORT))
+            for (a, v), why in sorted(outcome.items())]
+    schema = "agency string, version string, status string, reason string, " + ", ".join(f"{c} bigint" for c in REPORT)
+    result = control_table(spark, rows, schema)
     if rows:
         warehouse.record(result)
-    return result
+    return result.select("agency", "version", "status", "reason")
+
+
+def _frames(spark: SparkSession, base: str, runs: list[tuple[str, str]], options: LoadOptions) -> tuple[DataFrame, DataFrame]:
+    folders = [f"{base}/{a}/{v}" for a, v in runs]
+    return (read_feed(spark, [f"{f}/{PUBLICATION_FILES}" for f in folders], options.schema, keep_corrupt=True),
+            read_metadata(spark, [f"{f}/{METADATA_FILE}" for f in folders], keep_corrupt=True))
+
 
+def _scan(spark: SparkSession, base: str, warehouse: Warehouse, load_id: int, runs: list[tuple[str, str]],
+          options: LoadOptions) -> tuple[dict[tuple[str, str], str], DataFrame, DataFrame]:
+    """Reasons of the runs with a file that cannot be read; records and metadata of the others.
 
-def _load_isolated(spark: SparkSession, base: str, warehouse: Warehouse, runs: list[tuple[str, str]],
-                   options: LoadOptions) -> dict[tuple[str, str], str]:
-    """Load all runs together; if a job breaks, load each half on its own, down to the run that breaks it."""
-    if not runs:
-        return {}
+    A gzip file is one task. Its records are written once as scanned, typed and splittable; everything else reads those,
+    so a large file costs one long task and no shuffle. All runs are scanned in one job; if a file cannot be read, each
+    run is scanned in a job of its own, to find the runs that break it. Errors that are not about reading a file end
+    the load: they are no run's fault.
+    """
+    failures: dict[tuple[str, str], str] = {}
+
+    def alone(run: tuple[str, str]) -> None:
+        try:
+            warehouse.write_raw(load_id, *_frames(spark, base, [run], options))
+        except SPARK_ERRORS as e:
+            if not _unreadable(e):
+                raise
+            failures[run] = f"load failed: {_reason(e)}"
+
+    frames = _frames(spark, base, runs, options)
     try:
-        return _load_admitted(spark, base, warehouse, warehouse.start_load(), runs, options)
+        warehouse.write_raw(load_id, *frames)
     except SPARK_ERRORS as e:
-        if len(runs) == 1:
-            return {runs[0]: f"load failed: {_first_line(e)}"}
-    half = len(runs) // 2
-    return {**_load_isolated(spark, base, warehouse, runs[:half], options),
-            **_load_isolated(spark, base, warehouse, runs[half:], options)}
+        if not _unreadable(e):
+            raise
+        warehouse.discard_raw(load_id)  # metadata may have been written before the records broke
+        for run in runs:  # one after the other: they add to one folder
+            alone(run)
+    bad = control_table(spark, list(failures), "agency string, version string")
+    metadata, feed = (warehouse.raw(load_id, n, f.schema).join(bad, RUNS, "left_anti")
+                      for n, f in zip(("_metadata", "_raw"), frames[::-1], strict=True))
+    return failures, feed, metadata
 
 
-def _first_line(error: Exception) -> str:
-    lines = [line for line in str(error).splitlines() if "[" in line] or [str(error)]
-    return lines[0].strip()[:500]
+def _unreadable(error: Exception) -> bool:
+    return "FAILED_READ_FILE" in str(error)
+
+
+def _reason(error: Exception) -> str:
+    return "\n".join(line for line in str(error).splitlines() if "FAILED_READ_FILE" in line).strip()
 
 
 def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id: int, runs: list[tuple[str, str]],
-                   options: LoadOptions) -> dict[tuple[str, str], str]:
-    folders = [f"{base}/{a}/{v}" for a, v in runs]
-    wanted = control_table(spark, runs, "agency string, version string")
-    # A gzip file is one task. The records are written once as scanned, typed and splittable; everything else reads
-    # those, so a large file costs one long task and no shuffle.
-    raw = read_feed(spark, [f"{f}/{PUBLICATION_FILES}" for f in folders], options.schema, keep_corrupt=True)
-    feed = warehouse.write_raw(load_id, raw)
-    metadata = warehouse.write_metadata(load_id, read_metadata(spark, [f"{f}/{METADATA_FILE}" for f in folders],
-                                                               keep_corrupt=True))
-    verdicts = wanted.join(validated_runs(feed, metadata, options.record_key), RUNS, "left")
-    failures = {(r["agency"], r["version"]): r["reason"] for r in verdicts.collect() if r["reason"]}
+                   options: LoadOptions) -> tuple[dict[tuple[str, str], str], dict[tuple[str, str], dict[str, int]]]:
+    """Reasons of the runs that fail, and what the load reports of the others."""
+    failures, feed, metadata = _scan(spark, base, warehouse, load_id, runs, options)
+    wanted = control_table(spark, [r for r in runs if r not in failures], "agency string, version string")
+    verdicts = wanted.join(validated_runs(feed, metadata, options.record_key).withColumn("judged", F.lit(True)), RUNS, "left")
+    reason = F.when(F.col("judged").isNull(), F.lit("no records found")).otherwise(F.col("reason"))
+    failures |= {(r["agency"], r["version"]): r["reason"]
+                 for r in verdicts.select(*RUNS, reason.alias("reason")).where("reason is not null").collect()}  # one row per run
     valid = [run for run in runs if run not in failures]
     if not valid:
-        return failures
+        return failures, {}
 
     keys = warehouse.register(control_table(spark, valid, "agency string, version string"))
-    feed = feed.join(F.broadcast(keys), RUNS)
-    kinds = stage_runs(warehouse, load_id, feed, metadata_aliases(metadata).join(F.broadcast(keys), RUNS), len(valid))
-    load = StarLoad(spark, kinds, lambda name, df: warehouse.write_table(load_id, name, df, len(valid)), warehouse.last_ids())
+    feed = feed.join(keys, RUNS)
+    kinds = stage_runs(warehouse, load_id, feed, metadata_aliases(metadata).join(keys, RUNS))
+    load = StarLoad(spark, kinds, lambda name, df: warehouse.write_table(load_id, name, df), warehouse.last_ids(),
+                    options.collation)
     tables = load.all()
     report = audit_constraints(tables, TABLES, options.references)
     broken = {r["run_id"]: r for r in report.where((F.col("violations") > 0) & F.col("run_id").isNotNull())
@@ -176,9 +212,14 @@ def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id
     failures |= {names[i]: f"constraint violated: {r['rule']}" for i, r in broken.items()}
     per_run, last_ids = _summary(spark, tables)
     fine = keys.where(~F.col("run_id").isin(list(broken))) if broken else keys
+    losses = load_losses(kinds, tables).collect()  # one row per run
+    stale = warehouse.table("snippet_validation").join(fine, "run_id", "left_semi").groupBy("run_id").count().collect()
+    stale = {r["run_id"]: r["count"] for r in stale}
     if len(broken) < len(names):
         warehouse.publish(load_id, fine, per_run, last_ids)
-    return failures
+    rows = {r["run_id"]: r.asDict() for r in losses}
+    return failures, {names[i]: rows.get(i, dict.fromkeys(REPORT, 0)) | {"stale_verdicts": stale.get(i, 0)}
+                      for i in names if i not in broken}
 
 
 def ingest(spark: SparkSession, base: str, warehouse: Warehouse, overwrite: bool = False,
@@ -191,8 +232,8 @@ def ingest(spark: SparkSession, base: str, warehouse: Warehouse, overwrite: bool
     fresh = discover.new_objects(listing, warehouse.ledger(), overwrite)
     work = discover.work_list(discover.changed_runs(fresh), warehouse.reload_requests())
     work = control_table(spark, work.collect(), work.schema)  # one row per run
-    result = load_runs(spark, base, warehouse, work, options)
+    result = load_runs(spark, base, warehouse, work, options, listing)
     loaded = result.where(F.col("status") == "loaded")
-    seen = fresh.select("key", *discover.run_of_key(F.col("key"))).join(F.broadcast(loaded), RUNS, "left_semi")
+    seen = fresh.select("key", *discover.run_of_key(F.col("key"))).join(loaded, RUNS, "left_semi")
     warehouse.remember(discover.new_objects(seen, warehouse.ledger()))
     return result

@@ -152,6 +152,16 @@ INPUT_TABLES: dict[str, Table] = {
          _text("country_code", 10), _text("boundingbox"), Column("lat", "double"), Column("lon", "double"),
          _text("q_final"), Column("nattempt", "smallint"), _text("display_name"), Column("importance", "double")),
         run_scoped=False, stamped=False),
+    "affiliation_geocoding": Table(
+        (_text("source", 10), _text("boundingbox"), Column("lat", "double"), Column("lon", "double"), _text("city", 4000),
+         _text("state", 4000), _text("state_short", 4000), _text("country", 4000), _text("country_short", 10),
+         _text("display_name"), _text("q", None, True), _text("q_final"), Column("nattempt", "smallint"),
+         Column("importance", "double")),
+        run_scoped=False, stamped=False),
+    "publication_affiliation_geocoding": Table(
+        (_key("publication_affiliation_id"), _key("affiliation_geocoding_id")),
+        {"publication_affiliation_id": "publication_affiliation", "affiliation_geocoding_id": "affiliation_geocoding"},
+        stamped=False),
     "publication_affiliation_geo": Table(
         (_key("publication_affiliation_id"), _key("affiliation_geo_id")),
         {"publication_affiliation_id": "publication_affiliation", "affiliation_geo_id": "affiliation_geo"},

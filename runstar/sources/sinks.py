@@ -7,9 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 
-# A load of more runs than this is shuffled once more before it is written, to keep files few and large.
-RUNS_PER_TASK = 8
-
 
 def without_arrays(df: DataFrame) -> DataFrame:
     """The encoded columns only."""
@@ -27,12 +24,10 @@ def preview(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def write_by_run(df: DataFrame, path: str, partitions: Sequence[str], n_runs: int) -> None:
+def write_by_run(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     """Append a table partitioned by run.
 
-    Every task writes one file per run it holds. That is fine for a few runs; with more, the rows are first brought
-    together by run, in pieces that Spark sizes (it also splits the run that holds most rows).
+    Every task writes one file per run it holds, so rows are first brought together by run, in pieces that Spark sizes
+    (it also splits the run that holds most rows): files stay few and large, whatever the number of runs.
     """
-    if n_runs > RUNS_PER_TASK:
-        df = df.hint("rebalance", *partitions)
-    df.write.mode("append").partitionBy(*partitions).parquet(path)
+    df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)

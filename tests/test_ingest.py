@@ -12,7 +12,7 @@ from runstar.plans.star import BUILDERS
 from runstar.schemas import INPUT_TABLES
 from runstar.sources import discover, sinks
 from runstar.sources import feed as source
-from runstar.sources.warehouse import Warehouse
+from runstar.sources.warehouse import ConstraintViolated, Warehouse
 from runstar.sources.workspace import control_table, shared_folder
 from runstar.streaming.watch import ingest_stream
 from tests.feeds import record, write_metadata, write_run
@@ -134,6 +134,111 @@ def test_unreadable_file_fails_its_run_only(spark, base, warehouse):
     assert warehouse.table("publication").count() == 4
 
 
+def test_only_the_scan_is_repeated(spark, base, warehouse):
+    for name in "abc":
+        write_run(base, name, "v1", RECORDS)
+    broken = base / "b" / "v1" / "json" / "publications" / "publication_0.json.gz"
+    whole = broken.read_bytes()
+    broken.write_bytes(whole[:60])
+    ingest(spark, str(base), warehouse)
+    assert warehouse.log().where("action = 'start'").count() == 1
+    assert {r["version"] for r in warehouse.load_log().collect()} == {"v1"} and warehouse.failed_runs().count() == 1
+    broken.write_bytes(whole)
+    assert outcome(ingest(spark, str(base), warehouse)) == {("b", "v1"): ("loaded", None)}
+    assert warehouse.failed_runs().count() == 0
+
+
+def test_own_faults_are_not_a_runs_fault(spark, base, warehouse, monkeypatch):
+    write_run(base, "a", "v1", RECORDS)
+    monkeypatch.setattr(staging, "all_kinds", lambda *a, **k: spark.range(1).select("no_such_column"))
+    with pytest.raises(SPARK_ERRORS, match="no_such_column"):
+        ingest(spark, str(base), warehouse)
+
+
+def test_a_run_without_records_fails(spark, base, warehouse):
+    write_run(base, "a", "v1", RECORDS)
+    write_run(base, "b", "v1", [], years={})
+    got = outcome(ingest(spark, str(base), warehouse))
+    assert got[("a", "v1")] == ("loaded", None) and got[("b", "v1")][0] == "failed"
+
+
+def test_load_needs_a_schema():
+    with pytest.raises(ValueError, match="schema"):
+        LoadOptions(schema=None)
+
+
+def test_collation_of_a_load(spark, base, warehouse):
+    write_run(base, "a", "v1", [record("x", journal_title="Nature"), record("y", journal_title="NATURE")])
+    ingest(spark, str(base), warehouse, options=LoadOptions(collation="UTF8_LCASE"))
+    assert warehouse.table("journal").count() == 1 and warehouse.table("publication").count() == 2
+
+
+def test_load_report(spark, base, warehouse):
+    write_run(base, "a", "v1", [record("x"), record("y", journal_scopus_source_id=None)])
+    ingest(spark, str(base), warehouse)
+    dyads = warehouse.table("dyad").select("run_id", F.col("id").alias("dyad_id"), F.lit(1).cast("bigint").alias("reviewer_id"))
+    warehouse.add_input("snippet_validation", dyads)
+    n = dyads.count()
+    warehouse.request_reload("a", "v1")
+    assert outcome(ingest(spark, str(base), warehouse)) == {("a", "v1"): ("loaded", None)}
+    log = [(r["publications_dropped"], r["publications_repeated"], r["stale_verdicts"]) for r in warehouse.load_log().orderBy("at").collect()]
+    assert n > 0 and log == [(1, 0, 0), (1, 0, n)]
+
+
+def files(warehouse, pattern):
+    return sorted(str(p.relative_to(warehouse.root)) for p in Path(warehouse.root).glob(pattern))
+
+
+def test_delete_drop_and_unseen_files(spark, base, warehouse):
+    for name in ("a", "b c", "x=y"):
+        write_run(base, name, "v1", RECORDS)
+    ingest(spark, str(base), warehouse)
+    assert len(files(warehouse, "staging/_raw/load_id=*/agency=*/version=*")) == 3
+    warehouse.delete_run("x=y", "v1")
+    assert not [f for f in files(warehouse, "staging/*/load_id=*/agency=*") if "x%3Dy" in f and list(Path(warehouse.root, f).iterdir())]
+    assert len(files(warehouse, "staging/_metadata/load_id=*/agency=*/version=*")) == 2
+    # a replaced load and one that failed
+    warehouse.request_reload("b c", "v1")
+    broken = base / "a" / "v1" / "stat" / "export_metadata.json"
+    broken.write_text("{ no json")
+    ingest(spark, str(base), warehouse, overwrite=True)
+    before = contents(warehouse, warehouse.run_id("a", "v1")), contents(warehouse, warehouse.run_id("b c", "v1"))
+    assert len(files(warehouse, "staging/_raw/load_id=*/agency=*/version=*")) > 2
+    warehouse.remove_unseen()
+    assert before == (contents(warehouse, warehouse.run_id("a", "v1")), contents(warehouse, warehouse.run_id("b c", "v1")))
+    left = files(warehouse, "staging/_raw/load_id=*/agency=*/version=*")
+    assert len(left) == warehouse.runs().count() and len(files(warehouse, "tables/publication/load_id=*/run_id=*")) == len(left)
+    warehouse.drop_tables()
+    assert files(warehouse, "staging/*") == [] == files(warehouse, "tables/*")
+
+
+def test_inputs_are_checked(spark, base, warehouse):
+    write_run(base, "a", "v1", RECORDS)
+    ingest(spark, str(base), warehouse)
+    one = warehouse.table("dyad").limit(1).select("run_id", F.col("id").alias("dyad_id"), F.lit(1).cast("bigint").alias("reviewer_id"))
+    warehouse.add_input("snippet_validation", one)
+    for wrong in (one, one.withColumn("dyad_id", F.lit(10**9)), one.withColumn("reviewer_id", F.lit(None).cast("bigint"))):
+        with pytest.raises(ConstraintViolated, match="unique|reference:dyad_id|not_null:reviewer_id"):
+            warehouse.add_input("snippet_validation", wrong)
+    assert warehouse.table("snippet_validation").count() == 1
+    warehouse.add_input("affiliation_geocoding", control_table(spark, [("q", "Kiel")], "q string, city string"))
+    assert warehouse.table("affiliation_geocoding").count() == 1
+    pair = warehouse.table("publication_affiliation").limit(1).select("run_id", F.col("id").alias("publication_affiliation_id"))
+    warehouse.add_input("publication_affiliation_geocoding", pair.withColumn("affiliation_geocoding_id", F.lit(1).cast("bigint")))
+    with pytest.raises(ConstraintViolated, match="affiliation_geocoding_id"):
+        warehouse.add_input("publication_affiliation_geocoding", pair.withColumn("affiliation_geocoding_id", F.lit(2).cast("bigint")))
+
+
+@pytest.mark.parametrize("prefix, path, key", [
+    ("s3a://feed", "s3a://feed/newsfeed/2024/json/publications/x.json.gz", "newsfeed/2024/json/publications/x.json.gz"),
+    ("s3a://bucket/feed/", "s3a://bucket/feed/feed/feed/x", "feed/feed/x"), ("/data/feed", "file:/data/feed/a/v/x", "a/v/x"),
+    ("file:///data/feed", "file:/data/feed/a/v/x", "a/v/x"), ("file:/data/feed/", "file:///data/feed/a/v/x", "a/v/x"),
+    ("/data/feed", "file:/data/feedback/a/v/x", None), ("/", "file:/a/v/x", "a/v/x")])
+def test_keys_below_a_prefix(spark, prefix, path, key):
+    df = spark.createDataFrame([(path,)], "p string")
+    assert df.select(discover.relative_key(F.col("p"), prefix)).first()[0] == key
+
+
 def test_load_replace_delete(spark, base, warehouse):
     write_run(base, "a", "v1", RECORDS)
     ingest(spark, str(base), warehouse)
@@ -230,6 +335,26 @@ def test_stream_loads_only_new_runs(spark, base, warehouse, tmp_path):
     assert warehouse.load_log().count() == 2 and warehouse.table("publication").count() == 6
 
 
+def test_stream_retries_and_reloads_without_new_objects(spark, base, warehouse, tmp_path):
+    write_run(base, "a", "v1", RECORDS)
+    write_run(base, "b", "v1", RECORDS)
+    broken = base / "b" / "v1" / "json" / "publications" / "publication_0.json.gz"
+    whole, checkpoint = broken.read_bytes(), str(tmp_path / "checkpoint")
+    broken.write_bytes(whole[:60])
+
+    def run():
+        ingest_stream(spark, str(base), warehouse, checkpoint).awaitTermination()
+        warehouse.refresh()
+        return [(r["agency"], r["status"]) for r in warehouse.load_log().orderBy("at", "agency").collect()]
+
+    assert run() == [("a", "loaded"), ("b", "failed")]
+    broken.write_bytes(whole)  # the same object: no batch will name it
+    assert run()[2:] == [("b", "loaded")]
+    warehouse.request_reload("a", "v1")
+    assert run()[3:] == [("a", "loaded")] and warehouse.reload_requests().count() == 0
+    assert len(run()) == 4 and warehouse.table("publication").count() == 8
+
+
 def test_staging_and_csv_sinks(spark, base, warehouse, tmp_path):
     write_run(base, "a b", "v1", RECORDS)
     ingest(spark, str(base), warehouse)

@@ -101,12 +101,10 @@ def test_collation_merges_case(spark):
     assert dimension(collate(df, "UTF8_LCASE"), {"name": F.col("name")}).count() == 2
 
 
-@pytest.mark.parametrize("limit", [3, 100])
-def test_nest_cuts_long_groups(spark, limit):
-    df = spark.range(50).select(F.when(F.col("id") < 40, 0).otherwise(F.col("id")).alias("k"), "id",
-                                F.lit("same").alias("v"))
-    nested = nest(df, "k", F.struct("id", "v"), "xs", "id", max_children=limit)
-    back = nested.select("k", F.inline("xs"))
-    assert sorted(r["id"] for r in back.collect()) == list(range(50))
-    parts = nested.where("k = 0").count()
-    assert parts == 1 if limit == 100 else parts > 5
+def test_an_order_is_one_record_of_any_size(spark):
+    df = spark.range(50_010).select(F.when(F.col("id") < 50_000, 0).otherwise(F.col("id")).alias("k"), "id")
+    nested = nest(df, "k", F.struct("id"), "xs")
+    assert {r["k"]: r["n"] for r in nested.select("k", F.size("xs").alias("n")).collect()} == {
+        0: 50_000, **{k: 1 for k in range(50_000, 50_010)}}
+    parts = nest(df, "k", F.struct("id"), "xs", F.floor(F.col("id") / 1000).alias("part"))
+    assert parts.where("k = 0").count() == 50 and parts.select(F.max(F.size("xs"))).first()[0] == 1000

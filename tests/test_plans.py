@@ -44,6 +44,32 @@ def test_numbering_gathers_bucket_sizes_only(spark):
     assert "HashAggregate" in below and "_bucket" in below and "payload" not in below
 
 
+@pytest.fixture(scope="module")
+def built(spark, feed):
+    space = Workspace(spark)
+    kinds = staging.all_kinds(feed, space.keep("aliases", aliases(spark)))
+    load = star.StarLoad(spark, kinds, lambda n, df: space.keep(n, df))
+    return kinds, load.all()
+
+
+@pytest.mark.parametrize("table", ["dyad", "dyad_model", "publication_asjc", "author_affiliation"])
+def test_bridges_run_each_lookup_once(spark, built, table):
+    """As many joins run as the builder has lookups, and one that adds the offsets of the buckets."""
+    kinds, tables = built
+    build, own, parents = star.BUILDERS[table]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = build(*[kinds[k] for k in own], *[tables[p] for p in parents], start=0)
+        logical = df._jdf.queryExecution().optimizedPlan().toString()
+        text = plan(df, final=True)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    ran = len(re.findall(r"(SortMergeJoin|ShuffledHashJoin)", text))
+    # the logical plan has every lookup twice, for the numbering and for the sizes
+    planned = (len(re.findall(r"Join (Inner|LeftOuter|LeftSemi)", logical)) - 1) // 2
+    assert ran == planned > 0 and "ReusedExchange" in text
+
+
 @pytest.mark.parametrize("table, kind", [("topic", "topics"), ("publisher", "publications"), ("asjc", "asjcs"),
                                          ("dataset_alias", "datasets")])
 def test_numbering_reuses_the_distinct_exchange(spark, feed, table, kind):

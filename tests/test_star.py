@@ -282,3 +282,13 @@ def test_ordered_agg(spark):
     chunked = ordered_agg(df, ["k"], "v", "id", flags, chunk=F.floor(F.col("id") / 100))
     assert rows(whole, "k", "joined", "n") == rows(chunked, "k", "joined", "n")
     assert whole.where("k = 0").first()["joined"].startswith("0,2,4,")
+
+
+def test_ordered_agg_keeps_null_keys(spark):
+    df = spark.range(600).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.lit(None).cast("int").alias("j"), "id",
+                                 F.col("id").cast("string").alias("v"))
+    flags = {"n": F.count_if(F.col("id") > 10)}
+    whole = ordered_agg(df, ["k", "j"], "v", "id", flags)
+    chunked = ordered_agg(df, ["k", "j"], "v", "id", flags, chunk=F.floor(F.col("id") / 100))
+    assert chunked.columns == whole.columns and chunked.count() == 3
+    assert sorted(map(str, whole.collect())) == sorted(map(str, chunked.collect()))

@@ -83,3 +83,22 @@ def test_long_title_is_a_violation(spark):
     full = df.select("*", *[F.lit(None).cast(c.type).alias(c.name) for c in TABLES["publication"].columns if c.name != "title"])
     assert report(validate.audit_table("publication", TABLES["publication"], {"publication": full})) == {
         ("publication", "max_length:title"): 1}
+
+
+def test_audit_of_a_table_with_references_only(spark):
+    rows = spark.sql("select 1L id, 1L run_id, 5L publication_author_id, 6L publication_affiliation_id, current_timestamp() last_updated_date")
+    none = spark.sql("select 0L id").where("id > 0")
+    tables = {"author_affiliation": rows, "publication_author": none, "publication_affiliation": none}
+    report = validate.audit_constraints({"author_affiliation": rows, **{k: v.withColumn("run_id", F.lit(1)) for k, v in tables.items() if k not in (
+        "author_affiliation",)}}, {"author_affiliation": TABLES["author_affiliation"]})
+    assert {(r["rule"], r["violations"]) for r in report.collect()} == {
+        ("reference:publication_author_id", 1), ("reference:publication_affiliation_id", 1)}
+    assert validate.checked_rules("author_affiliation", TABLES["author_affiliation"], tables) == [
+        "reference:publication_author_id", "reference:publication_affiliation_id"]
+
+
+def test_all_failing_runs_are_named(spark):
+    verdict = spark.range(30).select(F.col("id").cast("string").alias("agency"), F.lit("v").alias("version"), F.lit(False).alias("valid"))
+    with pytest.raises(validate.ValidationError) as error:
+        validate.require_valid(verdict)
+    assert str(error.value).count("_v") == 30
