@@ -19,7 +19,7 @@ LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 #: The endings that the split keeps with their apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Words that a worker's cache holds before it is emptied.
-CACHED = 1_000_000
+CACHED = 300_000
 
 
 @cache
@@ -85,6 +85,10 @@ class Encoder:
         self.merges = Tokenizer.from_str(vocabulary).model
         self._empty()
 
+    def forget(self) -> None:
+        """Empty the cache: a worker that waits for other work should not hold it."""
+        self._empty()
+
     def _empty(self) -> None:
         self.slot: dict[int, int] = {}
         self.begin, self.ids = [0], np.zeros(1 << 16, np.uint32)

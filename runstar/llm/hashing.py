@@ -15,7 +15,7 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text that are handled at once; a longer text is handled alone.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -216,6 +216,7 @@ def _pieces(name: str, vocabulary: Broadcast, capacity: int, keep_ids: bool):
                 if keep_ids:
                     made, names = [*made, pa.array([x.astype(np.int32) for x in columns[5]], pa.list_(pa.int32()))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(made, names)
+        own.forget()
     return run
 
 
