@@ -228,22 +228,22 @@ class KatzModel:
         return self.spark.read.schema("key long, n long, bucket int").parquet(path)
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """(row, doc_id, held_out, n_tokens, n_known, base_score, score) of each row of ``docs`` (doc_id, held_out, text)."""
+        """(doc_id, held_out, n_tokens, n_known, base_score, score) of each row of ``docs`` (doc_id, held_out, text)."""
         kind = docs.schema["doc_id"].dataType.simpleString()
         sent = self.spark.sparkContext.broadcast(self.model)
-        schema = ("bucket int, kind int, keys array<long>, sizes array<long>, docs array<int>, first long, "
-                  f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        sums = (f"docs array<int>, first long, doc_ids array<{kind}>, held_out array<boolean>, n_tokens array<long>, "
+                "n_known array<long>, base_score array<double>, score array<double>")
         rows = docs.select("doc_id", "held_out", "text").withColumn("row", F.monotonically_increasing_id())
-        asked = map_arrow(rows, _ask(sent, self.buckets), schema)
-        rare = self.words.unionByName(self.bigrams)
-        told = map_arrow(rare, _tell, "bucket int, kind int, keys array<long>, sizes array<long>")
+        asked = map_arrow(rows, _ask(sent, self.buckets),
+                          f"bucket int, kind int, keys array<long>, sizes array<long>, {sums}")
+        known = self.words.unionByName(self.bigrams)
+        told = map_arrow(known, _tell, "bucket int, kind int, keys array<long>, sizes array<long>")
         dealt = (asked.unionByName(told, allowMissingColumns=True).repartition(self.buckets, "bucket")
                  .sortWithinPartitions("bucket", "kind"))
-        partial = map_arrow(dealt, _answer(sent), f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, "
-                                                  "base_score double, score double")
-        return partial.groupBy("row").agg(
-            F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),
-            *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
+        partial = map_arrow(dealt, _answer(sent), sums)
+        back = partial.repartition(self.buckets, "first").sortWithinPartitions("first")
+        return map_arrow(back, _gather, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, "
+                                        "score double")
 
 
 def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,10 +287,14 @@ def _ask(model: Broadcast, buckets: int):
                     hot, log = np.zeros(len(key), bool), np.zeros(len(key))
                 sums.append(np.bincount(doc, np.repeat(log, size), n))
                 rows = batch.slice(begin, n)
+                first = rows["row"][0].as_py()
+                whole = np.array([0, n], np.int32)
+                lists = [np.arange(n, dtype=np.int32), rows["doc_id"], rows["held_out"], *sums]
                 yield _row(pa.RecordBatch.from_arrays(
-                    [pa.array(_bucket(rows["row"].to_numpy(), buckets)), pa.array(np.ones(n, np.int32)), rows["row"],
-                     rows["doc_id"], rows["held_out"], *map(pa.array, sums)],
-                    ["bucket", "kind", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
+                    [pa.array(_bucket(np.array([first]), buckets)), pa.array([1], pa.int32()), pa.array([first]),
+                     *(pa.ListArray.from_arrays(pa.array(whole), x if isinstance(x, pa.Array) else pa.array(x)) for x in lists)],
+                    ["bucket", "kind", "first", "docs", "doc_ids", "held_out", "n_tokens", "n_known", "base_score", "score"]),
+                    rows.schema.field("doc_id").type)
                 bucket = np.where(hot, -1, _bucket(key, buckets))
                 turn = np.argsort(bucket, kind="stable")
                 turn = turn[int(hot.sum()):]
@@ -306,7 +310,7 @@ def _ask(model: Broadcast, buckets: int):
                      pa.ListArray.from_arrays(cuts, pa.array(key[turn])),
                      pa.ListArray.from_arrays(cuts, pa.array(size[turn])),
                      pa.ListArray.from_arrays(pa.array(upto[at].astype(np.int32)), pa.array(docs)),
-                     pa.array(np.full(len(value), rows["row"][0].as_py()))],
+                     pa.array(np.full(len(value), first))],
                     ["bucket", "kind", "keys", "sizes", "docs", "first"]), rows.schema.field("doc_id").type)
     return run
 
@@ -317,22 +321,21 @@ def _base(m: Model) -> float:
 
 
 _ASKED = [("bucket", pa.int32()), ("kind", pa.int32()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
-          ("docs", pa.list_(pa.int32())), ("first", pa.int64()), ("row", pa.int64()), ("doc_id", None),
-          ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
-          ("score", pa.float64())]
+          ("docs", pa.list_(pa.int32())), ("first", pa.int64()), ("doc_ids", None), ("held_out", pa.list_(pa.bool_())),
+          ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())), ("base_score", pa.list_(pa.float64())),
+          ("score", pa.list_(pa.float64()))]
 
 
-def _row(batch: pa.RecordBatch, id_type: pa.DataType | None = None) -> pa.RecordBatch:
-    """``batch`` with all columns of a request."""
+def _row(batch: pa.RecordBatch, id_type: pa.DataType, columns: list = _ASKED) -> pa.RecordBatch:
+    """``batch`` with all columns of a request, or of an answer."""
     names = batch.schema.names
-    id_type = id_type or batch.schema.field("doc_id").type
-    return pa.RecordBatch.from_arrays(
-        [batch[c].cast(t or id_type) if c in names else pa.nulls(batch.num_rows, t or id_type) for c, t in _ASKED],
-        [c for c, _ in _ASKED])
+    types = [(c, t or pa.list_(id_type)) for c, t in columns]
+    return pa.RecordBatch.from_arrays([batch[c].cast(t) if c in names else pa.nulls(batch.num_rows, t) for c, t in types],
+                                      [c for c, _ in types])
 
 
 def _answer(model: Broadcast):
-    """Partial sums for documents: a bucket's counts come first, then what asks for them, a row at a time."""
+    """Partial sums for the documents of a slice: a bucket's counts come first, then what asks for them, a row at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         bucket, keys, counts = None, [], []
@@ -341,7 +344,8 @@ def _answer(model: Broadcast):
             kinds = batch["kind"].to_numpy()
             home = batch.filter(pa.array(kinds == 1))
             if home.num_rows:
-                yield home.select([c for c, _ in _ASKED[6:]])
+                yield home.select([c for c, _ in _ASKED[4:]])
+            id_type = batch.schema.field("doc_ids").type.value_type
             for i in np.flatnonzero(kinds != 1).tolist():
                 if (b := batch["bucket"][i].as_py()) != bucket:
                     bucket, keys, counts, known = b, [], [], (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -354,11 +358,38 @@ def _answer(model: Broadcast):
                     key_, count_ = np.concatenate([known[0], *keys]), np.concatenate([known[1], *counts])
                     order = np.argsort(key_)
                     known, keys, counts = (key_[order], count_[order]), [], []
-                yield _sums(m, known, key, size, batch["docs"][i].values.to_numpy(), batch["first"][i].as_py(),
-                            batch.schema.field("doc_id").type)
+                yield _sums(m, known, key, size, batch["docs"][i].values.to_numpy(), batch["first"][i].as_py(), id_type)
     return run
 
 
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of all buckets for each slice, a row for each of its documents."""
+    names = ("n_tokens", "n_known", "base_score", "score")
+    first, home, parts = None, None, []
+
+    def finished() -> pa.RecordBatch:
+        n = len(home["docs"])
+        total = [np.zeros(n, np.int64 if c.startswith("n_") else np.float64) for c in names]
+        for row in parts:
+            docs = row["docs"].to_numpy()
+            for out, c in zip(total, names, strict=True):
+                out[docs] += row[c].to_numpy()
+        return pa.RecordBatch.from_arrays([home["doc_ids"], home["held_out"], *map(pa.array, total)],
+                                          ["doc_id", "held_out", *names])
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            if (own := batch["first"][i].as_py()) != first:
+                if parts:
+                    yield finished()
+                first, home, parts = own, None, []
+            row = {c: batch[c][i].values for c in ("docs", "doc_ids", "held_out", *names)}
+            home = row if row["doc_ids"] is not None else home
+            parts.append(row)
+    if parts:
+        yield finished()
+
+
 def _sums(m: Model, known: tuple[np.ndarray, np.ndarray], key: np.ndarray, size: np.ndarray, docs: np.ndarray, first: int,
           id_type: pa.DataType) -> pa.RecordBatch:
     count = np.zeros(len(key), np.int64)
@@ -372,11 +403,10 @@ def _sums(m: Model, known: tuple[np.ndarray, np.ndarray], key: np.ndarray, size:
     base[word] = np.log10((count[word] + 0.5) / _base(m))
     own, back = np.unique(docs, return_inverse=True)
     found = [np.bincount(back, np.repeat(x, size)) for x in (word & (count > 0), base, score)]
-    n = len(own)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(first + own.astype(np.int64)), pa.nulls(n, id_type), pa.nulls(n, pa.bool_()), pa.array(np.zeros(n, np.int64)),
-         pa.array(found[0].astype(np.int64)), pa.array(found[1]), pa.array(found[2])],
-        ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+    lists = [own, np.zeros(len(own), np.int64), found[0].astype(np.int64), found[1], found[2]]
+    whole = pa.array(np.array([0, len(own)], np.int32))
+    return _row(pa.RecordBatch.from_arrays([pa.array([first]), *(pa.ListArray.from_arrays(whole, pa.array(x)) for x in lists)],
+                                           ["first", "docs", "n_tokens", "n_known", "base_score", "score"]), id_type, _ASKED[4:])
 
 
 def score_held_out(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
