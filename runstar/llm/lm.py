@@ -1,19 +1,21 @@
 """Language-model scoring by a Katz back-off model of order two, trained and evaluated over whole tables.
 
-Tokens are words and one end a text, which is also the history of a text's first word. The ``WORDS`` most frequent words are
-symbols of their own; all other words share the symbol 0 and are told apart by their own counts:
+Tokens are words and one end a text, which is also the history of a text's first word. Every training word is a symbol:
 
-    p(w | h) = d(c) c / (n + 0.5)             if the bigram (h, symbol of w) was seen c times, h being seen n times
-             = b(h) p(symbol of w)            else
-    times p(w | symbol 0) = (c(w) + 0.5) / (sum over such words of (c + 0.5) + 0.5)  for words of symbol 0,
+    p(w | h) = d(c) c / (n + 0.5)    if the bigram (h, w) was seen c times, h being seen n times
+             = b(h) p(w)             else
 
-with Good-Turing discounts d for counts up to ``DISCOUNTED`` and b(h) such that the probabilities of all symbols after h sum
-to 1 exactly. The 0.5 leaves every history some mass to back off with. p(symbol) adds 0.5 to each count, an unknown word
+with Good-Turing discounts d for counts up to ``DISCOUNTED`` and b(h) such that the probabilities of all words after h sum
+to 1 exactly. The 0.5 leaves every history some mass to back off with. p(w) adds 0.5 to each count, an unknown word
 counting as one more word. So p(w | h) sums to 1 over all known words, the end and one unknown word.
 
-Counts of words and bigrams are tables partitioned by a hash of their key. Scoring evaluates the ``HOT`` most frequent
-bigrams where the text is; all other keys go to their bucket, once for each slice of texts, with the documents that hold
-them; counts come to the same bucket, and partial sums go back. Only tables of bounded size are broadcast.
+With ``WORDS`` set it is a class model instead: only so many of the most frequent words are symbols of their own, the others share
+one symbol s and are told apart by their own counts, p(w | h) = p(s | h) (c(w) + 0.5) / (sum over such words of (c + 0.5) + 0.5).
+
+Counts of words, bigrams and histories are tables. A text's score is the sum of log10 p(w) + log10 b(w) over its words, for each is a
+history too, and of what a seen bigram differs from that. Scoring evaluates a cache of hot keys where the text is; all other
+keys go to their bucket, once for each slice of texts, with the documents that hold them; values come to the same bucket, and
+partial sums go back. Only tables of bounded size are broadcast.
 """
 
 from __future__ import annotations
@@ -27,15 +29,18 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.llm.hashing import Words, blocks, mix, words
+from runstar.llm.hashing import BASE, Words, blocks, mix, words
 from runstar.llm.workers import map_arrow
 from runstar.sources.workspace import Workspace
 
-WORDS, HOT, DISCOUNTED = 1 << 16, 1 << 20, 5
-#: Tokens of one slice.
-SLICE = 800_000
-#: The key of the end; word keys are negative, bigram keys are not.
-END = -1
+#: Words with symbols of their own: all of them, unless a class model is wanted.
+WORDS: int | None = None
+#: Bigrams and words that are cached where they are looked up, and the largest count that is discounted.
+HOT, HOT_WORDS, DISCOUNTED = 1 << 20, 1 << 16, 5
+#: Tokens of one slice; rows of counts that are dealt together.
+SLICE, DEALT = 800_000, 500_000
+#: The keys of the end and of words without a symbol; word keys are negative, bigram keys are not.
+END, RARE = -1, -2
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, list[Words]]]:
@@ -83,41 +88,44 @@ def _count_words(buckets: int):
 
 @dataclass
 class Vocabulary:
-    """The words with symbols (sorted keys; a symbol is the place of its key and 1), and totals of all training tokens."""
+    """The words with symbols of their own (sorted keys; None: all words), and totals of all training tokens."""
 
-    keys: np.ndarray
-    counts: np.ndarray
+    keys: np.ndarray | None
     tokens: int
     distinct: int
 
     def symbols(self, keys: np.ndarray) -> np.ndarray:
+        if self.keys is None:
+            return keys
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at + 1, 0)
-
-    def bigrams(self, symbols: np.ndarray) -> np.ndarray:
-        """Keys of tokens after their histories, for whole texts one after the other."""
-        end = self.symbols(np.array([END]))
-        return np.concatenate((end, symbols[:-1])) * (len(self.keys) + 1) + symbols
+        return np.where(self.keys[at] == keys, keys, RARE)
 
     @property
-    def base(self) -> float:
-        """What all (count + 0.5) sum to, with an unknown word."""
-        return self.tokens + 0.5 * (max(self.distinct, 1) + 1)
+    def mass(self) -> int:
+        """What all (2 count + 1) sum to, with an unknown word."""
+        return 2 * self.tokens + max(self.distinct, 1) + 1
+
 
-    def rare(self) -> float:
-        """The part of ``base`` that words of symbol 0 have."""
-        return self.base - float((self.counts + 0.5).sum())
+def _histories(symbols: np.ndarray) -> np.ndarray:
+    """What stands before each token, for whole texts one after the other."""
+    return np.concatenate((np.array([END]), symbols[:-1]))
 
-    def unigrams(self) -> np.ndarray:
-        return np.concatenate(([self.rare()], self.counts + 0.5)) / self.base
 
+def _pair(before: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """The keys of bigrams."""
+    both = mix(before.view(np.uint64)) * np.uint64(BASE) + symbol.view(np.uint64)
+    return (mix(both) >> np.uint64(1)).view(np.int64)
 
-def _count_bigrams(vocabulary: Broadcast, buckets: int):
+
+def _count_bigrams(vocabulary: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Vocabulary = vocabulary.value
         for batch in batches:
             for _, parts in _slices(batch["text"]):
-                yield _counted(own.bigrams(own.symbols(_tokens(parts)[0])), buckets)
+                symbol = own.symbols(_tokens(parts)[0])
+                before = _histories(symbol)
+                _, at, n = np.unique(_pair(before, symbol), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(before[at]), pa.array(symbol[at]), pa.array(n)], ["h", "w", "n"])
     return run
 
 
@@ -138,42 +146,36 @@ def discounts(seen: list[int]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """What evaluation needs beside the counts: all of bounded size."""
+    """What evaluation needs beside the values: all of bounded size."""
 
     vocabulary: Vocabulary
-    discount: np.ndarray
-    total: np.ndarray
-    back_off: np.ndarray
+    unseen: float
     hot_keys: np.ndarray
     hot_counts: np.ndarray
+    hot_values: np.ndarray
 
-    def bigram_logs(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 p(symbol | history): by the bigram's count, or backed off."""
-        before, symbol = np.divmod(keys, len(self.vocabulary.keys) + 1)
-        kept = self.discount[np.minimum(counts, DISCOUNTED)] ** (counts <= DISCOUNTED) * counts
-        direct = kept / np.maximum(self.total[before], 0.5)
-        back = self.back_off[before] * self.vocabulary.unigrams()[symbol]
-        return np.log10(np.where(counts > 0, direct, back))
+    def terms(self, key: np.ndarray, found: np.ndarray, n: np.ndarray, value: np.ndarray) -> list[np.ndarray]:
+        """What each key adds to known words, base score and score."""
+        word = key < 0
+        n = np.where(word & found, n, 0)
+        base = np.where(word, np.log10((n + 0.5) / _base(self)), 0.0)
+        return [n > 0, base, np.where(found, value, np.where(word, self.unseen, 0.0))]
 
 
-def _history_sums(vocabulary: Broadcast, discount: np.ndarray):
-    """(history, n, freed, covered, seen): for each batch of bigrams and history, sums over its bigrams."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Vocabulary = vocabulary.value
-        unigrams = own.unigrams()
-        for batch in batches:
-            before, symbol = np.divmod(batch["key"].to_numpy(), len(own.keys) + 1)
-            n = batch["n"].to_numpy()
-            freed = np.where(n <= DISCOUNTED, (1 - discount[np.minimum(n, DISCOUNTED)]) * n, 0.0)
-            present, back = np.unique(before, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(present), *(pa.array(np.bincount(back, x)) for x in (n, freed, unigrams[symbol], np.ones(len(n))))],
-                ["history", "n", "freed", "covered", "seen"])
-    return run
+def _found(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether it is there) of each key among sorted ones, of which there is one at least."""
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return at, keys[at] == key
+
 
+def _with(rows: DataFrame, column: str, hot: DataFrame, cold: DataFrame) -> DataFrame:
+    """``rows`` with what two tables say of ``column``: one of few hot keys, which is broadcast, and one of all others."""
+    hot = F.broadcast(hot)
+    return rows.join(hot, column).unionByName(rows.join(hot.select(column), column, "left_anti").join(cold, column))
 
-def _at_most(counts: DataFrame, most: int, what: Column) -> pa.Table:
-    """The keys of the largest counts, ``most`` of them or fewer: all keys with a count that reaches a threshold."""
+
+def _least(counts: DataFrame, most: int, what: Column) -> int | None:
+    """The threshold that ``most`` counts or fewer reach; None if there is none."""
     by_count = counts.where(what).groupBy("n").agg(F.count("*").alias("keys")).orderBy(F.desc("n"))
     total, threshold = 0, None
     for r in by_count.limit(most).collect():  # one row for each different count
@@ -181,8 +183,11 @@ def _at_most(counts: DataFrame, most: int, what: Column) -> pa.Table:
         if total > most:
             break
         threshold = r["n"]
-    kept = counts.where(what).where(F.col("n") >= F.lit(threshold)) if threshold else counts.limit(0)
-    return kept.select("key", "n").toArrow()
+    return threshold
+
+
+def _reaches(threshold: int | None) -> Column:
+    return F.col("n") >= F.lit(threshold) if threshold else F.lit(False)
 
 
 class KatzModel:
@@ -193,39 +198,57 @@ class KatzModel:
         self.spark, self.work = spark, work
         self.buckets = buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         texts = training.select("text")
-        self.words = self._table("words", map_arrow(texts, _count_words(buckets), "bucket int, key long, n long"))
-        totals = self.words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-        top = _at_most(self.words, WORDS, F.col("key") != END)
-        end = self.words.where(F.col("key") == END).first()
-        keys = np.append(top["key"].to_numpy(), END)
-        order = np.argsort(keys)
-        vocabulary = Vocabulary(keys[order], np.append(top["n"].to_numpy(), end["n"] if end else 0)[order],
-                                totals["n"] or 0, totals["v"])
+        counts = map_arrow(texts, _count_words(buckets), "bucket int, key long, n long")
+        dealt = counts.repartition(buckets, "bucket")  # slices have added up what they hold of a key
+        words = work.keep("words", dealt.groupBy("bucket", "key").agg(F.sum("n").alias("n")).select("key", "n"))
+        totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+        inner = F.col("key") != END
+        own, keys = F.lit(True), None
+        if WORDS is not None:
+            own = ~inner | _reaches(_least(words, WORDS, inner))
+            keys = np.union1d(words.where(own).select("key").toArrow()["key"].to_numpy(), [END]).astype(np.int64)
+        vocabulary = Vocabulary(keys, totals["n"] or 0, totals["v"])
+        symbols = words.where(own).select("key", "n", (2 * F.col("n") + 1).alias("mass"))
+        if WORDS is not None:
+            owned = symbols.agg(F.sum("mass").alias("m"), F.max_by("key", F.col("key") == END).alias("end")).first()
+            rare = vocabulary.mass - (owned["m"] or 0) - (owned["end"] != END)
+            symbols = symbols.unionByName(spark.createDataFrame([(RARE, max(0, rare) // 2, rare)], symbols.schema))
+        often = _reaches(_least(symbols, HOT_WORDS, F.lit(True)))
+        hot, cold = symbols.where(often), symbols.where(~often)
+
         sent = spark.sparkContext.broadcast(vocabulary)
-        self.bigrams = self._table("bigrams", map_arrow(texts, _count_bigrams(sent, buckets),
-                                                        "bucket int, key long, n long"))
-        seen = self.bigrams.agg(*(F.count_if(F.col("n") == r).alias(f"n{r}") for r in range(1, DISCOUNTED + 2))).first()
-        discount = discounts(list(seen))
-        sums = map_arrow(self.bigrams.select("key", "n"), _history_sums(sent, discount),
-                         "history long, n double, freed double, covered double, seen double")
-        names = ("n", "freed", "covered", "seen")
-        sums = sums.groupBy("history").agg(*(F.sum(c).alias(c) for c in names)).toArrow()
-        n, freed, covered, kinds = (np.zeros(len(keys) + 1) for _ in names)
-        for out, c in zip((n, freed, covered, kinds), names, strict=True):
-            out[sums["history"].to_numpy()] = sums[c].to_numpy()
-        whole = kinds == len(keys) + 1
-        total = np.where(whole, n - freed, n + 0.5)
-        back_off = np.where(whole, 0.0, (0.5 + freed) / (n + 0.5) / np.where(whole, 1.0, 1 - covered))
-        hot = _at_most(self.bigrams, HOT, F.lit(True)).sort_by("key")
-        self.model = Model(vocabulary, discount, total, back_off, hot["key"].to_numpy(), hot["n"].to_numpy())
-
-    def _table(self, name: str, counts: DataFrame) -> DataFrame:
-        """Sums by key, written by bucket."""
-        path = self.work.path(name)
-        dealt = counts.repartition(self.buckets, "bucket")  # slices have added up what they hold of a key
-        summed = dealt.groupBy("bucket", "key").agg(F.sum("n").alias("n"))
-        summed.write.partitionBy("bucket").parquet(path)
-        return self.spark.read.schema("key long, n long, bucket int").parquet(path)
+        counts = map_arrow(texts, _count_bigrams(sent), "h long, w long, n long").repartition(buckets, "h", "w")
+        bigrams = work.keep("bigrams", counts.groupBy("h", "w").agg(F.sum("n").alias("n")))
+        bigrams = work.keep("weighed", _with(bigrams, "w", *(t.select(F.col("key").alias("w"), "mass") for t in (hot, cold))))
+        times = range(1, DISCOUNTED + 2)
+        histories = work.keep("histories", bigrams.groupBy("h").agg(
+            F.sum("n").alias("n"), F.sum("mass").alias("covered"), F.count("*").alias("seen"),
+            *(F.count_if(F.col("n") == r).alias(f"n{r}") for r in times)))
+        seen = histories.agg(*(F.sum(f"n{r}").alias(f"n{r}") for r in times)).first()
+        discount = discounts([x or 0 for x in seen])
+        freed = sum((F.col(f"n{r}") * float((1 - discount[r]) * r) for r in times[:-1]), F.lit(0.0))
+        left = (F.lit(vocabulary.mass) - F.col("covered")) / float(vocabulary.mass)
+        whole = F.col("seen") == len(keys) + 1 if keys is not None else F.lit(False)
+        states = histories.select(
+            "h", F.log10(F.when(whole, F.col("n") - freed).otherwise(F.col("n") + 0.5)).alias("total"),
+            F.when(whole, 0.0).otherwise(F.log10((0.5 + freed) / (F.col("n") + 0.5) / left)).alias("back"))
+
+        half = float(vocabulary.mass)
+        first = F.when(own, F.col("key")).otherwise(F.lit(RARE)).alias("h")
+        self.words = words.select("key", "n", first).join(states, "h", "left").select(
+            "key", "n", (F.log10((2 * F.col("n") + 1) / half) + F.coalesce("back", F.lit(0.0))).alias("value"))
+        near = F.broadcast(hot.select(F.col("key").alias("h")))
+        kept = F.col("n") * F.get(F.array(*map(F.lit, [*discount.tolist(), 1.0])), F.least("n", F.lit(DISCOUNTED + 1)).cast("int"))
+        self.bigrams = _with(bigrams, "h", states.join(near, "h", "left_semi"), states.join(near, "h", "left_anti")).select(
+            "h", "w", "n", (F.log10(kept) - F.col("total") - F.col("back") - F.log10(F.col("mass") / half)).alias("value"))
+        unseen = states.where(F.col("h") == RARE).first()
+        top = self.words.where(_reaches(_least(words, HOT_WORDS, F.lit(True)))).toArrow()
+        pairs = self.bigrams.where(_reaches(_least(bigrams, HOT, F.lit(True)))).toArrow()
+        key = np.concatenate((top["key"].to_numpy(), _pair(pairs["h"].to_numpy(), pairs["w"].to_numpy())))
+        n, value = (np.concatenate((top[c].to_numpy(), pairs[c].to_numpy())) for c in ("n", "value"))
+        order = np.argsort(key)
+        self.model = Model(vocabulary, float(np.log10(1 / half)) + (unseen["back"] if unseen else 0.0),
+                           key[order], n[order], value[order])
 
     def score(self, docs: DataFrame) -> DataFrame:
         """(doc_id, held_out, n_tokens, n_known, base_score, score) of each row of ``docs`` (doc_id, held_out, text)."""
@@ -235,9 +258,10 @@ class KatzModel:
                 "n_known array<long>, base_score array<double>, score array<double>")
         rows = docs.select("doc_id", "held_out", "text").withColumn("row", F.monotonically_increasing_id())
         asked = map_arrow(rows, _ask(sent, self.buckets),
-                          f"bucket int, kind int, keys array<long>, sizes array<long>, {sums}")
-        known = self.words.unionByName(self.bigrams)
-        told = map_arrow(known, _tell, "bucket int, kind int, keys array<long>, sizes array<long>")
+                          f"bucket int, kind int, keys array<long>, sizes array<long>, values array<double>, {sums}")
+        told = "bucket int, kind int, keys array<long>, sizes array<long>, values array<double>"
+        told = map_arrow(self.words, _tell(self.buckets), told).unionByName(map_arrow(
+            self.bigrams.select("h", "w", "value"), _tell(self.buckets), told))
         dealt = (asked.unionByName(told, allowMissingColumns=True).repartition(self.buckets, "bucket")
                  .sortWithinPartitions("bucket", "kind"))
         partial = map_arrow(dealt, _answer(sent), sums)
@@ -246,16 +270,33 @@ class KatzModel:
                                         "score double")
 
 
-def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts as rows of kind 0, one for each bucket of a batch."""
-    for batch in batches:
-        bucket = batch["bucket"].to_numpy()
+def _tell(buckets: int):
+    """Counts and values as rows of kind 0, one for each bucket of about ``DEALT`` rows."""
+    def dealt(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        if "key" in rows.schema.names:
+            key, n = rows["key"].to_numpy(), rows["n"].to_numpy()
+        else:
+            key = _pair(rows["h"].to_numpy(), rows["w"].to_numpy())
+            n = np.zeros(len(key), np.int64)
+        bucket = _bucket(key, buckets)
         order = np.argsort(bucket, kind="stable")
         value, begin = np.unique(bucket[order], return_index=True)
         cuts = pa.array(np.append(begin, len(order)).astype(np.int32))
-        columns = [pa.ListArray.from_arrays(cuts, pa.array(batch[c].to_numpy()[order])) for c in ("key", "n")]
-        yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(np.zeros(len(value), np.int32)), *columns],
-                                         ["bucket", "kind", "keys", "sizes"])
+        columns = [pa.ListArray.from_arrays(cuts, pa.array(x[order])) for x in (key, n, rows["value"].to_numpy())]
+        return pa.RecordBatch.from_arrays([pa.array(value), pa.array(np.zeros(len(value), np.int32)), *columns],
+                                          ["bucket", "kind", "keys", "sizes", "values"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= DEALT:
+                yield dealt(held)
+                held = []
+        if any(b.num_rows for b in held):
+            yield dealt(held)
+    return run
 
 
 def _ask(model: Broadcast, buckets: int):
@@ -267,25 +308,19 @@ def _ask(model: Broadcast, buckets: int):
                 n = sum(len(p.first) - 1 for p in parts)
                 word, doc = _tokens(parts)
                 symbol = m.vocabulary.symbols(word)
-                rare = symbol == 0
-                common = m.vocabulary.counts[np.maximum(symbol, 1) - 1]
-                base = np.where(rare, 0.0, np.log10((common + 0.5) / _base(m)))
-                sums = [np.bincount(doc, minlength=n), np.bincount(doc, ~rare & (common > 0), n).astype(np.int64),
-                        np.bincount(doc, base, n)]
-                keys = np.concatenate((m.vocabulary.bigrams(symbol), word[rare]))
-                doc = np.concatenate((doc, doc[rare]))
+                keys = np.concatenate((_pair(_histories(symbol), symbol), word))
                 order = np.argsort(keys, kind="stable")
-                keys, doc = keys[order], doc[order]
+                keys, doc = keys[order], np.concatenate((doc, doc))[order]
                 fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
                 key, size = keys[fresh], np.diff(np.append(fresh, len(keys)))
+                sums = [np.bincount(doc[keys < 0], minlength=n)]
                 if len(m.hot_keys):
-                    at = np.minimum(np.searchsorted(m.hot_keys, key), len(m.hot_keys) - 1)
-                    hot = m.hot_keys[at] == key
-                    log = np.zeros(len(key))
-                    log[hot] = m.bigram_logs(key[hot], m.hot_counts[at[hot]])
+                    at, hot = _found(m.hot_keys, key)
+                    terms = [x * hot for x in m.terms(key, hot, m.hot_counts[at], m.hot_values[at])]
                 else:
-                    hot, log = np.zeros(len(key), bool), np.zeros(len(key))
-                sums.append(np.bincount(doc, np.repeat(log, size), n))
+                    hot, terms = np.zeros(len(key), bool), [np.zeros(len(key))] * 3
+                known, base, score = (np.bincount(doc, np.repeat(x, size), n) for x in terms)
+                sums += [known.astype(np.int64), base, score]
                 rows = batch.slice(begin, n)
                 first = rows["row"][0].as_py()
                 whole = np.array([0, n], np.int32)
@@ -321,7 +356,7 @@ def _base(m: Model) -> float:
 
 
 _ASKED = [("bucket", pa.int32()), ("kind", pa.int32()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
-          ("docs", pa.list_(pa.int32())), ("first", pa.int64()), ("doc_ids", None), ("held_out", pa.list_(pa.bool_())),
+          ("values", pa.list_(pa.float64())), ("docs", pa.list_(pa.int32())), ("first", pa.int64()), ("doc_ids", None), ("held_out", pa.list_(pa.bool_())),
           ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())), ("base_score", pa.list_(pa.float64())),
           ("score", pa.list_(pa.float64()))]
 
@@ -338,26 +373,25 @@ def _answer(model: Broadcast):
     """Partial sums for the documents of a slice: a bucket's counts come first, then what asks for them, a row at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        bucket, keys, counts = None, [], []
-        known = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        bucket, told, known = None, [], none
         for batch in batches:
             kinds = batch["kind"].to_numpy()
             home = batch.filter(pa.array(kinds == 1))
             if home.num_rows:
-                yield home.select([c for c, _ in _ASKED[4:]])
+                yield home.select([c for c, _ in _ASKED[5:]])
             id_type = batch.schema.field("doc_ids").type.value_type
             for i in np.flatnonzero(kinds != 1).tolist():
                 if (b := batch["bucket"][i].as_py()) != bucket:
-                    bucket, keys, counts, known = b, [], [], (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                    bucket, told, known = b, [], none
                 key, size = batch["keys"][i].values.to_numpy(), batch["sizes"][i].values.to_numpy()
                 if kinds[i] == 0:
-                    keys.append(key)
-                    counts.append(size)
+                    told.append((key, size, batch["values"][i].values.to_numpy()))
                     continue
-                if keys:
-                    key_, count_ = np.concatenate([known[0], *keys]), np.concatenate([known[1], *counts])
-                    order = np.argsort(key_)
-                    known, keys, counts = (key_[order], count_[order]), [], []
+                if told:
+                    known = tuple(map(np.concatenate, zip(known, *told, strict=True)))
+                    order = np.argsort(known[0])
+                    known, told = tuple(x[order] for x in known), []
                 yield _sums(m, known, key, size, batch["docs"][i].values.to_numpy(), batch["first"][i].as_py(), id_type)
     return run
 
@@ -390,23 +424,19 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield finished()
 
 
-def _sums(m: Model, known: tuple[np.ndarray, np.ndarray], key: np.ndarray, size: np.ndarray, docs: np.ndarray, first: int,
+def _sums(m: Model, known: tuple[np.ndarray, ...], key: np.ndarray, size: np.ndarray, docs: np.ndarray, first: int,
           id_type: pa.DataType) -> pa.RecordBatch:
-    count = np.zeros(len(key), np.int64)
     if len(known[0]):
-        at = np.minimum(np.searchsorted(known[0], key), len(known[0]) - 1)
-        count = np.where(known[0][at] == key, known[1][at], 0)
-    word = key < 0
-    score, base = np.zeros(len(key)), np.zeros(len(key))
-    score[~word] = m.bigram_logs(key[~word], count[~word])
-    score[word] = np.log10((count[word] + 0.5) / m.vocabulary.rare())
-    base[word] = np.log10((count[word] + 0.5) / _base(m))
+        at, found = _found(known[0], key)
+        terms = m.terms(key, found, known[1][at], known[2][at])
+    else:
+        terms = m.terms(key, np.zeros(len(key), bool), np.zeros(len(key), np.int64), np.zeros(len(key)))
     own, back = np.unique(docs, return_inverse=True)
-    found = [np.bincount(back, np.repeat(x, size)) for x in (word & (count > 0), base, score)]
+    found = [np.bincount(back, np.repeat(x, size)) for x in terms]
     lists = [own, np.zeros(len(own), np.int64), found[0].astype(np.int64), found[1], found[2]]
     whole = pa.array(np.array([0, len(own)], np.int32))
     return _row(pa.RecordBatch.from_arrays([pa.array([first]), *(pa.ListArray.from_arrays(whole, pa.array(x)) for x in lists)],
-                                           ["first", "docs", "n_tokens", "n_known", "base_score", "score"]), id_type, _ASKED[4:])
+                                           ["first", "docs", "n_tokens", "n_known", "base_score", "score"]), id_type, _ASKED[5:])
 
 
 def score_held_out(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:

@@ -112,3 +112,28 @@ def test_discounts():
     top = 6 * 6 / 100
     assert d[1] == pytest.approx((2 * 40 / 100 - top) / (1 - top))
     assert list(lm.discounts([0] * 6)) == [1.0] * 6
+
+
+class _Known(set):
+    """Words to which 0 is added once, not for each probability."""
+
+    def __or__(self, other):
+        self.whole = getattr(self, "whole", None) or set(self).union(other)
+        return self.whole
+
+
+@pytest.mark.parametrize(("hot", "hot_words"), [(1 << 20, 1 << 16), (5, 3), (0, 0)])
+def test_every_word_has_its_bigrams(table, monkeypatch, hot, hot_words):
+    """More distinct words than any cap there was: the model is still that of all bigrams."""
+    monkeypatch.setattr(lm, "HOT", hot)
+    monkeypatch.setattr(lm, "HOT_WORDS", hot_words, raising=False)
+    many = [f"w{i} x{i} w{i} x{i}" for i in range(45_000)]
+    rows = [(i, " ".join(many[i * 1000:(i + 1) * 1000]) + " " + prose(i, 50)) for i in range(45)]
+    rows += [*ODD, (100, "w3 x3 never w3 x3 seen"), (101, " ".join(many[::700]))]
+    got = lm.score_held_out(table(rows)).collect()
+    monkeypatch.setattr(lm, "WORDS", 1 << 40)
+    brute = Brute(rows)
+    brute.known = _Known(brute.known)
+    assert len(brute.c) > 1 << 16
+    want = sorted((str(i), len(x), round(brute.score(x), 4)) for i, x, _ in brute.rows)
+    assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 4)) for r in got) == want
