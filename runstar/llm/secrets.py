@@ -34,8 +34,15 @@ BASE = (Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20
         Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
         # every run of 24 and more; shorter runs would fail the length
         Rule("hex", r"[0-9a-f]{24,}", 0, 24))
+#: What may stand between the lines of a key: white space (line breaks may have been lost), written escapes, quote marks.
+_BREAK = r"""(?:[\s"'>#*,|]|\\+[nrt])"""
+#: A key block up to its END line, whatever stands between; without one, its header fields, the lines of base64 that follow and
+#: a shorter last one.
+_PEM = (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,30}PRIVATE KEY-----"
+        rf"|(?:{_BREAK}++(?:Proc-Type|DEK-Info):\s*+\S++)*+(?:{_BREAK}*+[A-Za-z0-9+/]{{16,}}+={{0,2}})++"
+        rf"(?:{_BREAK}++[A-Za-z0-9+/]++(?:={{1,2}}|(?=[ \t]*+(?:[\r\n]|\z))))?+)?+")
 #: What the scan adds: key blocks and prefixed tokens.
-MORE = (Rule("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"), Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+MORE = (Rule("pem", _PEM, version=2), Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
         Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"))
 
 FINDING = "array<struct<start:int,rank:int,kind:string,end:int>>"

@@ -71,3 +71,24 @@ def test_redaction_and_empty_table(spark, table, odd, none):
 def test_no_python_on_rows(spark, odd):
     found = secrets.scan_blobs(odd.select(F.lit("b").alias("blob"), "text"), secrets.BASE)
     assert "Python" not in found._jdf.queryExecution().toString() and "Arrow" not in found._jdf.queryExecution().toString()
+
+
+def test_key_blocks_go_whole(spark, table):
+    rng = random.Random(9)
+    lines = ["".join(rng.choice("ABCdef0123456789+/xyz") for _ in range(64)) for _ in range(20)] + ["QmFzZTY0Lw=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123ABCD", ""]
+    body = [begin, *lines, end]
+    keys = ["\n".join(body), "\r\n".join(body), " ".join(body), "\\n".join(body), "\n> ".join(body), "\n".join([begin, *fields, *lines, end]),
+            '" +\n "'.join(body), begin + "".join(lines) + end]
+    cut = ["\n".join(body[:-1]), " ".join(body[:-1]), "\n".join([begin, *fields, *lines[:5]]), "\n".join([begin, *lines[:5], lines[5][:7]]),
+           "\\n".join(body[:-1])]
+    rows = [(i, f"é before {k} after") for i, k in enumerate(keys)]
+    rows += [(100 + i, f"é before {k}\nafter all") for i, k in enumerate(cut)]
+    rows += [(200, f"{keys[0]}\nmiddle {keys[2]}"), (201, f"{begin}\nis how it begins"), (202, f"{begin}\n{keys[0]} x"),
+             (203, begin + "\n" + "\n".join(lines[0] for _ in range(20_000)) + "\n" + end + " y"), (204, (begin + " - ") * 500)]
+    got = {r.doc_id: r.text for r in secrets.fresh_ledger(spark).redacted(table(rows), "doc_id", "text").collect()}
+    assert all(got[i] == "é before [secret] after" for i in range(len(keys)))
+    assert all(got[100 + i] == "é before [secret]\nafter all" for i in range(len(cut)))
+    assert got[200] == "[secret]\nmiddle [secret]" and got[201] == "[secret]\nis how it begins"
+    assert got[202] == "[secret]\n[secret] x" and got[203] == "[secret] y" and got[204] == "[secret] - " * 500
