@@ -1,17 +1,20 @@
 """Byte-level BPE ids of whole texts.
 
 The merges are the tokenizers library's. The split into words before them is computed on whole blocks of code points, and
-each different word of a block goes to the library once; a bounded cache keeps words between blocks.
+each different word of a block goes to the library once; a bounded cache keeps words between blocks. Texts are cut at the
+vocabulary's added tokens first, as by the library.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from runstar.llm.hashing import _BYTE, blocks, code_points, running, spans
 
@@ -72,9 +75,9 @@ def word_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts by a byte-level vocabulary file's contents."""
+    """Ids of texts by a byte-level vocabulary file's contents; strings of special tokens are ordinary text unless ``special``."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, special: bool = False):
         from tokenizers import Tokenizer
 
         steps = json.loads(vocabulary)
@@ -82,6 +85,12 @@ class Encoder:
         if (before.get("type"), before.get("use_regex", True), before.get("add_prefix_space"), steps["normalizer"]) != (
                 "ByteLevel", True, False, None):
             raise ValueError("the vocabulary must be byte-level, split by the usual pattern, without normalisation")
+        added = [t for t in steps.get("added_tokens") or [] if special or not t["special"]]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+            raise ValueError("added tokens must stand for their own string alone, wherever it is")
+        self.added = {t["content"]: np.array([t["id"]], np.uint32) for t in added}
+        # the longest of those that begin at one place
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.merges = Tokenizer.from_str(vocabulary).model
         self._empty()
 
@@ -111,7 +120,17 @@ class Encoder:
         return np.array(out, np.int64)
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of each text; none of a null or empty one. Strings of special tokens are ordinary text."""
+        """The ids of each text; none of a null or empty one."""
+        if not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.added):
+            yield from self._plain(texts)
+            return
+        parts = [self.cut.split(t or "") for t in texts.to_pylist()]
+        plain = self._plain(pa.array([x for p in parts for x in p[::2]], pa.large_string()))
+        for p in parts:
+            yield np.concatenate([next(plain) if i % 2 == 0 else self.added[x] for i, x in enumerate(p)])
+
+    def _plain(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """``encode`` for texts without added tokens."""
         for _, data, offsets in blocks(texts):
             points, first = code_points(data, offsets)
             if not len(points):
@@ -136,8 +155,8 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(name: str, vocabulary: str) -> Encoder:
-    """A worker's encoder for a vocabulary, kept from task to task."""
+    """A worker's encoder for a vocabulary, with its special tokens, kept from task to task."""
     if name not in _encoders:
         _encoders.clear()
-        _encoders[name] = Encoder(vocabulary)
+        _encoders[name] = Encoder(vocabulary, special=True)
     return _encoders[name]

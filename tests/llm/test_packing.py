@@ -66,6 +66,23 @@ def test_empty_table_and_ids(table, none, library):
     assert list(r.ids) == [*library("two words"), 0] and (r.piece, r.start, r.offset) == (0, 0, 0)
 
 
+def test_added_tokens_are_one_id(table):
+    plain = Tokenizer.from_file(VOCABULARY)
+    rng = random.Random(4)
+    texts = [None, "", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a  <|endoftext|>  b", "<|endoftext", "<|<|endoftext|>|>",
+             *("".join(rng.choice(PARTS) for _ in range(rng.randint(1, 40))) for _ in range(1500))]
+
+    def unchanged(t):
+        return plain.encode(t or "", add_special_tokens=False).ids
+
+    assert unchanged("x<|endoftext|>y")[1] == 50256
+    own = Encoder(open(VOCABULARY, encoding="utf-8").read(), special=True)
+    assert [x.tolist() for x in own.encode(pa.array(texts))] == [unchanged(t) for t in texts]
+    assert [x.tolist() for x in own.encode(pa.array(texts[:2]))] == [[], []]
+    rows = [*enumerate(texts[:300]), (900, " <|endoftext|>word" * 300)]
+    _check(rows, packing.pack_documents(table(rows), VOCABULARY, 256).collect(), unchanged, 256)
+
+
 def _optimal(lengths, capacity):
     """Fewest bins, by trying where each item goes."""
     best = [len(lengths)]
