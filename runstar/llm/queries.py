@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from runstar.llm import fingerprints, language, lm, near_dedup, neighbours, packing, secrets, sharding, substring_dedup
+from runstar.llm import fingerprints, language, lm, near_dedup, neighbours, packing, periodic_runs, secrets, sharding, substring_dedup
 from runstar.llm import sentencepiece_lattice as lattice
 
 
@@ -94,6 +94,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_report(_table(spark, sf_dir, "documents"), 35)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, a tenth of them with a planted one, and what is left without their repeats."""
+    return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the corpus pipeline, packed."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -101,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing,
-                                 op8_language_id, op8_page_language, op9_neighbours, op10_substring_dedup, pipeline)}
+                                 op8_language_id, op8_page_language, op9_neighbours, op10_substring_dedup, op11_periodic_runs, pipeline)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
         WITH RECURSIVE w AS (
@@ -129,4 +134,29 @@ ORACLES: dict[str, str] = {
                sha256(array_to_string(CASE WHEN c IS NULL THEN w ELSE list_transform(list_filter(
                    range(1, len(w) + 1), lambda i: NOT list_contains(c, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
         FROM w LEFT JOIN l USING (doc_id)""",
+    "op11_periodic_runs": """
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        h AS (SELECT *, len(w) AS n, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''),
+                  lambda c: ascii(c)::BIGINT), lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                  lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h FROM w),
+        a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM h),
+        p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+        t AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(0, n),
+                  lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM p),
+        s AS (SELECT doc_id, n, unnest(w) AS s, unnest(range(0, n)) AS i FROM t),
+        m AS (SELECT x.doc_id, y.i - x.i AS d, x.i AS i FROM s x JOIN s y
+              ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i AND y.i - x.i <= x.n // 4),
+        g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS g FROM m),
+        l AS (SELECT doc_id, min(i) AS s, count(*) + d AS k, d AS q FROM g GROUP BY doc_id, d, g
+              HAVING count(*) + d >= greatest(6, 4 * d)),
+        r AS (SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM l o WHERE o.doc_id = l.doc_id AND o.q < l.q AND o.s <= l.s
+              AND o.s + o.k >= l.s + l.k)),
+        f AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || k || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+                  list({'s': s, 'k': k, 'q': q} ORDER BY k * 10000000000 // q DESC, s, q)[1] AS b FROM r GROUP BY doc_id),
+        c AS (SELECT doc_id, list(DISTINCT i) AS c FROM (SELECT doc_id, unnest(range(s + q, s + k)) AS i FROM r) GROUP BY doc_id)
+        SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.k::BIGINT AS length, b.q::BIGINT AS period,
+               (1000 * b.k // b.q)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+               sha256(array_to_string(CASE WHEN c IS NULL THEN w ELSE list_transform(list_filter(range(0, n),
+                   lambda i: NOT list_contains(c, i)), lambda i: w[i + 1]) END, ' ')) AS collapsed_sha256
+        FROM t LEFT JOIN f USING (doc_id) LEFT JOIN c USING (doc_id)""",
 }
