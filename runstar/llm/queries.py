@@ -9,7 +9,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from runstar.llm import fingerprints, language, lm, near_dedup, neighbours, packing, periodic_runs, secrets, sharding, substring_dedup
+from runstar.llm import (
+    fingerprints,
+    forced_bpe,
+    language,
+    lm,
+    near_dedup,
+    neighbours,
+    packing,
+    periodic_runs,
+    secrets,
+    sharding,
+    substring_dedup,
+    token_alignment,
+)
 from runstar.llm import sentencepiece_lattice as lattice
 
 
@@ -99,6 +112,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of tokens that two public tokenizers cut alike in every document, and their links against the whole corpus."""
+    return token_alignment.alignment_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids by a public vocabulary with word ends, and of the text they decode to."""
+    return forced_bpe.round_trip_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the corpus pipeline, packed."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -106,7 +130,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_lm_scores, op3_near_duplicates, op4_winnowing, op5_secret_scan, op6_shards, op7_packing,
-                                 op8_language_id, op8_page_language, op9_neighbours, op10_substring_dedup, op11_periodic_runs, pipeline)}
+                                 op8_language_id, op8_page_language, op9_neighbours, op10_substring_dedup, op11_periodic_runs, op12_token_alignment,
+                                 op13_forced_bpe, pipeline)}
 ORACLES: dict[str, str] = {
     "op3_near_duplicates": """
         WITH RECURSIVE w AS (
