@@ -7,8 +7,9 @@ tokens' decoded bytes. Places where a token of A and a token of B end cut the te
 with each of its B tokens.
 
 A space after a character that isn't white space is a cut to both: a word of A may only begin with it, and no piece holds it
-behind another character (checked when a model is loaded). So each different segment between such spaces goes to both libraries
-once, and a bounded cache keeps its tokens, groups and links. A text is the sequence of its segments.
+behind another character (checked when a model is loaded). So are two ASCII characters of different kinds (letter, number, other, but no
+apostrophe) that no piece holds side by side. Each different segment between such cuts goes to both libraries once, and a
+bounded cache keeps its tokens, groups and links. A text is the sequence of its segments.
 
 A pair's count is the number of documents that hold it linked. Texts stay where they are read: an Arrow batch, a *unit*, makes one row with
 its documents' figures, its different pairs and how many of its documents hold each. Pairs of units are summed to counts, each unit
@@ -23,6 +24,7 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -39,7 +41,11 @@ from runstar.sources.workspace import Workspace
 
 BLANK = "▁"
 #: Segments and pairs that a worker's cache holds before it is emptied.
-CACHED, CACHED_PAIRS = 200_000, 2_000_000
+CACHED, CACHED_PAIRS = 300_000, 2_000_000
+#: A group with more links than this is reduced to different ids before they are paired.
+WIDE = 64
+_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+NOTHING, COMMA, SEMICOLON, BAR = range(4)
 _CODEC = pa.Codec("zstd", 1)
 
 
@@ -66,10 +72,10 @@ class Spelling:
         self.begin = np.concatenate(([0], np.cumsum(self.size)))[:-1]
         self.data = np.frombuffer(b"".join(tokens), np.uint8)
 
-    def side(self, ids: np.ndarray, count: np.ndarray, cut: np.ndarray, sure: np.ndarray, data: np.ndarray,
-             limits: np.ndarray) -> Side:
-        """Tokens of segments with ``count`` tokens each and bytes ``data`` cut at ``limits``; ``cut`` is each token's stated
-        end, of use where it is ``sure``."""
+    def side(self, ids: np.ndarray, cut: np.ndarray, sure: np.ndarray, data: np.ndarray, limits: np.ndarray) -> Side:
+        """Tokens of segments whose bytes ``data`` are cut at ``limits``; ``cut`` is each token's stated end, of use to it where
+        it is ``sure``."""
+        count = np.bincount(np.searchsorted(limits, cut - 1, "right") - 1, minlength=len(limits) - 1)
         size = self.size[ids]
         upto = np.cumsum(size)
         first = np.concatenate(([0], np.cumsum(count)))
@@ -99,7 +105,8 @@ class Spelling:
 
 @dataclass
 class Aligned:
-    """What an aligner found for consecutive segments; the groups of unspelt segments are none."""
+    """What an aligner found for consecutive segments; unspelt segments have no groups. A segment's links come in its order, a
+    pair perhaps more than once."""
 
     n_a: np.ndarray
     n_b: np.ndarray
@@ -140,6 +147,18 @@ class Aligner:
             raise ValueError("no piece may hold a blank behind another character")
         self.b_spelling = Spelling([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode()
                                     for i, p in enumerate(pieces)])
+        #: ASCII characters that a cut may stand between
+        kind = np.append(KINDS[np.arange(128)], SPACE)
+        kind[[ord("'")]] = SPACE
+        self.apart = (kind[:, None] != kind) & (kind[:, None] != SPACE) & (kind != SPACE)
+        for p, hidden in zip(pieces, special, strict=True):
+            if not hidden:
+                points = [min(ord(c), 128) for c in p]
+                self.apart[points[:-1], points[1:]] = False
+        white = np.flatnonzero(KINDS[np.arange(0x3100)] == SPACE)
+        digits = [str(i) for i in range(max(len(self.a_spelling.size), len(pieces)))]
+        self.written = np.array([[mark + d for d in digits] for mark in ("", ",", ";", "|")], object)
+        self.open = tuple(chr(c).encode() for c in [*white.tolist(), ord(BLANK)])
         self.forget()
 
     def forget(self) -> None:
@@ -151,59 +170,99 @@ class Aligner:
         self.begin = np.zeros(1, np.int64)
         self.codes, self.links = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    @staticmethod
-    def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Begin and end in bytes of each segment of a block, without its leading space, and each text's first segment."""
-        points, first = code_points(data, offsets)
+    def segments(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A block's bytes with a space before each text, begin and end of each segment in them, and each text's first segment."""
+        some = np.diff(offsets) > 0
+        data = np.insert(data, offsets[:-1][some], 0x20)
+        points, first = code_points(data, offsets + np.concatenate(([0], np.cumsum(some))))
         if not len(points):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(first), np.int64)
+            return data, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(first), np.int64)
         white = KINDS[points] == SPACE
-        begin = first[:-1][np.diff(first) > 0]
         start = np.zeros(len(points), bool)
-        start[1:] = (points[1:] == 0x20) & ~white[:-1]
         # white space that a text ends with stays with the segment before it
         solid = np.maximum.accumulate(np.where(white, -1, np.arange(len(points))))
-        final = solid[first[1:][np.diff(first) > 0] - 1]
-        start &= np.arange(len(points)) < np.repeat(final, np.diff(first)[np.diff(first) > 0])
-        start[begin] = True
+        final = np.repeat(solid[first[1:][some] - 1], np.diff(first)[some])
+        start[1:] = (points[1:] == 0x20) & ~white[:-1] & (np.arange(1, len(points)) < final[1:])
+        ascii_ = np.minimum(points, 128)
+        start[1:] |= self.apart[ascii_[:-1], ascii_[1:]]
+        start[first[:-1][some]] = True
         at = np.flatnonzero(start)
         lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-        low, high = lead[at], lead[np.append(at[1:], len(points))]
-        inner = ~np.isin(at, begin)
-        return low + inner, high, np.searchsorted(at, first)
-
-    def _sides(self, bodies: list[bytes]) -> tuple[np.ndarray, Side, Side]:
-        """Limits in bytes of segments (a space and a body each) and both sides' tokens."""
-        texts = [x.decode() for x in bodies]
-        data = np.frombuffer(b" " + b" ".join(bodies), np.uint8)
-        limits = np.concatenate(([0], np.cumsum([1 + len(x) for x in bodies])))
-        found = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        count = np.array([len(e.ids) for e in found], np.int64)
-        ids = np.array([i for e in found for i in e.ids], np.int64)
-        stated = np.array([x for e in found for x in e.offsets], np.int64).reshape(-1, 2)
+        return data, lead[at], lead[np.append(at[1:], len(points))], np.searchsorted(at, first)
+
+    def _sides(self, segments: list[bytes]) -> tuple[np.ndarray, Side, Side]:
+        """Limits in bytes of segments and both sides' tokens."""
+        spaced = np.array([x[0] == 0x20 for x in segments], bool)
+        limits = np.concatenate(([0], np.cumsum([len(x) for x in segments])))
+        rows = np.flatnonzero(spaced), np.flatnonzero(~spaced)
+        found = [self._spaced([segments[i] for i in rows[0].tolist()]), self._bare([segments[i] for i in rows[1].tolist()])]
+        # from both lists back to the order of the segments
+        shift = np.zeros(len(segments), np.int64)
+        for r, (own, *_) in zip(rows, found, strict=True):
+            shift[r] = limits[r] - own[:-1]
+        sides = []
+        for part, spelling in ((1, self.a_spelling), (2, self.b_spelling)):
+            of, ids, cut, sure = [], [], [], []
+            for r, f in zip(rows, found, strict=True):
+                mine = f[part]
+                of.append(r[np.searchsorted(f[0], mine[1] - 1, "right") - 1] if len(r) else r)
+                ids.append(mine[0])
+                cut.append(mine[1] + shift[of[-1]])
+                sure.append(mine[2])
+            order = np.argsort(np.concatenate(of), kind="stable")
+            columns = (np.concatenate(x)[order] for x in (ids, cut, sure))
+            sides.append(spelling.side(*columns, np.frombuffer(b"".join(segments), np.uint8), limits))
+        return limits, *sides
+
+    def _spaced(self, segments: list[bytes]) -> tuple[np.ndarray, tuple, tuple]:
+        """Limits, and (ids, stated ends, whether to rely on them) of both sides, for segments that begin with a space.
+
+        Consecutive ones go to the libraries as one text, up to one that ends with white space: the space of the next would be no
+        cut.
+        """
+        limits = np.concatenate(([0], np.cumsum([len(x) for x in segments]))).astype(np.int64)
+        stops = [i + 1 for i, x in enumerate(segments) if x.endswith(self.open)]
+        parts, begin = [], 0
+        for stop in [*stops, len(segments)]:
+            if begin < stop:
+                text = b"".join(segments[begin:stop]).decode()
+                parts.append((self._by_a(text, limits[begin]), self._by_b(text[1:], limits[begin] + 1)))
+            begin = stop
+        return limits, *(tuple(np.concatenate(x) for x in zip(*side, strict=True)) if side else _NONE
+                         for side in (zip(*parts, strict=True) if parts else ((), ())))
+
+    def _bare(self, segments: list[bytes]) -> tuple[np.ndarray, tuple, tuple]:
+        """The same for segments that begin with a letter, number or other mark: a line feed before each keeps them apart."""
+        limits = np.concatenate(([0], np.cumsum([1 + len(x) for x in segments]))).astype(np.int64)
+        if not segments:
+            return limits, _NONE, _NONE
+        text = "".join("\n" + x.decode() for x in segments)
+        out = []
+        for ids, cut, sure in (self._by_a(text, 0), self._by_b(text, 0)):
+            own = ~np.isin(cut, np.append(limits[:-1] + 1, 0))  # no line feeds, nor the space that B puts first
+            of = np.searchsorted(limits, cut[own] - 1, "right")
+            out.append((ids[own], cut[own] - of, sure[own]))
+        return limits - np.arange(len(limits)), *out
+
+    def _by_a(self, text: str, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = self.a.encode(text, add_special_tokens=False)
+        stated = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found.ids)).reshape(-1, 2)
+        data = np.frombuffer(text.encode(), np.uint8)
         lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # each character's first byte
-        points = np.searchsorted(lead, limits)
-        segment = np.repeat(np.arange(len(bodies)), count)
-        cut = lead[points[segment] + stated[:, 1]]
-        last = np.append(segment[1:] != segment[:-1], True)[:len(ids)]
-        sure = last.copy()
-        sure[:-1] |= stated[1:, 0] >= stated[:-1, 1]  # the next token begins behind this one's last character
-        a = self.a_spelling.side(ids, count, cut, sure, data, limits)
-        found = self.b.encode(texts, return_type="proto", num_threads=1)
-        spoken = [[(p.id, p.begin, p.end) for p in e.pieces] for e in found]
-        count = np.array([len(e) for e in spoken], np.int64)
-        stated = np.array([x for e in spoken for x in e], np.int64).reshape(-1, 3)
-        segment = np.repeat(np.arange(len(bodies)), count)
-        cut = limits[segment] + 1 + stated[:, 2]  # the space is in no span
-        sure = stated[:, 2] > stated[:, 1]
-        b = self.b_spelling.side(stated[:, 0], count, cut, sure, data, limits)
-        return limits, a, b
-
-    def align(self, bodies: list[bytes]) -> Aligned:
+        sure = np.ones(len(stated), bool)
+        sure[:-1] = stated[1:, 0] >= stated[:-1, 1]  # the next token begins behind this one's last character
+        return np.array(found.ids, np.int64), at + lead[stated[:, 1]], sure
+
+    def _by_b(self, text: str, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = self.b.encode(text, return_type="offset_mapping", return_bytes=True)  # the immutable proto's spans
+        stated = np.fromiter(chain.from_iterable(found["offsets"]), np.int64, 2 * len(found["ids"])).reshape(-1, 2)
+        return np.array(found["ids"], np.int64), at + stated[:, 1], stated[:, 1] > stated[:, 0]
+
+    def align(self, segments: list[bytes]) -> Aligned:
         """Groups and links of segments."""
-        limits, a, b = self._sides(bodies)
+        limits, a, b = self._sides(segments)
         whole = a.spelt & b.spelt
-        n = len(bodies)
+        n = len(segments)
         inside = np.searchsorted(limits, a.ends - 1, "right") - 1, np.searchsorted(limits, b.ends - 1, "right") - 1
         keep = whole[np.clip(inside[0], 0, n - 1)], whole[np.clip(inside[1], 0, n - 1)]
         a_ids, a_ends, b_ids, b_ends = a.ids[keep[0]], a.ends[keep[0]], b.ids[keep[1]], b.ends[keep[1]]
@@ -218,44 +277,56 @@ class Aligner:
             return out
 
         texts = self._listed(a_ids, a_count, b_ids, b_count, np.bincount(segment, minlength=n))
-        # the different ids of a group on both sides, and from them the different pairs of a segment
-        x, x_count = np.unique(a_group << 20 | a_ids, return_counts=True)
-        y, y_count = np.unique(b_group << 20 | b_ids, return_counts=True)
-        many = np.bincount(y >> 20, minlength=len(common))
-        first = np.concatenate(([0], np.cumsum(many)))[:-1]
-        each = many[x >> 20]
-        left = np.repeat(np.arange(len(x)), each)
-        right = _ranges(first[x >> 20], each)
-        of = segment[x[left] >> 20]
-        pair = (x[left] & 0xFFFFF) << 32 | (y[right] & 0xFFFFF)
-        links = x_count[left] * y_count[right]
-        order = np.lexsort((pair, of))
-        of, pair, links = of[order], pair[order], links[order]
-        new = np.ones(len(of), bool)
-        new[1:] = (of[1:] != of[:-1]) | (pair[1:] != pair[:-1])
-        begin = np.flatnonzero(new)
+        first = np.concatenate(([0], np.cumsum(b_count)))[:-1]
+        wide = a_count * b_count > WIDE
+        narrow = np.flatnonzero(~wide[a_group])
+        many = b_count[a_group[narrow]]
+        left, right = np.repeat(narrow, many), _ranges(first[a_group[narrow]], many)
+        of, pair, links = segment[a_group[left]], a_ids[left] << 32 | b_ids[right], np.ones(len(left), np.int64)
+        if wide.any():
+            parts = self._wide(a_group[wide[a_group]], a_ids[wide[a_group]], b_group[wide[b_group]], b_ids[wide[b_group]])
+            of, pair, links = (np.concatenate(x) for x in zip((of, pair, links), (segment[parts[0]], *parts[1:]), strict=True))
+            order = np.argsort(of, kind="stable")
+            of, pair, links = of[order], pair[order], links[order]
         return Aligned(summed(a_count), summed(b_count), summed(np.ones(len(common), np.int64)), summed(a_count * b_count), whole,
-                       texts, of[begin], pair[begin], np.add.reduceat(links, begin) if len(begin) else links)
+                       texts, of, pair, links)
 
     @staticmethod
-    def _listed(a_ids, a_count, b_ids, b_count, groups) -> list[str]:
-        """``a1,a2|b1;a3|b2`` for each segment."""
-        a, b = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        at, bt, out = 0, 0, []
-        for m, k in zip(a_count.tolist(), b_count.tolist(), strict=True):
-            out.append(",".join(a[at:at + m]) + "|" + ",".join(b[bt:bt + k]))
-            at, bt = at + m, bt + k
-        cut = np.concatenate(([0], np.cumsum(groups))).tolist()
-        return [";".join(out[i:j]) for i, j in zip(cut, cut[1:], strict=False)]
-
-    def _slots(self, hashes: np.ndarray, bodies: list[bytes]) -> np.ndarray:
+    def _wide(a_group, a_ids, b_group, b_ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Group, pair and links of the different ids of groups on both sides."""
+        x, x_count = np.unique(a_group << 20 | a_ids, return_counts=True)
+        y, y_count = np.unique(b_group << 20 | b_ids, return_counts=True)
+        begin, stop = np.searchsorted(y >> 20, x >> 20), np.searchsorted(y >> 20, x >> 20, "right")
+        left, right = np.repeat(np.arange(len(x)), stop - begin), _ranges(begin, stop - begin)
+        return x[left] >> 20, (x[left] & 0xFFFFF) << 32 | (y[right] & 0xFFFFF), x_count[left] * y_count[right]
+
+    def _listed(self, a_ids, a_count, b_ids, b_count, groups) -> list[str]:
+        """``a1,a2|b1;a3|b2`` for each segment: every token written with the mark before it, a segment's first without."""
+        m, n, k = len(a_ids), len(b_ids), len(a_count)
+        marks = np.concatenate((np.full(m, COMMA), np.full(n, COMMA)))
+        a_first = np.concatenate(([0], np.cumsum(a_count)))[:-1]
+        b_first = np.concatenate(([0], np.cumsum(b_count)))[:-1]
+        segment = np.concatenate(([0], np.cumsum(groups)))[:-1]
+        marks[a_first] = SEMICOLON
+        marks[a_first[segment[groups > 0]]] = NOTHING
+        marks[m + b_first] = BAR
+        # where each token stands: its group's tokens of A come before those of B
+        place = np.concatenate((np.arange(m) + np.repeat(b_first, a_count), np.arange(n) + np.repeat(a_first + a_count, b_count)))
+        line = np.empty(m + n, object)
+        line[place] = self.written[marks, np.concatenate((a_ids, b_ids))]
+        upto = np.concatenate(([0], np.cumsum(a_count + b_count)))
+        cut = upto[np.concatenate((segment, [k]))].tolist()
+        line = line.tolist()
+        return ["".join(line[i:j]) for i, j in zip(cut, cut[1:], strict=False)]
+
+    def _slots(self, hashes: np.ndarray, segments: list[bytes]) -> np.ndarray:
         """The cache's places of segments."""
         if len(self.slot) > CACHED or len(self.dense) > CACHED_PAIRS:
             self.forget()
         keys = hashes.tolist()
         missing = [i for i, h in enumerate(keys) if h not in self.slot]
         if missing:
-            found = self.align([bodies[i] for i in missing])
+            found = self.align([segments[i] for i in missing])
             for i in missing:
                 self.slot[keys[i]] = len(self.slot)
             different, back = np.unique(found.pairs, return_inverse=True)
@@ -273,7 +344,7 @@ class Aligner:
         """The texts of a column, block by block."""
         for _, data, offsets in blocks(texts):
             n = len(offsets) - 1
-            low, high, first = self.segments(data, offsets)
+            data, low, high, first = self.segments(data, offsets)
             hashes, at, back = np.unique(spans(running(_BYTE[data]), low, high), return_index=True, return_inverse=True)
             raw = data.tobytes()
             slots = self._slots(hashes, [raw[i:j] for i, j in zip(low[at].tolist(), high[at].tolist(), strict=True)])[back]
@@ -451,7 +522,7 @@ def align(docs: DataFrame, vocabulary: str, model: str, key: str = "doc_id", tex
 def aligned_groups(aligner: Aligner, text: str | None) -> list[dict]:
     """The groups of one text."""
     data = np.frombuffer((text or "").encode(), np.uint8)
-    low, high, _ = aligner.segments(data, np.array([0, len(data)]))
+    data, low, high, _ = aligner.segments(data, np.array([0, len(data)]))
     raw = data.tobytes()
     if not len(low):
         return []
