@@ -341,6 +341,9 @@ SELECT 'part' AS table_name, count(*) AS n_rows, count(*) AS n_ids, CAST(1 AS BI
 SELECT l_returnflag, l_linestatus, count(*) AS n_rows, count(*) AS id_span FROM lineitem
  GROUP BY l_returnflag, l_linestatus""",
     "run_replace": """
+SELECT o_orderstatus AS version, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS documents, count(*) AS n_ids
+  FROM orders WHERE o_orderstatus <> 'O' OR o_totalprice > 100000 GROUP BY ALL""",
+    "ingest_turns": """
 SELECT o_orderstatus AS version, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS documents, count(*) AS n_ids
   FROM orders WHERE o_orderstatus <> 'O' OR o_totalprice > 100000 GROUP BY ALL""",
     "run_delete": """
@@ -391,7 +394,8 @@ SELECT 'testdata' AS agency, rec.version, rec.eid, rec.doi, rec.year AS publicat
     "ingest_isolated": _FAULTY.format(
         status="CASE o_orderstatus WHEN 'F' THEN 'loaded' ELSE 'failed' END",
         reason="CASE o_orderstatus WHEN 'O' THEN 'input validation failed: documents per year' WHEN 'P' THEN 'malformed feed line' END",
-        documents="CASE o_orderstatus WHEN 'F' THEN count(*) END"),
+        documents="CASE o_orderstatus WHEN 'F' THEN count(*) END") + """
+UNION ALL SELECT 'truncated', 'failed', 'load failed: FAILED_READ_FILE', NULL""",
     "ingest_streamed_retry": _FAULTY.format(status="'loaded'", reason="CAST(NULL AS VARCHAR)", documents="count(*)"),
     "csv_content": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "preview_projection": "SELECT p_partkey, p_name FROM part",

@@ -13,11 +13,13 @@ from checks import adapter
 from checks.adapter import AGENCY, table, turn_records
 from runstar.operators import analytics, keys, nested, validate
 from runstar.operators.keys import dense_id
+from runstar.operators.validate import Watched
 from runstar.plans import ingest as ingest_plan
 from runstar.plans import staging
 from runstar.plans.star import BUILDERS, StarLoad, load_losses
 from runstar.schemas import INPUT_TABLES, TABLES, Column as SpecColumn, Table
 from runstar.sources import discover, feed as feed_source, sinks
+from runstar.sources.commits import Storage
 from runstar.sources.warehouse import Warehouse
 from runstar.sources.workspace import Workspace, control_table
 from runstar.streaming.watch import ingest_stream
@@ -409,10 +411,10 @@ def _load_orders(w: Warehouse, orders: DataFrame, if_exists: str = "replace") ->
     admitted = ingest_plan.admit_runs(w, wanted, if_exists)
     decided = control_table(spark, admitted.collect(), admitted.schema)  # one row per run
     runs = w.register(decided.where("reason is null"))
-    load_id = w.start_load()
-    rows = w.write_table(load_id, "publication", _order_publications(orders, runs, w.last_ids().get("publication", 0)))
-    counts = rows.groupBy("run_id").agg(F.create_map(F.lit("publication"), F.count(F.lit(1))).alias("row_counts"))
-    w.publish(load_id, runs, counts, {"publication": rows.agg(F.max("id")).first()[0] or 0})
+    load_id, since = w.start_load(), w.position()
+    watch = Watched("publication", TABLES["publication"])
+    w.write_table(load_id, "publication", _order_publications(orders, runs, w.last_ids().get("publication", 0)), watch)
+    w.publish(load_id, runs, {"publication": watch.rows}, {"publication": watch.last_id}, since)
     return decided
 
 
@@ -436,6 +438,20 @@ def run_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_years(w)
 
 
+@query
+def ingest_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers on one warehouse by turns: one loads F, the other O and F again, the first P and O's dear orders, the other
+    deletes P, the first loads it again."""
+    orders, w = table(spark, sf_dir, "orders"), _warehouse(spark)
+    other = Warehouse(spark, w.root)
+    _load_orders(w, orders.where("o_orderstatus = 'F'"))
+    _load_orders(other, orders.where("o_orderstatus in ('F', 'O')"))
+    _load_orders(w, orders.where("o_orderstatus = 'P' or (o_orderstatus = 'O' and o_totalprice > 100000)"))
+    other.delete_run(AGENCY, "P")
+    _load_orders(w, orders.where("o_orderstatus = 'P'"))
+    return _run_years(other)
+
+
 @query
 def run_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All runs, run P deleted, an unknown run deleted, run F deleted and loaded again."""
@@ -631,6 +647,16 @@ def ingest_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _warehouse_counts(w)
 
 
+def _truncated_run(spark: SparkSession, base: str, source: str, target: str) -> None:
+    """A run whose only publication file is the first half of one of another run's."""
+    folder = f"{base}/{AGENCY}/{source}/json/publications"
+    name = discover.list_objects(spark, folder).where(F.col("key").endswith(".gz")).agg(F.min("key")).first()[0]
+    data = Storage(spark, folder).read(name)
+    Storage(spark, f"{base}/{AGENCY}/{target}/json/publications").write("part.json.gz", data[:len(data) // 2])
+    years = spark.createDataFrame([], "publication_year int, documents bigint")
+    feed_source.write_metadata(feed_source.no_aliases(spark), years, base, AGENCY, target)
+
+
 def _faulty_feed(spark: SparkSession, sf_dir: str, base: str, repaired: bool = False) -> None:
     """Publications of the orders as a feed: run F is good, O states a document too many, P has a line of the wrong type."""
     orders = table(spark, sf_dir, "orders")
@@ -666,24 +692,24 @@ def _outcomes(w: Warehouse, outcome: DataFrame) -> DataFrame:
 
 @query
 def ingest_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A good run, one with wrong counts and one with malformed lines, in one load."""
+    """A good run, one with wrong counts, one with malformed lines and one with half a gzip file, in one load."""
     base, w = Workspace(spark).path("feed"), _warehouse(spark)
     _faulty_feed(spark, sf_dir, base)
-    return _outcomes(w, ingest_plan.ingest(spark, base, w))
+    _truncated_run(spark, base, "F", "truncated")
+    found = _outcomes(w, ingest_plan.ingest(spark, base, w))
+    return found.withColumn("reason", F.regexp_replace("reason", "^load failed:.*FAILED_READ_FILE(?s).*", "load failed: FAILED_READ_FILE"))
 
 
 @query
 def ingest_streamed_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by stream; then repaired and started again, without a new run. Outcomes of all loads in the log."""
+    """The same by stream; then repaired, a run flagged by another writer, and started again. Outcomes of all loads in the log."""
     space = Workspace(spark)
     base, w = space.path("feed"), _warehouse(spark)
     _faulty_feed(spark, sf_dir, base)
     ingest_stream(spark, base, w, space.path("checkpoint")).awaitTermination()
     _faulty_feed(spark, sf_dir, base, repaired=True)
-    w.refresh()
-    w.request_reload(AGENCY, "F")
+    Warehouse(spark, w.root).request_reload(AGENCY, "F")
     ingest_stream(spark, base, w, space.path("checkpoint")).awaitTermination()
-    w.refresh()
     last = w.load_log().groupBy("version").agg(F.max_by("status", "at").alias("status"), F.max_by("reason", "at").alias("reason"))
     return _outcomes(w, last)
 
@@ -697,8 +723,7 @@ def staging_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_id = w.start_load()
     for name, rows in kinds.items():
         w.write_staging(load_id, name, rows)
-    counts = j.runs.select("run_id", F.lit(None).cast("map<string,bigint>").alias("row_counts"))
-    w.publish(load_id, j.runs, counts, {})
+    w.publish(load_id, j.runs, {}, {})
     return _kind_counts({n: w.staging(n, df.schema) for n, df in kinds.items()})
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from runstar.schemas import Table
@@ -54,20 +55,45 @@ def check_unique(df: DataFrame, keys: Sequence[str], runs: Sequence[str] = ()) -
 
 
 def run_verdict(feed: DataFrame, expected: DataFrame, runs: Sequence[str] = ("agency", "version"),
-                year: str = "publication_year", id_col: str = "eid", record_key: Sequence[str] | None = None) -> DataFrame:
-    """One row per run with ``counts_ok``, ``unique_ok`` and ``valid``.
+                year: str = "publication_year", id_col: str = "eid", record_key: Sequence[str] | None = None,
+                corrupt: str | None = None) -> DataFrame:
+    """One row per run with ``counts_ok``, ``unique_ok`` and ``valid``; with ``corrupt``, a column that is null but for bad
+    lines, also ``bad_lines``.
 
     ``expected`` holds the runs, the year and the number of documents as ``expected``. Runs that appear on one
     side only get a verdict as well. ``record_key`` (by default the id) is what must be unique.
+
+    The feed is read once: records are grouped by key and year, these groups by id, and those by year, so each step
+    works on what the one before has left; a hot year or run is spread over its ids.
     """
-    differences = reconcile_counts(expected, observed_counts(feed, year, id_col, runs), [*runs, year])
-    counts = all_equal(differences, runs)
-    unique = check_unique(feed, record_key or [id_col], runs).select(*runs, "unique_ok")
-    verdict = counts.join(unique, list(runs), "full_outer")
-    # No difference rows means nothing to object to; no keys means an empty feed.
-    verdict = verdict.withColumn("counts_ok", F.coalesce("counts_ok", F.lit(True)))
-    verdict = verdict.withColumn("unique_ok", F.coalesce("unique_ok", F.lit(False)))
-    return verdict.withColumn("valid", F.col("counts_ok") & F.col("unique_ok"))
+    key = list(record_key or [id_col])
+    if id_col not in key:  # uniqueness needs a grouping of its own
+        unique = check_unique(feed, key, runs).select(*runs, "unique_ok")
+        rest = run_verdict(feed, expected, runs, year, id_col, None, corrupt).drop("unique_ok", "valid")
+        joined = rest.join(unique, list(runs), "full_outer")
+        joined = joined.withColumn("counts_ok", F.coalesce("counts_ok", F.lit(True)))
+        joined = joined.withColumn("unique_ok", F.coalesce("unique_ok", F.lit(False)))
+        return joined.withColumn("valid", F.col("counts_ok") & F.col("unique_ok"))
+    bad = F.count(corrupt) if corrupt else F.lit(0)
+    by_year = feed.groupBy(*runs, *key, year).agg(F.count(F.lit(1)).alias("_rows"), bad.alias("_bad"))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    by_key = by_year.groupBy(*runs, *key).agg(
+        F.when(whole, F.sum("_rows")).alias("_rows"), F.sum("_bad").alias("_bad"), F.collect_set(year).alias("_years"))
+    if key != [id_col]:
+        by_key = by_key.groupBy(*runs, id_col).agg(F.max("_rows").alias("_rows"), F.sum("_bad").alias("_bad"),
+                                                   F.array_distinct(F.flatten(F.collect_list("_years"))).alias("_years"))
+    years = by_key.select(*runs, id_col, "_rows", "_bad", F.posexplode_outer("_years").alias("_pos", year))
+    seen = years.groupBy(*runs, year).agg(
+        F.count(id_col).alias("observed"), F.max("_rows").alias("_rows"),
+        F.sum(F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col("_bad")).otherwise(0)).alias("_bad"))
+    both = reconcile_counts(expected, seen, [*runs, year])
+    stated = F.col(year).isNotNull()
+    verdict = both.groupBy(*runs).agg(
+        F.coalesce(F.bool_and(F.when(stated, F.col("diff") == 0)), F.lit(True)).alias("counts_ok"),
+        F.coalesce(F.max("_rows") == 1, F.lit(False)).alias("unique_ok"),  # no keys means an empty feed
+        F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad_lines"))
+    verdict = verdict.withColumn("valid", F.col("counts_ok") & F.col("unique_ok"))
+    return verdict if corrupt else verdict.drop("bad_lines")
 
 
 def require_valid(verdict: DataFrame, runs: Sequence[str] = ("agency", "version"), raise_on_fail: bool = True) -> bool:
@@ -115,21 +141,55 @@ def reference_rule(child: DataFrame, column: str, parent: DataFrame, parent_colu
                    .select(*by, F.lit(f"reference:{column}").alias("rule"), "violations"))
 
 
+class Watched:
+    """Figures of a table gathered while it is written: rows, highest id, rows that break a required column or a length."""
+
+    def __init__(self, name: str, spec: Table):
+        self._seen = Observation(f"{name}-{uuid4().hex}")
+        self._checks = _row_checks(spec)
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        last = F.max("id") if "id" in rows.columns else F.lit(None).cast("bigint")
+        broken = [F.count_if(c).alias(f"r{i}") for i, c in enumerate(self._checks.values())]
+        return rows.observe(self._seen, F.count(F.lit(1)).alias("n"), last.alias("last_id"), *broken)
+
+    @property
+    def rows(self) -> int:
+        return self._seen.get["n"]
+
+    @property
+    def last_id(self) -> int:
+        return self._seen.get["last_id"] or 0
+
+    @property
+    def sound(self) -> bool:
+        """Whether no row breaks a rule about itself."""
+        return not any(self._seen.get[f"r{i}"] for i in range(len(self._checks)))
+
+
+def _row_checks(spec: Table) -> dict[str, Column]:
+    lengths = {c.name: c.length for c in spec.columns if c.length}
+    checks = {f"not_null:{c.name}": F.col(c.name).isNull() for c in spec.columns if c.required}
+    return checks | {f"max_length:{c}": F.length(c) > n for c, n in lengths.items()}
+
+
 def audit_table(name: str, spec: Table, tables: Mapping[str, DataFrame], references: bool = True,
-                by_run: bool = True) -> DataFrame:
+                by_run: bool = True, row_rules_too: bool = True) -> DataFrame | None:
     """Report ``(table_name, [run_id,] rule, violations)`` of one built table; rules without violations may be absent
-    for references and keys."""
+    for references and keys. Without ``row_rules_too`` only these are checked, and there may be none."""
     df = tables[name]
     by = ["run_id"] if by_run and spec.run_scoped else []
     lengths = {c.name: c.length for c in spec.columns if c.length}
     required = [c.name for c in spec.columns if c.required]
-    parts = [row_rules(df, required, lengths, by)] if required or lengths else []
+    parts = [row_rules(df, required, lengths, by)] if row_rules_too and (required or lengths) else []
     if spec.unique:
         parts.append(unique_rule(df, spec.unique, by))
     if references:
         for column, parent in spec.parents.items():
             if parent in tables:
                 parts.append(reference_rule(df, column, tables[parent], by=by))
+    if not parts:
+        return None
     report = reduce(DataFrame.unionByName, parts)
     if not by and by_run:
         report = report.withColumn("run_id", F.lit(None).cast("bigint"))
@@ -138,11 +198,15 @@ def audit_table(name: str, spec: Table, tables: Mapping[str, DataFrame], referen
 
 
 def audit_constraints(tables: Mapping[str, DataFrame], specs: Mapping[str, Table], references: bool = True,
-                      by_run: bool = True) -> DataFrame:
-    """Constraint report of all given tables."""
-    reports = [audit_table(n, specs[n], tables, references, by_run) for n in tables
+                      by_run: bool = True, watched: Mapping[str, Watched] | None = None) -> DataFrame:
+    """Constraint report of all given tables.
+
+    Tables whose writing was ``watched`` are read for their rules about single rows only if some row breaks one: to tell its run.
+    """
+    watched = watched or {}
+    reports = [audit_table(n, specs[n], tables, references, by_run, not (n in watched and watched[n].sound)) for n in tables
                if n in specs and _has_rules(specs[n], tables if references else ())]
-    return reduce(DataFrame.unionByName, reports)
+    return reduce(DataFrame.unionByName, [r for r in reports if r is not None])
 
 
 def _has_rules(spec: Table, parents: Iterable[str]) -> bool:

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runstar.operators.validate import audit_constraints, run_verdict
+from runstar.operators.validate import Watched, audit_constraints, run_verdict
 from runstar.plans import staging
 from runstar.plans.star import JOBS_AT_A_TIME, StarLoad, load_losses
 from runstar.schemas import FEED_SCHEMA, TABLES
 from runstar.sources import discover
 from runstar.sources.feed import (CORRUPT, METADATA_FILE, PUBLICATION_FILES, expected_years, metadata_aliases,
                                   read_feed, read_metadata)
-from runstar.sources.warehouse import REPORT, Warehouse
+from runstar.sources.warehouse import REPORT, Conflict, Warehouse
 from runstar.sources.workspace import control_table
 
 RUNS = ["agency", "version"]
@@ -74,10 +75,9 @@ def presence(listing: DataFrame) -> DataFrame:
 
 def validated_runs(feed: DataFrame, metadata: DataFrame, record_key: Sequence[str] = ("eid",)) -> DataFrame:
     """Verdict per run with a ``reason`` for the invalid ones; unreadable lines and documents count as invalid."""
-    bad_lines = feed.groupBy(*RUNS).agg(F.count(CORRUPT).alias("bad_lines"))
     bad_documents = metadata.groupBy(*RUNS).agg(F.count(CORRUPT).alias("bad_documents"))
-    verdict = run_verdict(feed, expected_years(metadata), RUNS, record_key=record_key)
-    joined = verdict.join(bad_lines, RUNS, "full_outer").join(bad_documents, RUNS, "full_outer")
+    verdict = run_verdict(feed, expected_years(metadata), RUNS, record_key=record_key, corrupt=CORRUPT)
+    joined = verdict.join(bad_documents, RUNS, "full_outer")
     reason = (F.when(F.col("bad_documents") > 0, F.lit("malformed metadata"))
                .when(F.col("bad_lines") > 0, F.lit("malformed feed line"))
                .when(~F.coalesce("counts_ok", F.lit(True)), F.lit("input validation failed: documents per year"))
@@ -93,28 +93,23 @@ def stage_runs(warehouse: Warehouse, load_id: int, feed: DataFrame, aliases: Dat
         return dict(zip(kinds, written, strict=True))
 
 
-def _summary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> tuple[DataFrame, dict[str, int]]:
-    """Row counts per run and the highest id per table, from the id columns alone."""
-    counts = reduce(DataFrame.unionByName, [
-        df.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last_id"))
-          .select("run_id", F.lit(name).alias("name"), "n", "last_id")
-        for name, df in tables.items() if TABLES[name].run_scoped])
-    rows = counts.collect()  # one row per run and table
-    last: dict[str, int] = {}
-    for r in rows:
-        last[r["name"]] = max(r["last_id"], last.get(r["name"], 0))
-    local = control_table(spark, [(r["run_id"], r["name"], r["n"]) for r in rows], "run_id bigint, name string, n bigint")
-    per_run = local.groupBy("run_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "n"))).alias("row_counts"))
-    return per_run, last
-
-
 def load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFrame,
               options: LoadOptions = DEFAULTS, listing: DataFrame | None = None) -> DataFrame:
     """Validate, stage, build and publish the runs in ``work`` ``(agency, version, force)``.
 
     A run that fails is recorded with its reason and the others go on. Returns the outcome of every run. ``listing`` is
-    what ``list_objects`` has found below ``base``, if known.
+    what ``list_objects`` has found below ``base``, if known. If another load is published meanwhile, this one is done again, for it
+    numbered its rows without that one's.
     """
+    while True:
+        try:
+            return _load_runs(spark, base, warehouse, work, options, listing)
+        except Conflict:
+            continue
+
+
+def _load_runs(spark: SparkSession, base: str, warehouse: Warehouse, work: DataFrame, options: LoadOptions,
+               listing: DataFrame | None) -> DataFrame:
     base = base.rstrip("/")
     listing = discover.list_objects(spark, base) if listing is None else listing
     admitted = admit_runs(warehouse, work, options.if_exists).join(presence(listing), RUNS, "left")
@@ -148,35 +143,39 @@ def _scan(spark: SparkSession, base: str, warehouse: Warehouse, load_id: int, ru
     """Reasons of the runs with a file that cannot be read; records and metadata of the others.
 
     A gzip file is one task. Its records are written once as scanned, typed and splittable; everything else reads those,
-    so a large file costs one long task and no shuffle. All runs are scanned in one job; if a file cannot be read, each
-    run is scanned in a job of its own, to find the runs that break it. Errors that are not about reading a file end
-    the load: they are no run's fault.
+    so a large file costs one long task and no shuffle. All runs are scanned in one job; if a file cannot be read, the error names
+    it, its run is left out and the others are scanned again together: one scan more than there are such runs. Errors that
+    are not about reading a file end the load: they are no run's fault.
     """
     failures: dict[tuple[str, str], str] = {}
-
-    def alone(run: tuple[str, str]) -> None:
+    while len(failures) < len(runs):
+        readable = [run for run in runs if run not in failures]
         try:
-            warehouse.write_raw(load_id, *_frames(spark, base, [run], options))
+            warehouse.write_raw(load_id, *_frames(spark, base, readable, options))
+            break
         except SPARK_ERRORS as e:
             if not _unreadable(e):
                 raise
-            failures[run] = f"load failed: {_reason(e)}"
-
-    frames = _frames(spark, base, runs, options)
-    try:
-        warehouse.write_raw(load_id, *frames)
-    except SPARK_ERRORS as e:
-        if not _unreadable(e):
-            raise
-        warehouse.discard_raw(load_id)  # metadata may have been written before the records broke
-        for run in runs:  # one after the other: they add to one folder
-            alone(run)
+            warehouse.discard_raw(load_id)  # metadata may have been written before the records broke
+            failures |= {run: f"load failed: {_reason(e)}" for run in _runs_named(e, readable)}
     bad = control_table(spark, list(failures), "agency string, version string")
     metadata, feed = (warehouse.raw(load_id, n, f.schema).join(bad, RUNS, "left_anti")
-                      for n, f in zip(("_metadata", "_raw"), frames[::-1], strict=True))
+                      for n, f in zip(("_metadata", "_raw"), _frames(spark, base, runs, options)[::-1], strict=True))
     return failures, feed, metadata
 
 
+def _runs_named(error: Exception, runs: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The runs whose files an error says cannot be read; it ends the load if it names none of them."""
+    known, named = set(runs), []
+    for path in re.findall(r"reading file (\S+)", str(error)):
+        for text in (path, unquote(path)):
+            parts = text.split("/")
+            named += [run for run in zip(parts, parts[1:], strict=False) if run in known and run not in named]
+    if not named:
+        raise error
+    return named
+
+
 def _unreadable(error: Exception) -> bool:
     return "FAILED_READ_FILE" in str(error)
 
@@ -201,22 +200,27 @@ def _load_admitted(spark: SparkSession, base: str, warehouse: Warehouse, load_id
     keys = warehouse.register(control_table(spark, valid, "agency string, version string"))
     feed = feed.join(keys, RUNS)
     kinds = stage_runs(warehouse, load_id, feed, metadata_aliases(metadata).join(keys, RUNS))
-    load = StarLoad(spark, kinds, lambda name, df: warehouse.write_table(load_id, name, df), warehouse.last_ids(),
-                    options.collation)
+    since, watched = warehouse.position(), {}
+
+    def write(name: str, rows: DataFrame) -> DataFrame:
+        watch = watched.setdefault(name, Watched(name, TABLES[name]))
+        return warehouse.write_table(load_id, name, rows, watch)
+
+    load = StarLoad(spark, kinds, write, warehouse.last_ids(), options.collation)
     tables = load.all()
-    report = audit_constraints(tables, TABLES, options.references)
+    report = audit_constraints(tables, TABLES, options.references, watched=watched)
     broken = {r["run_id"]: r for r in report.where((F.col("violations") > 0) & F.col("run_id").isNotNull())
-                                            .groupBy("run_id").agg(F.min(F.concat_ws(" ", "table_name", "rule")).alias("rule"))
+                                            .groupBy("run_id").agg(F.sort_array(F.collect_set(F.concat_ws(" ", "table_name", "rule"))).alias("rules"))
                                             .collect()}  # at most one row per run
     names = {r["run_id"]: (r["agency"], r["version"]) for r in keys.collect()}
-    failures |= {names[i]: f"constraint violated: {r['rule']}" for i, r in broken.items()}
-    per_run, last_ids = _summary(spark, tables)
+    failures |= {names[i]: f"constraint violated: {', '.join(r['rules'])}" for i, r in broken.items()}
     fine = keys.where(~F.col("run_id").isin(list(broken))) if broken else keys
     losses = load_losses(kinds, tables).collect()  # one row per run
     stale = warehouse.table("snippet_validation").join(fine, "run_id", "left_semi").groupBy("run_id").count().collect()
     stale = {r["run_id"]: r["count"] for r in stale}
     if len(broken) < len(names):
-        warehouse.publish(load_id, fine, per_run, last_ids)
+        last_ids = {n: w.last_id for n, w in watched.items() if w.rows}
+        warehouse.publish(load_id, fine, {n: w.rows for n, w in watched.items()}, last_ids, since)
     rows = {r["run_id"]: r.asDict() for r in losses}
     return failures, {names[i]: rows.get(i, dict.fromkeys(REPORT, 0)) | {"stale_verdicts": stale.get(i, 0)}
                       for i in names if i not in broken}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+#: Adds to rows on their way into a table what is to be observed of them.
+Watch = Callable[[DataFrame], DataFrame]
 
 
 def without_arrays(df: DataFrame) -> DataFrame:
@@ -24,10 +26,12 @@ def preview(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def write_by_run(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def write_by_run(df: DataFrame, path: str, partitions: Sequence[str], watch: Watch | None = None) -> None:
     """Append a table partitioned by run.
 
     Every task writes one file per run it holds, so rows are first brought together by run, in pieces that Spark sizes
-    (it also splits the run that holds most rows): files stay few and large, whatever the number of runs.
+    (it also splits the run that holds most rows): files stay few and large, whatever the number of runs. ``watch`` sees them
+    after that, in the tasks that write, whose figures count once even if a task runs again.
     """
-    df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
+    rows = df.hint("rebalance", *partitions)
+    (watch(rows) if watch else rows).write.mode("append").partitionBy(*partitions).parquet(path)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -7,10 +9,10 @@ from pyspark.sql import functions as F
 
 from runstar.operators.analytics import validated_dyads
 from runstar.plans import staging
-from runstar.plans.ingest import SPARK_ERRORS, LoadOptions, ingest
+from runstar.plans.ingest import SPARK_ERRORS, LoadOptions, ingest, load_runs
 from runstar.plans.star import BUILDERS
 from runstar.schemas import INPUT_TABLES
-from runstar.sources import discover, sinks
+from runstar.sources import commits, discover, sinks
 from runstar.sources import feed as source
 from runstar.sources.warehouse import ConstraintViolated, Warehouse
 from runstar.sources.workspace import control_table, shared_folder
@@ -148,6 +150,144 @@ def test_only_the_scan_is_repeated(spark, base, warehouse):
     assert warehouse.failed_runs().count() == 0
 
 
+def test_one_scan_more_than_unreadable_runs(spark, base, warehouse, monkeypatch):
+    for i in range(20):
+        write_run(base, f"agency {i}", "v 1", RECORDS[:1 + i % 3])
+    for i in (3, 11):
+        broken = base / f"agency {i}" / "v 1" / "json" / "publications" / "publication_0.json.gz"
+        broken.write_bytes(broken.read_bytes()[:60])
+    scans, write_raw = [], Warehouse.write_raw
+    monkeypatch.setattr(Warehouse, "write_raw", lambda self, *a: scans.append(1) or write_raw(self, *a))
+    got = outcome(ingest(spark, str(base), warehouse))
+    assert len(scans) == 3
+    assert {a for (a, _), (status, _) in got.items() if status == "failed"} == {"agency 3", "agency 11"}
+    assert all("FAILED_READ_FILE" in got[(f"agency {i}", "v 1")][1] for i in (3, 11))
+    assert warehouse.table("publication").count() == sum(1 + i % 3 for i in range(20) if i not in (3, 11))
+
+
+def test_nothing_but_unreadable_runs(spark, base, warehouse):
+    write_run(base, "a", "v1", RECORDS)
+    broken = base / "a" / "v1" / "json" / "publications" / "publication_0.json.gz"
+    broken.write_bytes(broken.read_bytes()[:60])
+    got = outcome(ingest(spark, str(base), warehouse))
+    assert got[("a", "v1")][0] == "failed" and warehouse.table("publication").count() == 0
+
+
+def test_two_writers_by_turns(spark, base, tmp_path):
+    """Each sees at once what the other has done: loads, flags and deletes."""
+    first, second = (Warehouse(spark, str(tmp_path / "warehouse")) for _ in range(2))
+    write_run(base, "a", "v1", RECORDS)
+    assert outcome(ingest(spark, str(base), first)) == {("a", "v1"): ("loaded", None)}
+    write_run(base, "b", "v1", RECORDS[:2])
+    second.request_reload("a", "v1")
+    assert outcome(ingest(spark, str(base), second)) == {(n, "v1"): ("loaded", None) for n in "ab"}
+    write_run(base, "c", "v1", RECORDS[:3])
+    assert outcome(ingest(spark, str(base), first)) == {("c", "v1"): ("loaded", None)}
+    for w in (first, second):
+        names = {r["id"]: r["agency"] for r in w.runs().collect()}
+        counts = {names[r["run_id"]]: r["count"] for r in w.table("publication").groupBy("run_id").count().collect()}
+        assert counts == {"a": 4, "b": 2, "c": 3}
+        ids = [r["id"] for r in w.table("publication").select("id").collect()]
+        assert len(set(ids)) == len(ids)
+    # an idle poll, then a flag set elsewhere
+    assert outcome(ingest(spark, str(base), first)) == {}
+    second.request_reload("b", "v1")
+    assert outcome(ingest(spark, str(base), first)) == {("b", "v1"): ("loaded", None)}
+    assert second.reload_requests().count() == 0
+    first.delete_run("c", "v1")
+    assert second.run_id("c", "v1") is None and not second.delete_run("c", "v1")
+
+
+def test_ids_taken_meanwhile_are_a_conflict(spark, base, tmp_path, monkeypatch):
+    first, second = (Warehouse(spark, str(tmp_path / "warehouse")) for _ in range(2))
+    write_run(base, "a", "v1", RECORDS)
+    write_run(base, "b", "v1", RECORDS)
+    only_b = control_table(spark, [("b", "v1", False)], "agency string, version string, force boolean")
+    publish, between = Warehouse.publish, []
+
+    def late(self, *args):
+        if self is first and not between:
+            between.append(outcome(load_runs(spark, str(base), second, only_b)))
+        return publish(self, *args)
+
+    monkeypatch.setattr(Warehouse, "publish", late)
+    only_a = control_table(spark, [("a", "v1", False)], "agency string, version string, force boolean")
+    assert outcome(load_runs(spark, str(base), first, only_a)) == {("a", "v1"): ("loaded", None)}
+    assert between == [{("b", "v1"): ("loaded", None)}]
+    ids = [r["id"] for r in second.table("publication").select("id").collect()]
+    assert len(ids) == 8 == len(set(ids)) and second.table("publication").select("run_id").distinct().count() == 2
+    # inputs as well
+    place = control_table(spark, [("q", "Kiel")], "q string, city string")
+    start = Warehouse.start_load
+
+    def slow(self):
+        if self is first and len(between) < 2:
+            between.append(second.add_input("affiliation_geo", place))
+        return start(self)
+
+    monkeypatch.setattr(Warehouse, "start_load", slow)
+    first.add_input("affiliation_geo", place)
+    assert sorted(r["id"] for r in second.table("affiliation_geo").collect()) == [1, 2]
+
+
+def test_commits_are_made_once(spark, tmp_path):
+    """Many writers at the same time: every event is there, none twice, and every load id is another."""
+    root = str(tmp_path / "warehouse")
+    with ThreadPoolExecutor(8) as pool:
+        ids = list(pool.map(lambda _: Warehouse(spark, root).start_load(), range(24)))
+    assert sorted(ids) == list(range(1, 25))
+    log = Warehouse(spark, root).log()
+    assert log.count() == 24 and log.select("commit_no").distinct().count() == 24
+    # a commit that its writer did not finish is passed over
+    (tmp_path / "warehouse" / "log" / "commit-000000000025.json").write_text('{"commit_no": 25, "at"')
+    w = Warehouse(spark, root)
+    commits_patience, commits.PATIENCE = commits.PATIENCE, 0.2
+    try:
+        assert w.start_load() == 25 and Warehouse(spark, root).position() == 26
+    finally:
+        commits.PATIENCE = commits_patience
+
+
+def test_views_of_the_user_stay(spark, base, warehouse):
+    write_run(base, "a", "v1", RECORDS)
+    ingest(spark, str(base), warehouse)
+    spark.range(3).createOrReplaceTempView("publication")
+    try:
+        found = warehouse.query("select p.title from publication p join agency_run r on r.id = p.run_id")
+        assert spark.table("publication").count() == 3 and found.count() == 4
+        assert not spark.catalog.tableExists("agency_run")
+        with pytest.raises(SPARK_ERRORS):
+            warehouse.query("select nothing from publication")
+        assert spark.table("publication").columns == ["id"]
+    finally:
+        spark.catalog.dropTempView("publication")
+
+
+def test_a_broken_rule_is_named_with_all_others(spark, base, warehouse):
+    write_run(base, "a", "v1", [record("x", publication_title="t" * 401, doi="d" * 81)])
+    write_run(base, "b", "v1", RECORDS)
+    got = outcome(ingest(spark, str(base), warehouse))
+    assert got[("a", "v1")][1] == "constraint violated: publication max_length:doi, publication max_length:title"
+    assert got[("b", "v1")] == ("loaded", None)
+
+
+def test_figures_of_a_load_are_gathered_while_it_is_written(spark, base, warehouse):
+    write_run(base, "a", "v1", RECORDS)
+    ingest(spark, str(base), warehouse)
+    event = warehouse.log().where("action = 'publish'").first()
+    assert event["row_counts"] == {n: warehouse.table(n).count() for n in event["row_counts"]} and len(event["row_counts"]) == 16
+    assert event["last_ids"] == {n: warehouse.table(n).agg(F.max("id")).first()[0] for n, k in event["row_counts"].items() if k}
+
+
+def test_one_stamp_a_load(spark, base, warehouse):
+    write_run(base, "a", "v1", RECORDS)
+    write_run(base, "b", "v1", RECORDS)
+    ingest(spark, str(base), warehouse)
+    stamps = {r[0] for n in BUILDERS if "last_updated_date" in warehouse.table(n).columns
+              for r in warehouse.table(n).select("last_updated_date").distinct().collect()}
+    assert len(stamps) == 1
+
+
 def test_own_faults_are_not_a_runs_fault(spark, base, warehouse, monkeypatch):
     write_run(base, "a", "v1", RECORDS)
     monkeypatch.setattr(staging, "all_kinds", lambda *a, **k: spark.range(1).select("no_such_column"))
@@ -328,7 +468,6 @@ def test_stream_loads_only_new_runs(spark, base, warehouse, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
     for _ in range(2):
         ingest_stream(spark, str(base), warehouse, checkpoint).awaitTermination()
-        warehouse.refresh()
         assert warehouse.load_log().count() == 1
     write_run(base, "b", "v1", RECORDS[:2])
     ingest_stream(spark, str(base), warehouse, checkpoint).awaitTermination()
@@ -344,7 +483,6 @@ def test_stream_retries_and_reloads_without_new_objects(spark, base, warehouse,
 
     def run():
         ingest_stream(spark, str(base), warehouse, checkpoint).awaitTermination()
-        warehouse.refresh()
         return [(r["agency"], r["status"]) for r in warehouse.load_log().orderBy("at", "agency").collect()]
 
     assert run() == [("a", "loaded"), ("b", "failed")]
@@ -355,6 +493,24 @@ def test_stream_retries_and_reloads_without_new_objects(spark, base, warehouse,
     assert len(run()) == 4 and warehouse.table("publication").count() == 8
 
 
+def test_a_flag_alone_makes_a_batch_of_a_running_stream(spark, base, warehouse, tmp_path):
+    write_run(base, "a", "v1", RECORDS)
+    query = ingest_stream(spark, str(base), warehouse, str(tmp_path / "checkpoint"), every="1 second")
+    try:
+        def loads(n):
+            end = time.monotonic() + 90
+            while warehouse.load_log().count() < n and time.monotonic() < end:
+                time.sleep(0.5)
+            return warehouse.load_log().count()
+
+        assert loads(1) == 1
+        Warehouse(spark, warehouse.root).request_reload("a", "v1")
+        assert loads(2) == 2
+    finally:
+        query.stop()
+    assert warehouse.reload_requests().count() == 0 and warehouse.table("publication").count() == 4
+
+
 def test_staging_and_csv_sinks(spark, base, warehouse, tmp_path):
     write_run(base, "a b", "v1", RECORDS)
     ingest(spark, str(base), warehouse)
