@@ -402,6 +402,8 @@ UNION ALL SELECT 'truncated', 'failed', 'load failed: FAILED_READ_FILE', NULL"""
     "view_query": """
 SELECT o_orderstatus AS version, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS documents,
        CAST(0 AS BIGINT) AS with_journal FROM orders GROUP BY ALL""",
+    "staging_views": f"""WITH {_LINE}
+SELECT version, count(*) AS n_rows, count(DISTINCT author_id) AS n_authors FROM line GROUP BY version""",
     "redact_snippets": "SELECT conv_id, turn, role, left(text, 10) AS snippet FROM conversations",
     "redact_year_counts": f"""WITH {_REC}
 SELECT version, year AS publication_year, count(*) AS documents FROM rec GROUP BY version, year""",
@@ -452,9 +454,20 @@ SELECT d.version, r.year, count(DISTINCT d.mention_candidate) AS n_mentions, cou
 }
 
 _KINDS = ("publications", "dyads", "authors", "affiliations", "asjcs", "topics", "topicclusters", "ufcs", "datasets")
-_KIND_COUNTS = "\nUNION ALL\n".join(
-    f"SELECT version, '{k}' AS kind, count(*) AS n_rows FROM ({ORACLES[f'stage_{k}']}) GROUP BY version" for k in _KINDS)
+
+
+def _contents(kind: str) -> str:
+    from checks.queries import CONTENT
+
+    columns = [*(["eid"] if kind != "datasets" else []), *CONTENT[kind]]
+    value = {"snippet": """snippet || chr(10) || '"quoted", \\'"""}
+    text = ", ".join(f"coalesce(CAST({value.get(c, c)} AS VARCHAR), '<null>')" for c in columns)
+    return (f"SELECT version, '{kind}' AS kind, count(*) AS n_rows, CAST(sum(CAST('0x' || left(md5(concat_ws('|', {text})), 8) AS BIGINT))"
+            f" AS BIGINT) AS content FROM ({ORACLES[f'stage_{kind}']}) GROUP BY version")
+
+
+_KIND_CONTENTS = "\nUNION ALL\n".join(map(_contents, _KINDS))
 ORACLES |= {
-    "staging_sink": _KIND_COUNTS, "csv_roundtrip": _KIND_COUNTS, "ingest_content": ORACLES["fact_publication"],
+    "staging_sink": _KIND_CONTENTS, "csv_roundtrip": _KIND_CONTENTS, "ingest_content": ORACLES["fact_publication"],
     "ingest_report": f"SELECT version, 'loaded' AS status, CAST(NULL AS VARCHAR) AS reason, publications_dropped,"
                      f" publications_repeated, asjc_rows_lost, CAST(0 AS BIGINT) AS stale_verdicts FROM ({ORACLES['star_losses']})"}

@@ -716,34 +716,56 @@ def ingest_streamed_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def staging_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All nine kinds written by run and read back by their visible loads: rows per run, and a hash over their text columns."""
+    """All nine kinds written by run and read back by their visible loads: rows per run, and a sum of hashes of their values."""
     j = job(spark, sf_dir)
     w = _warehouse(spark)
-    kinds = staging.all_kinds(j.feed, adapter.alias_list(spark, sf_dir), ("run_id", "agency", "version", "eid"))
+    kinds = _kinds(spark, sf_dir, ("run_id", "agency", "version", "eid"))
     load_id = w.start_load()
     for name, rows in kinds.items():
         w.write_staging(load_id, name, rows)
     w.publish(load_id, j.runs, {}, {})
-    return _kind_counts({n: w.staging(n, df.schema) for n, df in kinds.items()})
+    return _kind_contents({n: w.staging(n, df.schema) for n, df in kinds.items()})
+
+
+def _kinds(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> dict[str, DataFrame]:
+    """The nine kinds, with snippets that hold a line break, quotes, a comma and a backslash."""
+    kinds = staging.all_kinds(job(spark, sf_dir).feed, adapter.alias_list(spark, sf_dir), keys)
+    marked = F.concat("snippet", F.lit('\n"quoted", \\'))
+    return kinds | {"dyads": kinds["dyads"].withColumn("snippet", marked)}
+
+
+#: What is compared of each kind beside its key: all but floating numbers.
+CONTENT = {
+    "publications": ("doi", "publication_title", "publication_type", "publication_year", "publication_month", "citation_count",
+                     "journal_publishername", "journal_title", "journal_scopus_source_id", "journal_issn_isbn", "tested_expressions"),
+    "dyads": ("alias", "snippet", "alias_id", "is_fuzzy", "model"),
+    "authors": ("author_id", "author_position", "given_name", "family_name", "pn_given_name", "pn_family_name",
+                "affiliation_sequences"),
+    "affiliations": ("affiliation_sequence", "affiliation_id", "affiliation_ids", "affiliation_normalized",
+                     "affiliation_organization", "affiliation_address_part", "country_code", "affiliation_state",
+                     "affiliation_city", "affiliation_postal_code"),
+    "asjcs": ("asjc", "label"), "ufcs": ("concept_id", "concept_name"), "topics": ("topic_id", "keywords"),
+    "topicclusters": ("keywords", "cluster_id"), "datasets": ("alias", "alias_id", "parent_alias_id", "alias_type")}
 
 
-def _kind_counts(kinds: dict[str, DataFrame]) -> DataFrame:
-    counts = None
+def _kind_contents(kinds: dict[str, DataFrame]) -> DataFrame:
+    parts = []
     for name, df in kinds.items():
-        part = df.groupBy("version").agg(F.lit(name).alias("kind"), F.count(F.lit(1)).alias("n_rows"))
-        counts = part if counts is None else counts.unionByName(part)
-    return counts
+        columns = [*(["eid"] if name != "datasets" else []), *CONTENT[name]]
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in columns])
+        value = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        parts.append(df.groupBy("version").agg(F.lit(name).alias("kind"), F.count(F.lit(1)).alias("n_rows"),
+                                               F.sum(value).alias("content")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All nine kinds as CSV and back: rows per run and kind."""
-    j, path = job(spark, sf_dir), Workspace(spark).root
-    kinds = staging.all_kinds(j.feed, adapter.alias_list(spark, sf_dir), ("agency", "version", "eid"))
+    """All nine kinds as CSV and back: rows per run and kind, and a sum of hashes of their values."""
+    path = Workspace(spark).root
+    kinds = _kinds(spark, sf_dir, ("agency", "version", "eid"))
     sinks.write_csv(kinds, path)
-    back = {n: spark.read.schema(sinks.without_arrays(df).schema).option("header", True).option("escape", '"').csv(
-        f"{path}/{n}") for n, df in kinds.items()}
-    return _kind_counts(back)
+    return _kind_contents({n: sinks.read_csv(spark, f"{path}/{n}", sinks.without_arrays(df).schema) for n, df in kinds.items()})
 
 
 @query
@@ -752,7 +774,7 @@ def csv_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Workspace(spark).root
     sinks.write_csv({"part": table(spark, sf_dir, "part")}, path)
     schema = table(spark, sf_dir, "part").schema
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{path}/part")
+    return sinks.read_csv(spark, f"{path}/part", schema)
 
 
 @query
@@ -784,6 +806,22 @@ def view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
           from publication p join agency_run r on r.id = p.run_id group by r.version, p.month""")
 
 
+@query
+def staging_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged kinds by the names of their runs: authors and their publications of each run, by SQL over its views."""
+    w, j = loaded(spark, sf_dir).warehouse, job(spark, sf_dir)
+    kinds = staging.all_kinds(j.feed, adapter.alias_list(spark, sf_dir), ("run_id", "agency", "version", "eid"))
+    names = w.register_staging_views({n: kinds[n].schema for n in ("authors", "publications")})
+    try:
+        return reduce(DataFrame.unionByName, [spark.sql(f"""
+            select p.version, count(*) as n_rows, count(distinct a.author_id) as n_authors
+              from `{n}` a join `{n.removesuffix('authors')}publications` p on p.eid = a.eid group by p.version""")
+            for n in names if n.endswith("_authors")])
+    finally:
+        for n in names:
+            spark.catalog.dropTempView(n)
+
+
 @query
 def redact_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as records whose snippets are the turns, cut to ten characters inside the record."""
@@ -875,7 +913,7 @@ def ordered_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.col("role") == "user"
     return analytics.ordered_agg(
         table(spark, sf_dir, "conversations"), ["conv_id"], "role", "turn",
-        {"n_user": F.sum(F.when(user, 1).otherwise(0)), "last_user_turn": F.max(F.when(user, F.col("turn")))},
+        {"n_user": ("sum", F.when(user, 1).otherwise(0)), "last_user_turn": ("max", F.when(user, F.col("turn")))},
         out="roles", chunk=F.floor(F.col("turn") / 1000))
 
 
@@ -884,7 +922,7 @@ def ordered_roles_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same over two keys of which one is null for every third conversation."""
     turns = table(spark, sf_dir, "conversations").withColumn("third", F.when(F.col("conv_id") % 3 != 0, F.col("conv_id") % 3))
     return analytics.ordered_agg(
-        turns, ["conv_id", "third"], "role", "turn", {"n_user": F.count_if(F.col("role") == "user")},
+        turns, ["conv_id", "third"], "role", "turn", {"n_user": ("count_if", F.col("role") == "user")},
         out="roles", chunk=F.floor(F.col("turn") / 2))
 
 

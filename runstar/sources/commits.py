@@ -34,6 +34,9 @@ class Storage:
     def _path(self, name: str):
         return self._context._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
 
+    def exists(self) -> bool:
+        return self._fs.exists(self._path(""))
+
     def make(self) -> None:
         self._fs.mkdirs(self._path(""))
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 #: Adds to rows on their way into a table what is to be observed of them.
 Watch = Callable[[DataFrame], DataFrame]
@@ -18,7 +19,14 @@ def without_arrays(df: DataFrame) -> DataFrame:
 def write_csv(kinds: Mapping[str, DataFrame], folder: str) -> None:
     """One CSV folder with header per kind."""
     for name, df in kinds.items():
-        without_arrays(df).write.option("header", True).option("escape", '"').csv(f"{folder.rstrip('/')}/{name}")
+        (without_arrays(df).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(f"{folder.rstrip('/')}/{name}"))
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``write_csv`` wrote of one kind. Texts may hold line breaks; an empty text is quoted, null is nothing at all."""
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.option("nullValue", "\0").csv(path)
 
 
 def preview(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

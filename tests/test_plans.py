@@ -7,7 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from runstar.operators.analytics import ordered_agg, validated_dyads
 from runstar.operators.keys import dense_id
+from runstar.operators.validate import run_verdict
 from runstar.plans import staging, star
 from runstar.sources.workspace import Workspace
 from tests.feeds import aliases, frame, record
@@ -75,3 +77,32 @@ def test_bridges_run_each_lookup_once(spark, built, table):
 def test_numbering_reuses_the_distinct_exchange(spark, feed, table, kind):
     kinds = staging.all_kinds(feed, Workspace(spark).keep("aliases", aliases(spark)))
     assert "ReusedExchange" in plan(star.BUILDERS[table][0](kinds[kind]), final=True)
+
+
+def test_verdict_reads_the_feed_once(spark):
+    space = Workspace(spark)
+    records = space.keep("records", spark.range(100).select(
+        F.lit("a").alias("agency"), F.lit("v").alias("version"), F.col("id").cast("string").alias("eid"),
+        (F.col("id") % 5).cast("int").alias("publication_year"), F.lit(None).cast("string").alias("corrupt")))
+    stated = space.keep("stated", records.groupBy("agency", "version", "publication_year").agg(F.count(F.lit(1)).alias("expected")))
+    verdict = run_verdict(records, stated, corrupt="corrupt")
+    assert verdict.first().asDict() == {"agency": "a", "version": "v", "counts_ok": True, "unique_ok": True, "bad_lines": 0, "valid": True}
+    scans = re.findall(r"FileScan parquet.*Location: \S+ paths\)\[([^]]*)", plan(verdict))
+    assert len(scans) == 2 and sum("records" in s for s in scans) == 1
+
+
+def test_verdict_view_counts_without_expand(spark, built):
+    _, tables = built
+    runs = spark.createDataFrame([(1, "a", "v")], "id bigint, agency string, version string")
+    verdicts = tables["dyad"].select("run_id", F.col("id").alias("dyad_id"), F.lit(1).cast("smallint").alias("agency_dataset_identified"))
+    view = validated_dyads(runs, tables["dataset_alias"], tables["dyad"], verdicts)
+    assert "Expand" not in plan(view)
+    row = view.first()
+    assert (row["num_identified"], row["num_distinct_alias"], row["num_distinct_mention"]) == (5, 1, 1) or view.count() == 5
+
+
+def test_ordered_text_and_flags_come_from_one_scan(spark):
+    turns = Workspace(spark).keep("turns", spark.range(50).select((F.col("id") % 3).alias("k"), "id", F.col("id").cast("string").alias("v")))
+    found = ordered_agg(turns, ["k"], "v", "id", {"n": ("count_if", F.col("id") > 3)}, chunk=F.floor(F.col("id") / 10))
+    text = plan(found)
+    assert text.count("FileScan") == 1 and "Join" not in text

@@ -275,19 +275,35 @@ def test_geo_match_and_backlog(spark):
     assert rows(geo_backlog(places, countries, geo), "address", "q") == [("S|2", "S,2,Kiel,Germany"), (None, "Rom")]
 
 
+def test_geo_match_splits_a_repeated_address(spark):
+    """Blank addresses on both sides: all their pairs, in tasks of about a cell each."""
+    blank = [F.lit("" if c == "city" else None).cast("string").alias(c) for c in ("address", "city", "state", "country_code")]
+    places = spark.range(20_000).select(F.lit(1).alias("run_id"), "id", *blank)
+    named = spark.range(20_000, 20_100).select(F.lit(1).alias("run_id"), "id", F.concat(F.lit("S "), "id").alias("address"), *blank[1:])
+    geo = spark.range(3_000).select("id", F.lit("q").alias("q_final"), *blank)
+    geo = geo.unionByName(named.select("id", F.lit("q").alias("q_final"), "address", "city", "state", "country_code"))
+    none = control_table(spark, [], "publication_affiliation_id bigint, affiliation_geo_id bigint")
+    pairs = geo_match(places.unionByName(named), geo, none)
+    assert pairs.count() == 20_000 * 3_000 + 100
+    known = spark.range(20_000).crossJoin(spark.range(2).withColumnRenamed("id", "affiliation_geo_id")).select(
+        F.col("id").alias("publication_affiliation_id"), "affiliation_geo_id")
+    assert geo_match(places.where("id < 3000"), geo, known).count() == 3_000 * 2_998
+
+
 def test_ordered_agg(spark):
     df = spark.range(2500).select((F.col("id") % 2).alias("k"), "id", F.col("id").cast("string").alias("v"))
-    flags = {"n": F.count_if(F.col("id") > 10)}
+    flags = {"n": ("count_if", F.col("id") > 10), "last": ("max", F.col("id")), "first": ("min", F.col("id")),
+             "all": ("bool_and", F.col("id") >= 0), "some": ("bool_or", F.col("id") == 700), "sum": ("sum", F.col("id"))}
     whole = ordered_agg(df, ["k"], "v", "id", flags)
     chunked = ordered_agg(df, ["k"], "v", "id", flags, chunk=F.floor(F.col("id") / 100))
-    assert rows(whole, "k", "joined", "n") == rows(chunked, "k", "joined", "n")
+    assert rows(whole, "k", "joined", *flags) == rows(chunked, "k", "joined", *flags)
     assert whole.where("k = 0").first()["joined"].startswith("0,2,4,")
 
 
 def test_ordered_agg_keeps_null_keys(spark):
     df = spark.range(600).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.lit(None).cast("int").alias("j"), "id",
                                  F.col("id").cast("string").alias("v"))
-    flags = {"n": F.count_if(F.col("id") > 10)}
+    flags = {"n": ("count_if", F.col("id") > 10)}
     whole = ordered_agg(df, ["k", "j"], "v", "id", flags)
     chunked = ordered_agg(df, ["k", "j"], "v", "id", flags, chunk=F.floor(F.col("id") / 100))
     assert chunked.columns == whole.columns and chunked.count() == 3
