@@ -22,6 +22,8 @@ class Lookup:
     null_safe: Mapping[str, str] = field(default_factory=dict)
     take: Mapping[str, str] = field(default_factory=lambda: {"id": "parent_id"})
     how: str = "inner"
+    # join by the keys as they are: child rows that are dealt by them already stay where they are
+    plain: bool = False
 
 
 def lookup(rows: DataFrame, spec: Lookup) -> DataFrame:
@@ -34,7 +36,7 @@ def lookup(rows: DataFrame, spec: Lookup) -> DataFrame:
     wanted = dict.fromkeys([*keys.values(), *spec.take])
     parent = spec.parent.select(*[F.col(c).alias(f"_p_{c}") for c in wanted])
     columns = rows.columns
-    hashed = _hashable(rows, spec.parent, keys)
+    hashed = [] if spec.plain else _hashable(rows, spec.parent, keys)
     pairs: list[Column] = []
     if hashed:
         rows = rows.withColumn("_key", F.xxhash64(*hashed))
@@ -80,13 +82,17 @@ def _any_null(columns: Iterable[str]) -> Column:
 
 
 def bridge(df: DataFrame, columns: Iterable[str], lookups: Iterable[Lookup], distinct: bool = True,
-           copies: str = "copies") -> DataFrame:
+           copies: str = "copies", within: Iterable[str] = ()) -> DataFrame:
     """Child rows with the keys of their parents.
 
-    Duplicates are removed (or, with ``distinct=False``, counted in ``copies``) before any join, with a partial
-    aggregation in the map tasks; joins to parents with unique ids cannot bring duplicates back.
+    Duplicates are removed (or, with ``distinct=False``, counted in ``copies``) before any join; joins to parents with unique
+    ids cannot bring duplicates back. Without ``within`` a partial aggregation in the map tasks comes first. With it, keys that
+    spread the rows well, rows are dealt by these keys once: duplicates, which agree in them, and a ``plain`` lookup by them need no
+    other exchange of the child rows.
     """
     rows = df.select(*columns)
+    if within:
+        rows = rows.repartition(*within)
     rows = rows.distinct() if distinct else rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
     for spec in lookups:
         rows = lookup(rows, spec)

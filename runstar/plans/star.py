@@ -19,6 +19,8 @@ from runstar.operators.keys import canonical_pick, collate, dense_id, dimension
 from runstar.schemas import MODEL_NAMES, TABLES
 
 RUN = {"run_id": "run_id"}
+# What a record's children agree in; the children of one record are few.
+RECORD = ("run_id", "eid")
 
 
 def _finish(df: DataFrame, table: str, **columns: Column) -> DataFrame:
@@ -30,7 +32,7 @@ def _finish(df: DataFrame, table: str, **columns: Column) -> DataFrame:
 
 
 def _publication(publication: DataFrame) -> Lookup:
-    return Lookup(publication, on={**RUN, "eid": "external_id"}, take={"id": "publication_id"})
+    return Lookup(publication, on={**RUN, "eid": "external_id"}, take={"id": "publication_id"}, plain=True)
 
 
 def model_seed(spark: SparkSession) -> DataFrame:
@@ -88,7 +90,7 @@ def dyad(dyads: DataFrame, publication: DataFrame, dataset_alias: DataFrame, sta
     own = ["alias_id", "fuzzy_score", "is_fuzzy", "alias", "snippet"]
     rows = bridge(dyads, ["run_id", "eid", *own], [
         _publication(publication),
-        Lookup(dataset_alias, on={**RUN, "alias_id": "alias_id"}, take={"id": "dataset_alias_id"}, how="left")])
+        Lookup(dataset_alias, on={**RUN, "alias_id": "alias_id"}, take={"id": "dataset_alias_id"}, how="left")], within=RECORD)
     return _finish(dense_id(rows.drop("eid"), start=start), "dyad", mention_candidate=F.col("alias"))
 
 
@@ -112,12 +114,12 @@ def publication_topic(topics: DataFrame, publication: DataFrame, topic: DataFram
     staged = topics.withColumn("external_topic_id", F.col("topic_id").cast("string"))
     rows = bridge(staged, ["run_id", "eid", "external_topic_id"], [
         _publication(publication),
-        Lookup(topic, on={**RUN, "external_topic_id": "external_topic_id"}, take={"id": "topic_id"})])
+        Lookup(topic, on={**RUN, "external_topic_id": "external_topic_id"}, take={"id": "topic_id"})], within=RECORD)
     return _finish(dense_id(rows.select("run_id", "publication_id", "topic_id"), start=start), "publication_topic")
 
 
 def publication_ufc(ufcs: DataFrame, publication: DataFrame, start: int = 0) -> DataFrame:
-    rows = bridge(ufcs, ["run_id", "eid", "concept_id", "concept_name", "rank", "a_freq"], [_publication(publication)])
+    rows = bridge(ufcs, ["run_id", "eid", "concept_id", "concept_name", "rank", "a_freq"], [_publication(publication)], within=RECORD)
     return _finish(dense_id(rows.drop("eid"), start=start), "publication_ufc")
 
 
@@ -131,8 +133,8 @@ def publication_asjc(asjcs: DataFrame, publication: DataFrame, asjc: DataFrame,
     """Keeps repeats. Codes are compared as numbers written out, so leading zeros find no partner."""
     codes = asjc.withColumn("code_text", F.col("code").cast("string"))
     rows = bridge(asjcs, ["run_id", "eid", "asjc"], [
-        Lookup(codes, on={**RUN, "asjc": "code_text"}, take={"id": "asjc_id"}),
-        _publication(publication)], distinct=False)
+        _publication(publication),
+        Lookup(codes, on={**RUN, "asjc": "code_text"}, take={"id": "asjc_id"})], distinct=False, within=RECORD)
     return _finish(dense_id(rows.select("run_id", "publication_id", "asjc_id", "copies"), start=start, copies="copies"),
                    "publication_asjc")
 
@@ -153,7 +155,7 @@ def publication_author(authors: DataFrame, publication: DataFrame, author: DataF
     own = ["given_name", "family_name", "author_position"]
     rows = bridge(staged, ["run_id", "eid", "author_key", *own], [
         _publication(publication),
-        Lookup(author, on={**RUN, "author_key": "external_id"}, take={"id": "author_id"}, how="left")])
+        Lookup(author, on={**RUN, "author_key": "external_id"}, take={"id": "author_id"}, how="left")], within=RECORD)
     return _finish(dense_id(rows.drop("eid", "author_key"), start=start), "publication_author")
 
 
@@ -163,7 +165,7 @@ def publication_affiliation(affiliations: DataFrame, publication: DataFrame, sta
               "affiliation_organization": "institution_name", "affiliation_address_part": "address",
               "affiliation_city": "city", "affiliation_state": "state", "country_code": "country_code",
               "affiliation_postal_code": "postal_code"}
-    rows = bridge(affiliations, ["run_id", "eid", *staged], [_publication(publication)]).drop("eid")
+    rows = bridge(affiliations, ["run_id", "eid", *staged], [_publication(publication)], within=RECORD).drop("eid")
     numbered = dense_id(rows.withColumnsRenamed(staged), start=start)
     cut = {c.name: F.substring(c.name, 1, c.length) for c in TABLES["publication_affiliation"].columns if c.length}
     return _finish(numbered, "publication_affiliation", **cut,

@@ -106,3 +106,35 @@ def test_ordered_text_and_flags_come_from_one_scan(spark):
     found = ordered_agg(turns, ["k"], "v", "id", {"n": ("count_if", F.col("id") > 3)}, chunk=F.floor(F.col("id") / 10))
     text = plan(found)
     assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def _subtree(lines, at):
+    """The lines below a plan's line."""
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    out = []
+    for line in lines[at + 1:]:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        out.append(line)
+    return out
+
+
+@pytest.mark.parametrize("table", ["dyad", "publication_topic", "publication_ufc", "publication_asjc", "publication_author",
+                                   "publication_affiliation"])
+def test_children_of_a_record_are_dealt_once(spark, built, table):
+    """Their duplicates go and their publication is found where one exchange by run and eid has put them."""
+    kinds, tables = built
+    build, own, parents = star.BUILDERS[table]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        lines = plan(build(*[kinds[k] for k in own], *[tables[p] for p in parents], start=0)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [i for i, line in enumerate(lines) if re.search(r"SortMergeJoin \[run_id#\d+L, eid#\d+\]", line)]
+    assert joins
+    for at in joins:
+        below = _subtree(lines, at)
+        parent = next(i for i, line in enumerate(below) if "_p_external_id" in line and "Exchange" in line)
+        child = [line for line in below[:parent] if "Exchange" in line]
+        assert len(child) == 1 and re.search(r"hashpartitioning\(run_id#\d+L, eid#\d+", child[0])
+        assert any("HashAggregate" in line for line in below[:parent])
