@@ -6,10 +6,16 @@ full. As many rounds later each round throws all elements into one given bin, so
 coordinates estimates the Jaccard similarity with the concentration of independent samples.
 
 Documents with equal sets are one class. Classes whose sketches agree in a whole band share a bucket. Every class is compared on
-full sets with one hub, the heaviest of its buckets; what is then in one component needs no further comparison. In buckets
-that still hold several components, their hub and the hubs of their members are compared with members of other components, and
-for the pairs that are left the triangle inequality of the Jaccard distance (both distances to a hub are known exactly) and
-the set sizes rule out most; all others are compared too. So no bucket is expanded into all pairs, and none is capped.
+full sets with one hub, the heaviest of its buckets; what is then in one component needs no further comparison. Classes of buckets
+that still hold several components, joined through their hubs, are a *cluster* with a hub of its own. Each class there is written as
+its difference to the hub's set: elements that only one of them has. Two sets are as far apart as their differences are, so
+
+* a class whose difference is small enough is linked with the hub, which settles all pairs of such classes, and
+* any other link needs a number of *common* elements in both differences, which their sizes tell. With a cluster's elements in
+  order of frequency, it needs one among the rarest of each, so only classes with such an element in common are compared.
+
+Copies of one text differ from each other where each was changed, and what a change brings in is rare; so these comparisons are few, and no
+bucket is expanded into pairs or capped. What a cluster takes grows with its classes' differences to the hub.
 
 A pair at similarity s shares no band with probability (1 - s**ROWS)**BANDS: 1.3e-8 at 0.8.
 """
@@ -21,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runstar.llm.bits import bit_table, maybe_in
@@ -32,6 +38,8 @@ from runstar.sources.workspace import Workspace
 
 ROWS, BANDS = 6, 60
 PERCENT = 80
+#: Classes of a cluster that meet their hub's set in one task.
+PART = 1000
 
 _SEEDS = mix(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -151,21 +159,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, w
     # each class begins with one comparison, with the heaviest hub of its buckets
     refs = members.join(hubs, "band").groupBy("node").agg(F.max("hub").alias("hub"))
     nodes = work.keep("nodes", refs.select("node", F.col("hub.node").alias("ref")).join(
-        sketches.select("node", "class", "text_key", F.col("n_shingles").alias("n")), "node"))
+        sketches.select("node", "class", "text_key"), "node"))
     sets = work.keep("sets", _sets(keyed, nodes, shingle))
-    first = work.keep("first", _compared(nodes.where("node != ref").select(F.col("ref").alias("a"), F.col("node").alias("b")),
-                                         sets))
-    labels = components(_linked(first, percent), work, "first-stars")
-    far = first.select(F.col("a").alias("ref"), F.col("b").alias("node"), _distance().alias("far"))
-    placed = members.select("band", "node").join(nodes.select("node", "ref", "n").join(
-        far, ["ref", "node"], "left").na.fill(0.0, ["far"]), "node")  # a hub of its own is at distance 0
-    placed = work.keep("placed", _mixed(placed, labels))
-    second = work.keep("second", _compared(_second_pairs(placed, hubs, first, percent), sets))
-    labels = components(_linked(first.unionByName(second), percent), work, "second-stars")
-    placed = work.keep("placed-again", _mixed(placed.drop("component"), labels))
-    done = first.unionByName(second)
-    third = work.keep("third", _compared(_open_pairs(placed, done, percent), sets))
-    labels = components(_linked(done.unionByName(third), percent), work, "third-stars")
+    first = work.keep("first", _linked(_compared(
+        nodes.where("node != ref").select(F.col("ref").alias("a"), F.col("node").alias("b")), sets), percent))
+    labels = components(first, work, "first-stars")
+    mixed = work.keep("mixed", _mixed(members.select("band", "node"), labels))
+    ties = mixed.join(hubs.select("band", F.col("hub.node").alias("a")), "band").select("a", F.col("node").alias("b"))
+    clusters = components(ties.distinct(), work, "cluster-stars").withColumnRenamed("component", "cluster")
+    clustered = (mixed.select("node", "component").distinct().join(clusters, "node").join(weights, "node"))
+    apart = work.keep("differences", _differences(work.keep("clustered", clustered), sets))
+    pairs = _close_pairs(work.keep("rarest", _rarest(apart, percent)), percent)
+    others = work.keep("others", _linked_by_differences(pairs, apart, percent))
+    own = apart.where(_settled(percent) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    labels = components(first.unionByName(own).unionByName(others), work, "stars")
     return _labelled(sketches, classes, labels)
 
 
@@ -176,45 +183,79 @@ def _sets(keyed: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return found.join(nodes.select("node", "class"), "class").select("node", "elements").dropDuplicates(["node"])
 
 
-def _distance() -> Column:
-    return 1 - F.col("both") / F.col("either")
-
-
-def _mixed(placed: DataFrame, labels: DataFrame) -> DataFrame:
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, with their component."""
-    placed = placed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spread = placed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
     return placed.join(spread.where("_low != _high").select("band"), "band", "left_semi")
 
 
-def _groups(placed: DataFrame) -> DataFrame:
-    """The members of a bucket with one hub and component, as ranges of their distances to it and of their sizes."""
-    return placed.groupBy("band", "ref", "component").agg(
-        F.min("far").alias("far_low"), F.max("far").alias("far_high"), F.min("n").alias("n_low"), F.max("n").alias("n_high"))
-
-
-def _size_fits(low: str, high: str, n: str, percent: int) -> Column:
-    """Whether a set of ``n`` elements can be alike enough to one of ``low`` to ``high``."""
-    return (F.col(n) * 100 >= F.col(low) * percent) & (F.col(high) * 100 >= F.col(n) * percent)
-
-
-def _second_pairs(placed: DataFrame, hubs: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """In buckets of several components: their hub with members of others, and the hubs of groups with members of others."""
-    inside = placed.join(hubs.select("band", F.col("hub.node").alias("hub")), "band")
-    home = inside.where("node = hub").select("band", F.col("component").alias("_home"))
-    own = inside.join(home, "band").where("component != _home").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    g = _groups(placed).withColumnRenamed("component", "_of").withColumnRenamed("band", "_band")
-    other = placed.select("band", "node", "n", "component").join(
-        g, (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_of")) & (F.col("node") != g["ref"])
-        & _size_fits("n_low", "n_high", "n", percent)).select(F.col("ref").alias("a"), F.col("node").alias("b"))
-    return _fresh(own.unionByName(other).distinct(), done)
+def _differences(clustered: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, component, cluster, hub, n, hub_n, apart): each class of a cluster, its size, and its difference to the hub's set.
 
-
-def _fresh(pairs: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs that aren't compared yet, in either order."""
-    ordered = (F.least("a", "b").alias("_x"), F.greatest("a", "b").alias("_y"))
-    pairs = pairs.select("*", *ordered).dropDuplicates(["_x", "_y"])
-    return pairs.join(done.select(*ordered), ["_x", "_y"], "left_anti").select("a", "b")
+    A hub's set is dealt to as many parts as its cluster has thousands of classes.
+    """
+    hubs = clustered.groupBy("cluster").agg(F.max(F.struct("weight", "node")).alias("hub"),
+                                            F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    hubs = hubs.select("cluster", F.col("hub.node").alias("hub"), "parts")
+    theirs = (hubs.join(sets.select(F.col("node").alias("hub"), F.col("elements").alias("_hub")), "hub")
+              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts"))
+    dealt = clustered.drop("weight").join(hubs.select("cluster", "parts"), "cluster")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts")
+    both = dealt.join(sets, "node").join(theirs, ["cluster", "part"])
+    return both.select("node", "component", "cluster", "hub", F.size("elements").alias("n"), F.size("_hub").alias("hub_n"),
+                       F.concat(F.array_except("elements", "_hub"), F.array_except("_hub", "elements")).alias("apart"))
+
+
+def _settled(percent: int) -> Column:
+    """Whether a class is linked with its cluster's hub: sets are linked if they differ in at most (100 - percent) / (100 +
+    percent) of both sizes together."""
+    return F.size("apart") * (100 + percent) <= (F.col("n") + F.col("hub_n")) * (100 - percent)
+
+
+def _rarest(apart: DataFrame, percent: int) -> DataFrame:
+    """(cluster, element, node, component, n, settled, short): the elements of each difference that may decide.
+
+    Let d be a class's difference, n and h the sizes of its set and the hub's, q = (100 - percent) / (100 + percent). A link to a
+    class that isn't settled, whose difference is over q (its size + h), needs over (d + q (h - n)) / 2 common elements; so one is among
+    the rarest d minus that, the ``short`` list. A link of a class that isn't settled to one that is, of at most n * 100 / percent
+    elements, needs (d - n (100 - percent) / percent) / 2 or more, and at least one: its longer list. Both lists begin with elements
+    that no other class has; these decide nothing and are only counted.
+    """
+    size = F.size("apart")
+    least_short = F.floor((size * (100 + percent) + (F.col("hub_n") - F.col("n")) * (100 - percent)) / (2 * (100 + percent))) + 1
+    least_long = F.greatest(F.ceil((size * percent - F.col("n") * (100 - percent)) / (2 * percent)), F.lit(1))
+    settled = _settled(percent)
+    short, long = size - least_short + 1, F.when(settled, 0).otherwise(size - least_long + 1)
+    rows = apart.select("cluster", "node", "component", "n", settled.alias("settled"), size.alias("_size"), short.alias("_short"),
+                        long.alias("_long"), F.explode("apart").alias("element"))
+    often = rows.groupBy("cluster", "element").agg(F.count("*").alias("_often")).where("_often > 1")
+    rows = rows.join(often, ["cluster", "element"])
+    mine = Window.partitionBy("node")
+    # the place in order of frequency, behind the elements that are the class's own
+    place = F.row_number().over(mine.orderBy("_often", "element")) + F.col("_size") - F.count("*").over(mine)
+    rows = rows.withColumn("_place", place).withColumn("short", F.col("_place") <= F.col("_short"))
+    return rows.where("short or _place <= _long").select("cluster", "element", "node", "component", "n", "settled", "short")
+
+
+def _close_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes in different components with a deciding element in common, of which one at least is not settled."""
+    one = rows.where("not settled").select("cluster", "element", F.col("node").alias("a"), F.col("component").alias("_of"),
+                                           F.col("short").alias("_a_short"), F.col("n").alias("_n"))
+    other = rows.where("short").select("cluster", "element", F.col("node").alias("b"), "component", "settled", "n")
+    sizes = (F.col("_n") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("_n") * percent)
+    pairs = one.join(other, ["cluster", "element"]).where((F.col("component") != F.col("_of")) & sizes & (
+        F.col("settled") | (F.col("_a_short") & (F.col("a") < F.col("b")))))
+    return pairs.select("a", "b").distinct()
+
+
+def _linked_by_differences(pairs: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of one cluster that are linked: what both differences hold cancels out between the two sets."""
+    mine = apart.select(F.col("node").alias("b"), F.col("apart").alias("_b"), F.col("n").alias("_nb"))
+    theirs = apart.select(F.col("node").alias("a"), F.col("apart").alias("_a"), F.col("n").alias("_na"))
+    joined = pairs.join(mine, "b").join(theirs, "a")
+    between = F.size("_a") + F.size("_b") - 2 * F.size(F.array_intersect("_a", "_b"))
+    return joined.where(between * (100 + percent) <= (F.col("_na") + F.col("_nb")) * (100 - percent)).select("a", "b")
 
 
 def text_key() -> Column:
@@ -222,28 +263,6 @@ def text_key() -> Column:
     return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
 
 
-def _open_pairs(placed: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that may be links, given their distances to the hub of one and their sizes.
-
-    Whole groups are ruled out first, by the ranges of their members.
-    """
-    reach = 1 - percent / 100 + 1e-9
-    known = done.select("a", "b", _distance().alias("gap"))
-    known = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "gap"))
-    g = _groups(placed).withColumnRenamed("component", "_of").withColumnRenamed("band", "_band")
-    near = placed.select("band", "node", "n", "component").join(
-        g, (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_of"))
-        & _size_fits("n_low", "n_high", "n", percent)).drop("_band")
-    # a member of another component may be a group's hub itself: at distance 0
-    near = near.join(known.select(F.col("a").alias("ref"), F.col("b").alias("node"), "gap"), ["ref", "node"], "left")
-    near = near.withColumn("gap", F.when(F.col("node") == F.col("ref"), 0.0).otherwise(F.col("gap"))).where(
-        (F.col("gap") >= F.col("far_low") - reach) & (F.col("gap") <= F.col("far_high") + reach))
-    near = near.select("band", "ref", F.col("_of").alias("component"), F.col("node").alias("_node"), F.col("n").alias("_n"), "gap")
-    pairs = placed.join(near, ["band", "ref", "component"]).where(
-        (F.abs(F.col("far") - F.col("gap")) <= reach) & _size_fits("_n", "_n", "n", percent))
-    return _fresh(pairs.select(F.col("node").alias("a"), F.col("_node").alias("b")), done)
-
-
 def _labelled(sketches: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     of_class = classes.join(labels, "node", "left").select("class", F.coalesce("component", "node").alias("component"))
     rows = sketches.drop("bands").join(of_class, "class", "left")

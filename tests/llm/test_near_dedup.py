@@ -83,3 +83,51 @@ def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 102), (102, 101)], "a long, b long")
     got = {r.node: r.component for r in components(links, Workspace(spark)).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+
+
+def _fast_brute(rows, size):
+    """The same as ``_brute`` for many sets, by counts of common elements."""
+    sets = [_set(t, size) for _, t in rows]
+    place = {e: i for i, e in enumerate(sorted({e for s in sets for e in s}))}
+    holds = np.zeros((len(sets), len(place)), np.float32)
+    for i, s in enumerate(sets):
+        holds[i, [place[e] for e in s]] = 1
+    both, n = holds @ holds.T, np.array([len(s) for s in sets])
+    linked = 100 * both >= 80 * (n[:, None] + n - both)
+    label = np.arange(len(sets))
+    while True:
+        least = np.where(linked, label, len(sets)).min(1)
+        if (least == label).all():
+            break
+        label = least
+    ids = np.array([d for d, _ in rows])
+    return sorted((int(ids[i]), int(n[i]), int(ids[label == label[i]].min())) for i in range(len(rows))), linked
+
+
+@pytest.mark.parametrize("size, low, high", [(2, 2, 12), (5, 1, 6)])
+def test_many_copies_around_the_threshold(spark, table, size, low, high):
+    """One text changed in many places, three ways, and copies of copies: similarities from 0.5 to 0.95, all in the same buckets."""
+    rng, base, few = random.Random(size), prose(77, 150).split(), [f"w{i}" for i in range(40)]
+    texts = [base]
+    for i in range(1500):
+        w = list(base if i % 5 else rng.choice(texts))
+        for _ in range(rng.randrange(low, high)):
+            at = rng.randrange(len(w))
+            how = rng.random()
+            if how < 0.5:
+                w[at] = rng.choice(few) if how < 0.2 else f"new{rng.randrange(10**6)}"
+            elif how < 0.75:
+                del w[at]
+            else:
+                w.insert(at, rng.choice(few))
+        texts.append(w[:len(w) - rng.choice([0, 0, 0, 5, 10])])
+    rows = [(1000 + i, " ".join(w)) for i, w in enumerate(texts)]
+    rng.shuffle(rows)
+    want, linked = _fast_brute(rows, size)
+    assert 0.01 < linked.mean() < 0.9 and len({c for _, _, c in want}) > 20
+    work = Workspace(spark)
+    found = near_dedup.near_duplicates(table(rows).repartition(4), size, work=work).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
+    # far fewer comparisons than pairs
+    rarest = spark.read.parquet(work.path("rarest"))
+    assert near_dedup._close_pairs(rarest, 80).count() < 0.15 * len(rows) ** 2 / 2
