@@ -8,8 +8,10 @@
 * Address: p(language | host) is smoothed towards the address suffix, and that towards all rows, by grouped counts of
   what texts point to. A row's own text is taken out of the counts that judge it.
 
-One more hypothesis is that the text is of no language: all trigrams equally likely. A row is rejected (``kept`` is false) if
-that is the most probable one, or if it has no trigram around a letter at all.
+One more hypothesis is that the text is of no modelled language: all trigrams equally likely. If that is the most probable one, the
+row's language is the one it declares, if any; what the text itself shows decides whether the row stays. A row is rejected (``kept`` is
+false) only if it has no letters, or if its letters are *noise*: some hundred of them, about equally frequent and independent of
+their neighbours, as in random strings, dumps and keys and in no language. That needs no declarations and no other rows.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runstar.llm.bpe import LETTER
+from runstar.llm.forced_bpe import KINDS
 from runstar.llm.hashing import LOWER, blocks, mix
 from runstar.llm.workers import map_arrow
 from runstar.sources.workspace import Workspace
@@ -31,8 +35,13 @@ from runstar.sources.workspace import Workspace
 GRAMS, WEIGHT, SMOOTH, NONE = 1 << 16, 60, 10.0, 1e-4
 #: Added to each count of a trigram; and the share of any text that may be noise, which bounds what a rare word costs.
 ADDED, NOISE = 0.02, 0.1
-#: A model parameter: the most frequently declared languages that are told apart, each declared by so many rows.
-LANGUAGES, DECLARED = 100, 5
+#: A model parameter: likelihoods are fitted for so many languages, those declared most often. Rows of all others stay as well.
+LANGUAGES = 200
+#: Noise has so many letters and equal pairs of them at least, and at most so much of a preference for some letters and for some
+#: neighbours (1 is none at all; prose has about 1.7 and 2 to 4).
+LETTERS, EQUAL, UNEVEN, BOUND = 60, 20, 1.25, 1.5
+#: A text whose mean log-likelihood is within this of equally likely trigrams is tested for noise.
+DOUBT = 0.5
 
 _LETTERS = np.where((np.arange(256) >= 0x80) | ((LOWER >= 0x61) & (LOWER <= 0x7A)), LOWER, 0x20).astype(np.uint64)
 
@@ -75,16 +84,34 @@ def page_evidence(pages: DataFrame, key: str = "page_id", url: str = "url", html
     return pages.select(key, plain.alias("text"), lang.alias("declared"), F.col(url).alias("address"))
 
 
+def is_noise(text: str) -> bool:
+    """Whether a text's letters are too evenly spread, and too little bound to their neighbours, for any language."""
+    points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+    letter = KINDS[points] == LETTER
+    found = points[letter]
+    n = len(found)
+    if n < LETTERS:
+        return False
+    _, count = np.unique(found, return_counts=True)
+    equal = (count * (count - 1)).sum() / 2
+    chance = equal / (n * (n - 1) / 2)  # that two letters of the text are equal
+    if equal < EQUAL or chance * len(count) >= UNEVEN:
+        return False
+    both = letter[1:] & letter[:-1]
+    pairs = points[:-1][both].astype(np.uint64) << np.uint64(32) | points[1:][both].astype(np.uint64)
+    _, count = np.unique(pairs, return_counts=True)
+    m = len(pairs)
+    return (count * (count - 1)).sum() < BOUND * chance ** 2 * m * (m - 1)
+
+
 def _count(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {n: i for i, n in enumerate(names)}
         for batch in batches:
-            place = {n: i for i, n in enumerate(names)}
             label = np.array([place[d] for d in batch["declared"].to_pylist()], np.int64)
-            total = np.zeros(len(names) * GRAMS, np.int64)
             for gram, row in trigrams(batch["text"]):
-                total += np.bincount(label[row] * GRAMS + gram.astype(np.int64), minlength=len(total))
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
+                some, n = np.unique(label[row] * GRAMS + gram.astype(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n)], ["cell", "n"])
     return run
 
 
@@ -114,10 +141,14 @@ def _score(model: Broadcast):
             weighed = logs * np.minimum(n, WEIGHT)[:, None]
             cuts = pa.array(np.arange(len(n) + 1, dtype=np.int32) * len(m.names))
             best = weighed.argmax(axis=1) if len(m.names) else np.zeros(len(n), np.int64)
+            # a text that some language fits needs no other look, unless that is by its host or declaration alone
+            doubtful = (n > 0) & (logs.max(axis=1, initial=-np.inf) < -np.log(GRAMS) + DOUBT)
+            noise = np.zeros(len(n), bool)
+            noise[doubtful] = [is_noise(t) for t in batch["text"].filter(pa.array(doubtful)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["key"], batch["declared"], batch["host"], pa.array(n), pa.array(np.where(n > 0, best, -1)),
-                 pa.ListArray.from_arrays(cuts, pa.array(weighed.ravel()))],
-                ["key", "declared", "host", "grams", "pointed", "logs"])
+                 pa.ListArray.from_arrays(cuts, pa.array(weighed.ravel())), pa.array(noise)],
+                ["key", "declared", "host", "grams", "pointed", "logs", "noise"])
     return run
 
 
@@ -126,14 +157,14 @@ def identify(evidence: DataFrame, key: str, work: Workspace | None = None) -> Da
 
     Any of the four may be null: without text there is no language and the row isn't kept; without a declaration or an
     address that evidence is left out (rows without an address share one host). Repeated rows are judged each. An empty
-    table gives no row, and a table in which no language is declared by ``DECLARED`` rows keeps no row. Other columns are not
+    table gives no row; where no row declares a language, none is named and rows stay all the same. Other columns are not
     looked at.
     """
     spark = evidence.sparkSession
     work = work or Workspace(spark)
     rows = evidence.select(F.col(key).alias("key"), "text", declared_language(F.col("declared")).alias("declared"),
                            F.coalesce(host_of(F.col("address")), F.lit("")).alias("host"))
-    often = rows.where("declared is not null").groupBy("declared").count().where(F.col("count") >= DECLARED)
+    often = rows.where("declared is not null").groupBy("declared").count()
     names = [r["declared"] for r in often.orderBy(F.desc("count"), "declared").limit(LANGUAGES).collect()]
     cells = map_arrow(rows.where(F.col("declared").isin(names)).select("text", "declared"), _count(names),
                       "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # names x GRAMS at most
@@ -144,7 +175,7 @@ def identify(evidence: DataFrame, key: str, work: Workspace | None = None) -> Da
     model = spark.sparkContext.broadcast(TextModel(names, logs.astype(np.float32)))
     kind = evidence.schema[key].dataType.simpleString()
     scored = work.keep("scored", map_arrow(
-        rows, _score(model), f"key {kind}, declared string, host string, grams long, pointed long, logs array<double>")
+        rows, _score(model), f"key {kind}, declared string, host string, grams long, pointed long, logs array<double>, noise boolean")
         .withColumn("suffix", suffix_of(F.col("host"))))
     return _fused(scored, names).withColumnRenamed("key", key)
 
@@ -154,17 +185,16 @@ def _fused(scored: DataFrame, names: list[str]) -> DataFrame:
     if not size:
         none = F.lit(None).cast("string")
         return scored.select("key", "declared", "host", none.alias("text_language"), none.alias("language"),
-                             F.lit(None).cast("double").alias("probability"), F.lit(False).alias("kept"))
+                             F.lit(None).cast("double").alias("probability"), _kept().alias("kept"))
     known = [F.count_if(F.col("pointed") == i) for i in range(size)]
-    every = scored.agg(F.array(*known).alias("n_all"), F.count_if(F.col("declared").isNotNull()).alias("_"),
-                       F.count_distinct("declared").alias("forms"))
+    total = scored.agg(F.array(*known).alias("n_all"), F.array(*[F.count_if(
+        (F.col("pointed") == i) & F.col("declared").isNotNull()) for i in range(size)]).alias("n_said")).first()
+    forms = scored.select("declared").distinct().where("declared is not null").count()
     hosts = scored.groupBy("host").agg(F.array(*known).alias("n_host"), F.first("suffix").alias("suffix"))
     by_suffix = [F.sum(F.col("n_host")[i]) for i in range(size)]
     suffixes = hosts.groupBy("suffix").agg(F.array(*by_suffix).alias("n_suffix"))
     declared = scored.where("declared is not null").groupBy("declared").agg(F.array(*known).alias("n_declared"))
-    said = scored.where("declared is not null").agg(F.array(*known).alias("n_said"))
-    total = every.crossJoin(said).first()  # two rows of as many counts as languages
-    n_all, n_said, forms = list(total["n_all"]), list(total["n_said"]), total["forms"]
+    n_all, n_said = list(total["n_all"]), list(total["n_said"])
     rows = (scored.join(hosts.select("host", "n_host"), "host").join(suffixes, "suffix")
             .join(declared, "declared", "left"))
 
@@ -189,7 +219,11 @@ def _fused(scored: DataFrame, names: list[str]) -> DataFrame:
     rows = rows.withColumn("best", F.array_position("logits", F.col("top")).cast("int"))
     mass = F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     name = F.array(*map(F.lit, names))
-    kept = (F.col("best") <= size) & (F.col("grams") > 0)
+    named = F.when(F.col("best") <= size, F.get(name, F.col("best") - 1)).otherwise(F.col("declared"))
     return rows.select("key", "declared", "host", F.when(F.col("grams") > 0, F.get(name, F.col("pointed").cast("int")))
-                       .alias("text_language"), F.when(kept, F.get(name, F.col("best") - 1)).alias("language"),
-                       (1 / mass).alias("probability"), kept.alias("kept"))
+                       .alias("text_language"), F.when(_kept(), named).alias("language"),
+                       (1 / mass).alias("probability"), _kept().alias("kept"))
+
+
+def _kept() -> Column:
+    return (F.col("grams") > 0) & ~F.col("noise")

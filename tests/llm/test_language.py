@@ -72,7 +72,44 @@ def test_repeated_and_empty(spark, rows):
     assert got.count() == 60
     assert language.identify(spark.createDataFrame([], SCHEMA), "doc_id").count() == 0
     few = language.identify(spark.createDataFrame(rows[:2], SCHEMA), "doc_id").collect()
-    assert [r.kept for r in few] == [False, False]
+    assert [r.kept for r in few] == [True, True]
+
+
+THAI = "สวัสดี ครับ วันนี้ อากาศ ดี มาก เรา ไป ตลาด กัน ไหม ฉัน ชอบ กิน ข้าว ผัด กับ ไข่ และ น้ำ ชา เย็น ที่ บ้าน ของ เพื่อน".split()
+RUSSIAN = "и в не на что он как это по но они мы этот который быть мочь человек время год день рука раз дело жизнь глаз слово".split()
+CHINESE = "今天 天气 很好 我们 一起 去 公园 散步 吧 他 喜欢 喝茶 看书 也 听 音乐 昨天 晚上 下了 很大 的 雨 所以 路上 都是 水 的 我们".split()
+
+
+def test_rare_and_undeclared_languages_stay(spark, rows):
+    rng = random.Random(8)
+    thai = [(3000 + i, " ".join(rng.choice(THAI) for _ in range(50)), None, None, "h", "l") for i in range(30)]
+    russian = [(4000 + i, " ".join(rng.choice(RUSSIAN) for _ in range(50)), "ru", None, "h", "l") for i in range(4)]
+    single = [(5000, "".join(rng.choice(CHINESE) for _ in range(200)), None, None, "h", "l"),
+              (5001, " ".join(rng.choice(THAI) for _ in range(80)), "th", None, "h", "l")]
+    got = _run(spark, rows + thai + russian + single)
+    assert all(r.kept for r in got.values())
+    assert all(got[4000 + i].language == "ru" for i in range(4)) and got[5001].language == "th"
+    null = [(r[0], r[1], None, *r[3:]) for r in rows + thai + russian + single]
+    assert all(r.kept for r in _run(spark, null).values())
+
+
+def test_more_languages_than_are_modelled(spark, rows, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    rng = random.Random(9)
+    more = [(6000 + i, " ".join(rng.choice(RUSSIAN) for _ in range(50)), "ru", "https://x.ru/", "h", "l") for i in range(20)]
+    got = _run(spark, rows + more)
+    assert all(got[r[0]].kept and got[r[0]].language == "ru" for r in more)
+
+
+def test_noise_by_its_letters_alone():
+    rng = random.Random(4)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "abcdef0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+                     "".join(map(chr, range(0x4E00, 0x4E00 + 300)))):
+        assert language.is_noise("".join(rng.choice(alphabet) for _ in range(1500)))
+    for words in (THAI, RUSSIAN, LANGUAGES["en"], LANGUAGES["de"], LANGUAGES["fr"]):
+        for n in (15, 40, 400):
+            assert not any(language.is_noise(" ".join(rng.choice(words) for _ in range(n))) for _ in range(20))
+    assert not language.is_noise("".join(rng.choice(CHINESE) for _ in range(300))) and not language.is_noise("short")
 
 
 def test_addresses_and_pages(spark):
