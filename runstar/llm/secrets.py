@@ -8,7 +8,7 @@ the places.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,15 +36,22 @@ BASE = (Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20
         Rule("hex", r"[0-9a-f]{24,}", 0, 24))
 #: What may stand between the lines of a key: white space (line breaks may have been lost), written escapes, quote marks.
 _BREAK = r"""(?:[\s"'>#*,|]|\\+[nrt])"""
-#: A key block up to its END line, whatever stands between; without one, its header fields, the lines of base64 that follow and
-#: a shorter last one.
-_PEM = (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,30}PRIVATE KEY-----"
+#: Key material: header fields; lines of base64, which any break may end, and narrow ones that are alone in their line.
+_FIELDS = rf"(?:{_BREAK}++(?:Proc-Type|DEK-Info|Version|Comment|Charset|Hash|MessageID):\s*+\S++)*+"
+_LINES = (rf"(?:(?:{_BREAK}|\+)*+[A-Za-z0-9+/]{{16,}}+={{0,2}}+"
+          r"|[\r\n]++[^\S\r\n]*+[A-Za-z0-9+/]++={0,2}+(?=[^\S\r\n]*+[\r\n]))")
+#: A key block up to its END line, if nothing but key material stands between; else its header fields, the lines of base64 that
+#: follow and a shorter last one. Prose ends the match.
+_PEM = (rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----(?:{_FIELDS}(?:{_LINES}++(?:(?:{_BREAK}|\+)*+[A-Za-z0-9+/]{{1,15}}+={{0,2}}+)?+)?+"
+        rf"(?:{_BREAK}|\+)*+-----END [A-Z ]{{0,30}}PRIVATE KEY-----"
         rf"|(?:{_BREAK}++(?:Proc-Type|DEK-Info):\s*+\S++)*+(?:{_BREAK}*+[A-Za-z0-9+/]{{16,}}+={{0,2}})++"
         rf"(?:{_BREAK}++[A-Za-z0-9+/]++(?:={{1,2}}|(?=[ \t]*+(?:[\r\n]|\z))))?+)?+")
 #: What the scan adds: key blocks and prefixed tokens.
-MORE = (Rule("pem", _PEM, version=2), Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+MORE = (Rule("pem", _PEM, version=3), Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
         Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"))
 
+#: Matches that are folded at a time.
+SLICE = 256
 FINDING = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -71,8 +78,30 @@ def _spans(text: str, rank: int, rule: Rule) -> Column:
 
     pieces = F.filter(F.arrays_zip(gaps.alias("gap"), lengths.alias("length"), sizes.alias("size")),
                       lambda x: x["length"].isNotNull())
-    folded = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda x: x["found"])
-    return F.when(F.col(text).rlike(rule.pattern), folded).otherwise(none)
+    def placed(pieces: Column) -> Column:
+        # places within a slice first, then where each slice begins
+        return _bound(F.transform(_sliced(pieces), lambda part: F.aggregate(
+            part, F.struct(F.lit(0).alias("at"), none.alias("found")), step)), moved)
+
+    def moved(folded: Column) -> Column:
+        begins = F.aggregate(folded, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")), lambda done, x: F.struct(
+            (done["at"] + x["at"]).alias("at"), F.concat(done["all"], F.array(done["at"])).alias("all")), lambda x: x["all"])
+        return F.flatten(F.transform(F.arrays_zip(folded.alias("part"), begins.alias("begin")), lambda x: F.transform(
+            x["part"]["found"], lambda f: F.struct((f["start"] + x["begin"]).alias("start"), f["rank"].alias("rank"),
+                                                   f["kind"].alias("kind"), (f["end"] + x["begin"]).alias("end")))))
+
+    return F.when(F.col(text).rlike(rule.pattern), _bound(pieces, placed)).otherwise(none)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _sliced(array: Column) -> Column:
+    """An array in slices of ``SLICE``: what is folded step by step grows by the slice, not by the array."""
+    last = F.greatest(F.size(array) - 1, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last, F.lit(SLICE)), lambda i: F.slice(array, i + 1, F.lit(SLICE)))
 
 
 def scan_blobs(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -148,13 +177,27 @@ def listed(found: Column) -> Column:
 
 def redact(text: Column, found: Column, mark: str = "[secret]") -> Column:
     """The text with every span replaced; overlapping spans become one."""
-    def step(done: Column, x: Column) -> Column:
-        fresh = x["start"] >= done["at"]
-        gap = F.substring(text, done["at"] + 1, x["start"] - done["at"])
-        return F.struct(F.greatest(done["at"], x["end"]).alias("at"),
-                        F.when(fresh, F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate(found, start, step, lambda x: F.concat(x["out"], F.substring(
-        text, x["at"] + 1, F.char_length(text))))
-    return F.when(F.size(found) > 0, whole).otherwise(text)
+    furthest = F.aggregate(F.transform(_sliced(found), lambda part: F.array_max(F.transform(part, lambda x: x["end"]))),
+                           F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")), lambda done, x: F.struct(
+        F.greatest(done["at"], F.coalesce(x, F.lit(0))).alias("at"), F.concat(done["all"], F.array(done["at"])).alias("all")), lambda x: x["all"])
+
+    def part(x: Column) -> Column:
+        """A slice's stretch of the text, from where the spans before it end."""
+        ends = F.transform(x["spans"], lambda f: f["end"])
+        upto = F.greatest(x["from"], F.coalesce(F.array_max(ends), x["from"]))
+        return F.struct(x["spans"].alias("spans"), x["from"].alias("from"), upto.alias("upto"),
+                        F.substring(text, x["from"] + 1, upto - x["from"]).alias("text"))
+
+    def replaced(p: Column) -> Column:
+        def step(done: Column, x: Column) -> Column:
+            fresh = x["start"] >= done["at"]
+            gap = F.substring(p["text"], done["at"] - p["from"] + 1, x["start"] - done["at"])
+            return F.struct(F.greatest(done["at"], x["end"]).alias("at"),
+                            F.when(fresh, F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"]).alias("out"))
+
+        return F.aggregate(p["spans"], F.struct(p["from"].alias("at"), F.lit("").alias("out")), step, lambda x: x["out"])
+
+    parts = F.transform(F.arrays_zip(_sliced(found).alias("spans"), furthest.alias("from")), part)
+    last = F.coalesce(F.array_max(F.transform(found, lambda x: x["end"])), F.lit(0))
+    rest = F.substring(text, last + 1, F.char_length(text))
+    return F.when(F.size(found) > 0, F.concat(F.array_join(F.transform(parts, replaced), ""), rest)).otherwise(text)
