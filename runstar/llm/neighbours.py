@@ -4,9 +4,10 @@ Unit vectors of a shard are projected on ``PROJECTIONS`` random directions; each
 window around its own value in every array and widens all windows by a factor (virtual rehashing). A vector that
 lies in at least ``THRESHOLD`` of the windows is verified: its cosine is computed in double precision on the original
 components. The search of a shard ends when as many verified vectors as wanted are within ``FACTOR`` times the radius that the
-windows stand for, or after ``VERIFIED`` verifications more than wanted; windows that span all arrays end it too. The best of all shards are kept.
+windows stand for, however many had to be verified; windows that span all arrays end it too. The best of all shards are kept.
 
-Shards and blocks of queries have bounded size; every pair of both is one group of rows in one task.
+Shards and blocks of queries have bounded size; every pair of both is one group of rows in one task, which builds the shard's
+index once and lets the block's queries pass it, some at a time.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 
 from runstar.llm.workers import ship
 
-#: Vectors of a shard, and queries of a block.
-SHARD, BLOCK = 8192, 2048
-PROJECTIONS, THRESHOLD, WIDTH, FACTOR, VERIFIED = 96, 0.65, 2.7, 1.4, 300
+#: Vectors of a shard, queries of a block, and queries that pass an index together.
+SHARD, BLOCK, TOGETHER = 8192, 8192, 1024
+PROJECTIONS, THRESHOLD, WIDTH, FACTOR = 96, 0.65, 2.7, 1.4
 #: The smallest radius, a distance of unit vectors.
 RADIUS = 0.2
 
@@ -78,7 +79,7 @@ class Index:
                 near[q] = np.concatenate((near[q], self.vectors[fresh] @ queries[q]))
                 within = int((near[q] >= 1 - (FACTOR * radius) ** 2 / 2).sum())
                 whole = bool((lower[:, q] == 0).all() and (upper[:, q] == n).all())
-                if within < wanted and len(found[q]) < wanted + VERIFIED and not whole:
+                if within < wanted and not whole:
                     still.append(q)
             low, high, active, radius = lower, upper, still, radius * FACTOR
         best = [np.lexsort((self.ids[f], -c))[:wanted] for f, c in zip(found, near, strict=True)]
@@ -92,15 +93,17 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def _group(wanted: int):
     def run(shard: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[int, int, int, float]] = []
         if shard.num_rows and queries.num_rows:
             index = Index(shard["id"].to_numpy(), _matrix(shard["vector"]))
-            own = queries["id"].to_numpy()
-            for q, best in zip(own.tolist(), index.search(own, _matrix(queries["vector"]), wanted), strict=True):
-                out += [(q, k, s) for k, s in best]
-        return pa.table({"query_id": pa.array([x[0] for x in out], pa.int64()),
-                         "vec_id": pa.array([x[1] for x in out], pa.int64()),
-                         "score": pa.array([x[2] for x in out], pa.float64())})
+            for low in range(0, queries.num_rows, TOGETHER):
+                some = queries.slice(low, TOGETHER)
+                own, asker = some["id"].to_numpy(), some["asker"].to_pylist()
+                found = index.search(own, _matrix(some["vector"]), wanted)
+                out += [(a, q, k, x) for a, q, best in zip(asker, own.tolist(), found, strict=True) for k, x in best]
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        return pa.table({"asker": pa.array(columns[0], pa.int64()), "query_id": pa.array(columns[1], pa.int64()),
+                         "vec_id": pa.array(columns[2], pa.int64()), "score": pa.array(columns[3], pa.float64())})
     return run
 
 
@@ -109,7 +112,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, wanted: int = 5, key: str =
     """(query_id, rank, vec_id, score): the ``wanted`` vectors of largest cosine found for each query, nearest first.
 
     Vectors that are null, empty, zero or hold a null or non-finite component take no part, nor do rows without an id. Rows with a
-    query's own id are not its neighbours; of other repeated rows each counts once. Only vectors of the same length are
+    query's own id are not its neighbours; of other repeated rows each is one. A query that is repeated is answered once; one id with
+    several vectors is as many queries, ranked each. Only vectors of the same length are
     compared. A query with fewer candidates gets all of them; without any, no row.
     """
     ship(vectors.sparkSession)
@@ -117,7 +121,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, wanted: int = 5, key: str =
         rows = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"))
         return rows.where(usable("vector") & F.col("id").isNotNull()).withColumn("length", F.size("vector"))
 
-    held, asked = clean(vectors), clean(queries)
+    held, asked = clean(vectors), clean(queries).dropDuplicates(["id", "vector"]).withColumn("asker", F.xxhash64("vector"))
     shards = -(-held.count() // SHARD) or 1
     blocks = -(-asked.count() // BLOCK) or 1
     left = held.select("*", F.pmod(F.xxhash64("vector", "id"), F.lit(shards)).alias("shard"),
@@ -126,7 +130,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, wanted: int = 5, key: str =
                          F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
     pair = ["length", "shard", "block"]
     found = left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInArrow(
-        _group(wanted), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        _group(wanted), "asker long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "asker").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= wanted)
             .select("query_id", "rank", "vec_id", "score"))

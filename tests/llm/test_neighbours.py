@@ -52,6 +52,33 @@ def test_odd_vectors(spark):
 
 def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], 0, "x", 1)] * 2 + [(1, [1.0, 1.0], 0, "x", 1)] * 2, SCHEMA)
-    got = [(r.query_id, r.vec_id) for r in neighbours.nearest(df, df.where("vec_id = 0").limit(1), 5).collect()]
-    assert got == [(0, 1), (0, 1)]
+    got = [(r.query_id, r["rank"], r.vec_id) for r in neighbours.nearest(df, df.where("vec_id = 0"), 5).collect()]
+    assert got == [(0, 1, 1), (0, 2, 1)]
+    # a repeated query hides none of its neighbours
+    rows = [(0, [1.0, 0.0])] * 2 + [(i, [1.0, i / 10]) for i in range(1, 9)]
+    df = spark.createDataFrame([(i, v, 0, "x", 1) for i, v in rows], SCHEMA)
+    got = [(r["rank"], r.vec_id) for r in neighbours.nearest(df, df.where("vec_id = 0"), 5).orderBy("rank").collect()]
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
+    # one id, two vectors: two queries
+    both = df.where("vec_id = 8").withColumn("vec_id", neighbours.F.lit(0).cast("long")).unionByName(df)
+    got = sorted((r["rank"], r.vec_id) for r in neighbours.nearest(df, both.where("vec_id = 0"), 2).collect())
+    assert got == [(1, 1), (1, 8), (2, 2), (2, 7)]
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_recall_on_one_dense_cluster_over_many_shards(spark, monkeypatch):
+    """All vectors within a narrow cone, at nearly the same distance from each other."""
+    monkeypatch.setattr(neighbours, "SHARD", 300)
+    rng = np.random.default_rng(3)
+    vectors = (np.ones(32) + 0.15 * rng.standard_normal((3000, 32))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0, "x", 1) for i, v in enumerate(vectors)], SCHEMA)
+    got = {}
+    for r in neighbours.nearest(df, df.where("vec_id % 50 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 3000, 50):
+        near = unit @ unit[q]
+        near[q] = -2
+        hits += len(got[q] & set(np.argsort(-near)[:5].tolist()))
+    assert hits / 300 >= 0.9
