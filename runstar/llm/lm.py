@@ -9,9 +9,6 @@ with Good-Turing discounts d for counts up to ``DISCOUNTED`` and b(h) such that
 to 1 exactly. The 0.5 leaves every history some mass to back off with. p(w) adds 0.5 to each count, an unknown word
 counting as one more word. So p(w | h) sums to 1 over all known words, the end and one unknown word.
 
-With ``WORDS`` set it is a class model instead: only so many of the most frequent words are symbols of their own, the others share
-one symbol s and are told apart by their own counts, p(w | h) = p(s | h) (c(w) + 0.5) / (sum over such words of (c + 0.5) + 0.5).
-
 Counts of words, bigrams and histories are tables. A text's score is the sum of log10 p(w) + log10 b(w) over its words, for each is a
 history too, and of what a seen bigram differs from that. Scoring evaluates a cache of hot keys where the text is; all other
 keys go to their bucket, once for each slice of texts, with the documents that hold them; values come to the same bucket, and
@@ -33,14 +30,12 @@ from runstar.llm.hashing import BASE, Words, blocks, mix, words
 from runstar.llm.workers import map_arrow
 from runstar.sources.workspace import Workspace
 
-#: Words with symbols of their own: all of them, unless a class model is wanted.
-WORDS: int | None = None
 #: Bigrams and words that are cached where they are looked up, and the largest count that is discounted.
 HOT, HOT_WORDS, DISCOUNTED = 1 << 20, 1 << 16, 5
 #: Tokens of one slice; rows of counts that are dealt together.
 SLICE, DEALT = 800_000, 500_000
-#: The keys of the end and of words without a symbol; word keys are negative, bigram keys are not.
-END, RARE = -1, -2
+#: The key of the end; word keys are negative, bigram keys are not.
+END = -1
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, list[Words]]]:
@@ -88,27 +83,20 @@ def _count_words(buckets: int):
 
 @dataclass
 class Vocabulary:
-    """The words with symbols of their own (sorted keys; None: all words), and totals of all training tokens."""
+    """Totals of all training tokens."""
 
-    keys: np.ndarray | None
     tokens: int
     distinct: int
 
-    def symbols(self, keys: np.ndarray) -> np.ndarray:
-        if self.keys is None:
-            return keys
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, keys, RARE)
-
     @property
     def mass(self) -> int:
         """What all (2 count + 1) sum to, with an unknown word."""
         return 2 * self.tokens + max(self.distinct, 1) + 1
 
 
-def _histories(symbols: np.ndarray) -> np.ndarray:
+def _histories(word: np.ndarray) -> np.ndarray:
     """What stands before each token, for whole texts one after the other."""
-    return np.concatenate((np.array([END]), symbols[:-1]))
+    return np.concatenate((np.array([END]), word[:-1]))
 
 
 def _pair(before: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -117,16 +105,13 @@ def _pair(before: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return (mix(both) >> np.uint64(1)).view(np.int64)
 
 
-def _count_bigrams(vocabulary: Broadcast):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Vocabulary = vocabulary.value
-        for batch in batches:
-            for _, parts in _slices(batch["text"]):
-                symbol = own.symbols(_tokens(parts)[0])
-                before = _histories(symbol)
-                _, at, n = np.unique(_pair(before, symbol), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(before[at]), pa.array(symbol[at]), pa.array(n)], ["h", "w", "n"])
-    return run
+def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, parts in _slices(batch["text"]):
+            word = _tokens(parts)[0]
+            before = _histories(word)
+            _, at, n = np.unique(_pair(before, word), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(before[at]), pa.array(word[at]), pa.array(n)], ["h", "w", "n"])
 
 
 def discounts(seen: list[int]) -> np.ndarray:
@@ -202,53 +187,38 @@ class KatzModel:
         dealt = counts.repartition(buckets, "bucket")  # slices have added up what they hold of a key
         words = work.keep("words", dealt.groupBy("bucket", "key").agg(F.sum("n").alias("n")).select("key", "n"))
         totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-        inner = F.col("key") != END
-        own, keys = F.lit(True), None
-        if WORDS is not None:
-            own = ~inner | _reaches(_least(words, WORDS, inner))
-            keys = np.union1d(words.where(own).select("key").toArrow()["key"].to_numpy(), [END]).astype(np.int64)
-        vocabulary = Vocabulary(keys, totals["n"] or 0, totals["v"])
-        symbols = words.where(own).select("key", "n", (2 * F.col("n") + 1).alias("mass"))
-        if WORDS is not None:
-            owned = symbols.agg(F.sum("mass").alias("m"), F.max_by("key", F.col("key") == END).alias("end")).first()
-            rare = vocabulary.mass - (owned["m"] or 0) - (owned["end"] != END)
-            symbols = symbols.unionByName(spark.createDataFrame([(RARE, max(0, rare) // 2, rare)], symbols.schema))
-        often = _reaches(_least(symbols, HOT_WORDS, F.lit(True)))
-        hot, cold = symbols.where(often), symbols.where(~often)
-
-        sent = spark.sparkContext.broadcast(vocabulary)
-        counts = map_arrow(texts, _count_bigrams(sent), "h long, w long, n long").repartition(buckets, "h", "w")
+        vocabulary = Vocabulary(totals["n"] or 0, totals["v"])
+        masses = words.select("key", "n", (2 * F.col("n") + 1).alias("mass"))
+        often = _reaches(_least(words, HOT_WORDS, F.lit(True)))
+        hot, cold = masses.where(often), masses.where(~often)
+
+        counts = map_arrow(texts, _count_bigrams, "h long, w long, n long").repartition(buckets, "h", "w")
         bigrams = work.keep("bigrams", counts.groupBy("h", "w").agg(F.sum("n").alias("n")))
         bigrams = work.keep("weighed", _with(bigrams, "w", *(t.select(F.col("key").alias("w"), "mass") for t in (hot, cold))))
         times = range(1, DISCOUNTED + 2)
         histories = work.keep("histories", bigrams.groupBy("h").agg(
-            F.sum("n").alias("n"), F.sum("mass").alias("covered"), F.count("*").alias("seen"),
+            F.sum("n").alias("n"), F.sum("mass").alias("covered"),
             *(F.count_if(F.col("n") == r).alias(f"n{r}") for r in times)))
         seen = histories.agg(*(F.sum(f"n{r}").alias(f"n{r}") for r in times)).first()
         discount = discounts([x or 0 for x in seen])
         freed = sum((F.col(f"n{r}") * float((1 - discount[r]) * r) for r in times[:-1]), F.lit(0.0))
         left = (F.lit(vocabulary.mass) - F.col("covered")) / float(vocabulary.mass)
-        whole = F.col("seen") == len(keys) + 1 if keys is not None else F.lit(False)
-        states = histories.select(
-            "h", F.log10(F.when(whole, F.col("n") - freed).otherwise(F.col("n") + 0.5)).alias("total"),
-            F.when(whole, 0.0).otherwise(F.log10((0.5 + freed) / (F.col("n") + 0.5) / left)).alias("back"))
+        states = histories.select("h", F.log10(F.col("n") + 0.5).alias("total"),
+                                  F.log10((0.5 + freed) / (F.col("n") + 0.5) / left).alias("back"))
 
         half = float(vocabulary.mass)
-        first = F.when(own, F.col("key")).otherwise(F.lit(RARE)).alias("h")
-        self.words = words.select("key", "n", first).join(states, "h", "left").select(
+        self.words = words.select("key", "n", F.col("key").alias("h")).join(states, "h", "left").select(
             "key", "n", (F.log10((2 * F.col("n") + 1) / half) + F.coalesce("back", F.lit(0.0))).alias("value"))
         near = F.broadcast(hot.select(F.col("key").alias("h")))
         kept = F.col("n") * F.get(F.array(*map(F.lit, [*discount.tolist(), 1.0])), F.least("n", F.lit(DISCOUNTED + 1)).cast("int"))
         self.bigrams = _with(bigrams, "h", states.join(near, "h", "left_semi"), states.join(near, "h", "left_anti")).select(
             "h", "w", "n", (F.log10(kept) - F.col("total") - F.col("back") - F.log10(F.col("mass") / half)).alias("value"))
-        unseen = states.where(F.col("h") == RARE).first()
         top = self.words.where(_reaches(_least(words, HOT_WORDS, F.lit(True)))).toArrow()
         pairs = self.bigrams.where(_reaches(_least(bigrams, HOT, F.lit(True)))).toArrow()
         key = np.concatenate((top["key"].to_numpy(), _pair(pairs["h"].to_numpy(), pairs["w"].to_numpy())))
         n, value = (np.concatenate((top[c].to_numpy(), pairs[c].to_numpy())) for c in ("n", "value"))
         order = np.argsort(key)
-        self.model = Model(vocabulary, float(np.log10(1 / half)) + (unseen["back"] if unseen else 0.0),
-                           key[order], n[order], value[order])
+        self.model = Model(vocabulary, float(np.log10(1 / half)), key[order], n[order], value[order])
 
     def score(self, docs: DataFrame) -> DataFrame:
         """(doc_id, held_out, n_tokens, n_known, base_score, score) of each row of ``docs`` (doc_id, held_out, text)."""
@@ -307,8 +277,7 @@ def _ask(model: Broadcast, buckets: int):
             for begin, parts in _slices(batch["text"]):
                 n = sum(len(p.first) - 1 for p in parts)
                 word, doc = _tokens(parts)
-                symbol = m.vocabulary.symbols(word)
-                keys = np.concatenate((_pair(_histories(symbol), symbol), word))
+                keys = np.concatenate((_pair(_histories(word), word), word))
                 order = np.argsort(keys, kind="stable")
                 keys, doc = keys[order], np.concatenate((doc, doc))[order]
                 fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))

@@ -24,21 +24,15 @@ class Brute:
         train = [x for _, x, held in self.rows if not held]
         self.c = Counter(w for x in train for w in x)
         self.base = sum(self.c.values()) + 0.5 * (len(self.c) + 1)
-        sizes, total, least = Counter(n for w, n in self.c.items() if w != "END"), 0, None
-        for n in sorted(sizes, reverse=True):
-            total += sizes[n]
-            if total > lm.WORDS:
-                break
-            least = n
-        self.known = {w for w, n in self.c.items() if w == "END" or (least and n >= least)} | {"END"}
+        self.known = {*self.c, "END"}
         pairs = Counter(p for x in train for p in zip(["END", *map(self.symbol, x)], map(self.symbol, x)))  # noqa: B905
         n = Counter(pairs.values())
         self.d = lm.discounts([n[r] for r in range(1, lm.DISCOUNTED + 2)])
         self.rare = max(self.base, 1) - sum(self.c[w] + 0.5 for w in self.known)
         self.pairs, self.after = pairs, {}
         for (h, w), k in pairs.items():
-            s = self.after.setdefault(h, [0, 0, 0, 0])
-            s[0], s[1], s[2], s[3] = s[0] + k, s[1] + (k - self.kept(k)), s[2] + self.unigram(w), s[3] + 1
+            s = self.after.setdefault(h, [0, 0, 0])
+            s[0], s[1], s[2] = s[0] + k, s[1] + (k - self.kept(k)), s[2] + self.unigram(w)
 
     def kept(self, k):
         return self.d[k] * k if k <= lm.DISCOUNTED else k
@@ -50,9 +44,7 @@ class Brute:
         return (self.rare if w == 0 else self.c[w] + 0.5) / max(self.base, 1)
 
     def p(self, h, w):
-        n, freed, covered, kinds = self.after.get(h, (0, 0, 0, 0))
-        if kinds == len(self.known | {0}):
-            return self.kept(self.pairs[h, w]) / (n - freed)
+        n, freed, covered = self.after.get(h, (0, 0, 0))
         if k := self.pairs.get((h, w)):
             return self.kept(k) / (n + 0.5)
         return (0.5 + freed) / (n + 0.5) / (1 - covered) * self.unigram(w)
@@ -66,10 +58,10 @@ class Brute:
         return out
 
 
-@pytest.mark.parametrize(("words", "hot"), [(1 << 16, 1 << 20), (12, 5), (0, 0)])
-def test_scores_by_brute_force(table, monkeypatch, words, hot):
-    monkeypatch.setattr(lm, "WORDS", words)
+@pytest.mark.parametrize(("hot", "hot_words"), [(1 << 20, 1 << 16), (5, 12), (0, 0)])
+def test_scores_by_brute_force(table, monkeypatch, hot, hot_words):
     monkeypatch.setattr(lm, "HOT", hot)
+    monkeypatch.setattr(lm, "HOT_WORDS", hot_words)
     rows = [*ODD, *((100 + i, prose(i % 30, 40 + i)) for i in range(60)), (500, prose(7, 30_000))]
     brute = Brute(rows)
     got = sorted(lm.score_held_out(table(rows)).collect(), key=lambda r: (r.doc_id or 0, r.n_tokens))
@@ -114,26 +106,16 @@ def test_discounts():
     assert list(lm.discounts([0] * 6)) == [1.0] * 6
 
 
-class _Known(set):
-    """Words to which 0 is added once, not for each probability."""
-
-    def __or__(self, other):
-        self.whole = getattr(self, "whole", None) or set(self).union(other)
-        return self.whole
-
-
 @pytest.mark.parametrize(("hot", "hot_words"), [(1 << 20, 1 << 16), (5, 3), (0, 0)])
 def test_every_word_has_its_bigrams(table, monkeypatch, hot, hot_words):
     """More distinct words than any cap there was: the model is still that of all bigrams."""
     monkeypatch.setattr(lm, "HOT", hot)
-    monkeypatch.setattr(lm, "HOT_WORDS", hot_words, raising=False)
+    monkeypatch.setattr(lm, "HOT_WORDS", hot_words)
     many = [f"w{i} x{i} w{i} x{i}" for i in range(45_000)]
     rows = [(i, " ".join(many[i * 1000:(i + 1) * 1000]) + " " + prose(i, 50)) for i in range(45)]
     rows += [*ODD, (100, "w3 x3 never w3 x3 seen"), (101, " ".join(many[::700]))]
     got = lm.score_held_out(table(rows)).collect()
-    monkeypatch.setattr(lm, "WORDS", 1 << 40)
     brute = Brute(rows)
-    brute.known = _Known(brute.known)
     assert len(brute.c) > 1 << 16
     want = sorted((str(i), len(x), round(brute.score(x), 4)) for i, x, _ in brute.rows)
     assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 4)) for r in got) == want
