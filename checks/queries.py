@@ -59,7 +59,7 @@ def job(spark: SparkSession, sf_dir: str) -> Job:
 
 def _run(df: DataFrame, j: Job, *columns: str | Column) -> DataFrame:
     """Put the run's name in place of its id."""
-    named = df.join(F.broadcast(j.runs.select("run_id", "version")), "run_id")
+    named = df.join(j.runs.select("run_id", "version"), "run_id")
     return named.select("version", *columns)
 
 
@@ -397,7 +397,7 @@ def _order_publications(orders: DataFrame, runs: DataFrame, start: int) -> DataF
         F.col("o_orderstatus").alias("version"), F.col("o_orderkey").cast("string").alias("external_id"),
         F.concat("o_orderpriority", F.lit(" "), F.col("o_orderkey").cast("string")).alias("title"),
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-    rows = rows.join(F.broadcast(runs.select("run_id", "version")), "version").drop("version")
+    rows = rows.join(runs.select("run_id", "version"), "version").drop("version")
     numbered = dense_id(rows, start=start)
     spec = TABLES["publication"]
     return numbered.select(*[F.col(c) if c in numbered.columns else F.lit(None).alias(c) for c in spec.schema.names]
@@ -424,7 +424,7 @@ def _warehouse(spark: SparkSession) -> Warehouse:
 
 def _run_years(w: Warehouse) -> DataFrame:
     runs = w.runs().select(F.col("id").alias("run_id"), "version")
-    rows = w.table("publication").join(F.broadcast(runs), "run_id")
+    rows = w.table("publication").join(runs, "run_id")
     return rows.groupBy("version", "year").agg(F.count(F.lit(1)).alias("documents"), F.count_distinct("id").alias("n_ids"))
 
 
@@ -588,7 +588,7 @@ def _warehouse_counts(w: Warehouse) -> DataFrame:
         counts = w.table(name).groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"))
         counts = counts.select("run_id", F.lit(name).alias("table_name"), "n_rows")
         rows = counts if rows is None else rows.unionByName(counts)
-    return rows.join(F.broadcast(runs), "run_id").select("version", "table_name", "n_rows")
+    return rows.join(runs, "run_id").select("version", "table_name", "n_rows")
 
 
 @dataclass
