@@ -161,6 +161,7 @@ def publication_author(authors: DataFrame, publication: DataFrame, author: DataF
 
 def publication_affiliation(affiliations: DataFrame, publication: DataFrame, start: int = 0) -> DataFrame:
     """The only table whose texts are cut to their column length, and only after DISTINCT."""
+    # Which staged column fills which final one.
     staged = {"affiliation_sequence": "sequence_number", "affiliation_ids": "external_id",
               "affiliation_organization": "institution_name", "affiliation_address_part": "address",
               "affiliation_city": "city", "affiliation_state": "state", "country_code": "country_code",
