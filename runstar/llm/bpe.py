@@ -42,6 +42,7 @@ def _kinds() -> np.ndarray:
 @cache
 def _byte_letters() -> dict[int, int]:
     """The printable code point that stands for each byte in a byte-level vocabulary."""
+    # The bytes that stand for themselves.
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in plain]
     return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
