@@ -4,7 +4,7 @@ A chromosome is a list of bins. Crossover injects well-filled bins of one parent
 that then hold a document twice, and puts the documents displaced with them where they fit best, largest first. Documents are dealt
 into blocks of bounded size; several islands evolve each block in tasks of their own, and their elites migrate to the next island
 between epochs through a written table. Bins that a block leaves too empty are opened again and their documents
-dealt to new blocks, until one block holds all that is left.
+dealt to new blocks, until one block holds all that is left or ``LEVELS`` levels have passed.
 """
 
 from __future__ import annotations
