@@ -1,18 +1,22 @@
-"""Language-model scoring by a Katz back-off model of order two, trained and evaluated over whole tables.
+"""Language-model scoring by a Katz back-off model of any order, trained and evaluated over whole tables.
 
 Tokens are words and one end a text, which is also the history of a text's first word. Every training word is a symbol:
 
-    p(w | h) = d(c) c / (n + 0.5)    if the bigram (h, w) was seen c times, h being seen n times
-             = b(h) p(w)             else
+    p(w | h) = d(c) c / (n + 0.5)    if h was followed by w c times, h having been seen n times
+             = b(h) p(w | h')        else, h' being h without its first word
 
 with Good-Turing discounts d for counts up to ``DISCOUNTED`` and b(h) such that the probabilities of all words after h sum
 to 1 exactly. The 0.5 leaves every history some mass to back off with. p(w) adds 0.5 to each count, an unknown word
-counting as one more word. So p(w | h) sums to 1 over all known words, the end and one unknown word.
-
-Counts of words, bigrams and histories are tables. A text's score is the sum of log10 p(w) + log10 b(w) over its words, for each is a
-history too, and of what a seen bigram differs from that. Scoring evaluates a cache of hot keys where the text is; all other
-keys go to their bucket, once for each slice of texts, with the documents that hold them; values come to the same bucket, and
-partial sums go back. Only tables of bounded size are broadcast.
+counting as one more word. A history that was not seen is its h'. So p sums to 1 over all known words, the end and one
+unknown word, after any history. The first words of a text have the shorter histories that there are.
+
+Texts are dealt in slices of some 800,000 tokens. Order by order, a slice sends each of its different grams once to the
+bucket of the gram's history, with its count in training texts and its probability of the order below; the bucket adds up
+counts, finds back-off weights, and sends both back. What comes back is written, as is the model: each order is a table of
+rows by bucket, and a slice's state follows from those tables, so a lost executor costs its own tasks. Words and grams are
+known by numbers that their buckets give them, small ones for frequent grams, so that they take two or three bytes each.
+A history seen more than ``SPLIT`` times is dealt over several buckets by the next word; their sums meet in a table of
+such histories. Nothing but two totals and the discounts' counts goes through the driver.
 """
 
 from __future__ import annotations
@@ -22,20 +26,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from runstar.llm.hashing import BASE, Words, blocks, mix, words
+from runstar.llm.hashing import Words, blocks, mix, words
+from runstar.llm.packed import pack, steps, unpack
 from runstar.llm.workers import map_arrow
 from runstar.sources.workspace import Workspace
 
-#: Bigrams and words that are cached where they are looked up, and the largest count that is discounted.
-HOT, HOT_WORDS, DISCOUNTED = 1 << 20, 1 << 16, 5
-#: Tokens of one slice; rows of counts that are dealt together.
-SLICE, DEALT = 800_000, 500_000
-#: The key of the end; word keys are negative, bigram keys are not.
+#: The largest count that is discounted, and how often a history is seen before it is dealt over several buckets.
+DISCOUNTED, SPLIT = 5, 1 << 20
+#: Tokens of one slice.
+SLICE = 800_000
+#: The key of the end; those of words are other numbers with the highest bit set.
 END = -1
+#: Kinds of rows: what a bucket is asked, a slice's texts, a bucket's part of the model. Replies bear their order.
+ASKED, MODEL, HOME = -2, -1, 0
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, list[Words]]]:
@@ -53,69 +60,106 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, list[Words]]]:
 
 
 def _tokens(parts: list[Words]) -> tuple[np.ndarray, np.ndarray]:
-    """Word keys with the ends, and the document of each, counted from the slice's first."""
-    keys, docs, begin = [], [], 0
-    for p in parts:
-        n = len(p.first) - 1
-        keys.append(np.insert((p.hashes() | np.uint64(1 << 63)).view(np.int64), p.first[1:], END))
-        docs.append(np.repeat(np.arange(begin, begin + n, dtype=np.int32), np.diff(p.first) + 1))
-        begin += n
-    return np.concatenate(keys), np.concatenate(docs)
+    """Word keys with the ends, and how many each document has."""
+    keys = [np.insert((p.hashes() | np.uint64(1 << 63)).view(np.int64), p.first[1:], END) for p in parts]
+    return np.concatenate(keys), np.concatenate([np.diff(p.first) + 1 for p in parts])
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    return (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _counted(keys: np.ndarray, buckets: int) -> pa.RecordBatch:
-    value, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(_bucket(value, buckets)), pa.array(value), pa.array(n)],
-                                      ["bucket", "key", "n"])
+def _numbers(count: np.ndarray, at: int, buckets: int) -> np.ndarray:
+    """A number for each gram of a bucket that was seen, smaller ones for larger counts; 0 for the others."""
+    rank = np.empty(len(count), np.int64)
+    rank[np.argsort(-count, kind="stable")] = np.arange(len(count))
+    return np.where(count > 0, rank * buckets + at + 1, 0)
 
 
-def _count_words(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, parts in _slices(batch["text"]):
-                yield _counted(_tokens(parts)[0], buckets)
-    return run
+def _schema(doc_id: str) -> str:
+    return f"kind int, slice long, at int, doc_ids array<{doc_id}>, held_out array<boolean>, sums array<long>, data binary"
 
 
-@dataclass
-class Vocabulary:
-    """Totals of all training tokens."""
+def _rows(rows: list[tuple], doc_id: pa.DataType) -> pa.RecordBatch:
+    """Rows of ``_schema``."""
+    types = (("kind", pa.int32()), ("slice", pa.int64()), ("at", pa.int32()), ("doc_ids", pa.list_(doc_id)),
+             ("held_out", pa.list_(pa.bool_())), ("sums", pa.list_(pa.int64())), ("data", pa.binary()))
+    columns = zip(*rows, strict=True) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, types, strict=True)],
+                                      [c for c, _ in types])
 
-    tokens: int
-    distinct: int
 
-    @property
-    def mass(self) -> int:
-        """What all (2 count + 1) sum to, with an unknown word."""
-        return 2 * self.tokens + max(self.distinct, 1) + 1
+def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows that agree in a column; they come one after the other."""
+    value, held = None, []
+    for batch in batches:
+        keys = batch[by].to_pylist()
+        for i in range(batch.num_rows):
+            if keys[i] != value:
+                if held:
+                    yield value, held
+                value, held = keys[i], []
+            held.append({c: batch[c][i].as_py() for c in batch.schema.names})
+    if held:
+        yield value, held
 
 
-def _histories(word: np.ndarray) -> np.ndarray:
-    """What stands before each token, for whole texts one after the other."""
-    return np.concatenate((np.array([END]), word[:-1]))
+def _joined(arrays: list[np.ndarray], like: type = np.int64) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, like)
 
 
-def _pair(before: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """The keys of bigrams."""
-    both = mix(before.view(np.uint64)) * np.uint64(BASE) + symbol.view(np.uint64)
-    return (mix(both) >> np.uint64(1)).view(np.int64)
+def _ask_words(buckets: int, doc_id: pa.DataType):
+    """For each slice of texts its tokens, and its different words by bucket with their counts in training texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, parts in _slices(batch["text"]):
+                keys, sizes = _tokens(parts)
+                rows = batch.slice(begin, len(sizes))
+                first, held = rows["row"][0].as_py(), rows["held_out"]
+                learnt = np.repeat(~held.to_numpy(zero_copy_only=False), sizes)
+                key, index = np.unique(keys.view(np.uint64), return_inverse=True)
+                bucket = _bucket(key, buckets)
+                order = np.argsort(bucket, kind="stable")
+                place = np.empty(len(key), np.int64)
+                place[order] = np.arange(len(key))
+                token = place[index]
+                n = np.bincount(token[learnt], minlength=len(key))
+                out = [(HOME, first, None, rows["doc_id"].to_pylist(), held.to_pylist(), None, pack(token, sizes))]
+                for at, cut in _cuts(bucket[order]):
+                    out.append((ASKED, first, at, None, None, None, pack(steps(key[order[cut]]), n[cut])))
+                yield _rows(out, doc_id)
+    return run
 
 
-def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, parts in _slices(batch["text"]):
-            word = _tokens(parts)[0]
-            before = _histories(word)
-            _, at, n = np.unique(_pair(before, word), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(before[at]), pa.array(word[at]), pa.array(n)], ["h", "w", "n"])
+def _cuts(values: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Runs of equal values."""
+    value, begin = np.unique(values, return_index=True)
+    ends = np.append(begin, len(values))[1:]
+    for v, a, b in zip(value.tolist(), begin.tolist(), ends.tolist(), strict=True):
+        yield v, slice(a, b)
+
+
+def _answer_words(buckets: int, doc_id: pa.DataType):
+    """Counts and numbers of a bucket's words, for each slice that asks, and as the model's first order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, rows in _groups(batches, "at"):
+            asked = [unpack(r["data"]) for r in rows]
+            keys = [np.cumsum(a.view(np.uint64)) for a, _ in asked]
+            key, index = np.unique(np.concatenate(keys), return_inverse=True)
+            count = np.rint(np.bincount(index, np.concatenate([n for _, n in asked]))).astype(np.int64)
+            number = _numbers(count, at, buckets)
+            seen = count > 0
+            out = [(MODEL, None, at, None, None, [int(count.sum()), int(seen.sum())],
+                    pack(steps(key[seen]), number[seen], count[seen]))]
+            upto = np.cumsum([0, *map(len, keys)])
+            for r, a, b in zip(rows, upto[:-1], upto[1:], strict=True):
+                out.append((1, r["slice"], at, None, None, None, pack(count[index[a:b]], number[index[a:b]])))
+            yield _rows(out, doc_id)
+    return run
 
 
 def discounts(seen: list[int]) -> np.ndarray:
-    """Good-Turing discounts for counts 0 to ``DISCOUNTED`` from the numbers of bigrams seen once, twice, ...
+    """Good-Turing discounts for counts 0 to ``DISCOUNTED`` from the numbers of grams seen once, twice, ...
 
     A count whose discount the numbers don't support (none seen, or not between 0 and 1) isn't discounted.
     """
@@ -130,285 +174,253 @@ def discounts(seen: list[int]) -> np.ndarray:
 
 
 @dataclass
-class Model:
-    """What evaluation needs beside the values: all of bounded size."""
-
-    vocabulary: Vocabulary
-    unseen: float
-    hot_keys: np.ndarray
-    hot_counts: np.ndarray
-    hot_values: np.ndarray
-
-    def terms(self, key: np.ndarray, found: np.ndarray, n: np.ndarray, value: np.ndarray) -> list[np.ndarray]:
-        """What each key adds to known words, base score and score."""
-        word = key < 0
-        n = np.where(word & found, n, 0)
-        base = np.where(word, np.log10((n + 0.5) / _base(self)), 0.0)
-        return [n > 0, base, np.where(found, value, np.where(word, self.unseen, 0.0))]
-
-
-def _found(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place, whether it is there) of each key among sorted ones, of which there is one at least."""
-    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    return at, keys[at] == key
+class Totals:
+    """Tokens and different words of the training texts, and the discounts of each order from two on."""
 
+    tokens: int
+    distinct: int
+    discount: list[np.ndarray]
 
-def _with(rows: DataFrame, column: str, hot: DataFrame, cold: DataFrame) -> DataFrame:
-    """``rows`` with what two tables say of ``column``: one of few hot keys, which is broadcast, and one of all others."""
-    hot = F.broadcast(hot)
-    return rows.join(hot, column).unionByName(rows.join(hot.select(column), column, "left_anti").join(cold, column))
-
-
-def _least(counts: DataFrame, most: int, what: Column) -> int | None:
-    """The threshold that ``most`` counts or fewer reach; None if there is none."""
-    by_count = counts.where(what).groupBy("n").agg(F.count("*").alias("keys")).orderBy(F.desc("n"))
-    total, threshold = 0, None
-    for r in by_count.limit(most).collect():  # one row for each different count
-        total += r["keys"]
-        if total > most:
-            break
-        threshold = r["n"]
-    return threshold
-
-
-def _reaches(threshold: int | None) -> Column:
-    return F.col("n") >= F.lit(threshold) if threshold else F.lit(False)
-
+    @property
+    def mass(self) -> int:
+        """What all (2 count + 1) sum to, with an unknown word."""
+        return 2 * self.tokens + max(self.distinct, 1) + 1
 
-class KatzModel:
-    """Tables of counts in ``work``, and the model over them."""
-
-    def __init__(self, training: DataFrame, work: Workspace):
-        spark = training.sparkSession
-        self.spark, self.work = spark, work
-        self.buckets = buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        texts = training.select("text")
-        counts = map_arrow(texts, _count_words(buckets), "bucket int, key long, n long")
-        dealt = counts.repartition(buckets, "bucket")  # slices have added up what they hold of a key
-        words = work.keep("words", dealt.groupBy("bucket", "key").agg(F.sum("n").alias("n")).select("key", "n"))
-        totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-        vocabulary = Vocabulary(totals["n"] or 0, totals["v"])
-        masses = words.select("key", "n", (2 * F.col("n") + 1).alias("mass"))
-        often = _reaches(_least(words, HOT_WORDS, F.lit(True)))
-        hot, cold = masses.where(often), masses.where(~often)
-
-        counts = map_arrow(texts, _count_bigrams, "h long, w long, n long").repartition(buckets, "h", "w")
-        bigrams = work.keep("bigrams", counts.groupBy("h", "w").agg(F.sum("n").alias("n")))
-        bigrams = work.keep("weighed", _with(bigrams, "w", *(t.select(F.col("key").alias("w"), "mass") for t in (hot, cold))))
-        times = range(1, DISCOUNTED + 2)
-        histories = work.keep("histories", bigrams.groupBy("h").agg(
-            F.sum("n").alias("n"), F.sum("mass").alias("covered"),
-            *(F.count_if(F.col("n") == r).alias(f"n{r}") for r in times)))
-        seen = histories.agg(*(F.sum(f"n{r}").alias(f"n{r}") for r in times)).first()
-        discount = discounts([x or 0 for x in seen])
-        freed = sum((F.col(f"n{r}") * float((1 - discount[r]) * r) for r in times[:-1]), F.lit(0.0))
-        left = (F.lit(vocabulary.mass) - F.col("covered")) / float(vocabulary.mass)
-        states = histories.select("h", F.log10(F.col("n") + 0.5).alias("total"),
-                                  F.log10((0.5 + freed) / (F.col("n") + 0.5) / left).alias("back"))
-
-        half = float(vocabulary.mass)
-        self.words = words.select("key", "n", F.col("key").alias("h")).join(states, "h", "left").select(
-            "key", "n", (F.log10((2 * F.col("n") + 1) / half) + F.coalesce("back", F.lit(0.0))).alias("value"))
-        near = F.broadcast(hot.select(F.col("key").alias("h")))
-        kept = F.col("n") * F.get(F.array(*map(F.lit, [*discount.tolist(), 1.0])), F.least("n", F.lit(DISCOUNTED + 1)).cast("int"))
-        self.bigrams = _with(bigrams, "h", states.join(near, "h", "left_semi"), states.join(near, "h", "left_anti")).select(
-            "h", "w", "n", (F.log10(kept) - F.col("total") - F.col("back") - F.log10(F.col("mass") / half)).alias("value"))
-        top = self.words.where(_reaches(_least(words, HOT_WORDS, F.lit(True)))).toArrow()
-        pairs = self.bigrams.where(_reaches(_least(bigrams, HOT, F.lit(True)))).toArrow()
-        key = np.concatenate((top["key"].to_numpy(), _pair(pairs["h"].to_numpy(), pairs["w"].to_numpy())))
-        n, value = (np.concatenate((top[c].to_numpy(), pairs[c].to_numpy())) for c in ("n", "value"))
-        order = np.argsort(key)
-        self.model = Model(vocabulary, float(np.log10(1 / half)), key[order], n[order], value[order])
-
-    def score(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, held_out, n_tokens, n_known, base_score, score) of each row of ``docs`` (doc_id, held_out, text)."""
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        sent = self.spark.sparkContext.broadcast(self.model)
-        sums = (f"docs array<int>, first long, doc_ids array<{kind}>, held_out array<boolean>, n_tokens array<long>, "
-                "n_known array<long>, base_score array<double>, score array<double>")
-        rows = docs.select("doc_id", "held_out", "text").withColumn("row", F.monotonically_increasing_id())
-        asked = map_arrow(rows, _ask(sent, self.buckets),
-                          f"bucket int, kind int, keys array<long>, sizes array<long>, values array<double>, {sums}")
-        told = "bucket int, kind int, keys array<long>, sizes array<long>, values array<double>"
-        told = map_arrow(self.words, _tell(self.buckets), told).unionByName(map_arrow(
-            self.bigrams.select("h", "w", "value"), _tell(self.buckets), told))
-        dealt = (asked.unionByName(told, allowMissingColumns=True).repartition(self.buckets, "bucket")
-                 .sortWithinPartitions("bucket", "kind"))
-        partial = map_arrow(dealt, _answer(sent), sums)
-        back = partial.repartition(self.buckets, "first").sortWithinPartitions("first")
-        return map_arrow(back, _gather, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, "
-                                        "score double")
-
-
-def _tell(buckets: int):
-    """Counts and values as rows of kind 0, one for each bucket of about ``DEALT`` rows."""
-    def dealt(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held)
-        if "key" in rows.schema.names:
-            key, n = rows["key"].to_numpy(), rows["n"].to_numpy()
-        else:
-            key = _pair(rows["h"].to_numpy(), rows["w"].to_numpy())
-            n = np.zeros(len(key), np.int64)
-        bucket = _bucket(key, buckets)
-        order = np.argsort(bucket, kind="stable")
-        value, begin = np.unique(bucket[order], return_index=True)
-        cuts = pa.array(np.append(begin, len(order)).astype(np.int32))
-        columns = [pa.ListArray.from_arrays(cuts, pa.array(x[order])) for x in (key, n, rows["value"].to_numpy())]
-        return pa.RecordBatch.from_arrays([pa.array(value), pa.array(np.zeros(len(value), np.int32)), *columns],
-                                          ["bucket", "kind", "keys", "sizes", "values"])
 
+class Slice:
+    """The tokens of a slice, each with the longest gram that ends there of an order: its number, count and probability."""
+
+    def __init__(self, home: dict, reply: list[np.ndarray], totals: Totals):
+        token, self.sizes = unpack(home["data"])
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.learnt = np.repeat(~np.array(home["held_out"], bool), self.sizes)
+        count, number = reply
+        self.count, self.word = count[token], number[token]
+        self.p = (2 * self.count + 1) / totals.mass
+        self.gram, self.times = self.word, self.count
+
+    def ask(self, order: int, buckets: int, split: int) -> Grams:
+        """The different grams of the next order whose history was seen."""
+        history, times = np.roll(self.gram, 1), np.roll(self.times, 1)
+        end = self.sizes[0] - 1  # the first text's end
+        history[self.first], times[self.first] = (self.word[end], self.count[end]) if order == 2 else (0, 0)
+        return Grams(self, np.flatnonzero(history), history, times, buckets, split)
+
+    def told(self, grams: Grams, reply: list[np.ndarray], discount: np.ndarray) -> None:
+        """Go on to the order of ``grams``."""
+        back, count, number = reply
+        n = count[grams.index]
+        kept = n * np.append(discount, 1.0)[np.minimum(n, DISCOUNTED + 1)]
+        seen = kept / (grams.times + 0.5)
+        self.p[grams.token] = np.where(n > 0, seen, back[grams.place[grams.index]] * self.p[grams.token])
+        self.gram, self.times = np.zeros_like(self.gram), np.zeros_like(self.times)
+        if len(number):
+            self.gram[grams.token], self.times[grams.token] = number[grams.index], n
+
+
+class Grams:
+    """Different grams of a slice in the order in which they are sent: by bucket, history and word."""
+
+    def __init__(self, own: Slice, token: np.ndarray, history: np.ndarray, times: np.ndarray, buckets: int, split: int):
+        self.token, self.times = token, times[token]
+        heads, head = np.unique(history[token], return_inverse=True)
+        tails, tail = np.unique(own.word[token], return_inverse=True)
+        both, some, index = np.unique(head << 32 | tail, return_index=True, return_inverse=True)
+        h, w = heads[both >> 32], tails[both & 0xFFFFFFFF]
+        shares = -(-self.times[some] // split)
+        share = np.where(shares > 1, mix(w.view(np.uint64)) % np.maximum(shares, 1).astype(np.uint64), 0).astype(np.int64)
+        at = _bucket(mix(h.view(np.uint64)) + share.view(np.uint64), buckets)
+        order = np.argsort(at, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.index = place[index]
+        self.at, self.history, self.word, self.split = at[order], h[order], w[order], (shares > 1)[order]
+        self.n = np.bincount(self.index[own.learnt[token]], minlength=len(order))
+        self.p = own.p[token[some]][order]
+        #: where a history begins, and the place of each gram's history
+        self.fresh = np.ones(len(order), bool)
+        self.fresh[1:] = (self.history[1:] != self.history[:-1]) | (self.at[1:] != self.at[:-1])
+        self.place = np.cumsum(self.fresh) - 1
+
+    def messages(self) -> Iterator[tuple[int, bytes]]:
+        for at, cut in _cuts(self.at):
+            fresh = np.flatnonzero(self.fresh[cut])
+            n = self.n[cut]
+            value, code = np.unique(self.p[cut][n > 0], return_inverse=True)
+            yield at, pack(steps(self.history[cut][fresh]), np.diff(np.append(fresh, len(n))), self.split[cut][fresh],
+                           self.word[cut], n, value, code)
+
+
+def _replayed(rows: list[dict], order: int, totals: Totals, buckets: int, split: int) -> tuple[dict, Slice]:
+    """A slice as it stands after an order, from its texts and all replies; rows come by kind and bucket."""
+    replies: dict[int, list] = {k: [] for k in range(1, order + 1)}
+    for r in rows:
+        if r["kind"] != HOME:
+            replies[r["kind"]].append(unpack(r["data"]))
+    home = next(r for r in rows if r["kind"] == HOME)
+    own = Slice(home, [_joined(list(x)) for x in zip(*replies[1], strict=True)], totals)
+    for k in range(2, order + 1):
+        parts = list(zip(*replies[k], strict=True)) or [[], [], []]
+        own.told(own.ask(k, buckets, split), [_joined(list(x)) for x in parts], totals.discount[k - 2])
+    return home, own
+
+
+def _ask_grams(order: int, totals: Totals, buckets: int, split: int, doc_id: pa.DataType):
+    """What each slice asks of an order's buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= DEALT:
-                yield dealt(held)
-                held = []
-        if any(b.num_rows for b in held):
-            yield dealt(held)
+        for first, rows in _groups(batches, "slice"):
+            _, own = _replayed(rows, order - 1, totals, buckets, split)
+            yield _rows([(ASKED, first, at, None, None, None, data)
+                         for at, data in own.ask(order, buckets, split).messages()], doc_id)
     return run
 
 
-def _ask(model: Broadcast, buckets: int):
-    """For each slice of texts what is known there, as rows of kind 1, and the other keys by bucket, as rows of kind 2."""
+class Counted:
+    """The grams of a bucket: counts, and for each history what it needs for its back-off weight."""
+
+    def __init__(self, rows: list[dict]):
+        parts = [unpack(r["data"]) for r in rows]
+        self.heads = [np.cumsum(p[0]) for p in parts]
+        head = _joined([np.repeat(h, p[1]) for h, p in zip(self.heads, parts, strict=True)])
+        self.sizes = [len(p[3]) for p in parts]
+        n = _joined([p[4] for p in parts])
+        p = np.zeros(len(n))
+        p[n > 0] = _joined([x[5][x[6]] for x in parts], np.float64)
+        self.history, head = np.unique(head, return_inverse=True)
+        tails, tail = np.unique(_joined([p[3] for p in parts]), return_inverse=True)
+        both, self.index = np.unique(head << 32 | tail, return_inverse=True)
+        self.head, self.word = both >> 32, tails[both & 0xFFFFFFFF]
+        self.count = np.rint(np.bincount(self.index, n)).astype(np.int64)
+        lower = np.zeros(len(both))
+        lower[self.index[n > 0]] = p[n > 0]  # the same number wherever the gram stands
+        h = len(self.history)
+        self.covered = np.bincount(self.head, lower, h)
+        #: seen how often, and the numbers of words seen once, twice, ... after each history
+        self.times = np.stack([np.rint(np.bincount(self.head, self.count, h)).astype(np.int64)]
+                              + [np.bincount(self.head[self.count == r], minlength=h) for r in range(1, DISCOUNTED + 2)])
+        self.split = np.zeros(h, bool)
+        for own, q in zip(self.heads, parts, strict=True):
+            self.split[np.searchsorted(self.history, own)] |= q[2] > 0
+
+
+_SUMS = "at int, h long, covered double, " + ", ".join(f"n{r} long" for r in range(DISCOUNTED + 2))
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of each bucket (without h) and of its part of each history that is dealt over several."""
+    for at, rows in _groups(batches, "at"):
+        c = Counted(rows)
+        some = np.flatnonzero(c.split)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(some) + 1, at, np.int32)), pa.array([None, *c.history[some].tolist()], pa.int64()),
+             pa.array(np.append(0.0, c.covered[some])), *(pa.array(np.append(x.sum(), x[some])) for x in c.times)],
+            ["at", "h", "covered", *(f"n{r}" for r in range(DISCOUNTED + 2))])
+
+
+def _answer_grams(buckets: int, last: bool, doc_id: pa.DataType):
+    """Counts, numbers and back-off weights of a bucket's grams, for each slice that asks, and as an order of the model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
-        for batch in batches:
-            for begin, parts in _slices(batch["text"]):
-                n = sum(len(p.first) - 1 for p in parts)
-                word, doc = _tokens(parts)
-                keys = np.concatenate((_pair(_histories(word), word), word))
-                order = np.argsort(keys, kind="stable")
-                keys, doc = keys[order], np.concatenate((doc, doc))[order]
-                fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-                key, size = keys[fresh], np.diff(np.append(fresh, len(keys)))
-                sums = [np.bincount(doc[keys < 0], minlength=n)]
-                if len(m.hot_keys):
-                    at, hot = _found(m.hot_keys, key)
-                    terms = [x * hot for x in m.terms(key, hot, m.hot_counts[at], m.hot_values[at])]
+        for at, rows in _groups(batches, "at"):
+            c = Counted(rows)
+            covered, times, seen = c.covered, c.times, None
+            for s in rows[0]["totals"]:
+                if s["h"] is None:
+                    seen = s["n"]
                 else:
-                    hot, terms = np.zeros(len(key), bool), [np.zeros(len(key))] * 3
-                known, base, score = (np.bincount(doc, np.repeat(x, size), n) for x in terms)
-                sums += [known.astype(np.int64), base, score]
-                rows = batch.slice(begin, n)
-                first = rows["row"][0].as_py()
-                whole = np.array([0, n], np.int32)
-                lists = [np.arange(n, dtype=np.int32), rows["doc_id"], rows["held_out"], *sums]
-                yield _row(pa.RecordBatch.from_arrays(
-                    [pa.array(_bucket(np.array([first]), buckets)), pa.array([1], pa.int32()), pa.array([first]),
-                     *(pa.ListArray.from_arrays(pa.array(whole), x if isinstance(x, pa.Array) else pa.array(x)) for x in lists)],
-                    ["bucket", "kind", "first", "docs", "doc_ids", "held_out", "n_tokens", "n_known", "base_score", "score"]),
-                    rows.schema.field("doc_id").type)
-                bucket = np.where(hot, -1, _bucket(key, buckets))
-                turn = np.argsort(bucket, kind="stable")
-                turn = turn[int(hot.sum()):]
-                if not len(turn):
-                    continue
-                upto = np.concatenate(([0], np.cumsum(size[turn])))
-                docs = doc[np.repeat(fresh[turn] - upto[:-1], size[turn]) + np.arange(upto[-1])]
-                value, at = np.unique(bucket[turn], return_index=True)
-                at = np.append(at, len(turn))
-                cuts = pa.array(at.astype(np.int32))
-                yield _row(pa.RecordBatch.from_arrays(
-                    [pa.array(value.astype(np.int32)), pa.array(np.full(len(value), 2, np.int32)),
-                     pa.ListArray.from_arrays(cuts, pa.array(key[turn])),
-                     pa.ListArray.from_arrays(cuts, pa.array(size[turn])),
-                     pa.ListArray.from_arrays(pa.array(upto[at].astype(np.int32)), pa.array(docs)),
-                     pa.array(np.full(len(value), first))],
-                    ["bucket", "kind", "keys", "sizes", "docs", "first"]), rows.schema.field("doc_id").type)
+                    i = np.searchsorted(c.history, s["h"])
+                    covered[i], times[:, i] = s["covered"], s["n"]
+            discount = discounts(seen[1:])
+            freed = sum(((1 - discount[r]) * r * times[r] for r in range(1, DISCOUNTED + 1)), np.zeros(len(covered)))
+            back = (0.5 + freed) / (times[0] + 0.5) / (1 - covered)
+            number = np.zeros(0, np.int64) if last else _numbers(c.count, at, buckets)
+            there = c.count > 0
+            out = [(MODEL, None, at, None, None, seen,
+                    pack(steps(c.history), back, np.bincount(c.head[there], minlength=len(back)), c.word[there], c.count[there]))]
+            begin = 0
+            for r, own, size in zip(rows, c.heads, c.sizes, strict=True):
+                index = c.index[begin:begin + size]
+                begin += size
+                out.append((r["order"], r["slice"], at, None, None, None,
+                            pack(back[np.searchsorted(c.history, own)], c.count[index], number if last else number[index])))
+            yield _rows(out, doc_id)
     return run
 
 
-def _base(m: Model) -> float:
-    """The denominator of the base score."""
-    return m.vocabulary.tokens + 0.5 * (m.vocabulary.distinct + 1)
-
-
-_ASKED = [("bucket", pa.int32()), ("kind", pa.int32()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
-          ("values", pa.list_(pa.float64())), ("docs", pa.list_(pa.int32())), ("first", pa.int64()), ("doc_ids", None), ("held_out", pa.list_(pa.bool_())),
-          ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())), ("base_score", pa.list_(pa.float64())),
-          ("score", pa.list_(pa.float64()))]
-
-
-def _row(batch: pa.RecordBatch, id_type: pa.DataType, columns: list = _ASKED) -> pa.RecordBatch:
-    """``batch`` with all columns of a request, or of an answer."""
-    names = batch.schema.names
-    types = [(c, t or pa.list_(id_type)) for c, t in columns]
-    return pa.RecordBatch.from_arrays([batch[c].cast(t) if c in names else pa.nulls(batch.num_rows, t) for c, t in types],
-                                      [c for c, _ in types])
-
-
-def _answer(model: Broadcast):
-    """Partial sums for the documents of a slice: a bucket's counts come first, then what asks for them, a row at a time."""
+def _scores(order: int, totals: Totals, buckets: int, split: int, doc_id: pa.DataType):
+    """A row for each document of a slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
-        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        bucket, told, known = None, [], none
-        for batch in batches:
-            kinds = batch["kind"].to_numpy()
-            home = batch.filter(pa.array(kinds == 1))
-            if home.num_rows:
-                yield home.select([c for c, _ in _ASKED[5:]])
-            id_type = batch.schema.field("doc_ids").type.value_type
-            for i in np.flatnonzero(kinds != 1).tolist():
-                if (b := batch["bucket"][i].as_py()) != bucket:
-                    bucket, told, known = b, [], none
-                key, size = batch["keys"][i].values.to_numpy(), batch["sizes"][i].values.to_numpy()
-                if kinds[i] == 0:
-                    told.append((key, size, batch["values"][i].values.to_numpy()))
-                    continue
-                if told:
-                    known = tuple(map(np.concatenate, zip(known, *told, strict=True)))
-                    order = np.argsort(known[0])
-                    known, told = tuple(x[order] for x in known), []
-                yield _sums(m, known, key, size, batch["docs"][i].values.to_numpy(), batch["first"][i].as_py(), id_type)
+        for _, rows in _groups(batches, "slice"):
+            home, own = _replayed(rows, order, totals, buckets, split)
+            base = np.log10((own.count + 0.5) / (totals.tokens + 0.5 * (totals.distinct + 1)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(home["doc_ids"], doc_id), pa.array(home["held_out"], pa.bool_()), pa.array(own.sizes),
+                 pa.array(np.add.reduceat((own.count > 0).astype(np.int64), own.first)),
+                 pa.array(np.add.reduceat(base, own.first)), pa.array(np.add.reduceat(np.log10(own.p), own.first))],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
     return run
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of all buckets for each slice, a row for each of its documents."""
-    names = ("n_tokens", "n_known", "base_score", "score")
-    first, home, parts = None, None, []
+class KatzModel:
+    """A model of the rows of ``rows`` (doc_id, held_out, text) that are not held out, and the scores of all.
 
-    def finished() -> pa.RecordBatch:
-        n = len(home["docs"])
-        total = [np.zeros(n, np.int64 if c.startswith("n_") else np.float64) for c in names]
-        for row in parts:
-            docs = row["docs"].to_numpy()
-            for out, c in zip(total, names, strict=True):
-                out[docs] += row[c].to_numpy()
-        return pa.RecordBatch.from_arrays([home["doc_ids"], home["held_out"], *map(pa.array, total)],
-                                          ["doc_id", "held_out", *names])
+    ``tables[k - 1]`` is the written table of order k: one row of kind ``MODEL`` a bucket, and what each slice was told.
+    """
 
-    for batch in batches:
-        for i in range(batch.num_rows):
-            if (own := batch["first"][i].as_py()) != first:
-                if parts:
-                    yield finished()
-                first, home, parts = own, None, []
-            row = {c: batch[c][i].values for c in ("docs", "doc_ids", "held_out", *names)}
-            home = row if row["doc_ids"] is not None else home
-            parts.append(row)
-    if parts:
-        yield finished()
-
-
-def _sums(m: Model, known: tuple[np.ndarray, ...], key: np.ndarray, size: np.ndarray, docs: np.ndarray, first: int,
-          id_type: pa.DataType) -> pa.RecordBatch:
-    if len(known[0]):
-        at, found = _found(known[0], key)
-        terms = m.terms(key, found, known[1][at], known[2][at])
-    else:
-        terms = m.terms(key, np.zeros(len(key), bool), np.zeros(len(key), np.int64), np.zeros(len(key)))
-    own, back = np.unique(docs, return_inverse=True)
-    found = [np.bincount(back, np.repeat(x, size)) for x in terms]
-    lists = [own, np.zeros(len(own), np.int64), found[0].astype(np.int64), found[1], found[2]]
-    whole = pa.array(np.array([0, len(own)], np.int32))
-    return _row(pa.RecordBatch.from_arrays([pa.array([first]), *(pa.ListArray.from_arrays(whole, pa.array(x)) for x in lists)],
-                                           ["first", "docs", "n_tokens", "n_known", "base_score", "score"]), id_type, _ASKED[5:])
-
-
-def score_held_out(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFrame:
+    def __init__(self, rows: DataFrame, work: Workspace, order: int = 2, split: int = SPLIT):
+        spark = rows.sparkSession
+        if order < 1:
+            raise ValueError("the order of a model is at least 1")
+        self.order, self.split = order, split
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.kind = rows.schema["doc_id"].dataType.simpleString()
+        self.doc_id = to_arrow_schema(rows.select("doc_id").schema).field(0).type
+        numbered = rows.select("doc_id", "held_out", "text").withColumn("row", F.monotonically_increasing_id())
+        texts = work.keep("texts", map_arrow(numbered, _ask_words(self.buckets, self.doc_id), _schema(self.kind)))
+        self.homes = texts.where(F.col("kind") == HOME)
+        asked = self._dealt(texts.where(F.col("kind") == ASKED)).sortWithinPartitions("at", "slice")
+        self.tables = [work.keep("order-1", self._map(asked, _answer_words(self.buckets, self.doc_id)))]
+        n, v = self._total(0), self._total(1)
+        self.totals = Totals(n, v, [])
+        for k in range(2, order + 1):
+            asked = self._dealt(self._map(self._slices(), _ask_grams(k, self.totals, self.buckets, split, self.doc_id)))
+            answered = self._map(asked.join(self._controls(asked), "at").withColumn("order", F.lit(k))
+                                 .sortWithinPartitions("at", "slice"), _answer_grams(self.buckets, k == order, self.doc_id))
+            self.tables.append(work.keep(f"order-{k}", answered))
+            seen = self.tables[-1].where(F.col("kind") == MODEL).select("sums").first()  # the same in all buckets
+            self.totals.discount.append(discounts(seen[0][1:] if seen else [0] * (DISCOUNTED + 1)))
+
+    def _map(self, rows: DataFrame, task) -> DataFrame:
+        return map_arrow(rows, task, _schema(self.kind))
+
+    def _dealt(self, asked: DataFrame) -> DataFrame:
+        return asked.select("at", "slice", "data").repartition(self.buckets, "at")
+
+    def _total(self, i: int) -> int:
+        return self.tables[0].where(F.col("kind") == MODEL).agg(F.sum(F.get("sums", F.lit(i)))).first()[0] or 0
+
+    def _slices(self) -> DataFrame:
+        """The texts of each slice with all that it was told."""
+        rows = self.homes
+        for t in self.tables:
+            rows = rows.unionByName(t.where(F.col("kind") > HOME))
+        return rows.drop("sums").repartition(self.buckets, "slice").sortWithinPartitions("slice", "kind", "at")
+
+    def _controls(self, asked: DataFrame) -> DataFrame:
+        """For each bucket the sums of all, and those of the histories of which it holds a part; few rows."""
+        numbers = [F.sum(f"n{r}").alias(f"n{r}") for r in range(DISCOUNTED + 2)]
+        sums = map_arrow(asked.sortWithinPartitions("at", "slice"), _sums, _SUMS).groupBy("h").agg(
+            F.sum("covered").alias("covered"), *numbers, F.collect_list("at").alias("ats"))
+        held = sums.select(F.explode("ats").alias("at"), F.struct(
+            "h", "covered", F.array(*(f"n{r}" for r in range(DISCOUNTED + 2))).alias("n")).alias("of"))
+        return held.groupBy("at").agg(F.collect_list("of").alias("totals"))
+
+    def scores(self) -> DataFrame:
+        """(doc_id, held_out, n_tokens, n_known, base_score, score) of each row."""
+        return map_arrow(self._slices(), _scores(self.order, self.totals, self.buckets, self.split, self.doc_id),
+                         f"doc_id {self.kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+
+
+def score_held_out(docs: DataFrame, folds: int = 5, held_out: int = 1, order: int = 2, split: int = SPLIT) -> DataFrame:
     """Score all texts with a model of those outside one fold, by the CRC-32 of doc_id as text.
 
     Returns (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row for each row of ``docs``. A null text is
@@ -418,7 +430,6 @@ def score_held_out(docs: DataFrame, folds: int = 5, held_out: int = 1) -> DataFr
     spark: SparkSession = docs.sparkSession
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
     rows = docs.select("doc_id", (fold == held_out).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    model = KatzModel(rows.where(~F.col("held_out")), Workspace(spark))
-    scored = model.score(rows)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known",
-                         F.lit(model.model.vocabulary.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    model = KatzModel(rows, Workspace(spark), order, split)
+    return model.scores().select("doc_id", "held_out", "n_tokens", "n_known",
+                                 F.lit(model.totals.tokens).cast("long").alias("train_tokens"), "base_score", "score")

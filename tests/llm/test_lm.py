@@ -6,9 +6,11 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from runstar.llm import lm
+from runstar.llm.packed import pack, steps, unpack
 from tests.llm.conftest import ODD, WORDS, prose
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -18,61 +20,65 @@ LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 class Brute:
     """The same model from plain counts."""
 
-    def __init__(self, rows):
+    def __init__(self, rows, order=2):
+        self.order = order
         self.rows = [(i, [*WORD.findall((t or "").encode().translate(LOW)), "END"],
                       zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1) for i, t in rows]
         train = [x for _, x, held in self.rows if not held]
         self.c = Counter(w for x in train for w in x)
-        self.base = sum(self.c.values()) + 0.5 * (len(self.c) + 1)
+        self.base = sum(self.c.values()) + 0.5 * (max(len(self.c), 1) + 1)
         self.known = {*self.c, "END"}
-        pairs = Counter(p for x in train for p in zip(["END", *map(self.symbol, x)], map(self.symbol, x)))  # noqa: B905
-        n = Counter(pairs.values())
-        self.d = lm.discounts([n[r] for r in range(1, lm.DISCOUNTED + 2)])
-        self.rare = max(self.base, 1) - sum(self.c[w] + 0.5 for w in self.known)
-        self.pairs, self.after = pairs, {}
-        for (h, w), k in pairs.items():
-            s = self.after.setdefault(h, [0, 0, 0])
-            s[0], s[1], s[2] = s[0] + k, s[1] + (k - self.kept(k)), s[2] + self.unigram(w)
-
-    def kept(self, k):
-        return self.d[k] * k if k <= lm.DISCOUNTED else k
-
-    def symbol(self, w):
-        return w if w in self.known else 0
-
-    def unigram(self, w):
-        return (self.rare if w == 0 else self.c[w] + 0.5) / max(self.base, 1)
+        self.n, self.d, self.after = {}, {}, {}
+        for k in range(2, order + 1):
+            grams = Counter((tuple(s[i - k + 1:i]), s[i]) for x in train for s in [["END", *x]] for i in range(k - 1, len(s)))
+            times = Counter(grams.values())
+            self.d[k] = lm.discounts([times[r] for r in range(1, lm.DISCOUNTED + 2)])
+            self.n.update(grams)
+            sums = {}
+            for (h, w), c in grams.items():
+                s = sums.setdefault(h, [0, 0, 0])
+                s[0], s[1], s[2] = s[0] + c, s[1] + c - self.kept(k, c), s[2] + self.p(h[1:], w)
+            self.after.update(sums)
+
+    def kept(self, k, c):
+        return self.d[k][c] * c if c <= lm.DISCOUNTED else c
 
     def p(self, h, w):
-        n, freed, covered = self.after.get(h, (0, 0, 0))
-        if k := self.pairs.get((h, w)):
-            return self.kept(k) / (n + 0.5)
-        return (0.5 + freed) / (n + 0.5) / (1 - covered) * self.unigram(w)
+        if not h:
+            return (self.c[w] + 0.5) / self.base
+        if h not in self.after:
+            return self.p(h[1:], w)
+        n, freed, covered = self.after[h]
+        if c := self.n.get((h, w)):
+            return self.kept(len(h) + 1, c) / (n + 0.5)
+        return (0.5 + freed) / (n + 0.5) / (1 - covered) * self.p(h[1:], w)
 
     def score(self, x):
-        out, h = 0.0, "END"
-        for w in x:
-            s = self.symbol(w)
-            out += math.log10(self.p(h, s)) + (math.log10((self.c[w] + 0.5) / self.rare) if s == 0 else 0)
-            h = s
-        return out
-
-
-@pytest.mark.parametrize(("hot", "hot_words"), [(1 << 20, 1 << 16), (5, 12), (0, 0)])
-def test_scores_by_brute_force(table, monkeypatch, hot, hot_words):
-    monkeypatch.setattr(lm, "HOT", hot)
-    monkeypatch.setattr(lm, "HOT_WORDS", hot_words)
+        s = ["END", *x]
+        return sum(math.log10(self.p(tuple(s[max(0, i - self.order + 1):i]), s[i])) for i in range(1, len(s)))
+
+
+@pytest.mark.parametrize(("order", "split"), [(1, 1 << 20), (2, 1 << 20), (2, 7), (3, 1 << 20), (3, 5), (4, 40)])
+def test_scores_by_brute_force(table, order, split):
     rows = [*ODD, *((100 + i, prose(i % 30, 40 + i)) for i in range(60)), (500, prose(7, 30_000))]
-    brute = Brute(rows)
-    got = sorted(lm.score_held_out(table(rows)).collect(), key=lambda r: (r.doc_id or 0, r.n_tokens))
+    brute = Brute(rows, order)
+    got = sorted(lm.score_held_out(table(rows), order=order, split=split).collect(), key=lambda r: (r.doc_id or 0, r.n_tokens))
     assert len(got) == len(rows)
     for r, (i, x, held) in zip(got, sorted(brute.rows, key=lambda r: (r[0] or 0, len(r[1]))), strict=True):
         assert (r.doc_id, r.held_out, r.n_tokens) == (i, held, len(x))
         assert r.n_known == sum(brute.c[w] > 0 for w in x) and r.train_tokens == sum(brute.c.values())
         assert r.base_score == pytest.approx(sum(math.log10((brute.c[w] + 0.5) / brute.base) for w in x))
         assert r.score == pytest.approx(brute.score(x))
-    for h in [*brute.after, "never seen"]:
-        assert sum(brute.p(h, w) for w in {*brute.known, 0}) == pytest.approx(1)
+    for h in [*list(brute.after)[:300], ("never seen",)]:
+        assert sum(brute.p(h, w) for w in {*brute.known, "unknown"}) == pytest.approx(1)
+
+
+def test_any_batches_and_slices(table):
+    """Slices that end anywhere, and texts in many partitions, give the same scores."""
+    rows = [*ODD, *((100 + i, prose(i % 30, 400 + i)) for i in range(200))]
+    whole, dealt = (sorted((r.doc_id or 0, r.n_tokens, round(r.score, 6)) for r in lm.score_held_out(t, order=3, split=50).collect())
+                    for t in (table(rows).coalesce(1), table(rows).repartition(13)))
+    assert whole == dealt
 
 
 def _chained(seed):
@@ -106,16 +112,23 @@ def test_discounts():
     assert list(lm.discounts([0] * 6)) == [1.0] * 6
 
 
-@pytest.mark.parametrize(("hot", "hot_words"), [(1 << 20, 1 << 16), (5, 3), (0, 0)])
-def test_every_word_has_its_bigrams(table, monkeypatch, hot, hot_words):
-    """More distinct words than any cap there was: the model is still that of all bigrams."""
-    monkeypatch.setattr(lm, "HOT", hot)
-    monkeypatch.setattr(lm, "HOT_WORDS", hot_words)
+@pytest.mark.parametrize("split", [1 << 20, 100])
+def test_every_word_has_its_bigrams(table, split):
+    """Many different words: the model is that of all bigrams."""
     many = [f"w{i} x{i} w{i} x{i}" for i in range(45_000)]
     rows = [(i, " ".join(many[i * 1000:(i + 1) * 1000]) + " " + prose(i, 50)) for i in range(45)]
     rows += [*ODD, (100, "w3 x3 never w3 x3 seen"), (101, " ".join(many[::700]))]
-    got = lm.score_held_out(table(rows)).collect()
+    got = lm.score_held_out(table(rows), split=split).collect()
     brute = Brute(rows)
     assert len(brute.c) > 1 << 16
     want = sorted((str(i), len(x), round(brute.score(x), 4)) for i, x, _ in brute.rows)
     assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 4)) for r in got) == want
+
+
+def test_packed():
+    for a in ([], [0, 0], [5, 255], [256, 1, 0], [2**63 + 7, 3]):
+        u = np.array(a, np.uint64)
+        got, flat, doubles = unpack(pack(u, np.zeros(3, np.int64), np.array([0.1, -2.0])))
+        assert got.view(np.uint64).tolist() == a and flat.tolist() == [0] * 3 and doubles.tolist() == [0.1, -2.0]
+    rising = np.array([3, 9, 2**63 + 1, 2**64 - 1], np.uint64)
+    assert np.cumsum(unpack(pack(steps(rising)))[0].view(np.uint64)).tolist() == rising.tolist()
