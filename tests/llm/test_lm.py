@@ -11,6 +11,7 @@ import pytest
 
 from runstar.llm import lm
 from runstar.llm.packed import pack, steps, unpack
+from runstar.sources.workspace import Workspace
 from tests.llm.conftest import ODD, WORDS, prose
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -125,6 +126,23 @@ def test_every_word_has_its_bigrams(table, split):
     assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 4)) for r in got) == want
 
 
+class Planned(Workspace):
+    """Runs each table before it writes it, and keeps its final plan."""
+
+    def keep(self, name, df):
+        df.collect()
+        self.plans = {**getattr(self, "plans", {}), name: df._jdf.queryExecution().executedPlan().toString()}
+        return super().keep(name, df)
+
+
+def test_grams_are_dealt_once(table):
+    """Counting and answering share one exchange of an order's grams."""
+    work, rows = Planned(table([]).sparkSession), table([(i, prose(i, 20)) for i in range(10)])
+    lm.KatzModel(rows.withColumn("held_out", rows.doc_id % 5 == 1), work, order=3)
+    for name in ("order-2", "order-3"):
+        assert work.plans[name].split("Initial Plan")[0].count("ReusedExchange") == 1
+
+
 def test_packed():
     for a in ([], [0, 0], [5, 255], [256, 1, 0], [2**63 + 7, 3]):
         u = np.array(a, np.uint64)
