@@ -36,7 +36,7 @@ from runstar.llm.workers import map_arrow
 from runstar.sources.workspace import Workspace
 
 #: The largest count that is discounted, and how often a history is seen before it is dealt over several buckets.
-DISCOUNTED, SPLIT = 5, 1 << 20
+DISCOUNTED, SPLIT = 5, 1 << 17
 #: Tokens of one slice.
 SLICE = 800_000
 #: The key of the end; those of words are other numbers with the highest bit set.
