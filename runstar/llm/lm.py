@@ -394,7 +394,7 @@ class KatzModel:
 
     def _dealt(self, asked: DataFrame) -> DataFrame:
         # the join infers this condition for its side alone: said for both, they share the exchange
-        return asked.select("at", "slice", "data").where(F.col("at").isNotNull()).repartition(self.buckets, "at")
+        return asked.select("at", "slice", "data").where(F.col("at").isNotNull()).repartitionById(self.buckets, F.col("at"))
 
     def _total(self, i: int) -> int:
         return self.tables[0].where(F.col("kind") == MODEL).agg(F.sum(F.get("sums", F.lit(i)))).first()[0] or 0
