@@ -545,3 +545,9 @@ def test_many_runs_in_one_load(spark, base, warehouse):
 def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     assert folder is None or shared_folder(spark) == folder.rstrip("/")
+
+
+def test_csv_files_are_compressed(spark, tmp_path):
+    sinks.write_csv({"long": spark.range(1000).select("id", F.lit("x" * 500).alias("t"))}, str(tmp_path))
+    files = list((tmp_path / "long").glob("part-*"))
+    assert files and all(f.name.endswith(".csv.gz") for f in files) and sum(f.stat().st_size for f in files) < 100_000
