@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runstar.operators.analytics import ordered_agg, validated_dyads
+from runstar.operators.joins import Lookup, lookup
 from runstar.operators.keys import dense_id
 from runstar.operators.validate import run_verdict
 from runstar.plans import staging, star
@@ -138,3 +139,22 @@ def test_children_of_a_record_are_dealt_once(spark, built, table):
         child = [line for line in below[:parent] if "Exchange" in line]
         assert len(child) == 1 and re.search(r"hashpartitioning\(run_id#\d+L, eid#\d+", child[0])
         assert any("HashAggregate" in line for line in below[:parent])
+
+
+@pytest.mark.parametrize("table", ["dyad_model", "author_affiliation"])
+def test_links_of_a_record_are_dealt_once(spark, built, table):
+    test_children_of_a_record_are_dealt_once(spark, built, table)
+
+
+def test_hashes_do_not_travel(spark):
+    """Neither the hash and bucket of a numbered row nor the hash of a join's keys is written to an exchange."""
+    rows = spark.range(100).select(F.col("id").alias("k"), F.col("id").cast("string").alias("t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        numbered = plan(dense_id(rows)).splitlines()
+        joined = plan(lookup(rows, Lookup(rows.withColumnRenamed("k", "id"), on={"t": "t"}, take={"id": "pid"})))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = next(i for i, line in enumerate(numbered) if "REPARTITION_BY_NUM" in line)
+    assert not any(name in line for line in _subtree(numbered, dealt) for name in ("_hash", "_bucket"))
+    assert "hashpartitioning(xxhash64(t#" in joined and " AS _key" not in joined
