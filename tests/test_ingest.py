@@ -551,3 +551,16 @@ def test_csv_files_are_compressed(spark, tmp_path):
     sinks.write_csv({"long": spark.range(1000).select("id", F.lit("x" * 500).alias("t"))}, str(tmp_path))
     files = list((tmp_path / "long").glob("part-*"))
     assert files and all(f.name.endswith(".csv.gz") for f in files) and sum(f.stat().st_size for f in files) < 100_000
+
+
+def test_rows_that_lie_by_run_are_written_where_they_are(spark, tmp_path):
+    """One file for each task and run, and no sort by run."""
+    rows = spark.range(0, 30, 1, 3).select(F.lit("a").alias("agency"), F.spark_partition_id().cast("string").alias("version"),
+                                           (-F.col("id")).alias("n"))
+    sinks.write_by_run(rows.unionByName(rows), str(tmp_path / "t"), ["agency", "version"], dealt=True)
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 6
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == str(sinks.RUNS_AT_A_TIME)
+    many = spark.range(0, 200, 1, 1).select(F.lit("a").alias("agency"), (F.col("id") % 20).cast("string").alias("version"), "id")
+    sinks.write_by_run(many, str(tmp_path / "m"), ["agency", "version"], dealt=True)  # more runs in a task than files it opens
+    back = spark.read.parquet(str(tmp_path / "m")).select("id", F.col("version").cast("bigint").alias("v")).collect()
+    assert sorted(r["id"] for r in back) == list(range(200)) and all(r["v"] == r["id"] % 20 for r in back)
