@@ -11,6 +11,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from runstar.llm.hashing import _BYTE, blocks, code_points, running, spans
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 #: The endings that the split keeps with their apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-#: Words that a worker's cache holds before it is emptied.
+#: Words that a worker's cache holds before it drops those that did not come again.
 CACHED = 300_000
 
 
@@ -100,25 +101,46 @@ class Encoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.begin, self.ids = [0], np.zeros(1 << 16, np.uint32)
+        self.known, self.slot, self.hit = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def _slots(self, hashes: list[int], texts: list[bytes]) -> np.ndarray:
-        if len(self.slot) > CACHED:
+    def _thin(self) -> None:
+        """Keep the words that came again; if these are many too, none."""
+        kept = np.flatnonzero(self.hit)
+        if len(kept) > CACHED // 2:
             self._empty()
-        out = []
-        for h, t in zip(hashes, texts, strict=True):
-            k = self.slot.get(h)
-            if k is None:
-                found = [x.id for x in self.merges.tokenize(t.decode("latin-1").translate(_byte_letters()))]
-                k = self.slot[h] = len(self.begin) - 1
-                at = self.begin[-1]
-                self.begin.append(at + len(found))
-                if self.begin[-1] > len(self.ids):
-                    self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), len(found)), np.uint32)))
-                self.ids[at:at + len(found)] = found
-            out.append(k)
-        return np.array(out, np.int64)
+            return
+        self.ids, size = self._ids(self.slot[kept])
+        self.begin = np.concatenate(([0], np.cumsum(size)))
+        self.known, self.slot, self.hit = self.known[kept], np.arange(len(kept)), np.zeros(len(kept), bool)
+
+    def _ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and how many each has."""
+        size = np.diff(self.begin)[slots]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        return self.ids[np.repeat(self.begin[slots] - upto[:-1], size) + np.arange(upto[-1])], size
+
+    def _slots(self, hashes: np.ndarray, raw: bytes, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Where the cache has the words of these hashes, which ascend; those it has not are merged first."""
+        if len(self.known) > CACHED:
+            self._thin()
+        at = np.searchsorted(self.known, hashes)
+        there = at < len(self.known)
+        there[there] = self.known[at[there]] == hashes[there]
+        self.hit[at[there]] = True
+        new = np.flatnonzero(~there)
+        if len(new):
+            letters, merged = _byte_letters(), self.merges.tokenize
+            found = [[x.id for x in merged(raw[i:j].decode("latin-1").translate(letters))]
+                     for i, j in zip(low[new].tolist(), high[new].tolist(), strict=True)]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            slots = np.arange(len(new)) + len(self.begin) - 1
+            self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(size)))
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))))
+            self.known, self.slot = np.insert(self.known, at[new], hashes[new]), np.insert(self.slot, at[new], slots)
+            self.hit = np.insert(self.hit, at[new], False)
+            at = np.searchsorted(self.known, hashes)
+        return self.slot[at]
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text; none of a null or empty one."""
@@ -141,12 +163,9 @@ class Encoder:
             byte = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
             low, high = byte[starts], byte[np.append(starts[1:], len(points))]
             hashes, at, back = np.unique(spans(running(_BYTE[data]), low, high), return_index=True, return_inverse=True)
-            raw = data.tobytes()
-            slots = self._slots(hashes.tolist(), [raw[i:j] for i, j in zip(low[at].tolist(), high[at].tolist(), strict=True)])
-            begin = np.array(self.begin, np.int64)
-            size = np.diff(begin)[slots][back]
+            slots = self._slots(hashes, data.tobytes(), low[at], high[at])
+            ids, size = self._ids(slots[back])
             upto = np.concatenate(([0], np.cumsum(size)))
-            ids = self.ids[np.repeat(begin[slots][back] - upto[:-1], size) + np.arange(upto[-1])]
             cut = upto[np.searchsorted(starts, first)]
             for a, b in zip(cut, cut[1:], strict=False):
                 yield ids[a:b]

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from runstar.llm import packing
+from runstar.llm import bpe, packing
 from runstar.llm.bpe import Encoder
 from tests.llm.conftest import ODD, prose
 
@@ -117,3 +117,17 @@ def test_crossover_keeps_every_item():
     for _ in range(20):
         child = packing.crossover(a, b, lengths, 100, rng)
         assert sorted(i for x in child for i in x) == list(range(200)) and all(sum(lengths[i] for i in x) <= 100 for x in child)
+
+
+def test_a_full_cache_keeps_the_words_that_came_again(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 40)
+    with open(VOCABULARY, encoding="utf-8") as f:
+        own = Encoder(f.read())
+    for i in range(30):
+        texts = [f"often again number{i}x{i * 7919} once{i}é", " often again", None, ""]
+        for text, ids in zip(texts, own.encode(pa.array(texts)), strict=True):
+            assert ids.tolist() == library(text)
+        assert len(own.known) <= 50 and (own.known[1:] > own.known[:-1]).all()
+    before = len(own.known)
+    list(own.encode(pa.array([" often again"])))
+    assert len(own.known) == before
