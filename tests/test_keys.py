@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks.adapter import nest
 from runstar.operators.joins import Lookup, bridge, lookup
 from runstar.operators.keys import canonical_pick, collate, dense_id, dimension
+from runstar.sources.workspace import EXCHANGE_TASKS, exchange_tasks, size_exchanges
 
 
 @pytest.mark.parametrize("start", [0, 500])
@@ -108,3 +111,25 @@ def test_an_order_is_one_record_of_any_size(spark):
         0: 50_000, **{k: 1 for k in range(50_000, 50_010)}}
     parts = nest(df, "k", F.struct("id"), "xs", F.floor(F.col("id") / 1000).alias("part"))
     assert parts.where("k = 0").count() == 50 and parts.select(F.max(F.size("xs"))).first()[0] == 1000
+
+
+def test_exchanges_begin_with_tasks_for_the_rows(spark):
+    """The rows of a task do not grow with the input: records, their children and numbered rows."""
+    rows = spark.range(90).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    try:
+        assert size_exchanges(spark, 90, rows_per_task=10) == size_exchanges(spark, 20, rows_per_task=10) == exchange_tasks(spark) == 9
+        built = [dense_id(rows), nest(rows, "k", F.struct("v"), "vs"), bridge(rows, rows.columns, [], within=["k"])]
+        for df in built:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert re.search(r"hashpartitioning\(.*, 9\), REPARTITION_BY_NUM", plan) and df.count() == 90
+        assert sorted(r["id"] for r in built[0].collect()) == list(range(1, 91))
+    finally:
+        spark.conf.unset(EXCHANGE_TASKS)
+    assert exchange_tasks(spark) == 2
+
+
+def test_children_are_gathered_where_they_were_dealt(spark):
+    nested = nest(spark.range(10).withColumn("k", F.col("id") % 3), "k", F.struct("id"), "xs")
+    lines = nested._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(lines) if "Exchange" in line]
+    assert len(dealt) == 1 and max(i for i, line in enumerate(lines) if "Aggregate" in line) < dealt[0]
