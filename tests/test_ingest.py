@@ -451,6 +451,19 @@ def test_redacted_run(spark, base, tmp_path):
     assert source.metadata_aliases(meta).count() == 2
 
 
+def test_redaction_counts_stated_years_as_it_writes(spark, base, tmp_path, monkeypatch):
+    """Records without a year too; they are read again only if the metadata leaves out a year."""
+    records = [record("x"), record("y", publication_year=2021), record("z", publication_year=2021), record("n", publication_year=None)]
+    scans, count = [], source.year_counts
+    monkeypatch.setattr(source, "year_counts", lambda *a: scans.append(1) or count(*a))
+    for version, years, again in (("v1", {2020: 1, 2021: 9, 1999: 5}, 0), ("v2", {2020: 1}, 1)):
+        write_run(base, "a", version, records, files=2, years=years)
+        source.redact_run(spark, str(base), str(tmp_path / "sample"), "a", version)
+        _, meta = source.read_run(spark, str(tmp_path / "sample"), "a", version)
+        assert {(r["publication_year"], r["expected"]) for r in source.expected_years(meta).collect()} == {(2020, 1), (2021, 2), (None, 1)}
+        assert len(scans) == again
+
+
 def test_feed_without_metadata_has_no_aliases(spark):
     assert staging.datasets(source.no_aliases(spark)).columns == ["run_id", "alias", "alias_id", "parent_alias_id", "alias_type"]
 
