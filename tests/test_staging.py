@@ -5,10 +5,14 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from runstar.functions import address_query, run_prefix
 from runstar.operators.nested import explode_normalize, redact_snippets, struct_normalize
 from runstar.plans import staging
 from runstar.schemas import STAGING_KINDS
+from runstar.sources.warehouse import Warehouse
+from runstar.sources.workspace import Workspace
+from tests.conftest import SF_DIR
 from tests.feeds import aliases, frame, record
 
 
@@ -125,3 +129,21 @@ def test_text_functions(spark):
     df = spark.sql("select 'A|B' as a, 'Kiel' as c, cast(null as string) as s, 'Germany' as n, ' two words ' as agency")
     assert df.select(address_query(F.col("a"), F.col("c"), F.col("s"), F.col("n"))).first()[0] == "A,B,Kiel,Germany"
     assert df.select(run_prefix(F.col("agency"), F.lit("v1"))).first()[0] == "two_words_v1_"
+
+
+def test_a_kept_file_holds_one_run(spark):
+    space = Workspace(spark)
+    df = spark.range(60).select((F.col("id") % 3).alias("run_id"), F.concat(F.lit("e"), "id").alias("eid"))
+    kept = space.keep("feed", df, by=["run_id"])
+    assert kept.dtypes == df.dtypes and sorted(kept.collect()) == sorted(df.collect())
+    files = kept.select("run_id", F.input_file_name().alias("file")).distinct().collect()
+    assert len({r["run_id"] for r in files}) == 3 and len({r["file"] for r in files}) == len(files)
+
+
+def test_dealt_kinds_are_staged_without_a_shuffle(spark, monkeypatch):
+    """Those of the feed: its files hold one run each."""
+    seen = {}
+    monkeypatch.setattr(Warehouse, "write_staging", lambda self, load_id, kind, rows, dealt=False: seen.update({kind: dealt}))
+    monkeypatch.setattr(Warehouse, "staging", lambda self, kind, schema: spark.createDataFrame([], schema))
+    queries.staging_sink(spark, SF_DIR)
+    assert seen == dict.fromkeys(STAGING_KINDS, True) | {"datasets": False}
