@@ -451,6 +451,17 @@ def test_redacted_run(spark, base, tmp_path):
     assert source.metadata_aliases(meta).count() == 2
 
 
+def test_names_of_runs_are_cut_from_the_path(spark, base):
+    """Not found by a pattern, record by record; odd names and other folders come out as before."""
+    write_run(base / "json" / "x", "a b+c%41", "v 1", [record("x")])
+    feed = source.read_feed(spark, f"{base}/json/x/*/*/{source.PUBLICATION_FILES}")
+    assert feed.select("agency", "version").collect() == [("a b+c%41", "v 1")]
+    assert "regexp" not in feed._jdf.queryExecution().optimizedPlan().toString()
+    paths = spark.createDataFrame([("s3a://b/a/v/json/publications/x/json/publications/y.json.gz",), ("/elsewhere/y.json.gz",)], "p string")
+    names = paths.select(*source._run_columns(F.col("p"), "json/publications/")).collect()
+    assert names == [("a", "v"), ("", "")]
+
+
 def test_redaction_counts_stated_years_as_it_writes(spark, base, tmp_path, monkeypatch):
     """Records without a year too; they are read again only if the metadata leaves out a year."""
     records = [record("x"), record("y", publication_year=2021), record("z", publication_year=2021), record("n", publication_year=None)]
