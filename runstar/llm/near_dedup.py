@@ -12,7 +12,8 @@ its difference to the hub's set: elements that only one of them has. Two sets ar
 
 * a class whose difference is small enough is linked with the hub, which settles all pairs of such classes, and
 * any other link needs a number of *common* elements in both differences, which their sizes tell. With a cluster's elements in
-  order of frequency, it needs one among the rarest of each, so only classes with such an element in common are compared.
+  order of frequency, it needs one among the rarest of each, so only classes with such an element in common are compared, and
+  only if behind it, in both, there are as many elements as the link needs.
 
 Copies of one text differ from each other where each was changed, and what a change brings in is rare; so these comparisons are few, and no
 bucket is expanded into pairs or capped. What a cluster takes grows with its classes' differences to the hub.
@@ -214,37 +215,47 @@ def _settled(percent: int) -> Column:
 
 
 def _rarest(apart: DataFrame, percent: int) -> DataFrame:
-    """(cluster, element, node, component, n, settled, short): the elements of each difference that may decide.
-
-    Let d be a class's difference, n and h the sizes of its set and the hub's, q = (100 - percent) / (100 + percent). A link to a
-    class that isn't settled, whose difference is over q (its size + h), needs over (d + q (h - n)) / 2 common elements; so one is among
-    the rarest d minus that, the ``short`` list. A link of a class that isn't settled to one that is, of at most n * 100 / percent
-    elements, needs (d - n (100 - percent) / percent) / 2 or more, and at least one: its longer list. Both lists begin with elements
-    that no other class has; these decide nothing and are only counted.
+    """(cluster, element, node, component, n, settled, short, size, rest): the elements of each difference that may decide, the size of
+    the difference, and how many of its elements come from this one on.
+
+    Let d be a class's difference, n and h the sizes of its set and the hub's, q = (100 - percent) / (100 + percent). A linked set has at
+    most n * 100 / percent elements, so the two differ in at most n (100 - percent) / percent; of d all others are common elements. A link
+    to a class that isn't settled, whose difference is over q (its size + h), also needs over (d + q (h - n)) / 2 of them. So one is among
+    the rarest d minus what is needed, the ``short`` list. A link of a class that isn't settled to one that is needs the former, and at
+    least one: its longer list. Both lists begin with elements that no other class has; these decide nothing and are only counted.
     """
     size = F.size("apart")
-    least_short = F.floor((size * (100 + percent) + (F.col("hub_n") - F.col("n")) * (100 - percent)) / (2 * (100 + percent))) + 1
-    least_long = F.greatest(F.ceil((size * percent - F.col("n") * (100 - percent)) / (2 * percent)), F.lit(1))
+    least_any = F.ceil((size * percent - F.col("n") * (100 - percent)) / percent)
+    least_short = F.greatest(least_any, F.floor(
+        (size * (100 + percent) + (F.col("hub_n") - F.col("n")) * (100 - percent)) / (2 * (100 + percent))) + 1)
+    least_long = F.greatest(least_any, F.lit(1))
     settled = _settled(percent)
     short, long = size - least_short + 1, F.when(settled, 0).otherwise(size - least_long + 1)
-    rows = apart.select("cluster", "node", "component", "n", settled.alias("settled"), size.alias("_size"), short.alias("_short"),
+    rows = apart.select("cluster", "node", "component", "n", settled.alias("settled"), size.alias("size"), short.alias("_short"),
                         long.alias("_long"), F.explode("apart").alias("element"))
     often = rows.groupBy("cluster", "element").agg(F.count("*").alias("_often")).where("_often > 1")
     rows = rows.join(often, ["cluster", "element"])
     mine = Window.partitionBy("node")
     # the place in order of frequency, behind the elements that are the class's own
-    place = F.row_number().over(mine.orderBy("_often", "element")) + F.col("_size") - F.count("*").over(mine)
+    place = F.row_number().over(mine.orderBy("_often", "element")) + F.col("size") - F.count("*").over(mine)
     rows = rows.withColumn("_place", place).withColumn("short", F.col("_place") <= F.col("_short"))
-    return rows.where("short or _place <= _long").select("cluster", "element", "node", "component", "n", "settled", "short")
+    return rows.where("short or _place <= _long").select(
+        "cluster", "element", "node", "component", "n", "settled", "short", "size", (F.col("size") - F.col("_place") + 1).alias("rest"))
 
 
 def _close_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different components with a deciding element in common, of which one at least is not settled."""
+    """Pairs of classes in different components with a deciding element in common, of which one at least is not settled.
+
+    The rarest element that a linked pair has in common is in both lists, and no more than the ``rest`` of either is common.
+    """
     one = rows.where("not settled").select("cluster", "element", F.col("node").alias("a"), F.col("component").alias("_of"),
-                                           F.col("short").alias("_a_short"), F.col("n").alias("_n"))
-    other = rows.where("short").select("cluster", "element", F.col("node").alias("b"), "component", "settled", "n")
+                                           F.col("short").alias("_a_short"), F.col("n").alias("_n"),
+                                           F.col("size").alias("_size"), F.col("rest").alias("_rest"))
+    other = rows.where("short").select("cluster", "element", F.col("node").alias("b"), "component", "settled", "n", "size", "rest")
     sizes = (F.col("_n") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("_n") * percent)
-    pairs = one.join(other, ["cluster", "element"]).where((F.col("component") != F.col("_of")) & sizes & (
+    enough = 2 * F.least("rest", "_rest") * (100 + percent) >= (
+        (F.col("size") + F.col("_size")) * (100 + percent) - (F.col("n") + F.col("_n")) * (100 - percent))
+    pairs = one.join(other, ["cluster", "element"]).where((F.col("component") != F.col("_of")) & sizes & enough & (
         F.col("settled") | (F.col("_a_short") & (F.col("a") < F.col("b")))))
     return pairs.select("a", "b").distinct()
 
