@@ -21,7 +21,7 @@ such histories. Nothing but two totals and the discounts' counts goes through th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -90,7 +90,7 @@ def _rows(rows: list[tuple], doc_id: pa.DataType) -> pa.RecordBatch:
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[int, list[dict]]]:
-    """Rows that agree in a column; they come one after the other."""
+    """Rows that agree in a column; they come one after the other. Only the first has ``totals``, which are the same for all."""
     value, held = None, []
     for batch in batches:
         keys = batch[by].to_pylist()
@@ -99,15 +99,42 @@ def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[int, l
                 if held:
                     yield value, held
                 value, held = keys[i], []
-            held.append({c: batch[c][i].as_py() for c in batch.schema.names})
+            held.append({c: batch[c][i].as_py() for c in batch.schema.names if c != "totals" or not held})
     if held:
         yield value, held
 
 
+def _one_by_one(of_group: Callable[[int, list[dict]], pa.RecordBatch], by: str):
+    """A task that calls ``of_group`` on each group of rows; nothing of one is held while the next is worked on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for value, rows in _groups(batches, by):
+            yield of_group(value, rows)
+    return run
+
+
 def _joined(arrays: list[np.ndarray], like: type = np.int64) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, like)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, rising, and each key's place among them in four bytes."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
+    return keys[fresh], place
+
+
+def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairs of places as one number each."""
+    both = left.astype(np.int64)
+    both <<= 32
+    both |= right
+    return both
+
+
 def _ask_words(buckets: int, doc_id: pa.DataType):
     """For each slice of texts its tokens, and its different words by bucket with their counts in training texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,10 +218,11 @@ class Slice:
     """The tokens of a slice, each with the longest gram that ends there of an order: its number, count and probability."""
 
     def __init__(self, home: dict, reply: list[np.ndarray], totals: Totals):
-        token, self.sizes = unpack(home["data"])
+        token, sizes = unpack(home.pop("data"), narrow=True)
+        self.sizes = sizes.astype(np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.learnt = np.repeat(~np.array(home["held_out"], bool), self.sizes)
-        count, number = reply
+        count, number = (x.astype(np.int64) for x in reply)
         self.count, self.word = count[token], number[token]
         self.p = (2 * self.count + 1) / totals.mass
         self.gram, self.times = self.word, self.count
@@ -223,16 +251,19 @@ class Grams:
 
     def __init__(self, own: Slice, token: np.ndarray, history: np.ndarray, times: np.ndarray, buckets: int, split: int):
         self.token, self.times = token, times[token]
-        heads, head = np.unique(history[token], return_inverse=True)
-        tails, tail = np.unique(own.word[token], return_inverse=True)
-        both, some, index = np.unique(head << 32 | tail, return_index=True, return_inverse=True)
+        heads, head = _distinct(history[token])
+        tails, tail = _distinct(own.word[token])
+        both, index = _distinct(_pairs(head, tail))
+        del head, tail
+        some = np.empty(len(both), np.int32)  # a place where each gram stands
+        some[index] = np.arange(len(index), dtype=np.int32)
         h, w = heads[both >> 32], tails[both & 0xFFFFFFFF]
         shares = -(-self.times[some] // split)
         share = np.where(shares > 1, mix(w.view(np.uint64)) % np.maximum(shares, 1).astype(np.uint64), 0).astype(np.int64)
         at = _bucket(mix(h.view(np.uint64)) + share.view(np.uint64), buckets)
         order = np.argsort(at, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         self.index = place[index]
         self.at, self.history, self.word, self.split = at[order], h[order], w[order], (shares > 1)[order]
         self.n = np.bincount(self.index[own.learnt[token]], minlength=len(order))
@@ -256,108 +287,116 @@ def _replayed(rows: list[dict], order: int, totals: Totals, buckets: int, split:
     replies: dict[int, list] = {k: [] for k in range(1, order + 1)}
     for r in rows:
         if r["kind"] != HOME:
-            replies[r["kind"]].append(unpack(r["data"]))
+            replies[r["kind"]].append(unpack(r.pop("data"), narrow=True))
     home = next(r for r in rows if r["kind"] == HOME)
-    own = Slice(home, [_joined(list(x)) for x in zip(*replies[1], strict=True)], totals)
+    own = Slice(home, [_joined(list(x)) for x in zip(*replies.pop(1), strict=True)], totals)
     for k in range(2, order + 1):
-        parts = list(zip(*replies[k], strict=True)) or [[], [], []]
+        parts = list(zip(*replies.pop(k), strict=True)) or [[], [], []]
         own.told(own.ask(k, buckets, split), [_joined(list(x)) for x in parts], totals.discount[k - 2])
     return home, own
 
 
 def _ask_grams(order: int, totals: Totals, buckets: int, split: int, doc_id: pa.DataType):
     """What each slice asks of an order's buckets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for first, rows in _groups(batches, "slice"):
-            _, own = _replayed(rows, order - 1, totals, buckets, split)
-            yield _rows([(ASKED, first, at, None, None, None, data)
-                         for at, data in own.ask(order, buckets, split).messages()], doc_id)
-    return run
+    def asked(first: int, rows: list[dict]) -> pa.RecordBatch:
+        _, own = _replayed(rows, order - 1, totals, buckets, split)
+        return _rows([(ASKED, first, at, None, None, None, data)
+                      for at, data in own.ask(order, buckets, split).messages()], doc_id)
+
+    return _one_by_one(asked, "slice")
 
 
 class Counted:
     """The grams of a bucket: counts, and for each history what it needs for its back-off weight."""
 
     def __init__(self, rows: list[dict]):
-        parts = [unpack(r["data"]) for r in rows]
-        self.heads = [np.cumsum(p[0]) for p in parts]
-        head = _joined([np.repeat(h, p[1]) for h, p in zip(self.heads, parts, strict=True)])
-        self.sizes = [len(p[3]) for p in parts]
-        n = _joined([p[4] for p in parts])
-        p = np.zeros(len(n))
-        p[n > 0] = _joined([x[5][x[6]] for x in parts], np.float64)
-        self.history, head = np.unique(head, return_inverse=True)
-        tails, tail = np.unique(_joined([p[3] for p in parts]), return_inverse=True)
-        both, self.index = np.unique(head << 32 | tail, return_inverse=True)
-        self.head, self.word = both >> 32, tails[both & 0xFFFFFFFF]
-        self.count = np.rint(np.bincount(self.index, n)).astype(np.int64)
-        lower = np.zeros(len(both))
-        lower[self.index[n > 0]] = p[n > 0]  # the same number wherever the gram stands
+        parts = [[] for _ in range(6)]
+        for r in rows:
+            head, many, split, word, n, value, code = unpack(r.pop("data"), narrow=True)
+            for x, part in zip(parts, (np.cumsum(head, dtype=np.int64), many, split > 0, word, n, value[code]), strict=True):
+                x.append(part)
+        #: places of each row's histories, and how many grams it has
+        self.sizes = [len(x) for x in parts[3]]
+        cuts = np.cumsum([len(x) for x in parts[0]])[:-1]
+        self.history, at = _distinct(_joined(parts[0]))
+        self.heads = np.split(at, cuts)
         h = len(self.history)
+        self.split = np.zeros(h, bool)
+        self.split[at[_joined(parts[2], bool)]] = True
+        head = np.repeat(at, _joined(parts[1]).astype(np.int64))
+        word, n, p = _joined(parts[3]), _joined(parts[4]), _joined(parts[5], np.float64)
+        del parts
+        tails, tail = _distinct(word)
+        del word
+        head = _pairs(head, tail)
+        del tail
+        both, self.index = _distinct(head)
+        del head
+        self.head, self.word = (both >> 32).astype(np.int32), tails[both & 0xFFFFFFFF]
+        del both
+        self.count = np.rint(np.bincount(self.index, n, len(self.head))).astype(np.int64)
+        lower = np.zeros(len(self.head))
+        lower[self.index[n > 0]] = p  # the same number wherever the gram stands
         self.covered = np.bincount(self.head, lower, h)
         #: seen how often, and the numbers of words seen once, twice, ... after each history
         self.times = np.stack([np.rint(np.bincount(self.head, self.count, h)).astype(np.int64)]
                               + [np.bincount(self.head[self.count == r], minlength=h) for r in range(1, DISCOUNTED + 2)])
-        self.split = np.zeros(h, bool)
-        for own, q in zip(self.heads, parts, strict=True):
-            self.split[np.searchsorted(self.history, own)] |= q[2] > 0
 
 
 _SUMS = "at int, h long, covered double, " + ", ".join(f"n{r} long" for r in range(DISCOUNTED + 2))
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of each bucket (without h) and of its part of each history that is dealt over several."""
-    for at, rows in _groups(batches, "at"):
-        c = Counted(rows)
-        some = np.flatnonzero(c.split)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(some) + 1, at, np.int32)), pa.array([None, *c.history[some].tolist()], pa.int64()),
-             pa.array(np.append(0.0, c.covered[some])), *(pa.array(np.append(x.sum(), x[some])) for x in c.times)],
-            ["at", "h", "covered", *(f"n{r}" for r in range(DISCOUNTED + 2))])
+def _sums(at: int, rows: list[dict]) -> pa.RecordBatch:
+    """Sums of a bucket (without h) and of its part of each history that is dealt over several."""
+    c = Counted(rows)
+    some = np.flatnonzero(c.split)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(some) + 1, at, np.int32)), pa.array([None, *c.history[some].tolist()], pa.int64()),
+         pa.array(np.append(0.0, c.covered[some])), *(pa.array(np.append(x.sum(), x[some])) for x in c.times)],
+        ["at", "h", "covered", *(f"n{r}" for r in range(DISCOUNTED + 2))])
 
 
 def _answer_grams(buckets: int, last: bool, doc_id: pa.DataType):
     """Counts, numbers and back-off weights of a bucket's grams, for each slice that asks, and as an order of the model."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for at, rows in _groups(batches, "at"):
-            c = Counted(rows)
-            covered, times, seen = c.covered, c.times, None
-            for s in rows[0]["totals"]:
-                if s["h"] is None:
-                    seen = s["n"]
-                else:
-                    i = np.searchsorted(c.history, s["h"])
-                    covered[i], times[:, i] = s["covered"], s["n"]
-            discount = discounts(seen[1:])
-            freed = sum(((1 - discount[r]) * r * times[r] for r in range(1, DISCOUNTED + 1)), np.zeros(len(covered)))
-            back = (0.5 + freed) / (times[0] + 0.5) / (1 - covered)
-            number = np.zeros(0, np.int64) if last else _numbers(c.count, at, buckets)
-            there = c.count > 0
-            out = [(MODEL, None, at, None, None, seen,
-                    pack(steps(c.history), back, np.bincount(c.head[there], minlength=len(back)), c.word[there], c.count[there]))]
-            begin = 0
-            for r, own, size in zip(rows, c.heads, c.sizes, strict=True):
-                index = c.index[begin:begin + size]
-                begin += size
-                out.append((r["order"], r["slice"], at, None, None, None,
-                            pack(back[np.searchsorted(c.history, own)], c.count[index], number if last else number[index])))
-            yield _rows(out, doc_id)
-    return run
+    def answered(at: int, rows: list[dict]) -> pa.RecordBatch:
+        c = Counted(rows)
+        covered, times, seen = c.covered, c.times, None
+        for s in rows[0]["totals"]:
+            if s["h"] is None:
+                seen = s["n"]
+            else:
+                i = np.searchsorted(c.history, s["h"])
+                covered[i], times[:, i] = s["covered"], s["n"]
+        discount = discounts(seen[1:])
+        freed = sum(((1 - discount[r]) * r * times[r] for r in range(1, DISCOUNTED + 1)), np.zeros(len(covered)))
+        back = (0.5 + freed) / (times[0] + 0.5) / (1 - covered)
+        number = np.zeros(0, np.int64) if last else _numbers(c.count, at, buckets)
+        there = c.count > 0
+        out = [(MODEL, None, at, None, None, seen,
+                pack(steps(c.history), back, np.bincount(c.head[there], minlength=len(back)), c.word[there], c.count[there]))]
+        begin = 0
+        for r, own, size in zip(rows, c.heads, c.sizes, strict=True):
+            index = c.index[begin:begin + size]
+            begin += size
+            out.append((r["order"], r["slice"], at, None, None, None,
+                        pack(back[own], c.count[index], number if last else number[index])))
+        return _rows(out, doc_id)
+
+    return _one_by_one(answered, "at")
 
 
 def _scores(order: int, totals: Totals, buckets: int, split: int, doc_id: pa.DataType):
     """A row for each document of a slice."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches, "slice"):
-            home, own = _replayed(rows, order, totals, buckets, split)
-            base = np.log10((own.count + 0.5) / (totals.tokens + 0.5 * (totals.distinct + 1)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(home["doc_ids"], doc_id), pa.array(home["held_out"], pa.bool_()), pa.array(own.sizes),
-                 pa.array(np.add.reduceat((own.count > 0).astype(np.int64), own.first)),
-                 pa.array(np.add.reduceat(base, own.first)), pa.array(np.add.reduceat(np.log10(own.p), own.first))],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-    return run
+    def scored(_: int, rows: list[dict]) -> pa.RecordBatch:
+        home, own = _replayed(rows, order, totals, buckets, split)
+        base = np.log10((own.count + 0.5) / (totals.tokens + 0.5 * (totals.distinct + 1)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(home["doc_ids"], doc_id), pa.array(home["held_out"], pa.bool_()), pa.array(own.sizes),
+             pa.array(np.add.reduceat((own.count > 0).astype(np.int64), own.first)),
+             pa.array(np.add.reduceat(base, own.first)), pa.array(np.add.reduceat(np.log10(own.p), own.first))],
+            ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    return _one_by_one(scored, "slice")
 
 
 class KatzModel:
@@ -409,7 +448,7 @@ class KatzModel:
     def _controls(self, asked: DataFrame) -> DataFrame:
         """For each bucket the sums of all, and those of the histories of which it holds a part; few rows."""
         numbers = [F.sum(f"n{r}").alias(f"n{r}") for r in range(DISCOUNTED + 2)]
-        sums = map_arrow(asked.sortWithinPartitions("at", "slice"), _sums, _SUMS).groupBy("h").agg(
+        sums = map_arrow(asked.sortWithinPartitions("at", "slice"), _one_by_one(_sums, "at"), _SUMS).groupBy("h").agg(
             F.sum("covered").alias("covered"), *numbers, F.collect_list("at").alias("ats"))
         held = sums.select(F.explode("ats").alias("at"), F.struct(
             "h", "covered", F.array(*(f"n{r}" for r in range(DISCOUNTED + 2))).alias("n")).alias("of"))

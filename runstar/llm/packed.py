@@ -25,8 +25,9 @@ def pack(*arrays: np.ndarray) -> bytes:
     return b"".join(head) + pa.compress(b"".join(body), "zstd", asbytes=True)
 
 
-def unpack(data: bytes) -> list[np.ndarray]:
-    """What ``pack`` was given; whole numbers as int64, those from 2**63 on as negative ones."""
+def unpack(data: bytes, narrow: bool = False) -> list[np.ndarray]:
+    """What ``pack`` was given; whole numbers as int64, those from 2**63 on as negative ones. With ``narrow``, arrays of numbers that fit
+    into 1, 2 or 4 bytes are unsigned ones of that size."""
     n = data[0]
     sizes = [struct.unpack_from("<BI", data, 1 + 5 * i) for i in range(n)]
     total = sum((8 if w == DOUBLE else w) * k for w, k in sizes)
@@ -34,10 +35,11 @@ def unpack(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
     for width, k in sizes:
         w = 8 if width == DOUBLE else width
-        full = np.zeros((k, 8), np.uint8)
+        room = next(x for x in (1, 2, 4, 8) if x >= w) if narrow else 8
+        full = np.zeros((k, room), np.uint8)
         full[:, :w] = body[at:at + w * k].reshape(w, k).T
         at += w * k
-        out.append(full.reshape(-1).view(np.float64 if width == DOUBLE else np.int64))
+        out.append(full.reshape(-1).view(np.float64 if width == DOUBLE else np.int64 if room == 8 else f"<u{room}"))
     return out
 
 

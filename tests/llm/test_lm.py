@@ -3,10 +3,12 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from runstar.llm import lm
@@ -152,3 +154,26 @@ def test_packed():
         assert got.view(np.uint64).tolist() == a and flat.tolist() == [0] * 3 and doubles.tolist() == [0.1, -2.0]
     rising = np.array([3, 9, 2**63 + 1, 2**64 - 1], np.uint64)
     assert np.cumsum(unpack(pack(steps(rising)))[0].view(np.uint64)).tolist() == rising.tolist()
+
+
+def test_a_bucket_takes_few_bytes_a_gram():
+    """What a worker holds while it answers for buckets of 600,000 grams each, one after the other."""
+    rng, slices, grams = np.random.default_rng(1), 30, 20_000
+    rows = []
+    for at in range(3):
+        for first in range(slices):
+            heads = np.unique(rng.integers(1, 1 << 20, 5_000))
+            many = np.bincount(rng.integers(0, len(heads), grams - len(heads)), minlength=len(heads)) + 1
+            p = rng.choice(rng.random(300), grams)
+            value, code = np.unique(p, return_inverse=True)
+            data = pack(steps(heads), many, np.zeros(len(heads), bool), rng.integers(1, 1 << 21, grams), np.ones(grams, np.int64),
+                        value, code)
+            rows.append({"at": at, "slice": first, "data": data, "order": 2,
+                         "totals": [{"h": None, "covered": 0.0, "n": [9, 8, 7, 6, 5, 4, 3]}]})
+    batch = pa.RecordBatch.from_pylist(rows)
+    tracemalloc.start()
+    found = sum(x.num_rows for x in lm._answer_grams(3, True, pa.int64())(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 3 * (slices + 1)
+    assert peak < 110 * slices * grams
