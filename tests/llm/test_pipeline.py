@@ -54,6 +54,22 @@ def test_language_drops_only_what_has_none(stages):
     assert _pairs(stages[0]) == sorted(want, key=str)
 
 
+def test_language_is_the_one_that_the_evidence_shows(spark):
+    """Of a wrong tag, no tag, a tag with a region, rows that repeat, a language that one row declares, and texts without letters."""
+    words = {"en": "the of and to in is that with for this have from", "de": "der die und das nicht mit für ist auch werden über eine"}
+    rows = [(100 * k + i, " ".join(words[x].split()[(i * j + j) % 12] for j in range(40)), x, f"https://{x}.example.{x}/", 9)
+            for k, x in enumerate(words) for i in range(1, 40)]
+    rows += [(900, rows[2][1], "de", "https://en.example.en/", 9)] * 2 + [
+        (901, rows[45][1], None, None, 9), (902, rows[3][1], "en-GB", "https://en.example.en/", 9), (903, "12 34", "en", None, 9),
+        (904, "это просто русский текст о погоде и о том как мы живём", "ru", "https://ru.example.ru/", 9)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {}
+    for r in corpus_pipeline.language_id(spark, docs, "unused").collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert {i: [r.lang for r in got.pop(i)] for i in (900, 901, 902, 904)} == {900: ["en"] * 2, 901: ["de"], 902: ["en-GB"], 904: ["ru"]}
+    assert sorted(tuple(r) for own in got.values() for r in own) == sorted(r for r in rows if r[0] < 900)
+
+
 def test_one_of_each_group_stays(stages):
     rows = _pairs(stages[0])
     kept = {c for _, _, c in components(rows, corpus_pipeline.SHINGLE)}
