@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from runstar.operators.analytics import validated_dyads
 from runstar.plans import staging
 from runstar.plans.ingest import SPARK_ERRORS, LoadOptions, ingest, load_runs
-from runstar.plans.star import BUILDERS
-from runstar.schemas import INPUT_TABLES
+from runstar.plans.star import BUILDERS, OF_RECORDS
+from runstar.schemas import INPUT_TABLES, TABLES
 from runstar.sources import commits, discover, sinks
 from runstar.sources import feed as source
+from runstar.sources.sinks import few_large, write_by_run
 from runstar.sources.warehouse import ConstraintViolated, Warehouse
-from runstar.sources.workspace import control_table, shared_folder
+from runstar.sources.workspace import CLEANUP, Workspace, control_table, shared_folder
 from runstar.streaming.watch import ingest_stream
 from tests.feeds import record, write_metadata, write_run
 
@@ -588,3 +589,58 @@ def test_rows_that_lie_by_run_are_written_where_they_are(spark, tmp_path):
     sinks.write_by_run(many, str(tmp_path / "m"), ["agency", "version"], dealt=True)  # more runs in a task than files it opens
     back = spark.read.parquet(str(tmp_path / "m")).select("id", F.col("version").cast("bigint").alias("v")).collect()
     assert sorted(r["id"] for r in back) == list(range(200)) and all(r["v"] == r["id"] % 20 for r in back)
+
+
+def test_exchanges_go_with_their_query(spark, tmp_path):
+    """What is read back from a written table needs no exchange any more; a session that keeps them does."""
+    def exchanges():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    space, rows = Workspace(spark), spark.range(1000).repartition(5, "id")
+    before = exchanges()
+    assert space.keep("kept", rows).count() == 1000
+    until = time.time() + 20
+    while exchanges() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not exchanges() - before
+    spark.conf.set(CLEANUP, "false")
+    try:
+        before = exchanges()
+        assert Workspace(spark).keep("kept", rows).count() == 1000
+        assert spark.conf.get(CLEANUP) == "false" and exchanges() - before
+    finally:
+        spark.conf.unset(CLEANUP)
+
+
+def test_written_tables_are_small(spark, tmp_path):
+    space = Workspace(spark, str(tmp_path / "job"))
+    space.keep("kept", spark.range(10))
+    write_by_run(spark.range(10).withColumn("run_id", F.lit(1)), str(tmp_path / "runs"), ["run_id"])
+    files = [f.name for f in tmp_path.rglob("*.parquet") if f.is_file()]
+    assert len(files) > 1 and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_large_tables_of_few_runs_are_written_where_they_are(spark, base, warehouse, monkeypatch):
+    """Without an exchange by run, and with the same rows; small ones, and those of many runs, go into few files."""
+    assert few_large(600_000, 3, 20) and not few_large(599_999, 3, 20) and not few_large(10**9, 4, 20)
+    seen, write = [], sinks.write_by_run
+
+    def spy(df, path, partitions, watch=None, dealt=False):
+        seen.append((path.split("/")[-2], dealt))  # tables/NAME/load_id=N
+        write(df, path, partitions, watch, dealt)
+
+    monkeypatch.setattr("runstar.sources.warehouse.write_by_run", spy)
+    for version in ("v1", "v2"):
+        write_run(base, "ag", version, RECORDS)
+    ingest(spark, str(base), warehouse)
+    assert not any(dealt for name, dealt in seen if name in TABLES)
+    rows = {n: warehouse.table(n).drop("id", "last_updated_date").count() for n in TABLES}
+    seen.clear()
+    monkeypatch.setattr(sinks, "ROWS_OF_A_FILE", 0)
+    ingest(spark, str(base), warehouse, overwrite=True)
+    assert {name for name, dealt in seen if dealt and name in TABLES} == set(OF_RECORDS)
+    assert rows == {n: warehouse.table(n).count() for n in TABLES}
+    for n in OF_RECORDS:
+        ids = [r["id"] for r in warehouse.table(n).select("id").collect()]
+        assert len(ids) == len(set(ids))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.adapter import nest
 from runstar.operators.joins import Lookup, bridge, lookup
-from runstar.operators.keys import canonical_pick, collate, dense_id, dimension
+from runstar.operators.keys import canonical_pick, collate, dense_id, dense_id_in_place, dimension
 from runstar.sources.workspace import EXCHANGE_TASKS, exchange_tasks, size_exchanges
 
 
@@ -37,6 +37,30 @@ def test_copies_get_their_own_ids(spark, chunk):
     assert got[0].asDict().keys() == {"id", "k"}
 
 
+def test_few_copies_come_out_where_their_row_is(spark):
+    df = spark.sql("select * from values ('a', 5L), ('b', 1L), ('c', 4L) as t(k, n)")
+    rows = dense_id(df, start=3, copies="n", copies_per_chunk=None)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["id"], r["k"]) for r in rows.collect()) == sorted((r["id"], r["k"]) for r in dense_id(df, start=3, copies="n").collect())
+    assert text.count("REPARTITION_BY_NUM") == 2  # one for the sizes
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+def test_rows_are_numbered_in_their_tasks(spark, tasks):
+    """Dense over uneven and empty tasks, with nulls and equal rows; the same again, whatever the order of the rows."""
+    def rows(seed):
+        df = spark.range(500).select((F.col("id") % 9 * (F.col("id") % 2)).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 50).alias("v"))
+        return df.orderBy(F.rand(seed)).repartition(tasks, "k")
+
+    numbered = dense_id_in_place(rows(1), start=7)
+    first = sorted(map(str, (tuple(r) for r in numbered.collect())))
+    assert sorted(r["id"] for r in numbered.collect()) == list(range(8, 508))
+    assert sorted(map(str, (tuple(r) for r in dense_id_in_place(rows(2), start=7).collect()))) == first
+    text = dense_id_in_place(bridge(rows(1), ["k", "v"], [], within=["k"]))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("REPARTITION_BY_NUM") == 2  # one for the sizes, which is the same
+    assert dense_id_in_place(rows(1).where("k < 0")).count() == 0
+
+
 def test_empty_input(spark):
     df = spark.range(0).withColumnRenamed("id", "k")
     assert dense_id(df).count() == 0
